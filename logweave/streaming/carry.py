@@ -1,0 +1,84 @@
+"""Window state between micro-batches: the last ``w`` records of each key.
+
+Batch ``b`` writes the records of the keys it touched as ``delta=b``. Every
+``compact_every`` batches the state of all keys is written as ``full=b``, so
+that a read takes one full version and a bounded number of deltas. Which
+versions batch ``b`` reads follows from ``b`` alone and all are older than
+``b``: a repeated batch reads the same state and overwrites its own files.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+
+from ..operators.window import window_length
+from ..schema import LOG_SCHEMA
+from ..storage import drop_path
+
+CARRY_SCHEMA = T.StructType(LOG_SCHEMA.fields + [
+    T.StructField("n", T.LongType()), T.StructField("version", T.LongType())])
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    """The newest version of each key; older ones go before the shuffle."""
+    newest = Window.partitionBy("key").orderBy(F.desc("version"))
+    return (rows.withColumn("age", F.rank().over(newest))
+            .filter(F.col("age") <= 1).drop("age"))
+
+
+class CarryStore:
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = 10):
+        self.spark, self.root, self.every = spark, root.rstrip("/"), compact_every
+
+    def _path(self, stage: int, kind: str, version: int) -> str:
+        return f"{self.root}/stage={stage}/{kind}={version}"
+
+    def _versions(self, stage: int, batch: int) -> list[str]:
+        """What holds the state before ``batch``."""
+        base = max(batch - 1, 0) // self.every * self.every
+        paths = [self._path(stage, "full", base)] if base else []
+        first = base + 1 if base else 0
+        return paths + [self._path(stage, "delta", v)
+                        for v in range(first, batch)]
+
+    def read(self, stage: int, batch: int,
+             keys: DataFrame | None = None) -> DataFrame | None:
+        """State before ``batch``, for the given keys or for all."""
+        paths = self._versions(stage, batch)
+        if not paths:
+            return None
+        rows = self.spark.read.schema(CARRY_SCHEMA).parquet(*paths)
+        if keys is not None:
+            rows = rows.join(keys.select("key").distinct(), "key", "left_semi")
+        return _latest(rows)
+
+    def write(self, stage: int, batch: int, rows: DataFrame) -> None:
+        """Save the state (key, value, ord, n) of the keys of ``batch``."""
+        (rows.withColumn("version", F.lit(batch).cast("bigint"))
+         .write.mode("overwrite").parquet(self._path(stage, "delta", batch)))
+        if batch and batch % self.every == 0:
+            paths = self._versions(stage, batch) + [
+                self._path(stage, "delta", batch)]
+            _latest(self.spark.read.schema(CARRY_SCHEMA).parquet(*paths)).write \
+                .mode("overwrite").parquet(self._path(stage, "full", batch))
+            self._drop_before(stage, batch - self.every)
+
+    def _drop_before(self, stage: int, base: int) -> None:
+        """Remove what neither the next batch nor a repeat of this one reads."""
+        if base <= 0:
+            return
+        for v in range(max(base - self.every, 0), base + 1):
+            drop_path(self.spark, self._path(stage, "delta", v))
+        if base - self.every > 0:
+            drop_path(self.spark, self._path(stage, "full", base - self.every))
+
+
+def carry_snapshot(carry: DataFrame, size: int, slide: int, fn) -> DataFrame:
+    """Current window and aggregate of every key, from the carried records."""
+    held = carry.groupBy("key").agg(
+        F.max("n").alias("n"),
+        F.sort_array(F.collect_list(F.struct("ord", "value"))).alias("last"))
+    length = window_length(F.col("n"), size, slide)
+    window = F.slice("last.value", F.size("last") - length + 1, length)
+    return held.select("key", "n", window.alias("window")).select(
+        "key", "n", "window", fn(F.col("key"), F.col("window")).alias("value"))
