@@ -41,8 +41,11 @@ def window_length(n: Column, size: int, slide: int) -> Column:
         F.lit(size + 1 - slide) + (n - size - 1) % slide).cast("int")
 
 
-def _last(recent: Column, length: Column) -> Column:
-    return F.slice(recent, F.size(recent) - length + 1, length)
+def _back(recent: Column, steps: Column, length: Column) -> Column:
+    """``length`` values, starting ``steps`` before the end. Context rows, whose
+    own windows nobody reads, may not have that many."""
+    start = F.greatest(F.size(recent) - steps + 1, F.lit(1))
+    return F.slice(recent, start, length)
 
 
 def frames(log: DataFrame, size: int, slide: int = 1,
@@ -74,10 +77,10 @@ def frames(log: DataFrame, size: int, slide: int = 1,
         recent = value.over(spec.rowsBetween(-size, 0))
         now = window_length(n, size, slide)
         before = window_length(n - 1, size, slide)
-        window = _last(recent, now)
-        prior = F.slice(recent, F.size(recent) - before, before)
+        window = _back(recent, now, now)
+        prior = _back(recent, before + 1, before)
         evicted = F.when(now == before + 1, _none("value", rows)).otherwise(
-            F.slice(recent, F.size(recent) - before, before + 1 - now))
+            _back(recent, before + 1, before + 1 - now))
 
     fresh = F.col("n0").isNull()
     repeated = F.lag("ord").over(spec) == F.col("ord")
@@ -160,10 +163,10 @@ def window_snapshot(log: DataFrame, size: int, slide: int = 1,
              .groupBy("key")
              .agg(F.sort_array(F.collect_list(F.struct("ord", "value")))
                   .alias("last")))
+    length = window_length(F.col("n"), size, slide)
     framed = counts.join(tails, "key").select(
         "key", "n",
-        _last(F.col("last.value"), window_length(F.col("n"), size, slide))
-        .alias("window"))
+        _back(F.col("last.value"), length, length).alias("window"))
     result = fn(F.col("key"), F.col("window"))
     value = result[1] if isinstance(result, tuple) else result
     return framed.select("key", "n", "window", value.alias("value"))

@@ -1,8 +1,8 @@
 from .log import (log_from_topic, read_committed, read_log, read_partition,
                   stream_log, write_log)
 from .sink import observe_stage, text_sink
-from .text import read_lines, stream_lines, tokenize_lines, tokenize_text
+from .text import lines_prepared, read_lines, stream_lines, tokenize_lines, tokenize_text
 
-__all__ = ["log_from_topic", "observe_stage", "read_committed", "read_lines",
+__all__ = ["lines_prepared", "log_from_topic", "observe_stage", "read_committed", "read_lines",
            "read_log", "read_partition", "stream_lines", "stream_log",
            "text_sink", "tokenize_lines", "tokenize_text", "write_log"]
