@@ -14,9 +14,12 @@ the same result.
 from __future__ import annotations
 
 from collections import defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import (Column, DataFrame, SparkSession, Window,
+                         functions as F, types as T)
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..schema import ORD_TYPE
 from ..storage import settle
@@ -38,13 +41,14 @@ class SpanPlan:
     group: str
     rows: DataFrame
     bounds: DataFrame | None = None   # group, bounds ARRAY<ord>
+    most: int = MAX_SPANS             # cut points of one group, at most
 
     def __bool__(self) -> bool:
         return self.bounds is not None
 
     def on(self, rows: DataFrame) -> "SpanPlan":
         """The same cut points for other rows of the same groups."""
-        return SpanPlan(self.group, rows, self.bounds)
+        return replace(self, rows=rows)
 
 
 def plan_spans(rows: DataFrame, group: str = "key",
@@ -68,23 +72,20 @@ def plan_spans(rows: DataFrame, group: str = "key",
     large = (rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
              .filter(F.col("rows") > limit)
              .withColumn("spans", F.ceil(F.col("rows") / limit)))
-    bounds = _cut_points(rows, group, large, limit)
-    return SpanPlan(group, rows, bounds)
+    cuts = _cut_points(rows, group, large, limit)
+    return SpanPlan(group, rows, *cuts) if cuts else SpanPlan(group, rows)
 
 
 def _cut_points(rows: DataFrame, group: str, large: DataFrame,
-                limit: int) -> DataFrame | None:
+                limit: int) -> tuple[DataFrame, int] | None:
     """Even cut points, from a sample taken by the hash of the position."""
     # At most MAX_SPANS groups are above the limit.
     sizes = large.collect()
     if not sizes:
         return None
-    spark = rows.sparkSession
-    kind = rows.schema[group].dataType
-    wanted = spark.createDataFrame(
-        [(r[group], r["spans"]) for r in sizes],
-        T.StructType([T.StructField(group, kind),
-                      T.StructField("spans", T.LongType())]))
+    kind = rows.select(group).schema
+    wanted = _local(rows.sparkSession, kind.add("spans", T.LongType()),
+                    [[r[group] for r in sizes], [r["spans"] for r in sizes]])
 
     every = max(1, limit // _SAMPLES_PER_SPAN)
     sample = (rows.select(group, "ord")
@@ -105,20 +106,30 @@ def _cut_points(rows: DataFrame, group: str, large: DataFrame,
         found[r[group]].append(list(r["cut"]))
     if not found:
         return None
-    return spark.createDataFrame(
-        [(g, sorted(points)) for g, points in found.items()],
-        T.StructType([T.StructField(group, kind),
-                      T.StructField("bounds", T.ArrayType(ORD_TYPE))]))
+    bounds = _local(
+        rows.sparkSession,
+        rows.select(group).schema.add("bounds", T.ArrayType(ORD_TYPE)),
+        [list(found), [sorted(points) for points in found.values()]])
+    return bounds, max(len(points) for points in found.values())
 
 
-def _span_of(bounds: Column, order: Column) -> Column:
+def _local(spark: SparkSession, schema: T.StructType,
+           columns: list[list]) -> DataFrame:
+    """A small table that is part of the plan, with its size known."""
+    arrow = to_arrow_schema(schema)
+    return spark.createDataFrame(pa.table(
+        [pa.array(c, f.type) for c, f in zip(columns, arrow)],
+        schema=arrow), schema)
+
+
+def _span_of(bounds: Column, order: Column, most: int) -> Column:
     """How many cut points lie at or before a position, by halving steps."""
     steps = F.array(*[F.lit(1 << p)
-                      for p in range(MAX_SPANS.bit_length(), -1, -1)])
-    return F.aggregate(
+                      for p in range(most.bit_length() - 1, -1, -1)])
+    return F.when(bounds.isNotNull(), F.aggregate(
         steps, F.lit(0),
         lambda at, step: F.when(F.get(bounds, at + step - 1) <= order,
-                                at + step).otherwise(at))
+                                at + step).otherwise(at)))
 
 
 def with_span(rows: DataFrame, plan: SpanPlan,
@@ -129,8 +140,8 @@ def with_span(rows: DataFrame, plan: SpanPlan,
         carried = F.col("n0").isNotNull()
     else:
         carried = F.lit(False)
-    span = F.when(F.col("bounds").isNull() | carried, F.lit(0)).otherwise(
-        _span_of(F.col("bounds"), F.col("ord")))
+    span = F.coalesce(F.when(~carried, _span_of(
+        F.col("bounds"), F.col("ord"), plan.most)), F.lit(0))
     return (cut.withColumn("span", span)
             .withColumn("closing", F.col("bounds").isNull()
                         | (F.col("span") == F.size("bounds")))
@@ -157,7 +168,8 @@ def _context(rows: DataFrame, plan: SpanPlan, order: list[str],
     sizes = large.groupBy(group, "span").agg(
         F.count(F.when(F.col("n0").isNull(), True)).alias("fresh"),
         F.max("n0").alias("seen"))
-    upto = Window.partitionBy(group).orderBy("span")
+    upto = Window.partitionBy(group).orderBy("span").rowsBetween(
+        Window.unboundedPreceding, 0)
     sizes = sizes.select(
         group, "span",
         (F.coalesce(F.max("seen").over(Window.partitionBy(group)), F.lit(0))

@@ -13,6 +13,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC"))
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)

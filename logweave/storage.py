@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: A task that multiplied its rows leaves several files, which are then read
+#: by as many tasks.
+ROWS_PER_FILE = 500_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
@@ -36,7 +40,7 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
