@@ -5,7 +5,7 @@ from logweave.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, 8, "4g")
+    session = local_session(4, 4, "4g")
     yield session
     session.stop()
 
