@@ -30,11 +30,12 @@ def assign_offset(log: DataFrame, spans: SpanPlan | None = None,
                   start: DataFrame | None = None) -> DataFrame:
     """Add ``offset``: dense and increasing along ``ord`` in each partition.
 
-    ``spans`` is planned over the group ``partition``. ``start`` gives the next
+    ``spans`` is planned over the group ``partition``; its ``rows`` are then the
+    log. ``start`` gives the next
     free offset per partition (``partition``, ``next_offset``) of a log being
     appended to, one row per partition.
     """
-    columns = log.columns
+    columns = [c for c in log.columns if c != "span"]
     rows, _ = numbered(log, "partition", spans, ["ord", "key"], reach=1)
     offset = F.col("n") - 1
     rows = rows.filter(F.col("n0").isNull())

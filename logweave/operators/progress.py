@@ -7,8 +7,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.aggregates import concat
-from .spans import SpanPlan, spread, with_span
-from .window import window_aggregate
+from .spans import SpanPlan, in_all_spans
+from .window import apply_aggregate, fresh_frames
 
 
 def committed_offsets(processed: DataFrame) -> DataFrame:
@@ -37,10 +37,10 @@ def catch_up(log: DataFrame, emitted: DataFrame, size: int = 3, slide: int = 1,
     ``emitted`` has ``key`` and ``ord``, any number of rows per key.
     """
     last = emitted.groupBy("key").agg(F.max("ord").alias("emitted_ord"))
-    rows = window_aggregate(log, size, slide, fn, spans)
+    rows = apply_aggregate(fresh_frames(log, size, slide, spans), fn)
     on = ["key"]
     if spans:                         # keep the split of large keys
-        rows, last, on = with_span(rows, spans), spread(last, spans), ["key", "span"]
+        last, on = in_all_spans(last, spans), ["key", "span"]
     return (rows.join(last, on, "left")
             .filter(F.col("emitted_ord").isNull()
                     | (F.col("ord") > F.col("emitted_ord")))

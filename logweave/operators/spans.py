@@ -1,116 +1,132 @@
 """Splitting large groups into ordered spans.
 
 A window over ``partitionBy(key)`` puts a whole key into one task. Where one
-key may hold a third of all rows that task never ends, so groups above a row
-limit are cut at chosen ``ord`` values into *spans*. A span is processed on its
-own; what it needs from the rows before it is small and known: how many there
-are, and the last ``reach`` of them. These context rows are copied into the
-span, so the ordinary window frames then give the exact result.
-
-The cut points only decide how evenly the work is spread. Any cut points give
-the same result.
+key may hold a third of all rows that task never ends, so the rows of groups
+above a limit are range-partitioned by ``ord``, and each range is a *span* that
+is processed on its own. What a span needs from the rows before it is small and
+known: how many there are, and the last ``reach`` of them. These context rows
+are copied into the span, so the ordinary window frames then give the exact
+result.
+
+Where the ranges are cut only decides how evenly the work is spread. Any cut
+gives the same result.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from dataclasses import dataclass, replace
+import re
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import (Column, DataFrame, SparkSession, Window,
                          functions as F, types as T)
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..schema import ORD_TYPE
 from ..storage import settle
 
 #: Rows of one group that one task may take on.
 ROWS_PER_SPAN = 1_000_000
 
-#: Most spans a plan may have over all groups. The cut points are broadcast,
-#: so on huge inputs the spans grow instead of the broadcast.
+#: Bound on the spans of all large groups, about; on huge inputs spans grow
+#: instead. One short row per span is kept in the plan and broadcast.
 MAX_SPANS = 20_000
 
-_SAMPLES_PER_SPAN = 50
+#: Up to this many large groups are told apart by an IN list, which Spark
+#: moves down to the scan; more by a broadcast join.
+_IN_LIST = 100
+
+#: The span of a group that is not split.
+WHOLE = -1
 
 
 @dataclass(frozen=True)
 class SpanPlan:
-    """Cut points per large group, and the rows they were chosen for."""
+    """The rows to work on and, if any group is split, its spans.
+
+    ``rows`` then has a column ``span``, and ``edges`` one row per span: the
+    group, ``span``, the rows of the group ``upto`` its end, and the ``first``
+    and ``last`` span of the group.
+    """
 
     group: str
     rows: DataFrame
-    bounds: DataFrame | None = None   # group, bounds ARRAY<ord>
-    most: int = MAX_SPANS             # cut points of one group, at most
+    edges: DataFrame | None = None
 
     def __bool__(self) -> bool:
-        return self.bounds is not None
-
-    def on(self, rows: DataFrame) -> "SpanPlan":
-        """The same cut points for other rows of the same groups."""
-        return replace(self, rows=rows)
+        return self.edges is not None
 
 
 def plan_spans(rows: DataFrame, group: str = "key",
                rows_per_span: int | None = None) -> SpanPlan:
-    """Count the rows per group and choose cut points for the large ones.
+    """Count the rows per group and split the large groups.
 
     The count reads the group column only and is combined before its shuffle.
     When no group is large, which is the usual case, nothing else happens.
-    Otherwise the rows are written to the shared folder first, because several
-    passes follow and must agree.
+    Otherwise the rows of the large groups are written to the shared folder in
+    ranges; those of all other groups stay where they are.
     """
     limit = rows_per_span or ROWS_PER_SPAN
-    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
-    size = counts.agg(F.sum("rows").alias("all"),
-                      F.max("rows").alias("top")).first()
+    size = _sizes(rows, group).agg(F.sum("rows").alias("all"),
+                                   F.max("rows").alias("top")).first()
     if size["top"] is None or size["top"] <= limit:
         return SpanPlan(group, rows)
     limit = max(limit, -(-size["all"] // MAX_SPANS))
+    if size["top"] <= limit:
+        return SpanPlan(group, rows)
 
-    rows = settle(rows, "spans")
-    large = (rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
-             .filter(F.col("rows") > limit)
-             .withColumn("spans", F.ceil(F.col("rows") / limit)))
-    cuts = _cut_points(rows, group, large, limit)
-    return SpanPlan(group, rows, *cuts) if cuts else SpanPlan(group, rows)
-
-
-def _cut_points(rows: DataFrame, group: str, large: DataFrame,
-                limit: int) -> tuple[DataFrame, int] | None:
-    """Even cut points, from a sample taken by the hash of the position."""
-    # At most MAX_SPANS groups are above the limit.
-    sizes = large.collect()
-    if not sizes:
-        return None
-    kind = rows.select(group).schema
-    wanted = _local(rows.sparkSession, kind.add("spans", T.LongType()),
-                    [[r[group] for r in sizes], [r["spans"] for r in sizes]])
-
-    every = max(1, limit // _SAMPLES_PER_SPAN)
-    sample = (rows.select(group, "ord")
-              .join(F.broadcast(wanted), group)
-              .filter(F.pmod(F.xxhash64("ord"), F.lit(every)) == 0))
-    place = Window.partitionBy(group).orderBy("ord")
-    everywhere = Window.partitionBy(group)
-    cuts = (
-        sample
-        .withColumn("at", F.row_number().over(place) - 1)
-        .withColumn("of", F.count(F.lit(1)).over(everywhere))
-        .withColumn("part", F.floor(F.col("at") * F.col("spans") / F.col("of")))
-        .filter("part > 0")
-        .groupBy(group, "part").agg(F.min("ord").alias("cut"))
-        .collect())                   # at most MAX_SPANS in all
-    found = defaultdict(list)
-    for r in cuts:
-        found[r[group]].append(list(r["cut"]))
-    if not found:
-        return None
-    bounds = _local(
-        rows.sparkSession,
-        rows.select(group).schema.add("bounds", T.ArrayType(ORD_TYPE)),
-        [list(found), [sorted(points) for points in found.values()]])
-    return bounds, max(len(points) for points in found.values())
+    if _costly(rows):                 # several passes follow
+        rows = settle(rows, "rows")
+    # Fewer than MAX_SPANS groups can be above the limit.
+    large = _sizes(rows, group).filter(F.col("rows") > limit).collect()
+    inside, outside = _told_apart(rows, group, [r[group] for r in large])
+
+    ranges = -(-sum(r["rows"] for r in large) // limit)
+    split = settle(
+        inside.repartitionByRange(ranges, group, "ord")
+        .withColumn("span", F.spark_partition_id()), "spans")
+    return SpanPlan(
+        group,
+        outside.withColumn("span", F.lit(WHOLE)).unionByName(split),
+        edges_of(split, group))
+
+
+def edges_of(split: DataFrame, group: str) -> DataFrame:
+    """Count the rows of each span of the large groups."""
+    along = Window.partitionBy(group).orderBy("span")
+    whole = Window.partitionBy(group)
+    edges = (
+        split.groupBy(group, "span").agg(F.count(F.lit(1)).alias("rows"))
+        .select(group, "span",
+                F.sum("rows").over(along.rowsBetween(
+                    Window.unboundedPreceding, 0)).alias("upto"),
+                F.min("span").over(whole).alias("first"),
+                F.max("span").over(whole).alias("last")))
+    found = edges.collect()           # one row per span, see MAX_SPANS
+    return _local(split.sparkSession, edges.schema,
+                  [[r[c] for r in found] for c in edges.columns])
+
+
+def _sizes(rows: DataFrame, group: str) -> DataFrame:
+    return rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _costly(rows: DataFrame) -> bool:
+    """Is there more than a scan, filters and projections to repeat?"""
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    return re.search(r"\b(Generate|Window|Aggregate|Join|\w+EvalPython)\b",
+                     plan) is not None
+
+
+def _told_apart(rows: DataFrame, group: str,
+                large: list) -> tuple[DataFrame, DataFrame]:
+    """Rows of the large groups, and all others."""
+    if len(large) <= _IN_LIST:
+        chosen = F.col(group).isin(large)
+        return rows.filter(chosen), rows.filter(~chosen)
+    names = F.broadcast(_local(rows.sparkSession, rows.select(group).schema,
+                               [large]))
+    return (rows.join(names, group, "left_semi"),
+            rows.join(names, group, "left_anti"))
 
 
 def _local(spark: SparkSession, schema: T.StructType,
@@ -122,80 +138,62 @@ def _local(spark: SparkSession, schema: T.StructType,
         schema=arrow), schema)
 
 
-def _span_of(bounds: Column, order: Column, most: int) -> Column:
-    """How many cut points lie at or before a position, by halving steps."""
-    steps = F.array(*[F.lit(1 << p)
-                      for p in range(most.bit_length() - 1, -1, -1)])
-    return F.when(bounds.isNotNull(), F.aggregate(
-        steps, F.lit(0),
-        lambda at, step: F.when(F.get(bounds, at + step - 1) <= order,
-                                at + step).otherwise(at)))
+def in_first_span(rows: DataFrame, plan: SpanPlan) -> DataFrame:
+    """Add ``span`` to rows that precede all others of their group."""
+    first = plan.edges.filter("span = first").select(plan.group, "span")
+    return rows.join(F.broadcast(first), plan.group, "left").withColumn(
+        "span", F.coalesce("span", F.lit(WHOLE)))
 
 
-def with_span(rows: DataFrame, plan: SpanPlan,
-              how: str = "left") -> DataFrame:
-    """Add ``span`` and ``closing`` (is this the last span of the group)."""
-    cut = rows.join(F.broadcast(plan.bounds), plan.group, how)
-    if "n0" in rows.columns:          # carried rows open the first span
-        carried = F.col("n0").isNotNull()
-    else:
-        carried = F.lit(False)
-    span = F.coalesce(F.when(~carried, _span_of(
-        F.col("bounds"), F.col("ord"), plan.most)), F.lit(0))
-    return (cut.withColumn("span", span)
-            .withColumn("closing", F.col("bounds").isNull()
-                        | (F.col("span") == F.size("bounds")))
-            .select(*rows.columns, "span", "closing"))
-
-
-def spread(per_group: DataFrame, plan: SpanPlan) -> DataFrame:
+def in_all_spans(per_group: DataFrame, plan: SpanPlan) -> DataFrame:
     """Repeat one row per group for every span of its group, so that it joins
     to spanned rows on (group, span)."""
-    spans = F.sequence(F.lit(0), F.size("bounds"))
-    return (per_group.join(F.broadcast(plan.bounds), plan.group, "left")
-            .withColumn("span", F.explode(
-                F.when(F.col("bounds").isNull(), F.array(F.lit(0)))
-                .otherwise(spans)))
-            .select(*per_group.columns, "span"))
+    spans = plan.edges.select(plan.group, "span")
+    return per_group.join(F.broadcast(spans), plan.group, "left").withColumn(
+        "span", F.coalesce("span", F.lit(WHOLE)))
+
+
+def closing(rows: DataFrame, plan: SpanPlan | None) -> DataFrame:
+    """Add ``closing``: is this row in the last span of its group?"""
+    if not plan:
+        return rows.withColumn("closing", F.lit(True))
+    last = plan.edges.filter("span = last").select(plan.group, "last")
+    return rows.join(F.broadcast(last), plan.group, "left").withColumn(
+        "closing", F.coalesce(F.col("span") == F.col("last"), F.lit(True))
+    ).drop("last")
 
 
-def _context(rows: DataFrame, plan: SpanPlan, order: list[str],
-             reach: int) -> DataFrame:
+def _context(rows: DataFrame, plan: SpanPlan, order: list[str], reach: int,
+             carried: bool) -> DataFrame:
     """The last ``reach`` rows before each span, with their number ``n0``."""
     group = plan.group
-    large = with_span(rows, plan, "inner")
-
-    sizes = large.groupBy(group, "span").agg(
-        F.count(F.when(F.col("n0").isNull(), True)).alias("fresh"),
-        F.max("n0").alias("seen"))
-    upto = Window.partitionBy(group).orderBy("span").rowsBetween(
-        Window.unboundedPreceding, 0)
-    sizes = sizes.select(
-        group, "span",
-        (F.coalesce(F.max("seen").over(Window.partitionBy(group)), F.lit(0))
-         + F.sum("fresh").over(upto)).alias("upto"))
+    split = rows.filter(F.col("span") != WHOLE)
 
     # Spark prunes to ``reach`` rows per span before it shuffles these.
     back = Window.partitionBy(group, "span").orderBy(
         *[F.col(c).desc() for c in order])
-    tails = (large.withColumn("back", F.row_number().over(back))
+    tails = (split.withColumn("back", F.row_number().over(back))
              .filter(F.col("back") <= reach)
-             .join(sizes, [group, "span"])
-             .withColumn("n0", F.coalesce(
-                 F.col("n0"), F.col("upto") - F.col("back") + 1)))
+             .join(F.broadcast(plan.edges.select(group, "span", "upto")),
+                   [group, "span"], "left"))
+    n: Column = F.col("upto") - F.col("back") + 1
+    if carried:
+        seen = split.filter("n0 is not null").groupBy(group).agg(
+            F.max("n0").alias("seen"))
+        tails = tails.join(seen, group, "left")
+        n = F.coalesce("n0", n + F.coalesce("seen", F.lit(0)))
+    tails = tails.withColumn("n0", n)
 
     along = Window.partitionBy(group).orderBy("n0")
-    others = [c for c in rows.columns if c != group]
+    others = [c for c in rows.columns if c not in (group, "span")]
     return (
         tails
         .withColumn("before", F.collect_list(F.struct(*others)).over(
             along.rowsBetween(-reach, -1)))
         .withColumn("opens", F.lag("span").over(along) != F.col("span"))
         .filter("opens")
-        .select(group, "span", "closing", F.explode("before").alias("b"))
-        .select(group, *[F.col(f"b.{c}").alias(c) for c in others],
-                "span", "closing")
-        .select(*rows.columns, "span", "closing"))
+        .select(group, "span", F.explode("before").alias("b"))
+        .select(group, "span", *[F.col(f"b.{c}").alias(c) for c in others]))
 
 
 def numbered(rows: DataFrame, group: str, plan: SpanPlan | None = None,
@@ -209,18 +207,16 @@ def numbered(rows: DataFrame, group: str, plan: SpanPlan | None = None,
     back. Fresh rows are those with a null ``n0``.
     """
     order = order or ["ord"]
-    context = bool(plan) or "n0" in rows.columns
-    if "n0" not in rows.columns:
+    carried = "n0" in rows.columns
+    if not carried:
         rows = rows.withColumn("n0", F.lit(None).cast("bigint"))
     if plan:
-        rows = with_span(rows, plan).unionByName(
-            _context(rows, plan, order, reach))
+        rows = rows.unionByName(_context(rows, plan, order, reach, carried))
         spec = Window.partitionBy(group, "span").orderBy(*order)
     else:
-        rows = rows.withColumn("closing", F.lit(True))
         spec = Window.partitionBy(group).orderBy(*order)
     n = F.row_number().over(spec).cast("bigint")
-    if context:                       # continue from the first row's number
+    if plan or carried:               # continue from the first row's number
         n = n - 1 + F.first(F.coalesce("n0", F.lit(1).cast("bigint"))).over(
             spec.rowsBetween(Window.unboundedPreceding, 0))
     return rows.withColumn("n", n), spec

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.aggregates import concat
 from ..schema import require_log
-from .spans import SpanPlan, numbered
+from .spans import SpanPlan, closing, in_first_span, numbered
 
 #: Above this many rows per group Spark does not prune a row_number filter
 #: before its shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
@@ -50,21 +50,28 @@ def _back(recent: Column, steps: Column, length: Column) -> Column:
 
 def frames(log: DataFrame, size: int, slide: int = 1,
            spans: SpanPlan | None = None,
-           carry: DataFrame | None = None) -> DataFrame:
+           carry: DataFrame | None = None,
+           trailing: bool = False) -> DataFrame:
     """Window columns for the log and its context rows.
 
+    ``spans`` comes from ``plan_spans``, whose ``rows`` are then the log.
     ``carry`` holds earlier records (key, value, ord, n) of the same keys, the
     last ``size`` of each. Adds ``n``, ``window``, ``evicted``, ``prior``,
-    ``fresh`` (false on context rows) and ``trailing`` (among the last ``size``
-    records of the key). Columns nobody reads are pruned by Spark.
+    ``fresh`` (false on context rows), ``span`` if keys are split, and on demand
+    ``trailing`` (among the last ``size`` records of the key). Columns nobody
+    reads are pruned by Spark.
     """
     check_window(size, slide)
-    rows = require_log(log).select(
-        "key", "value", "ord", F.lit(None).cast("bigint").alias("n0"))
+    split = ["span"] if spans else []
+    rows = require_log(log).select("key", "value", "ord", *split)
     if carry is not None:
-        rows = rows.unionByName(carry.select(
-            "key", "value", "ord", F.col("n").alias("n0")))
+        earlier = carry.select("key", "value", "ord", F.col("n").alias("n0"))
+        if spans:
+            earlier = in_first_span(earlier, spans)
+        rows = rows.unionByName(earlier, allowMissingColumns=True)
     rows, spec = numbered(rows, "key", spans, reach=size)
+    if trailing:
+        rows = closing(rows, spans)
 
     n = F.col("n")
     value = F.collect_list("value")
@@ -88,15 +95,22 @@ def frames(log: DataFrame, size: int, slide: int = 1,
     if carry is not None:             # a late record sorts before its context
         faulty = faulty | F.coalesce(fresh & ~F.lead(fresh).over(spec),
                                      F.lit(False))
-    return rows.select(
-        "key", "value", "ord",
-        F.when(faulty, F.raise_error(F.concat(
+
+    def checked(column: Column, kind: str) -> Column:
+        # In the columns rather than a filter: a reader of keys alone, such as
+        # a count per key, then needs no window at all.
+        return F.when(faulty, F.raise_error(F.concat(
             F.lit("record out of order, or position used twice, for key "),
-            F.col("key"))).cast("bigint")).otherwise(n).alias("n"),
-        window.alias("window"), evicted.alias("evicted"),
-        prior.alias("prior"), fresh.alias("fresh"),
-        (F.col("closing") & F.lead("ord", size).over(spec).isNull()
-         ).alias("trailing"))
+            F.col("key"))).cast(kind)).otherwise(column)
+
+    values = f"array<{rows.schema['value'].dataType.simpleString()}>"
+    out = [checked(n, "bigint").alias("n"),
+           checked(window, values).alias("window"), evicted.alias("evicted"),
+           prior.alias("prior"), fresh.alias("fresh")]
+    if trailing:
+        out.append((F.col("closing") & F.lead("ord", size).over(spec).isNull())
+                   .alias("trailing"))
+    return rows.select("key", "value", "ord", *split, *out)
 
 
 def _none(column: str, rows: DataFrame) -> Column:
@@ -108,9 +122,17 @@ def count_window(log: DataFrame, size: int, slide: int = 1,
                  carry: DataFrame | None = None) -> DataFrame:
     """One row per record: its number ``n`` within the key, the ``window``
     after it, the values it ``evicted`` and the ``prior`` window."""
+    return fresh_frames(log, size, slide, spans, carry).drop("span")
+
+
+def fresh_frames(log: DataFrame, size: int, slide: int = 1,
+                 spans: SpanPlan | None = None,
+                 carry: DataFrame | None = None) -> DataFrame:
+    """Window columns without the context rows; ``span`` if keys are split."""
     out = frames(log, size, slide, spans, carry)
-    return out.filter("fresh and n is not null").select(
-        "key", "value", "ord", "n", "window", "evicted", "prior")
+    if spans or carry is not None:
+        out = out.filter("fresh")
+    return out.drop("fresh")
 
 
 def window_aggregate(log: DataFrame, size: int = 3, slide: int = 1,
@@ -127,7 +149,8 @@ def window_aggregate(log: DataFrame, size: int = 3, slide: int = 1,
 def apply_aggregate(framed: DataFrame, fn: Callable) -> DataFrame:
     result = fn(F.col("key"), F.col("window"))
     key, value = result if isinstance(result, tuple) else (F.col("key"), result)
-    return framed.select(key.alias("key"), value.alias("value"), "ord")
+    split = ["span"] if "span" in framed.columns else []
+    return framed.select(key.alias("key"), value.alias("value"), "ord", *split)
 
 
 def evicted_values(log: DataFrame, size: int, slide: int = 1,

@@ -5,13 +5,19 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.aggregates import concat
 from ..functions.strings import characters, odd_hash
 from ..operators import stateless
 from ..operators.spans import SpanPlan
-from ..operators.window import check_window, window_aggregate
+from ..operators.window import apply_aggregate, check_window, window_aggregate
+
+
+def _strings(log: DataFrame) -> DataFrame:
+    """Between stages a record is a string key and a string value."""
+    return log.select(F.col("key").cast("string"),
+                      F.col("value").cast("string"), "ord")
 
 
 @dataclass(frozen=True)
@@ -28,7 +34,7 @@ class Stage:
     workers: int | None = None
 
     def apply(self, log: DataFrame) -> DataFrame:
-        return self.step(log)
+        return _strings(self.step(log))
 
 
 @dataclass(frozen=True)
@@ -44,7 +50,12 @@ class WindowStage:
         check_window(self.size, self.slide)
 
     def apply(self, log: DataFrame, spans: SpanPlan | None = None) -> DataFrame:
-        return window_aggregate(log, self.size, self.slide, self.fn, spans)
+        return _strings(window_aggregate(log, self.size, self.slide, self.fn,
+                                         spans))
+
+    def emit(self, framed: DataFrame) -> DataFrame:
+        """The stage's output from window columns already computed."""
+        return _strings(apply_aggregate(framed, self.fn))
 
 
 def _map(fn: Callable | None = None, workers: int | None = None) -> Stage:

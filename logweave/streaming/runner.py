@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.spans import plan_spans
-from ..operators.window import apply_aggregate, frames
+from ..operators.window import frames
 from ..plans.pipeline import Pipeline
 from ..plans.stages import WindowStage
 from ..schema import require_log
@@ -61,13 +61,13 @@ def run_stream(pipeline: Pipeline, source: DataFrame, out: str,
                     log = spans.rows
                     framed = frames(
                         log, stage.size, stage.slide, spans,
-                        store.read(at, number, log)).select(
+                        store.read(at, number, log), True).select(
                         "key", "value", "ord", "n", "window", "fresh",
                         "trailing").persist(StorageLevel.MEMORY_AND_DISK)
                     held.append(framed)
                     store.write(at, number, framed.filter("trailing").select(
                         "key", "value", "ord", "n"))
-                    log = apply_aggregate(framed.filter("fresh"), stage.fn)
+                    log = stage.emit(framed.filter("fresh"))
                 else:
                     log = stage.apply(log)
                 if hops and at in hops:

@@ -114,3 +114,21 @@ def test_unread_window_columns_are_not_computed(log_of):
     plan = plan_of(count_window(log_of(golden.INPUT), 3, 1).select(
         "key", "n"))
     assert "collect_list" not in plan
+
+
+def test_counting_the_keys_of_a_window_needs_no_window(log_of):
+    out = Pipeline.of("windowaggregate", ("rekey", {
+        "fn": lambda k, v: F.substring(k, 1, 1)})).run(
+        log_of(golden.INPUT), split_large_keys=False)
+    plan = plan_of(out.groupBy("key").count())
+    assert "Window" not in plan and plan.count("Exchange") == 1
+
+
+def test_values_between_stages_are_strings(log_of):
+    from logweave.functions import count, total
+    pipe = Pipeline.of(("windowaggregate", {"fn": count}),
+                       ("windowaggregate", {"fn": total, "size": 2}),
+                       "windowaggregate")
+    out = pipe.run(log_of([("a", "x", 1), ("a", "y", 2), ("a", "z", 3)]))
+    assert dict(out.dtypes)["value"] == "string"
+    assert values(out) == ["1.0", "1.03.0", "1.03.05.0"]

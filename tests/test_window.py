@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from logweave.functions import AGGREGATES
 from logweave.operators import (count_window, plan_spans, window_aggregate,
                                 window_snapshot)
+from logweave.operators.spans import WHOLE, SpanPlan, edges_of
 from logweave.operators.window import window_length
 from logweave.plans import Pipeline
 
@@ -62,17 +63,35 @@ def test_split_keys_against_replay(log_of, size, slide, rows_per_span):
         replay(rows, size, slide)
 
 
-def test_any_cut_points_give_the_same_result(spark, log_of):
-    from dataclasses import replace
-
+@pytest.mark.parametrize("size,slide", [(3, 1), (5, 3), (30, 7)])
+def test_any_cut_gives_the_same_result(log_of, size, slide):
     rows = skewed(3)
-    spans = plan_spans(log_of(rows), "key", 50)
-    schema = spans.bounds.schema
-    cuts = [[-5], [3], [3, 10], [3, 11], [40], [900], [901, 5], [10 ** 6]]
-    odd = spark.createDataFrame([("hot", cuts), ("k1", [[0]]), ("no", [[1]])],
-                                schema)
-    got = count_window(spans.rows, 5, 3, replace(spans, bounds=odd))
-    assert collected(got) == replay(rows, 5, 3)
+    positions = sorted(o for k, _, o in rows if k == "hot")
+    cuts = random.Random(size).sample(positions, 40) + positions[:3]
+    span = sum((F.col("ord") >= F.array(*[F.lit(p).cast("bigint") for p in cut]))
+               .cast("int") for cut in cuts)
+    split = log_of(rows).withColumn("span", F.when(
+        F.col("key") == "hot", span * 3).otherwise(WHOLE))
+    spans = SpanPlan("key", split, edges_of(split.filter("span >= 0"), "key"))
+    assert collected(count_window(split, size, slide, spans)) == \
+        replay(rows, size, slide)
+
+
+def test_many_large_keys(log_of, monkeypatch):
+    """More large keys than an IN list takes."""
+    monkeypatch.setattr("logweave.operators.spans._IN_LIST", 2)
+    rows = skewed(8)
+    spans = plan_spans(log_of(rows), "key", 12)
+    assert spans.edges.select("key").distinct().count() > 2
+    assert collected(count_window(spans.rows, 4, 3, spans)) == replay(rows, 4, 3)
+
+
+def test_spans_grow_rather_than_their_number(log_of, monkeypatch):
+    monkeypatch.setattr("logweave.operators.spans.MAX_SPANS", 4)
+    rows = skewed(8)
+    spans = plan_spans(log_of(rows), "key", 10)
+    assert spans and spans.edges.count() <= 8
+    assert collected(count_window(spans.rows, 3, 2, spans)) == replay(rows, 3, 2)
 
 
 def test_small_keys_are_not_split(log_of):
