@@ -16,7 +16,8 @@ from ..schema import keyed_log
 from ..sources import (read_lines, read_log, read_partition, text_sink,
                        tokenize_lines, tokenize_text, write_log)
 from ..storage import scratch_path
-from .tables import at, conversations, events, flat, orders, table, words
+from .tables import (at, conversations, events, flat, orders, share_of, table,
+                     words)
 
 PARTITIONS = 8
 BATCH = {}
@@ -243,7 +244,7 @@ def window_conversations(spark, sf):
 def window_large_keys(spark, sf):
     """Five keys hold everything, so each is split into spans."""
     log = events(spark, sf, key="event_type", value="user_id")
-    return flat(_windowed(log, 4, 3, rows_per_span=500), "seq")
+    return flat(_windowed(log, 4, 3, rows_per_span=share_of(log, 20)), "seq")
 
 
 def _measure(name, size, slide):
@@ -256,6 +257,7 @@ def _measure(name, size, slide):
 
 
 BATCH["window_sum"] = _measure("sum", 5, 3)
+BATCH["window_sum_sliding"] = _measure("sum", 6, 1)
 BATCH["window_max"] = _measure("max", 5, 1)
 BATCH["window_min"] = _measure("min", 4, 2)
 

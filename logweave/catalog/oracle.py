@@ -204,6 +204,8 @@ ORACLE = {
         "FROM conversations", 2, 1),
     "window_large_keys": _window(BY_TYPE, 4, 3),
     "window_sum": _window(_VALUES, 5, 3, value="round(list_sum(win), 4)"),
+    "window_sum_sliding": _window(_VALUES, 6, 1,
+                                  value="round(list_sum(win), 4)"),
     "window_max": _window(_VALUES, 5, 1, value="round(list_max(win), 4)"),
     "window_min": _window(_VALUES, 4, 2, value="round(list_min(win), 4)"),
     "window_count": _window(EVENTS, 4, 3, value="len(win)"),

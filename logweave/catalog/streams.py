@@ -13,7 +13,7 @@ from ..sources import lines_prepared, read_committed, stream_lines, stream_log,
     tokenize_lines
 from ..storage import scratch_path
 from ..streaming import CarryStore, carry_snapshot, run_stream
-from .tables import at, events, flat, table
+from .tables import at, events, flat, share_of, table
 
 STREAMS = {}
 
@@ -74,9 +74,10 @@ def stream_two_windows(spark, sf):
 @query
 def stream_large_keys(spark, sf):
     """Few keys, split within each micro-batch."""
-    out, _ = _played(spark, events(spark, sf, key="event_type", value="user_id"),
+    log = events(spark, sf, key="event_type", value="user_id")
+    out, _ = _played(spark, log,
                      Pipeline.of(("windowaggregate", {"size": 4, "slide": 3})),
-                     2, rows_per_span=300)
+                     2, rows_per_span=share_of(log, 30))
     return flat(read_committed(spark, out), "seq")
 
 

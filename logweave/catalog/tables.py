@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import assign_key
+from ..operators.spans import ROWS_PER_SPAN
 from ..schema import keyed_log
 from ..sources import tokenize_text
 
@@ -35,6 +36,11 @@ def words(spark: SparkSession, sf: str) -> DataFrame:
                       + F.get("ord", F.lit(2))).select("key", "value", "ord")
 
 
+def share_of(log: DataFrame, parts: int) -> int:
+    """Rows per span such that even small tables are split."""
+    return min(log.count() // parts + 1, ROWS_PER_SPAN)
+
+
 def at(position: int, name: str) -> Column:
     return F.get("ord", F.lit(position)).alias(name)
 

@@ -1,7 +1,9 @@
 """Window aggregates: ``(key, window array) -> Column``.
 
 Any callable of this shape works; these are the stock ones. ``concat`` is the
-default aggregate of a window stage.
+default aggregate of a window stage. A function may have an attribute
+``sliding``, the same aggregate as ``value -> Column``: with slide 1 it then runs
+over the frame itself and no array is built.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ def concat(key: Column, window: Column) -> Column:
 
 
 def count(key: Column, window: Column) -> Column:
-    return F.size(window)
+    return F.size(window).cast("bigint")
 
 
 def total(key: Column, window: Column) -> Column:
@@ -30,5 +32,10 @@ def minimum(key: Column, window: Column) -> Column:
     return F.array_min(F.transform(window, lambda v: v.cast("double")))
 
 
+count.sliding = F.count
+total.sliding = lambda v: F.sum(v.cast("double"))
+maximum.sliding = lambda v: F.max(v.cast("double"))
+minimum.sliding = lambda v: F.min(v.cast("double"))
+
 AGGREGATES = {"concat": concat, "count": count, "sum": total,
               "max": maximum, "min": minimum}

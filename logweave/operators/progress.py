@@ -37,7 +37,7 @@ def catch_up(log: DataFrame, emitted: DataFrame, size: int = 3, slide: int = 1,
     ``emitted`` has ``key`` and ``ord``, any number of rows per key.
     """
     last = emitted.groupBy("key").agg(F.max("ord").alias("emitted_ord"))
-    rows = apply_aggregate(fresh_frames(log, size, slide, spans), fn)
+    rows = apply_aggregate(fresh_frames(log, size, slide, spans, fn=fn), fn)
     on = ["key"]
     if spans:                         # keep the split of large keys
         last, on = in_all_spans(last, spans), ["key", "span"]

@@ -74,7 +74,7 @@ def plan_spans(rows: DataFrame, group: str = "key",
     if size["top"] <= limit:
         return SpanPlan(group, rows)
 
-    if _costly(rows):                 # several passes follow
+    if costly(rows):                 # several passes follow
         rows = settle(rows, "rows")
     # Fewer than MAX_SPANS groups can be above the limit.
     large = _sizes(rows, group).filter(F.col("rows") > limit).collect()
@@ -110,9 +110,11 @@ def _sizes(rows: DataFrame, group: str) -> DataFrame:
     return rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _costly(rows: DataFrame) -> bool:
-    """Is there more than a scan, filters and projections to repeat?"""
+def costly(rows: DataFrame) -> bool:
+    """Is there more than a scan, filters and projections to repeat? What lies
+    below a cached table is not repeated."""
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    plan = plan.split("InMemoryRelation")[0]
     return re.search(r"\b(Generate|Window|Aggregate|Join|\w+EvalPython)\b",
                      plan) is not None
 

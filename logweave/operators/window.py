@@ -51,15 +51,17 @@ def _back(recent: Column, steps: Column, length: Column) -> Column:
 def frames(log: DataFrame, size: int, slide: int = 1,
            spans: SpanPlan | None = None,
            carry: DataFrame | None = None,
-           trailing: bool = False) -> DataFrame:
+           trailing: bool = False,
+           fn: Callable | None = None) -> DataFrame:
     """Window columns for the log and its context rows.
 
     ``spans`` comes from ``plan_spans``, whose ``rows`` are then the log.
     ``carry`` holds earlier records (key, value, ord, n) of the same keys, the
     last ``size`` of each. Adds ``n``, ``window``, ``evicted``, ``prior``,
     ``fresh`` (false on context rows), ``span`` if keys are split, and on demand
-    ``trailing`` (among the last ``size`` records of the key). Columns nobody
-    reads are pruned by Spark.
+    ``trailing`` (among the last ``size`` records of the key). Where ``fn`` can run
+    over the frame itself, its result is ``direct``. Columns nobody reads are
+    pruned by Spark.
     """
     check_window(size, slide)
     split = ["span"] if spans else []
@@ -96,17 +98,18 @@ def frames(log: DataFrame, size: int, slide: int = 1,
         faulty = faulty | F.coalesce(fresh & ~F.lead(fresh).over(spec),
                                      F.lit(False))
 
-    def checked(column: Column, kind: str) -> Column:
+    def checked(column: Column) -> Column:
         # In the columns rather than a filter: a reader of keys alone, such as
         # a count per key, then needs no window at all.
         return F.when(faulty, F.raise_error(F.concat(
             F.lit("record out of order, or position used twice, for key "),
-            F.col("key"))).cast(kind)).otherwise(column)
+            F.col("key")))).otherwise(column)
 
-    values = f"array<{rows.schema['value'].dataType.simpleString()}>"
-    out = [checked(n, "bigint").alias("n"),
-           checked(window, values).alias("window"), evicted.alias("evicted"),
-           prior.alias("prior"), fresh.alias("fresh")]
+    out = [checked(n).alias("n"), checked(window).alias("window"),
+           evicted.alias("evicted"), prior.alias("prior"), fresh.alias("fresh")]
+    if slide == 1 and hasattr(fn, "sliding"):
+        out.append(checked(fn.sliding(F.col("value")).over(
+            spec.rowsBetween(-(size - 1), 0))).alias("direct"))
     if trailing:
         out.append((F.col("closing") & F.lead("ord", size).over(spec).isNull())
                    .alias("trailing"))
@@ -127,9 +130,10 @@ def count_window(log: DataFrame, size: int, slide: int = 1,
 
 def fresh_frames(log: DataFrame, size: int, slide: int = 1,
                  spans: SpanPlan | None = None,
-                 carry: DataFrame | None = None) -> DataFrame:
+                 carry: DataFrame | None = None,
+                 fn: Callable | None = None) -> DataFrame:
     """Window columns without the context rows; ``span`` if keys are split."""
-    out = frames(log, size, slide, spans, carry)
+    out = frames(log, size, slide, spans, carry, fn=fn)
     if spans or carry is not None:
         out = out.filter("fresh")
     return out.drop("fresh")
@@ -142,12 +146,14 @@ def window_aggregate(log: DataFrame, size: int = 3, slide: int = 1,
 
     ``fn(key, window)`` returns the new value, or a (key, value) pair.
     """
-    framed = count_window(log, size, slide, spans, carry)
-    return apply_aggregate(framed, fn)
+    framed = fresh_frames(log, size, slide, spans, carry, fn)
+    return apply_aggregate(framed, fn).drop("span")
 
 
 def apply_aggregate(framed: DataFrame, fn: Callable) -> DataFrame:
-    result = fn(F.col("key"), F.col("window"))
+    """The aggregate of each row's window; keeps ``span``."""
+    result = F.col("direct") if "direct" in framed.columns else fn(
+        F.col("key"), F.col("window"))
     key, value = result if isinstance(result, tuple) else (F.col("key"), result)
     split = ["span"] if "span" in framed.columns else []
     return framed.select(key.alias("key"), value.alias("value"), "ord", *split)

@@ -83,6 +83,9 @@ class Pipeline:
         Spark sizes them at run time.
         """
         log = require_log(log)
+        if log.isStreaming and any(isinstance(s, WindowStage)
+                                   for s in self.stages):
+            raise ValueError("a stream with windows runs through run_stream")
         checked: SpanPlan | None = None
         for stage in self.stages:
             if isinstance(stage, WindowStage):

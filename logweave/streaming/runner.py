@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.spans import plan_spans
+from ..operators.spans import costly, plan_spans
 from ..operators.window import frames
 from ..plans.pipeline import Pipeline
 from ..plans.stages import WindowStage
@@ -57,12 +57,16 @@ def run_stream(pipeline: Pipeline, source: DataFrame, out: str,
         try:
             for at, stage in enumerate(pipeline.stages, 1):
                 if isinstance(stage, WindowStage):
+                    if costly(log):       # read three times below
+                        log = log.persist(StorageLevel.MEMORY_AND_DISK)
+                        held.append(log)
                     spans = plan_spans(log, "key", rows_per_span)
-                    log = spans.rows
                     framed = frames(
-                        log, stage.size, stage.slide, spans,
-                        store.read(at, number, log), True).select(
-                        "key", "value", "ord", "n", "window", "fresh",
+                        spans.rows, stage.size, stage.slide, spans,
+                        store.read(at, number, log), True, stage.fn)
+                    result = "direct" if "direct" in framed.columns else "window"
+                    framed = framed.select(
+                        "key", "value", "ord", "n", result, "fresh",
                         "trailing").persist(StorageLevel.MEMORY_AND_DISK)
                     held.append(framed)
                     store.write(at, number, framed.filter("trailing").select(
@@ -76,8 +80,8 @@ def run_stream(pipeline: Pipeline, source: DataFrame, out: str,
             if after_output:
                 after_output(number)
         finally:
-            for framed in held:
-                framed.unpersist()
+            for kept in held:
+                kept.unpersist()
 
     return (source.writeStream.foreachBatch(process)
             .option("checkpointLocation", checkpoint)

@@ -131,4 +131,19 @@ def test_values_between_stages_are_strings(log_of):
                        "windowaggregate")
     out = pipe.run(log_of([("a", "x", 1), ("a", "y", 2), ("a", "z", 3)]))
     assert dict(out.dtypes)["value"] == "string"
-    assert values(out) == ["1.0", "1.03.0", "1.03.05.0"]
+    assert values(out) == ["1.0", "1.03.0", "1.03.05.0"]  # 1, 1+2, 2+3
+
+
+def test_stream_with_windows_needs_the_runner(spark, log_of, tmp_path):
+    from logweave.sources import stream_log
+    log_of(golden.INPUT).write.parquet(str(tmp_path / "in"))
+    stream = stream_log(spark, str(tmp_path / "in"), stored=False)
+    with pytest.raises(ValueError):
+        Pipeline.of("windowaggregate").run(stream)
+
+
+def test_sliding_sum_builds_no_array(log_of):
+    from logweave.functions import total
+    from logweave.operators import window_aggregate
+    assert "collect_list" not in plan_of(window_aggregate(
+        log_of(golden.INPUT), 3, 1, total))

@@ -178,3 +178,16 @@ def test_console_and_other_sinks_take_the_stream(spark, log_of, tmp_path):
              .option("checkpointLocation", str(tmp_path / "c")).start())
     query.awaitTermination()
     assert spark.table("seen").count() == 73
+
+
+@pytest.mark.parametrize("slide", [1, 2])
+def test_sums_in_a_stream(spark, log_of, tmp_path, slide):
+    from logweave.functions import total
+    rows = [(k, v[1:], o) for k, v, o in sample(90)]
+    pipe = Pipeline.of("flatmap", ("windowaggregate", {
+        "size": 4, "slide": slide, "fn": total}))
+    feed = Feed(spark, log_of, tmp_path, pipe, rows_per_span=15)
+    feed.add(rows[:40])
+    feed.add(rows[40:])
+    feed.run()
+    assert feed.rows() == batch_rows(pipe.run(log_of(rows)))

@@ -170,3 +170,17 @@ def test_snapshot(log_of, size, slide):
     got = {r["key"]: list(r["window"])
            for r in window_snapshot(log_of(rows), size, slide).collect()}
     assert got == expected
+
+
+@pytest.mark.parametrize("rows_per_span", [None, 10])
+@pytest.mark.parametrize("slide", [1, 2])
+@pytest.mark.parametrize("name", ["sum", "max", "min", "count"])
+def test_numbers_against_replay(log_of, name, slide, rows_per_span):
+    python = {"sum": lambda w: sum(map(float, w)), "count": len,
+              "max": lambda w: max(map(float, w)),
+              "min": lambda w: min(map(float, w))}[name]
+    rows = [(k, v[1:], o) for k, v, o in skewed(2, 120)]
+    spans = plan_spans(log_of(rows), "key", rows_per_span)
+    out = window_aggregate(spans.rows, 4, slide, AGGREGATES[name], spans)
+    assert {(r["key"], tuple(r["ord"])): r["value"] for r in out.collect()} == {
+        at: python(w) for at, (w, _, _) in replay(rows, 4, slide).items()}
