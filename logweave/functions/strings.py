@@ -28,8 +28,9 @@ def java_hash(s: Column) -> Column:
             (h * 31 + high) * 31 + low).bitwiseAND(F.lit(_UINT32))
 
     unsigned = F.aggregate(F.split(s, ""), F.lit(0).cast("bigint"), step)
-    return F.when(unsigned > 0x7FFFFFFF, unsigned - (1 << 32)).otherwise(
-        unsigned).cast("int")
+    # Into the signed range by arithmetic, so that the fold appears once.
+    half = 1 << 31
+    return ((unsigned + half).bitwiseAND(F.lit(_UINT32)) - half).cast("int")
 
 
 def odd_hash(s: Column) -> Column:

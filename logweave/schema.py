@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 ORD_TYPE = T.ArrayType(T.LongType(), containsNull=False)
@@ -25,22 +28,20 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _shaped(df: DataFrame, key, value, order) -> DataFrame:
+def _parts(order) -> list[Column]:
     order = order if isinstance(order, (list, tuple)) else [order]
-    parts = [_column(o).cast("bigint") for o in order]
-    whole = F.when(
-        F.exists(F.array(*parts), lambda o: o.isNull()), F.lit(None)
-    ).otherwise(F.array(*parts))
+    return [_column(o).cast("bigint") for o in order]
+
+
+def _present(*columns: Column) -> Column:
+    return reduce(and_, [c.isNotNull() for c in columns])
+
+
+def _shaped(df: DataFrame, key, value, order: Column) -> DataFrame:
     return df.select(
         _column(key).cast("string").alias("key"),
         _column(value).cast("string").alias("value"),
-        whole.cast("array<bigint>").alias("ord"),
-    )
-
-
-def _complete() -> Column:
-    return (F.col("key").isNotNull() & F.col("value").isNotNull()
-            & F.col("ord").isNotNull())
+        order.cast("array<bigint>").alias("ord"))
 
 
 def keyed_log(df: DataFrame, key, value, order) -> DataFrame:
@@ -49,12 +50,16 @@ def keyed_log(df: DataFrame, key, value, order) -> DataFrame:
     ``order`` is one integer column or a list of them. Rows with a null key,
     value or position are not part of the log; see :func:`rejects`.
     """
-    return _shaped(df, key, value, order).filter(_complete())
+    parts = _parts(order)
+    kept = df.filter(_present(_column(key), _column(value), *parts))
+    return _shaped(kept, key, value, F.array(*parts))
 
 
 def rejects(df: DataFrame, key, value, order) -> DataFrame:
     """The rows :func:`keyed_log` leaves out."""
-    return _shaped(df, key, value, order).filter(~_complete())
+    parts = _parts(order)
+    left = df.filter(~_present(_column(key), _column(value), *parts))
+    return _shaped(left, key, value, F.when(_present(*parts), F.array(*parts)))
 
 
 def require_log(df: DataFrame) -> DataFrame:
