@@ -181,3 +181,20 @@ def test_catch_up(log_of):
     assert got(catch_up(spans.rows, emitted, 3, 2, spans=spans)) == expected
     rest = got(window_aggregate(log, 3, 2))
     assert {k: rest[k] for k in expected} == expected
+
+
+def test_empty_input(spark, log_of, tmp_path):
+    from logweave.operators import window_snapshot
+    from logweave.plans import Pipeline
+
+    empty = log_of([])
+    assert Pipeline.of("filter", "flatmap", "windowaggregate", "map").run(
+        empty).count() == 0
+    assert window_snapshot(empty, 3).count() == 0
+    path = str(tmp_path / "log")
+    write_log(empty, path, 4)
+    assert read_log(spark, path).count() == 0
+    write_log(log_of(keyed(30)), path, 4, mode="append")
+    assert stored(read_log(spark, path)) == numbered(keyed(30), 4)
+    write_log(empty, path, 4, mode="append")
+    assert read_log(spark, path).count() == 30

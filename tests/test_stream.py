@@ -191,3 +191,14 @@ def test_sums_in_a_stream(spark, log_of, tmp_path, slide):
     feed.add(rows[40:])
     feed.run()
     assert feed.rows() == batch_rows(pipe.run(log_of(rows)))
+
+
+def test_batch_that_a_filter_empties(spark, log_of, tmp_path):
+    pipe = Pipeline.of("filter", "windowaggregate", "map")
+    feed = Feed(spark, log_of, tmp_path, pipe)
+    feed.add([("Key1", "x", 1)])
+    feed.add([("Key0", "a", 2), ("Key0", "b", 3)])
+    feed.add([("Key1", "y", 4)])
+    feed.add([("Key0", "c", 5)])
+    feed.run()
+    assert [v for _, _, v in feed.rows()] == ["A", "AB", "ABC"]
