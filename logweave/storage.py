@@ -15,14 +15,20 @@ ROWS_PER_FILE = 500_000
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where none is named, as in tests, a temporary one is set.
+    Only where none is named and driver and tasks are one process, as in
+    tests, a temporary one is set; a cluster without one is an error.
     """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        named = spark.sparkContext.getCheckpointDir()
+        named = context.getCheckpointDir()
     if named is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the "
+                             "driver and all executors share")
         named = "file:" + tempfile.mkdtemp(prefix="logweave-")
-        spark.sparkContext.setCheckpointDir(named)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
