@@ -13,14 +13,28 @@ def held_out(id_col: str = "doc_id") -> Column:
                              F.lit(5)) == 0, F.lit(False))
 
 
-def sampled(rows: DataFrame, by: str | None, most: int, key: Column) -> DataFrame:
-    """About ``most`` rows for each value of ``by`` (or of all), by a hash of
-    the key: a filter, so that no value's rows meet in one task."""
+def sampled(rows: DataFrame, by: str, most: int, key: Column) -> DataFrame:
+    """About ``most`` rows for each value of ``by``, by a hash of the key: a
+    filter, so that no value's rows meet in one task."""
     spread = F.pmod(F.xxhash64(key), F.lit(1 << 40))
-    if by is None:
-        n = rows.count()
-        return rows.where(spread < int(min(1.0, most / max(n, 1)) * (1 << 40)))
     counts = rows.groupBy(by).agg(F.count("*").alias("_n"))
     # One row for each value of a label.
     return rows.join(counts, by).where(
         spread < F.least(F.lit(1.0), most / F.col("_n")) * (1 << 40)).drop("_n")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
+                    label_col: str, most: int) -> DataFrame:
+    """``doc_id, text, label`` of about ``most`` labelled documents, chosen by a
+    hash of the id before any join. Held-out documents, null texts and ids with
+    contradictory labels are left out."""
+    clean = labels.where(F.col(label_col).isNotNull()).groupBy(
+        F.col(id_col).alias("doc_id")).agg(
+            F.min(F.col(label_col).cast("int")).alias("label"),
+            F.max(F.col(label_col).cast("int")).alias("_most")).where(
+        (F.col("label") == F.col("_most")) & ~held_out("doc_id"))
+    share = min(1.0, most / max(clean.count(), 1))
+    few = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) <= int(share * (1 << 40))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias(
+        "text")).where(F.col("text").isNotNull())
+    return texts.where(few).join(clean.select("doc_id", "label").where(few), "doc_id")

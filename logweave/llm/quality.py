@@ -18,60 +18,67 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textual
-from .labelled import held_out, sampled
+from .labelled import held_out, labelled_sample
 
 #: Buckets of the hashed features.
 BUCKETS = 1 << 15
 #: Graded documents the model is fitted on, at most about; gradient rounds.
-SAMPLE, ROUNDS, RIDGE = 20_000, 150, 1e-4
+SAMPLE, ROUNDS, RIDGE = 10_000, 200, 1e-5
+#: Shares are small numbers; times this they suit the gradient's step.
+SCALE = 20.0
 _U = np.uint64
 
 
 def _word_features(words: textual.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of single words and of facts about neighbours, by text."""
+    """Texts and hashes of single words and of facts about neighbours."""
     h, t = words.hashes, words.text
     if not len(h):
-        return h, t
+        return t, h
     pair = (t[1:] == t[:-1])
     again = np.concatenate(([False], pair & (h[1:] == h[:-1])))
     gap = np.concatenate(([0], np.minimum(words.starts[1:] - words.ends[:-1], 9) * pair))
     fact = textual.mix((gap * 2 + again).astype(_U) + _U(77))
-    return np.concatenate((h, fact)), np.concatenate((t, t))
+    return np.concatenate((t, t)), np.concatenate((h, fact))
 
 
-def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(text, bucket, value)`` of all texts, each bucket once a text. Values
-    are square roots of shares, scaled to unit length."""
-    rows, buckets = [], []
-    words = textual.words_of(texts)
-    h, t = _word_features(words)
-    rows.append(t)
-    buckets.append(h)
+def _character_features(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Texts and hashes of every three characters: letters by case, others as
+    they are."""
     table = textual.char_classes()
     for i, text in enumerate(texts):
         for first, last in textual.slices(text) if text else ():
-            codes = textual.code_points(text[first:last]).astype(_U)
-            # Characters by kind, letters by case, and three in a row of the rest.
+            codes = textual.code_points(text[first:last])
             kind = np.where(table[codes] & textual.LETTER,
-                            _U(1) + (table[codes] & textual.UPPER != 0), codes + _U(8))
-            three = textual.windows(kind, 3)
-            found, counts = np.unique(three, return_counts=True)
-            rows.append(np.full(len(found), i))
-            buckets.append(np.stack((found, counts.astype(_U)), 1))
-    plain_rows, plain = rows[0], buckets[0]
-    cell = plain_rows * BUCKETS + (plain % _U(BUCKETS)).astype(np.int64)
-    cells, counts = np.unique(cell, return_counts=True)
-    if len(rows) > 1:
-        more = np.concatenate(buckets[1:])
-        at = np.concatenate(rows[1:]) * BUCKETS + (
-            textual.mix(more[:, 0] + _U(5)) % _U(BUCKETS)).astype(np.int64)
-        cells = np.concatenate((cells, at))
-        counts = np.concatenate((counts, more[:, 1].astype(np.int64)))
-    cells, place = np.unique(cells, return_inverse=True)
-    value = np.bincount(place, counts, len(cells)) if len(cells) else np.zeros(0)
+                            1 + (table[codes] & textual.UPPER != 0), codes + 8).astype(_U)
+            three = textual.mix((kind[:-2] * _U(0x10001) + kind[1:-1]) * _U(0x10001) + kind[2:])
+            yield np.full(len(three), i), three
+
+
+def occurrences(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(text, bucket)`` of every occurrence of a feature."""
+    row, hashes = _word_features(textual.words_of(texts))
+    yield row, (hashes % _U(BUCKETS)).astype(np.int64)
+    for row, hashes in _character_features(texts):
+        yield row, (hashes % _U(BUCKETS)).astype(np.int64)
+
+
+def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(text, bucket, value)``, each bucket once a text: shares of the text's
+    occurrences, times ``SCALE``."""
+    cells = [row * BUCKETS + bucket for row, bucket in occurrences(texts)]
+    cells, counts = np.unique(np.concatenate(cells), return_counts=True)
     row = cells // BUCKETS
-    total = np.bincount(row, value, len(texts)) if len(cells) else np.zeros(len(texts))
-    return row, cells % BUCKETS, np.sqrt(value / total[row])
+    total = np.bincount(row, counts, len(texts))
+    return row, cells % BUCKETS, SCALE * counts / total[row]
+
+
+def linear_scores(texts: list[str | None], w: np.ndarray) -> np.ndarray:
+    """The products of weights and features, without gathering the features."""
+    sums, total = np.zeros(len(texts)), np.zeros(len(texts))
+    for row, bucket in occurrences(texts):
+        sums += np.bincount(row, w[bucket], len(texts))
+        total += np.bincount(row, minlength=len(texts))
+    return SCALE * sums / np.maximum(total, 1)
 
 
 def _sigmoid(x):
@@ -128,15 +135,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     grades, or held out, are not learned from. With fewer than two grades all
     scores are null. Repeated rows are scored alike; other columns are ignored.
     """
-    clean = labels.where(F.col(grade_col).isNotNull()).groupBy(
-        F.col(id_col).alias("doc_id")).agg(
-            F.min(F.col(grade_col).cast("int")).alias("grade"),
-            F.max(F.col(grade_col).cast("int")).alias("most")).where("grade = most")
-    known = docs.where(~held_out(id_col)).select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(
-            clean.select("doc_id", "grade"), "doc_id")
-    grades = sorted(r["grade"] for r in clean.select("grade").distinct().collect())
-    sample = sampled(known.where("text is not null"), None, SAMPLE, F.col("doc_id"))
+    sample = labelled_sample(docs, labels, id_col, text_col, grade_col, SAMPLE)
+    # A row for each grade.
+    grades = sorted(r["g"] for r in labels.where(F.col(grade_col).isNotNull()).select(
+        F.col(grade_col).cast("int").alias("g")).distinct().collect())
     model = None
     if len(grades) > 1:
         def fit(batches):
@@ -147,7 +149,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     [pa.array([w.tobytes()]), pa.array([theta.tobytes()])], ["w", "theta"])
 
         # A bounded sample, so one task holds it.
-        got = sample.select("text", "grade").coalesce(1).mapInArrow(
+        got = sample.select("text", F.col("label").alias("grade")).repartition(1).mapInArrow(
             fit, "w binary, theta binary").collect()
         if got:
             model = (np.frombuffer(got[0]["w"]), np.frombuffer(got[0]["theta"]))
@@ -161,8 +163,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             if shared.value is not None:
                 w, theta = shared.value
                 for first, last in textual.batches(texts):
-                    row, bucket, value = features(texts[first:last])
-                    score = np.bincount(row, w[bucket] * value, last - first)
+                    score = linear_scores(texts[first:last], w)
                     below = _sigmoid(theta[None, :] - score[:, None])
                     edge = np.zeros((len(score), 1))
                     p[first:last] = np.diff(np.hstack((edge, below, edge + 1)), axis=1)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import settle
-from .labelled import held_out, sampled
+from .labelled import held_out, labelled_sample
 
 #: Labelled documents the lexicon and the calibration are fitted on, about.
 SAMPLE = 20_000
@@ -160,14 +160,8 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     null texts are left out. Without documents of both labels the lexicon has
     the given entries and a default calibration.
     """
-    clean = labels.where(F.col(label_col).isNotNull()).groupBy(
-        F.col(id_col).alias("doc_id")).agg(
-            F.min(F.col(label_col).cast("int")).alias("label"),
-            F.max(F.col(label_col).cast("int")).alias("most")).where("label = most")
-    known = docs.where(~held_out(id_col) & F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(
-            clean.select("doc_id", "label"), "doc_id")
-    sample = settle(sampled(known, None, SAMPLE, F.col("doc_id")), "toxic-sample")
+    sample = settle(labelled_sample(docs, labels, id_col, text_col, label_col, SAMPLE),
+                    "toxic-sample")
     groups = {r["label"] > 0: r["n"] for r in sample.groupBy(
         (F.col("label") > 0).cast("int").alias("label")).agg(F.count("*").alias("n")).collect()}
     weights: dict[str, float] = {}
