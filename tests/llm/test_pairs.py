@@ -110,8 +110,9 @@ def test_components(spark):
     rng = np.random.default_rng(1)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (170, 2))]
     links += [(i, i + 1) for i in range(1000, 1060)] + [(2000, i) for i in range(2001, 2050)]
-    nodes = {x for link in links for x in link if link[0] != link[1]}
-    want = groups(nodes, links)
+    apart = [link for link in links if link[0] != link[1]]
+    nodes = {x for link in apart for x in link}
+    want = groups(nodes, apart)
     got = components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
 
