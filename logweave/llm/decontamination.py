@@ -146,6 +146,8 @@ class Benchmark:
             enough = literal[size:] - literal[:-size] >= min(LITERALS, (size + 1) // 2)
             place = np.flatnonzero(enough)
             self.total[i] = len(place)
+            if not len(place):
+                continue
             rows.setdefault(size, []).append((textual.windows(part, size)[place],
                                               np.full(len(place), i), place))
         for size, parts in rows.items():

@@ -94,13 +94,15 @@ class Parser:
             self.weight.append(math.log2(len(text) + 2))
 
     def _dense(self, nexts: list[dict[int, int]]) -> np.ndarray:
-        """Next state doubled, plus 1 where a phrase ends before the symbol."""
+        """Next state doubled, plus 1 where a phrase begins with the symbol: in
+        the root, and where no phrase goes on with it. A symbol that the text
+        lacks is a phrase by itself."""
         root = np.ones(self.width, np.int32)
         for c, to in nexts[0].items():
             root[c] = to << 1 | 1
         out = np.tile(root, (len(nexts), 1))
         for state, near in enumerate(nexts):
-            if near:
+            if near and state:
                 out[state, list(near)] = np.array(list(near.values()), np.int32) << 1
         return out.reshape(-1)
 
@@ -119,16 +121,15 @@ class Parser:
         counts = np.zeros((len(texts), len(self.tables)))
         for k, table in enumerate(self.tables):
             state = np.zeros(len(owner), np.int32)
-            ended = np.zeros(len(owner), np.int32)
+            begun = np.zeros(len(owner), np.int32)
             for step in range(SEGMENT):
                 n = active[step]
                 if not n:
                     break
                 to = table[state[:n] * self.width + stream[begin[:n] + step]]
-                ended[:n] += to & 1
+                begun[:n] += to & 1
                 state[:n] = to >> 1
-            # The first symbol ends no phrase, and the last phrase counts.
-            counts[:, k] = np.bincount(owner, ended + 1, len(texts))
+            counts[:, k] = np.bincount(owner, begun, len(texts))
         return counts, sizes
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:

@@ -7,7 +7,7 @@ path of weight 0. A giant text is cut every ``CHUNK`` characters, wherever that
 falls. The state at a cut is the piece that reaches up to or over it; a chunk
 yields the transfer matrix of weights between the states at its two cuts, and
 matrices combine associatively by max-plus products, level by level in groups
-of ``FANOUT`` chunks. Going down again, every chunk learns the state at either
+of ``fanout`` chunks. Going down again, every chunk learns the state at either
 end, and then its path is traced back without any other chunk.
 
 Minus infinity is not stored: a matrix is the set of its entries 0, and the
@@ -18,7 +18,6 @@ last one on need the states; whole words between are encoded directly.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -265,12 +264,14 @@ def _entries(matrix) -> list[tuple[str, str]]:
     return [(e["enter"], e["leave"]) for e in matrix]
 
 
-def _up(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("k")
-    product = compose([_entries(m) for m in group["matrix"]])
-    return pd.DataFrame({"text_key": group["text_key"].iloc[:1],
-                         "k": group["k"].iloc[:1] // FANOUT,
-                         "matrix": [[{"enter": a, "leave": b} for a, b in product]]})
+def _up(fanout: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("k")
+        product = compose([_entries(m) for m in group["matrix"]])
+        return pd.DataFrame({"text_key": [group["text_key"].iloc[0]],
+                             "k": [group["k"].iloc[0] // fanout],
+                             "matrix": [[{"enter": a, "leave": b} for a, b in product]]})
+    return run
 
 
 def _down(group: pd.DataFrame) -> pd.DataFrame:
@@ -281,19 +282,21 @@ def _down(group: pd.DataFrame) -> pd.DataFrame:
                          "enter": states[:-1], "leave": states[1:]})
 
 
-def scan(matrices: DataFrame, most: int) -> DataFrame:
+def scan(matrices: DataFrame, most: int, fanout: int = FANOUT) -> DataFrame:
     """``text_key, k, enter, leave``: the states at either end of every chunk,
     of matrices ``text_key, k, matrix`` of texts with at most ``most`` chunks."""
     levels = [matrices]
-    depth = max(1, math.ceil(math.log(max(most, 2), FANOUT)))
-    by_group = ["text_key", F.floor(F.col("k") / FANOUT).alias("g")]
+    depth = 1
+    while fanout ** depth < most:
+        depth += 1
+    by_group = ["text_key", F.floor(F.col("k") / fanout).alias("g")]
     for _ in range(depth - 1):
         levels.append(levels[-1].groupBy(*by_group).applyInPandas(
-            _up, f"text_key string, k bigint, matrix {_MATRIX}"))
+            _up(fanout), f"text_key string, k bigint, matrix {_MATRIX}"))
     known = levels[-1].select("text_key", F.lit(0).cast("bigint").alias("g"),
                               F.lit(FRESH).alias("enter"), F.lit(FRESH).alias("leave")).distinct()
     for level in reversed(levels):
-        met = level.withColumn("g", F.floor(F.col("k") / FANOUT)).join(known, ["text_key", "g"])
+        met = level.withColumn("g", F.floor(F.col("k") / fanout)).join(known, ["text_key", "g"])
         known = met.groupBy("text_key", "g").applyInPandas(
             _down, "text_key string, k bigint, enter string, leave string").withColumnRenamed(
                 "k", "g")
@@ -301,7 +304,7 @@ def scan(matrices: DataFrame, most: int) -> DataFrame:
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
-           text_col: str = "text", size: int = CHUNK) -> DataFrame:
+           text_col: str = "text", size: int = CHUNK, fanout: int = FANOUT) -> DataFrame:
     """``doc_id, chunk, chunks, ids``: the piece ids of every text, exactly
     those of the model, a row for each chunk of ``size`` characters.
 
@@ -375,7 +378,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     table = giants.select("text_key", "text").mapInArrow(
         matrices, f"text_key string, k bigint, matrix {_MATRIX}").dropDuplicates(
             ["text_key", "k"])
-    ends = scan(table, -(-(longest + 1) // size))
+    ends = scan(table, -(-(longest + 1) // size), fanout)
     cut = giants.mapInArrow(parts, f"doc_id {kind}, text_key string, k bigint, chunks int, "
                                    "part string, begin bigint, end bigint, head boolean, "
                                    "tail boolean")

@@ -182,7 +182,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         if weights:
             # Whole words that begin like an entry but are at home in other
             # documents are exceptions.
-            begins = rated.where(F.col("entry").endswith(" ") & (F.col("weight") <= 0.0)
+            begins = rated.where(F.col("entry").endswith(" ") & (F.col("weight") < 0.5)
                                  & (F.col("other") >= 3))
             starts = docs.sparkSession.createDataFrame(
                 [(w,) for w in weights if not w.endswith(" ")] or [("",)], "start string")

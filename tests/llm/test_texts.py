@@ -219,7 +219,7 @@ def test_learned_lexicon(spark, make):
     docs = make(rows)
     given = spark.createDataFrame(labels, "doc_id long, toxic int")
     lexicon = toxicity.learn_lexicon(docs, given)
-    assert lexicon.weights[" grumbling "] == 0.0 or " grum" not in lexicon.weights
+    assert lexicon.weights.get(" grumbling ", 0.0) == 0.0 and " grum" not in lexicon.weights
     got = [r for r in toxicity.toxicity(docs, lexicon).collect() if r.doc_id < 600 and r.held_out]
     assert all(r.predicted == (r.doc_id % 3 == 0) for r in got)
     bare = toxicity.learn_lexicon(docs, given.limit(0), entries={"stone": 2.0})
@@ -305,11 +305,10 @@ def test_encoding_is_the_models(spark, documents, make, odd, library, size):
         assert "".join(r.text for r in parts) == text.replace("▁", " ")
 
 
-def test_levels_of_the_scan(spark, make, library, monkeypatch):
-    monkeypatch.setattr(sentencepiece_scan, "FANOUT", 3)
+def test_levels_of_the_scan(make, library):
     text = "the long winding riverbank walks " * 60
     rows = [(1, text), (2, text), (3, text[:700]), (2, text)]
-    got = sentencepiece_scan.encode(make(rows), PIECES, size=50).collect()
+    got = sentencepiece_scan.encode(make(rows), PIECES, size=50, fanout=3).collect()
     for i, n in ((1, 1), (2, 2), (3, 1)):
         parts = sorted((r.chunk, r.ids) for r in got if r.doc_id == i)
         assert [x for _, ids in parts[::n] for x in ids] == library.encode(dict(rows)[i])
