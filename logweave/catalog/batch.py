@@ -198,6 +198,16 @@ def flatmap_multi(spark, sf):
     return flat(flatmap_entries(events(spark, sf), lists), "seq", "entry", "pos")
 
 
+@query
+def flatmap_multi_last_wins(spark, sf):
+    """Lists under keys that repeat in an array of entries: the last stays."""
+    def entries(key, value):
+        entry = lambda k, *v: F.struct(k.alias("key"), F.array(*v).alias("value"))
+        return F.array(entry(value, key), entry(value, value, key))
+    out = flatmap_entries(events(spark, sf), entries)
+    return flat(out, "seq", "entry", "pos")
+
+
 # count windows
 
 def _windowed(log, size, slide, fn=AGGREGATES["concat"], rows_per_span=None):
@@ -349,6 +359,48 @@ def stages_text(spark, sf):
                 "doc_id", "line", "word")
 
 
+@query
+def stages_workers(spark, sf):
+    """Configured worker counts bound the window's tasks, not its result."""
+    pipe = Pipeline.of("filter", "flatmap",
+                       ("windowaggregate", {"size": 4, "slide": 2, "workers": 3}), "map")
+    return flat(pipe.run(events(spark, sf), use_workers=True), "seq", "pos")
+
+
+@query
+def stages_empty_windows(spark, sf):
+    """The greatest of windows that are empty now and then (null), windowed
+    again: an empty window's null is one of the records of the next."""
+    def shown(key, window):
+        top = F.array_max(F.transform(window, lambda v: v.cast("double")))
+        return F.concat(F.coalesce(top.cast("string"), F.lit("none")), F.lit("/"),
+                        F.size(window).cast("string"))
+    pipe = Pipeline.of(
+        ("windowaggregate", {"size": 3, "slide": 4, "fn": AGGREGATES["max"]}),
+        ("windowaggregate", {"size": 3, "slide": 2, "fn": shown}))
+    return flat(pipe.run(events(spark, sf, value="value")), "seq")
+
+
+@query
+def window_rekeyed_large(spark, sf):
+    """An aggregate that gives all records one key: the next window splits it."""
+    pipe = Pipeline.of(
+        ("windowaggregate", {"fn": lambda k, w: (F.lit("all"), F.array_join(w, ""))}),
+        ("windowaggregate", {"size": 4, "slide": 3}))
+    log = events(spark, sf)
+    return flat(pipe.run(log, rows_per_span=share_of(log, 20)), "seq")
+
+
+@query
+def sink_overwritten(spark, sf):
+    """A sink that is started again holds only the new run's lines."""
+    path = scratch_path(spark, "sink-twice")
+    text_sink(_with_offsets(spark, sf, value="props"), path)
+    text_sink(_with_offsets(spark, sf), path)
+    return spark.read.text([f"{path}/header", f"{path}/records"]).select(
+        F.col("value").alias("line"))
+
+
 @query
 def stage_hop(spark, sf):
     """The stored output of the first of two stages."""

@@ -142,6 +142,9 @@ FROM (SELECT *, {_partition('key')} AS partition FROM (
   SELECT 1, CAST(o_custkey AS VARCHAR), o_orderstatus, o_orderkey FROM orders
 ) AS u) AS p"""
 
+# The greatest of each window, null where the window is empty.
+_MAX_OF_SOME = _window(_VALUES, 3, 4, value="list_max(win)")
+
 ORACLE = {
     # sources and sinks
     "read_log_events": _STORED,
@@ -186,6 +189,9 @@ ORACLE = {
         SELECT key, value, seq, 0 AS entry, pos
         FROM ({_CHARS.format(src=EVENTS)}) AS c
         UNION ALL SELECT value, value, seq, 1, 0 FROM ({EVENTS}) AS e""",
+    "flatmap_multi_last_wins": f"""
+        SELECT value AS key, value, seq, 0 AS entry, 0 AS pos FROM ({EVENTS}) AS e
+        UNION ALL SELECT value, key, seq, 0, 1 FROM ({EVENTS}) AS e""",
     # count windows
     "window_concat_3_1": f"""
         SELECT key, string_agg(value, '') OVER (
@@ -230,6 +236,13 @@ ORACLE = {
     "stages_four": _FOUR,
     "stages_two_windows": _TWO,
     "stages_text": _TEXT,
+    "stages_empty_windows": _window(_MAX_OF_SOME, 3, 2, value=(
+        "CASE WHEN len(win) > 0 THEN coalesce(CAST(list_max(list_transform(win, "
+        "x -> CAST(x AS DOUBLE))) AS VARCHAR), 'none') ELSE 'none' END || '/' || len(win)")),
+    "window_rekeyed_large": _window(
+        f"SELECT 'all' AS key, value, seq FROM ({_window(EVENTS, 3, 1)}) AS w", 4, 3),
+    "stages_workers": _FOUR,
+    "sink_overwritten": f"SELECT 'SINK RECORDS' AS line UNION ALL {_SINK_LINES}",
     "stage_hop": f"""
         SELECT key, value, seq, partition,
                row_number() OVER (PARTITION BY partition ORDER BY seq) - 1
@@ -259,6 +272,12 @@ ORACLE = {
     "stream_compacted": _window(EVENTS, 5, 3),
     "stream_stateless": f"SELECT key, {_upper('value')} AS value, seq "
                         f"FROM ({_ODD_EVENTS}) AS o",
+    "stream_bounded_trigger": _window(EVENTS, 5, 3),
+    "stream_workers": _window(EVENTS, 5, 3),
+    "stream_failure": _DEMO,
+    "stream_chain": _window(_window(EVENTS, 3, 1), 3, 2),
+    "stream_text_window": "SELECT 'all' AS key, 'turn' || conv_id || turn AS value "
+                          "FROM conversations",
     "stream_hop": _window(EVENTS, 3, 1),
     "stream_snapshot": _SNAPSHOT,
     "stream_text": f"SELECT {_upper('value')} AS value, word "

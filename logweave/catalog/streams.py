@@ -4,11 +4,11 @@ checkpoint with the next."""
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import AGGREGATES
 from ..plans import Pipeline
-from ..schema import LOG_SCHEMA
 from ..sources import lines_prepared, read_committed, stream_lines, stream_log, \
     tokenize_lines
 from ..storage import scratch_path
@@ -92,9 +92,103 @@ def stream_compacted(spark, sf):
 
 @query
 def stream_stateless(spark, sf):
-    """Without windows, through Spark's file sink."""
+    """Without windows."""
     out, _ = _played(spark, events(spark, sf), Pipeline.of("filter", "map"), 2)
-    return flat(spark.read.schema(LOG_SCHEMA).parquet(out), "seq")
+    return flat(read_committed(spark, out), "seq")
+
+
+@query
+def stream_bounded_trigger(spark, sf):
+    """One file a micro-batch, whatever is there."""
+    source, out, checkpoint = (scratch_path(spark, label) for label in (
+        "bounded-in", "bounded-out", "bounded-checkpoint"))
+    for part in _parts(events(spark, sf), 3):
+        part.write.mode("append").parquet(source)
+    run_stream(Pipeline.of(("windowaggregate", {"size": 5, "slide": 3})),
+               stream_log(spark, source, stored=False, maxFilesPerTrigger=1), out,
+               checkpoint).awaitTermination()
+    return flat(read_committed(spark, out), "seq")
+
+
+def _fail_once(number: int):
+    """Fails after the output of a micro-batch is written, the first time."""
+    state = {"failed": False}
+
+    def after_output(batch: int) -> None:
+        if batch == number and not state["failed"]:
+            state["failed"] = True
+            raise RuntimeError("stopped after the output was written")
+    return after_output
+
+
+def _run(pipe, source, out, checkpoint, **options) -> bool:
+    """Run to the end; False if the stream failed."""
+    stream = run_stream(pipe, source, out, checkpoint, **options)
+    try:
+        stream.awaitTermination()
+    except StreamingQueryException:
+        return False
+    return True
+
+
+@query
+def stream_failure(spark, sf):
+    """The second micro-batch fails after its output, and is run again."""
+    source, out, checkpoint = (scratch_path(spark, label) for label in (
+        "failing-in", "failing-out", "failing-checkpoint"))
+    pipe = Pipeline.of("windowaggregate", "map")
+    fail, ended = _fail_once(1), []
+    for part in _parts(events(spark, sf), 3):
+        part.write.mode("append").parquet(source)
+        ended.append(_run(pipe, stream_log(spark, source, stored=False), out, checkpoint,
+                          after_output=fail))
+    if ended != [True, False, True]:
+        raise AssertionError(f"runs ended as {ended}")
+    return flat(read_committed(spark, out), "seq")
+
+
+@query
+def stream_chain(spark, sf):
+    """A second stream on the output of a first that fails after writing it:
+    it runs before and after the first is restarted."""
+    source, hop, out, first, second = (scratch_path(spark, label) for label in (
+        "chain-in", "chain-hop", "chain-out", "chain-first", "chain-second"))
+    fail = _fail_once(1)
+    for part in _parts(events(spark, sf), 2):
+        part.write.mode("append").parquet(source)
+        for _ in range(2):
+            _run(Pipeline.of("windowaggregate"), stream_log(spark, source, stored=False), hop,
+                 first, after_output=fail)
+            _run(Pipeline.of(("windowaggregate", {"size": 3, "slide": 2})),
+                 stream_log(spark, hop, stored=False), out, second)
+    return flat(read_committed(spark, out), "seq")
+
+
+@query
+def stream_workers(spark, sf):
+    """Worker counts bound a stage's tasks; the result is the same."""
+    pipe = Pipeline.of(("windowaggregate", {"size": 5, "slide": 3, "workers": 2}))
+    out, _ = _played(spark, events(spark, sf), pipe, 2, use_workers=True)
+    return flat(read_committed(spark, out), "seq")
+
+
+@query
+def stream_text_window(spark, sf):
+    """A window over the words of text files, one file a micro-batch."""
+    source, out, checkpoint = (scratch_path(spark, label) for label in (
+        "files-in", "files-out", "files-checkpoint"))
+
+    def to_log(lines):
+        return tokenize_lines(lines).select(F.lit("all").alias("key"), "value", "ord")
+
+    texts = table(spark, sf, "conversations").select(F.concat_ws(
+        " ", F.lit("turn"), F.col("conv_id"), F.col("turn")).alias("value"))
+    texts.repartition(3, "value").write.text(source)
+    run_stream(Pipeline.of(("windowaggregate", {"size": 3, "slide": 3})),
+               stream_lines(spark, source, maxFilesPerTrigger=1), out, checkpoint,
+               prepare=lines_prepared(to_log)).awaitTermination()
+    # Each line has three words, so the window after the last is the line.
+    return read_committed(spark, out).where(at(5, "w") == 2).select("key", "value")
 
 
 @query
@@ -111,7 +205,7 @@ def stream_snapshot(spark, sf):
     """Current window of every key from the state of the stream."""
     pipe = Pipeline.of(("windowaggregate", {"size": 5, "slide": 3}))
     _, checkpoint = _played(spark, events(spark, sf), pipe, 3)
-    carry = CarryStore(spark, f"{checkpoint}/carry").read(1, 3)
+    carry = CarryStore(spark, f"{checkpoint}/carry").latest(1)
     return carry_snapshot(carry, 5, 3, AGGREGATES["concat"]).select(
         "key", "n", F.array_join("window", "|").alias("window"), "value")
 
@@ -130,4 +224,4 @@ def stream_text(spark, sf):
     run_stream(Pipeline.of("map"), stream_lines(spark, source), out, checkpoint,
                prepare=lines_prepared(to_log)).awaitTermination()
     return read_committed(spark, out).filter("value <> ''").select(
-        "value", at(4, "word"))
+        "value", at(5, "word"))

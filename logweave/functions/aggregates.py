@@ -4,6 +4,9 @@ Any callable of this shape works; these are the stock ones. ``concat`` is the
 default aggregate of a window stage. A function may have an attribute
 ``sliding``, the same aggregate as ``value -> Column``: with slide 1 it then runs
 over the frame itself and no array is built.
+
+A null value is a value of its window: it is counted, and left out of sums,
+extremes and concatenations. The extreme of a window without a number is null.
 """
 
 from __future__ import annotations
@@ -20,8 +23,8 @@ def count(key: Column, window: Column) -> Column:
 
 
 def total(key: Column, window: Column) -> Column:
-    return F.aggregate(window, F.lit(0.0),
-                       lambda acc, v: acc + v.cast("double"))
+    return F.aggregate(window, F.lit(0.0), lambda acc, v: acc + F.coalesce(
+        v.cast("double"), F.lit(0.0)))
 
 
 def maximum(key: Column, window: Column) -> Column:
@@ -32,8 +35,8 @@ def minimum(key: Column, window: Column) -> Column:
     return F.array_min(F.transform(window, lambda v: v.cast("double")))
 
 
-count.sliding = F.count
-total.sliding = lambda v: F.sum(v.cast("double"))
+count.sliding = lambda v: F.count(F.lit(1))
+total.sliding = lambda v: F.sum(F.coalesce(v.cast("double"), F.lit(0.0)))
 maximum.sliding = lambda v: F.max(v.cast("double"))
 minimum.sliding = lambda v: F.min(v.cast("double"))
 

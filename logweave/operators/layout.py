@@ -36,8 +36,12 @@ def assign_offset(log: DataFrame, spans: SpanPlan | None = None,
     appended to, one row per partition.
     """
     columns = [c for c in log.columns if c != "span"]
-    rows, _ = numbered(log, "partition", spans, ["ord", "key"], reach=1)
-    offset = F.col("n") - 1
+    rows, spec = numbered(log, "partition", spans, ["ord", "key"], reach=1)
+    place = F.struct("ord", "key")
+    offset = F.when(F.lag(place).over(spec) == place, F.raise_error(F.concat(
+        F.lit("position used twice, for key "), F.col("key")))).otherwise(F.col("n") - 1)
+    rows = rows.withColumn("n", offset)
+    offset = F.col("n")
     rows = rows.filter(F.col("n0").isNull())
     if start is not None:             # one row per partition of the log
         rows = rows.join(F.broadcast(start.select("partition", "next_offset")),

@@ -46,7 +46,8 @@ def map_entries(log: DataFrame, fn: Callable) -> DataFrame:
     """One record to the entries of a map, none for an empty map.
 
     ``fn`` returns a map column, or an array of (key, value) structs in which
-    the last entry of a key wins. Entries leave in the order of the map.
+    the last entry of a key wins. Entries leave in the order of the map. A map
+    column must not repeat a key; where keys may be equal, give an array.
     """
     entries = _call(fn)
     if dict(log.select(entries.alias("e")).dtypes)["e"].startswith("map"):
@@ -81,8 +82,19 @@ def flatmap_records(log: DataFrame, fn: Callable) -> DataFrame:
 
 
 def flatmap_entries(log: DataFrame, fn: Callable) -> DataFrame:
-    """One record to the lists of a map, each under its own key."""
-    return (log.select("ord", F.posexplode(_call(fn)).alias("at", "k", "items"))
+    """One record to the lists of a map, each under its own key.
+
+    ``fn`` returns a map column, or an array of (key, value) structs whose values
+    are lists; there the last list of a key wins. A map column must not repeat a
+    key: Spark refuses to build one that does.
+    """
+    lists = _call(fn)
+    if dict(log.select(lists.alias("e")).dtypes)["e"].startswith("map"):
+        split = log.select("ord", F.posexplode(lists).alias("at", "k", "items"))
+    else:
+        split = log.select("ord", F.posexplode(_last_wins(lists)).alias("at", "e")).select(
+            "ord", "at", F.col("e.key").alias("k"), F.col("e.value").alias("items"))
+    return (split
             .select("ord", "at", "k", F.posexplode("items").alias("pos", "item"))
             .select(F.col("k").alias(_KEY), F.col("item").alias(_VALUE),
                     _extended("at", "pos")))

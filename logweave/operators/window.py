@@ -22,10 +22,6 @@ from ..functions.aggregates import concat
 from ..schema import require_log
 from .spans import SpanPlan, closing, in_first_span, numbered
 
-#: Above this many rows per group Spark does not prune a row_number filter
-#: before its shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-_PRUNED_LIMIT = 1000
-
 
 def check_window(size: int, slide: int) -> None:
     if not (isinstance(size, int) and isinstance(slide, int)):
@@ -76,14 +72,19 @@ def frames(log: DataFrame, size: int, slide: int = 1,
         rows = closing(rows, spans)
 
     n = F.col("n")
-    value = F.collect_list("value")
+
+    def values(first: int, last: int) -> Column:
+        # In structs, as a list of values would leave out nulls.
+        return F.collect_list(F.struct("value")).over(
+            spec.rowsBetween(first, last)).getField("value")
+
     if slide == 1:                    # the frame itself is the window
-        window = value.over(spec.rowsBetween(-(size - 1), 0))
-        prior = value.over(spec.rowsBetween(-size, -1))
+        window = values(-(size - 1), 0)
+        prior = values(-size, -1)
         evicted = F.when(n > size, F.array(
             F.lag("value", size).over(spec))).otherwise(_none("value", rows))
     else:
-        recent = value.over(spec.rowsBetween(-size, 0))
+        recent = values(-size, 0)
         now = window_length(n, size, slide)
         before = window_length(n - 1, size, slide)
         window = _back(recent, now, now)
@@ -106,7 +107,8 @@ def frames(log: DataFrame, size: int, slide: int = 1,
             F.col("key")))).otherwise(column)
 
     out = [checked(n).alias("n"), checked(window).alias("window"),
-           evicted.alias("evicted"), prior.alias("prior"), fresh.alias("fresh")]
+           checked(evicted).alias("evicted"), checked(prior).alias("prior"),
+           fresh.alias("fresh")]
     if slide == 1 and hasattr(fn, "sliding"):
         out.append(checked(fn.sliding(F.col("value")).over(
             spec.rowsBetween(-(size - 1), 0))).alias("direct"))
@@ -169,6 +171,13 @@ def prior_window(log: DataFrame, size: int, slide: int = 1,
     return count_window(log, size, slide, spans).select("key", "ord", "prior")
 
 
+def unique_positions(column: Column) -> Column:
+    """``column``, or an error if ``last`` has a position twice."""
+    ords = F.col("last.ord")
+    return F.when(F.size(F.array_distinct(ords)) < F.size(ords), F.raise_error(F.concat(
+        F.lit("position used twice, for key "), F.col("key")))).otherwise(column)
+
+
 def window_snapshot(log: DataFrame, size: int, slide: int = 1,
                     fn: Callable = concat) -> DataFrame:
     """The current window and aggregate of every key.
@@ -180,22 +189,25 @@ def window_snapshot(log: DataFrame, size: int, slide: int = 1,
     log = require_log(log).select("key", "value", "ord")
     counts = log.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
-    tails = log
-    if size >= _PRUNED_LIMIT:
-        salted = Window.partitionBy("key", "salt").orderBy(F.desc("ord"))
-        tails = (tails.withColumn("salt", F.pmod(F.xxhash64("ord"), F.lit(256)))
-                 .withColumn("back", F.row_number().over(salted))
-                 .filter(F.col("back") <= size).drop("salt", "back"))
-    back = Window.partitionBy("key").orderBy(F.desc("ord"))
-    tails = (tails.withColumn("back", F.row_number().over(back))
-             .filter(F.col("back") <= size)
-             .groupBy("key")
-             .agg(F.sort_array(F.collect_list(F.struct("ord", "value")))
-                  .alias("last")))
+    # First among shares of a key, so that no task sees a whole large key.
+    tails = log.withColumn("salt", F.pmod(F.xxhash64("ord"), F.lit(256)))
+    for among in (["key", "salt"], ["key"]):
+        back = Window.partitionBy(*among).orderBy(F.desc("ord"))
+        tails = (tails.withColumn("back", F.row_number().over(back))
+                 .filter(F.col("back") <= size))
+    tails = tails.groupBy("key").agg(
+        F.sort_array(F.collect_list(F.struct("ord", "value"))).alias("last"))
     length = window_length(F.col("n"), size, slide)
-    framed = counts.join(tails, "key").select(
-        "key", "n",
-        _back(F.col("last.value"), length, length).alias("window"))
+    framed = counts.join(tails, "key").select("key", "n", unique_positions(
+        _back(F.col("last.value"), length, length)).alias("window"))
+    return snapshot_of(framed, fn)
+
+
+def snapshot_of(framed: DataFrame, fn: Callable) -> DataFrame:
+    """The aggregate of each key's window; a (key, value) pair gives a further
+    column ``new_key``."""
     result = fn(F.col("key"), F.col("window"))
-    value = result[1] if isinstance(result, tuple) else result
-    return framed.select("key", "n", "window", value.alias("value"))
+    if isinstance(result, tuple):
+        return framed.select("key", "n", "window", result[1].alias("value"),
+                             result[0].alias("new_key"))
+    return framed.select("key", "n", "window", result.alias("value"))

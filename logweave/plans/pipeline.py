@@ -99,6 +99,8 @@ class Pipeline:
                 if use_workers and stage.workers and not spans:
                     log = log.repartition(stage.workers, "key")
                 log = stage.apply(log, spans)
+                if stage.rekeys:
+                    checked = None
             else:
                 log = stage.apply(log)
                 if not stage.shrinking:

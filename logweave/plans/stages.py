@@ -15,9 +15,11 @@ from ..operators.window import apply_aggregate, check_window, window_aggregate
 
 
 def _strings(log: DataFrame) -> DataFrame:
-    """Between stages a record is a string key and a string value."""
-    return log.select(F.col("key").cast("string"),
-                      F.col("value").cast("string"), "ord")
+    """Between stages a record is a string key and a string value. A null
+    key, which belongs to no partition, fails whoever reads the record."""
+    value = F.when(F.col("key").isNull(), F.raise_error(F.lit(
+        "a stage gave a record a null key"))).otherwise(F.col("value").cast("string"))
+    return log.select(F.col("key").cast("string"), value.alias("value"), "ord")
 
 
 @dataclass(frozen=True)
@@ -49,6 +51,11 @@ class WindowStage:
     def __post_init__(self):
         check_window(self.size, self.slide)
 
+    @property
+    def rekeys(self) -> bool:
+        """Does the aggregate return a (key, value) pair?"""
+        return isinstance(self.fn(F.lit("k"), F.array(F.lit("v"))), tuple)
+
     def apply(self, log: DataFrame, spans: SpanPlan | None = None) -> DataFrame:
         return _strings(window_aggregate(log, self.size, self.slide, self.fn,
                                          spans))

@@ -2,31 +2,57 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.layout import assign_offset, assign_partition
-from ..operators.progress import committed_offsets
 from ..operators.spans import plan_spans
 from ..schema import LOG_SCHEMA, STORED_SCHEMA
-from ..storage import matching_parents
+from ..storage import has_files, matching_parents, read_text, write_text
 
 
 def write_log(log: DataFrame, path: str, partitions: int,
-              mode: str = "overwrite", rows_per_span: int | None = None) -> None:
+              mode: str = "overwrite", rows_per_span: int | None = None,
+              append_id: str | None = None) -> None:
     """Store a keyed log, partition chosen by key, offsets dense.
 
     A large partition is numbered and written by several tasks. The rows leave
     the numbering step grouped by partition, so the write needs no further
-    shuffle. ``mode="append"`` continues the stored offsets.
+    shuffle. ``mode="append"`` continues the stored offsets; the number of
+    partitions must be the log's, as a key stays in its partition. The number
+    and the next offsets are kept beside the log, so an append doesn't read it.
+    An append that names itself with ``append_id`` counts once: repeated, it
+    writes nothing.
     """
+    spark = log.sparkSession
+    note = f"{path}/_log.json"
+    kept = json.loads(read_text(spark, note) or "null") if mode == "append" else None
+    if kept:
+        if kept["partitions"] != partitions:
+            raise ValueError(f"the log has {kept['partitions']} partitions, not {partitions}")
+        if append_id is not None and append_id in kept["appends"]:
+            return
+    elif mode == "append" and has_files(spark, f"{path}/partition=*"):
+        raise ValueError(f"{path} was not written by write_log")
     placed = assign_partition(
         log.select("key", F.col("value").cast("string"), "ord"), partitions)
     start = None
-    if mode == "append":
-        start = committed_offsets(read_log(log.sparkSession, path))
+    if kept and kept["next"]:
+        start = spark.createDataFrame(
+            [(int(p), n) for p, n in kept["next"].items()],
+            "partition int, next_offset long")
     spans = plan_spans(placed, "partition", rows_per_span)
     stored = assign_offset(spans.rows, spans, start)
     stored.write.mode(mode).partitionBy("partition").parquet(path)
+    # A row for each partition of the log.
+    following = dict(kept["next"]) if kept else {}
+    for r in spans.rows.groupBy("partition").agg(F.count(F.lit(1)).alias("rows")).collect():
+        name = str(r["partition"])
+        following[name] = following.get(name, 0) + r["rows"]
+    appends = (kept["appends"] if kept else []) + ([append_id] if append_id else [])
+    write_text(spark, note, json.dumps(
+        {"partitions": partitions, "next": following, "appends": appends}))
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -49,6 +75,8 @@ def stream_log(spark: SparkSession, path: str, stored: bool = True,
 def read_committed(spark: SparkSession, path: str) -> DataFrame:
     """The finished batches a stream has written below ``path``."""
     done = matching_parents(spark, f"{path}/batch=*/_SUCCESS")
+    if not done and has_files(spark, f"{path}/*.parquet"):
+        raise ValueError(f"{path} holds rows, but was not written in batches")
     if not done:
         return spark.createDataFrame([], LOG_SCHEMA).withColumn(
             "batch", F.lit(0).cast("bigint"))

@@ -7,15 +7,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.strings import java_split, text_lines
 
 
-def _positioned(lines: DataFrame) -> DataFrame:
-    """``line`` and ``ord``: file age, file, block start, row within the task.
+def _positioned(lines: DataFrame, batch: int | None = None) -> DataFrame:
+    """``line`` and ``ord``: in a stream the micro-batch, then file age, file,
+    block start, row within the task.
 
     One task reads a block from front to back, so the row id increases along
-    it. Files are ordered as a file stream takes them, oldest first.
+    it. Files are ordered as a file stream takes them, oldest first; files of
+    one age or older ones may come in a later micro-batch.
     """
     return lines.select(
         F.col("value").alias("line"),
         F.array(
+            *([] if batch is None else [F.lit(batch).cast("bigint")]),
             F.unix_micros(F.col("_metadata.file_modification_time")),
             F.xxhash64("_metadata.file_path"),
             F.col("_metadata.file_block_start"),
@@ -36,7 +39,7 @@ def stream_lines(spark: SparkSession, path: str, **options) -> DataFrame:
 
 def lines_prepared(to_log):
     """Turn a function of positioned lines into a stream's ``prepare`` step."""
-    return lambda batch: to_log(_positioned(batch))
+    return lambda batch, number: to_log(_positioned(batch, number))
 
 
 def _words(df: DataFrame, line: Column, keep: list[str]) -> DataFrame:

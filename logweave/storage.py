@@ -62,6 +62,52 @@ def matching_parents(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath().getParent().toString()) for s in found)
 
 
+def publish(df: DataFrame, folder: str, name: str) -> None:
+    """Write a table as ``folder/name`` so that readers see all of it or nothing.
+
+    It is written under a hidden name and then renamed. What is there already
+    stays: the name stands for the content, as a repeated micro-batch gives the
+    same rows, and a stream that has taken these files isn't given others.
+    """
+    spark = df.sparkSession
+    fs, target = _file_system(spark, f"{folder}/{name}")
+    done = spark._jvm.org.apache.hadoop.fs.Path(target, "_SUCCESS")
+    if fs.exists(done):
+        return
+    fs.delete(target, True)
+    hidden = f"{folder}/_pending-{uuid.uuid4().hex}"
+    df.write.parquet(hidden)
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(hidden), target):
+        raise OSError(f"cannot rename {hidden}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or None."""
+    fs, jpath = _file_system(spark, path)
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file."""
+    fs, jpath = _file_system(spark, path)
+    stream = fs.create(jpath, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def has_files(spark: SparkSession, pattern: str) -> bool:
+    fs, jpath = _file_system(spark, pattern)
+    return bool(fs.globStatus(jpath))
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     fs, jpath = _file_system(spark, path)
     fs.delete(jpath, True)

@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..operators.window import window_length
+from ..operators.window import snapshot_of, unique_positions, window_length
 from ..schema import LOG_SCHEMA
-from ..storage import drop_path
+from ..storage import _file_system, drop_path
 
 CARRY_SCHEMA = T.StructType(LOG_SCHEMA.fields + [
     T.StructField("n", T.LongType()), T.StructField("version", T.LongType())])
@@ -52,6 +52,13 @@ class CarryStore:
             rows = rows.join(keys.select("key").distinct(), "key", "left_semi")
         return _latest(rows)
 
+    def latest(self, stage: int) -> DataFrame | None:
+        """State after the last batch that was carried on, of all keys."""
+        fs, root = _file_system(self.spark, f"{self.root}/stage={stage}/delta=*/_SUCCESS")
+        done = [int(s.getPath().getParent().getName().partition("=")[2])
+                for s in fs.globStatus(root) or []]
+        return self.read(stage, max(done) + 1) if done else None
+
     def write(self, stage: int, batch: int, rows: DataFrame) -> None:
         """Save the state (key, value, ord, n) of the keys of ``batch``."""
         (rows.withColumn("version", F.lit(batch).cast("bigint"))
@@ -80,5 +87,4 @@ def carry_snapshot(carry: DataFrame, size: int, slide: int, fn) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("ord", "value"))).alias("last"))
     length = window_length(F.col("n"), size, slide)
     window = F.slice("last.value", F.size("last") - length + 1, length)
-    return held.select("key", "n", window.alias("window")).select(
-        "key", "n", "window", fn(F.col("key"), F.col("window")).alias("value"))
+    return snapshot_of(held.select("key", "n", unique_positions(window).alias("window")), fn)

@@ -3,12 +3,14 @@
 A micro-batch goes through the batch operators. Before a window stage the
 carried records of the batch's keys join it as context, and afterwards the new
 last records are carried on. Carry and output of batch ``b`` are written to
-places named by ``b``, so a batch that is run again after a failure replaces
-what it wrote: each record counts once, at the sink too.
+places named by ``b``. A batch that is run again after a failure writes the same
+carry again and leaves output alone that it had finished: each record counts
+once, at the sink and in every stream that reads it.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Callable
 
 from pyspark import StorageLevel
@@ -20,39 +22,36 @@ from ..operators.window import frames
 from ..plans.pipeline import Pipeline
 from ..plans.stages import WindowStage
 from ..schema import require_log
+from ..storage import publish
 from .carry import CarryStore
 
 
 def run_stream(pipeline: Pipeline, source: DataFrame, out: str,
                checkpoint: str,
-               prepare: Callable[[DataFrame], DataFrame] | None = None,
+               prepare: Callable[[DataFrame, int], DataFrame] | None = None,
                hops: dict[int, str] | None = None,
                trigger: dict | None = None,
                compact_every: int = 10,
                rows_per_span: int | None = None,
-               after_output: Callable[[int], None] | None = None
+               after_output: Callable[[int], None] | None = None,
+               use_workers: bool = False
                ) -> StreamingQuery:
     """Start ``pipeline`` on a streaming DataFrame.
 
-    ``prepare`` turns a micro-batch into a keyed log; without it the source
-    must be one. Output goes to ``out/batch=<id>`` and is read with
-    ``read_committed``; ``hops`` names further folders for the output of single
-    stages (1-based). ``after_output`` is called when a batch is written, before
-    Spark commits it. A pipeline without windows and extras uses Spark's file
-    sink.
+    ``prepare`` turns a micro-batch and its number into a keyed log; without it
+    the source must be one. Output goes to ``out/batch=<id>`` when the batch is
+    finished, and is read with ``read_committed`` or by a further stream with
+    ``stream_log(stored=False)``; ``hops`` names further folders for the output
+    of single stages (1-based). ``after_output`` is called when a batch is
+    written, before Spark commits it. ``use_workers`` makes a window stage use
+    its configured number of partitions.
     """
     options = trigger or {"availableNow": True}
-    stateless = not any(isinstance(s, WindowStage) for s in pipeline.stages)
-    if stateless and not (prepare or hops or after_output):
-        return (pipeline.run(source).writeStream.format("parquet")
-                .option("checkpointLocation", checkpoint)
-                .trigger(**options).start(out))
-
     spark = source.sparkSession
     store = CarryStore(spark, f"{checkpoint}/carry", compact_every)
 
     def process(batch: DataFrame, number: int) -> None:
-        log = require_log(prepare(batch) if prepare else batch)
+        log = require_log(prepare(batch, number) if prepare else batch)
         held = []
         try:
             for at, stage in enumerate(pipeline.stages, 1):
@@ -61,6 +60,9 @@ def run_stream(pipeline: Pipeline, source: DataFrame, out: str,
                         log = log.persist(StorageLevel.MEMORY_AND_DISK)
                         held.append(log)
                     spans = plan_spans(log, "key", rows_per_span)
+                    if use_workers and stage.workers and not spans:
+                        spans = replace(spans, rows=spans.rows.repartition(
+                            stage.workers, "key"))
                     framed = frames(
                         spans.rows, stage.size, stage.slide, spans,
                         store.read(at, number, log), True, stage.fn)
@@ -89,5 +91,4 @@ def run_stream(pipeline: Pipeline, source: DataFrame, out: str,
 
 
 def _save(log: DataFrame, path: str, number: int) -> None:
-    log.select("key", "value", "ord").write.mode("overwrite").parquet(
-        f"{path}/batch={number}")
+    publish(log.select("key", "value", "ord"), path, f"batch={number}")

@@ -1,25 +1,16 @@
-"""The recorded sample run: 126 records through window concat and upper case."""
+"""A seeded log under five keys, and what the plain replay of the window rule
+makes of it: window concat and upper case."""
 
-TOKENS = list("abcdefghilmnopqrstuvz") * 6
+import random
 
-DIGITS = """
-344040410040330234244
-324133403021224242110
-401122201011412443113
-143000143333241102133
-132222030404334314242
-120112114202331231414
-""".split()
+from .replay import replay
 
-KEYS = ["Key" + d for d in "".join(DIGITS)]
+_random = random.Random(11)
+INPUT = [(f"Key{_random.randrange(5)}", _random.choice("abcdefghijklmnopqrst"), i)
+         for i in range(126)]
 
-VALUES = """
-A B BC D BCE DF CEG H DFI FIL EGM ILN AO AOP LNQ R OPS GMT RU MTV TVZ
-PSA RUB VZC HD SAE AEF ZCG NQH EFI QHL UBM HDN BMO MOP CGQ OPR GQS PRT DNU NUV HLZ
-QSA LZB UVC VCD RTE TEF EFG ZBH CDI BHL DIM IMN SAO MNP FGQ AOR ORS FIT NPU PUV ITZ
-UVA RSB TZC HLD LDE DEF VAG SBH ZCI CIL ILM LMN GQO BHP AGQ GQR EFS QOT QRU MNV NVZ
-RUA VZB OTC TCD CDE DEF FSG ZBH SGI HPL GIM PLN BHO HOP LNQ OPR UAS NQT EFU QTV FUZ
-ASA UZB IMC SAD ADE ZBF DEG EGH TVI BFL MCM FLN PRO ROP GHQ LNR OPS HQT VIU QTV IUZ
-""".split()
+_WINDOWS = replay([(k, v, [i]) for k, v, i in INPUT], 3, 1)
+VALUES = ["".join(_WINDOWS[k, (i,)][0]).upper() for k, _, i in INPUT]
 
-INPUT = [(k, v, i) for i, (k, v) in enumerate(zip(KEYS, TOKENS))]
+#: The hashes of Key0 to Key4 are successive numbers, the first of them odd.
+ODD = sum(k in ("Key0", "Key2", "Key4") for k, _, _ in INPUT)

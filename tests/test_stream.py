@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from logweave.functions import concat
 from logweave.plans import Pipeline
-from logweave.schema import LOG_SCHEMA
 from logweave.sources import (lines_prepared, read_committed, stream_lines,
                               stream_log, tokenize_lines)
 from logweave.streaming import CarryStore, carry_snapshot, run_stream
@@ -132,14 +131,68 @@ def test_hops(spark, log_of, tmp_path):
     assert [r["value"].upper() for r in seen] == golden.VALUES
 
 
-def test_stateless_pipeline_uses_the_file_sink(spark, log_of, tmp_path):
+def test_stateless_pipeline(spark, log_of, tmp_path):
     feed = Feed(spark, log_of, tmp_path, Pipeline.of("filter", "map"))
     feed.add(golden.INPUT[:60])
     feed.run()
     feed.add(golden.INPUT[60:])
     feed.run()
-    assert (tmp_path / "out/_spark_metadata").exists()
-    assert spark.read.schema(LOG_SCHEMA).parquet(feed.out).count() == 73
+    assert len(feed.rows()) == golden.ODD
+
+
+def test_rows_without_batches_are_refused(spark, log_of, tmp_path):
+    log_of(golden.INPUT).write.parquet(str(tmp_path / "plain"))
+    with pytest.raises(ValueError, match="not written in batches"):
+        read_committed(spark, str(tmp_path / "plain"))
+
+
+def test_nulls_are_counted_in_a_stream(spark, log_of, tmp_path):
+    maybe = lambda k, v: F.when(v != "v2", v)
+    pipe = Pipeline.of(("map", {"fn": maybe}), ("windowaggregate", {"size": 2, "slide": 1}))
+    rows = [("a", f"v{i}", i) for i in range(6)]
+    feed = Feed(spark, log_of, tmp_path, pipe)
+    feed.add(rows[:3])
+    feed.add(rows[3:])
+    feed.run()
+    assert [v for _, _, v in feed.rows()] == ["v0", "v0v1", "v1", "v3", "v3v4", "v4v5"]
+
+
+def test_null_keys_fail(spark, log_of, tmp_path):
+    pipe = Pipeline.of(("rekey", {"fn": lambda k, v: F.when(v != "v1", k)}), "windowaggregate")
+    rows = [("a", f"v{i}", i) for i in range(3)]
+    with pytest.raises(Exception, match="null key"):
+        pipe.run(log_of(rows)).collect()
+    feed = Feed(spark, log_of, tmp_path, pipe)
+    feed.add(rows)
+    with pytest.raises(Exception, match="null key"):
+        feed.run()
+
+
+def test_second_stream_sees_a_batch_once(spark, log_of, tmp_path):
+    """A batch that failed after its output: the output stays as it is."""
+    feed = Feed(spark, log_of, tmp_path, Pipeline.of("map"))
+    feed.add(golden.INPUT[:9])
+
+    def fail(batch):
+        raise RuntimeError("stopped on purpose")
+
+    with pytest.raises(Exception, match="stopped on purpose"):
+        feed.run(after_output=fail)
+    files = sorted(p.name for p in (tmp_path / "out").glob("batch=*/*.parquet"))
+    feed.run()
+    assert files == sorted(p.name for p in (tmp_path / "out").glob("batch=*/*.parquet"))
+    assert len(feed.rows()) == 9
+
+
+def test_snapshot_of_pairs(spark, log_of, tmp_path):
+    pair = lambda k, w: (F.upper(k), F.array_join(w, ""))
+    feed = Feed(spark, log_of, tmp_path, Pipeline.of(
+        ("windowaggregate", {"size": 2, "slide": 1, "fn": pair})))
+    feed.add([("a", "x", 1), ("a", "y", 2), ("a", "z", 3)])
+    feed.run()
+    carry = CarryStore(spark, feed.checkpoint + "/carry").latest(1)
+    row = carry_snapshot(carry, 2, 1, pair).collect()[0]
+    assert (row["key"], row["new_key"], row["value"]) == ("a", "A", "yz")
 
 
 def test_text_stream(spark, tmp_path):
@@ -177,7 +230,7 @@ def test_console_and_other_sinks_take_the_stream(spark, log_of, tmp_path):
              .queryName("seen").trigger(availableNow=True)
              .option("checkpointLocation", str(tmp_path / "c")).start())
     query.awaitTermination()
-    assert spark.table("seen").count() == 73
+    assert spark.table("seen").count() == golden.ODD
 
 
 @pytest.mark.parametrize("slide", [1, 2])
@@ -202,3 +255,22 @@ def test_batch_that_a_filter_empties(spark, log_of, tmp_path):
     feed.add([("Key0", "c", 5)])
     feed.run()
     assert [v for _, _, v in feed.rows()] == ["A", "AB", "ABC"]
+
+
+def test_files_of_one_age(spark, tmp_path):
+    """Text files with equal times, one for each micro-batch."""
+    import os
+    (tmp_path / "text").mkdir()
+    for name in "dbac":
+        (tmp_path / f"text/{name}.txt").write_text(f"{name}1 {name}2\n")
+        os.utime(tmp_path / f"text/{name}.txt", (1_700_000_000, 1_700_000_000))
+
+    def to_log(lines):
+        return tokenize_lines(lines).select(F.lit("k").alias("key"), "value", "ord")
+
+    run_stream(Pipeline.of("windowaggregate"),
+               stream_lines(spark, str(tmp_path / "text"), maxFilesPerTrigger=1),
+               str(tmp_path / "out"), str(tmp_path / "checkpoint"),
+               prepare=lines_prepared(to_log)).awaitTermination()
+    out = read_committed(spark, str(tmp_path / "out")).orderBy("ord").collect()
+    assert len(out) == 8 and {len(r["value"]) for r in out[2:]} == {6}

@@ -184,3 +184,29 @@ def test_numbers_against_replay(log_of, name, slide, rows_per_span):
     out = window_aggregate(spans.rows, 4, slide, AGGREGATES[name], spans)
     assert {(r["key"], tuple(r["ord"])): r["value"] for r in out.collect()} == {
         at: python(w) for at, (w, _, _) in replay(rows, 4, slide).items()}
+
+
+def test_nulls_are_counted(log_of, spark):
+    from logweave.schema import LOG_SCHEMA
+    rows = [("k", v, [i]) for i, v in enumerate(["a", "b", None, "c", "d"])]
+    log = spark.createDataFrame(rows, "key string, value string, ord array<bigint>")
+    assert LOG_SCHEMA.names == log.columns
+    got = {r["ord"][0]: list(r["window"]) for r in count_window(log, 3, 2).collect()}
+    assert got == {0: ["a"], 1: ["a", "b"], 2: ["a", "b", None], 3: [None, "c"],
+                   4: [None, "c", "d"]}
+
+
+@pytest.mark.parametrize("column", ["window", "evicted", "prior"])
+def test_repeated_position_fails_in_every_column(log_of, column):
+    log = log_of([("k", "a", 1), ("k", "b", 1), ("k", "c", 2)])
+    with pytest.raises(Exception, match="position used twice"):
+        count_window(log, 2, 1).select(column).collect()
+
+
+def test_repeated_position_fails_in_snapshot_and_offsets(log_of):
+    from logweave.operators import assign_offset, assign_partition, window_snapshot
+    log = log_of([("k", "a", 1), ("k", "b", 1), ("k", "c", 2)])
+    with pytest.raises(Exception, match="position used twice"):
+        window_snapshot(log, 3, 1).collect()
+    with pytest.raises(Exception, match="position used twice"):
+        assign_offset(assign_partition(log, 2)).collect()
