@@ -33,7 +33,7 @@ from .components import components
 #: Values in a tree's label.
 DEEPEST = 5
 #: Largest node whose classes are paired directly, and classes in a block.
-SMALL_NODE, BLOCK = 32, 128
+SMALL_NODE, BLOCK = 32, 256
 #: Columns of a tile's incidence matrix that are held at once.
 _COLUMNS = 8192
 _U = np.uint64
@@ -252,8 +252,9 @@ def _candidates(classes: DataFrame, trees: int, depth: int, threshold: float):
     rows = settle(rows.join(counts, "node"), "nodes")
     few, many = rows.where(F.col("held") <= SMALL_NODE), rows.where(
         F.col("held") > SMALL_NODE)
-    # A class of large nodes lies in one block, a share of one of those nodes.
-    blocks = many.groupBy("key").agg(F.min(F.struct("node", "held")).alias("home")).select(
+    # A class of large nodes lies in one block, a share of the largest of them:
+    # a group of near copies has one or a few such homes, so few blocks meet.
+    blocks = many.groupBy("key").agg(F.max(F.struct("held", "node")).alias("home")).select(
         "key", F.xxhash64("home.node", F.pmod(
             F.xxhash64("key"), F.ceil(F.col("home.held") / BLOCK))).alias("g"))
     blocks = settle(blocks, "blocks")
