@@ -90,4 +90,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_template_decontamination, op6_ordinal_quality, op7_embedding_dedup,
         op8_sentencepiece, op9_substring_dedup, op10_toxicity, pipeline)}
 
-ORACLE: dict[str, str] = {}
+_REACH = """
+reach AS (SELECT i AS a, i AS b FROM nodes UNION
+          SELECT reach.a, links.j FROM reach JOIN links ON links.i = reach.b),
+heads AS (SELECT a AS i, min(b) AS head FROM reach GROUP BY a)"""
+
+_NGRAM_JOIN = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id AS i, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}\\p{{M}}]+') AS w
+  FROM documents),
+grams AS (
+  SELECT i, list_sort(list_distinct(CASE
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3),
+                                         lambda k: array_to_string(w[k:k + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g FROM words),
+nodes AS (SELECT i, g, len(g) AS n FROM grams),
+each AS (SELECT i, n, hash(unnest(g)) AS x FROM nodes),
+shared AS (SELECT p.i, q.i AS j, p.n AS n, q.n AS m, count(*) AS c
+           FROM each p JOIN each q ON p.x = q.x AND p.i <> q.i GROUP BY ALL),
+links AS (SELECT i, j FROM shared WHERE c / (n + m - c) >= 0.8),
+{_REACH},
+counts AS (SELECT i, count(*) AS k FROM links GROUP BY i)
+SELECT nodes.i AS doc_id,
+       CASE WHEN n = 0 THEN nodes.i ELSE min(nodes.i) OVER (PARTITION BY g) END AS class_id,
+       coalesce(k, 0) AS n_links, head AS group_id, head = nodes.i AS kept
+FROM nodes JOIN heads ON heads.i = nodes.i LEFT JOIN counts ON counts.i = nodes.i"""
+
+_VECTOR_LINKS = f"""
+WITH RECURSIVE nodes AS (
+  SELECT vec_id AS i, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+links AS (SELECT p.i, q.i AS j FROM nodes p JOIN nodes q
+          ON p.label = q.label AND p.i <> q.i
+          WHERE list_cosine_similarity(p.v, q.v) >= 0.93),
+{_REACH},
+counts AS (SELECT i, count(*) AS k FROM links GROUP BY i)
+SELECT nodes.i AS vec_id, coalesce(k, 0) AS n_links, head AS component_id,
+       head = nodes.i AS kept
+FROM nodes JOIN heads ON heads.i = nodes.i LEFT JOIN counts ON counts.i = nodes.i"""
+
+ORACLE: dict[str, str] = {"op1_ngram_jaccard_join": _NGRAM_JOIN,
+                          "op7_embedding_dedup": _VECTOR_LINKS}

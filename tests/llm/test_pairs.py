@@ -3,12 +3,13 @@
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
 from logweave.llm import ngram_join as join
 from logweave.llm import textual
-from logweave.llm.catalog import op1_ngram_jaccard_join, op7_embedding_dedup
+from logweave.llm.catalog import ORACLE, QUERIES, op1_ngram_jaccard_join, op7_embedding_dedup
 from logweave.llm.components import components
 from logweave.llm.embedding_dedup import embedding_dedup
 
@@ -152,3 +153,14 @@ def test_op7(spark):
     got = op7_embedding_dedup(spark, SMALL)
     assert got.count() == spark.read.parquet(f"{SMALL}/embeddings.parquet").count()
     assert {"vec_id", "n_links", "component_id", "kept"} <= set(got.columns)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_sql(spark, name):
+    duck = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
+    want = duck.execute(ORACLE[name]).fetchall()
+    columns = [d[0] for d in duck.description]
+    got = QUERIES[name](spark, SMALL).select(*columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
