@@ -238,7 +238,7 @@ ORACLE = {
     "stages_text": _TEXT,
     "stages_empty_windows": _window(_MAX_OF_SOME, 3, 2, value=(
         "CASE WHEN len(win) > 0 THEN coalesce(CAST(list_max(list_transform(win, "
-        "x -> CAST(x AS DOUBLE))) AS VARCHAR), 'none') ELSE 'none' END || '/' || len(win)")),
+        "lambda x: CAST(x AS DOUBLE))) AS VARCHAR), 'none') ELSE 'none' END || '/' || len(win)")),
     "window_rekeyed_large": _window(
         f"SELECT 'all' AS key, value, seq FROM ({_window(EVENTS, 3, 1)}) AS w", 4, 3),
     "stages_workers": _FOUR,
