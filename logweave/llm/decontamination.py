@@ -255,7 +255,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         def run(batches: Iterator[pa.RecordBatch], shared=shared, cache=cache
                 ) -> Iterator[pa.RecordBatch]:
             table = _held(shared, cache)
-            for batch in batches:
+            for batch in textual.small(batches):
                 names = batch.column("text").to_pylist()
                 rows = [(first + d, table.ids[i], c, n)
                         for first, last in textual.batches(names, textual.SLICE)

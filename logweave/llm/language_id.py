@@ -193,7 +193,7 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if key not in _PARSERS:
             _PARSERS.clear()
             _PARSERS[key] = Parser(shared.value)
-        for batch in batches:
+        for batch in textual.small(batches):
             found = _PARSERS[key].predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"),

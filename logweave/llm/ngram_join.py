@@ -68,7 +68,7 @@ def _minima(grams: np.ndarray, rates) -> np.ndarray:
 
 def _sets(batches, size: int):
     """``(columns, row, n-grams)`` of the texts of Arrow batches."""
-    for batch in batches:
+    for batch in textual.small(batches):
         texts = batch.column("text").to_pylist()
         for first, last in textual.batches(texts):
             words = textual.words_of(texts[first:last])
@@ -113,7 +113,7 @@ def _nodes(trees: int, depth: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = np.arange(trees, dtype=_U)
-        for batch in batches:
+        for batch in textual.small(batches):
             if not batch.num_rows:
                 continue
             sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32)
@@ -140,7 +140,7 @@ def _chance(jaccard, depth: int, trees: int):
 
 def _verified_pairs(threshold: float, depth: int, trees: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textual.small(batches):
             keep, chances = [], []
             for i, (x, y) in enumerate(zip(batch.column("ga"), batch.column("gb"),
                                            strict=True)):

@@ -157,7 +157,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     values = np.array(grades, float)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textual.small(batches):
             texts = batch.column("text").to_pylist()
             p = np.full((len(texts), max(len(values), 1)), np.nan)
             if shared.value is not None:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pieces import MARK, Pieces, pieces_of, read_model
+from .textual import small
 
 #: Characters of a chunk; texts with more are cut.
 CHUNK = 32_768
@@ -322,7 +323,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model.value)
-        for batch in batches:
+        for batch in small(batches):
             column = batch.column("text").to_pylist()
             for first in range(0, len(column), 500):
                 got = [None if t is None else pieces.encode(marked(t)).astype(np.int32)
@@ -334,7 +335,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(model.value)
-        for batch in batches:
+        for batch in small(batches):
             for key, text in zip(batch.column("text_key").to_pylist(),
                                  batch.column("text").to_pylist(), strict=True):
                 for k, part, *place in _cuts(marked(text), lattice.pieces.longest, size):
@@ -346,7 +347,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longest = pieces_of(model.value).longest
-        for batch in batches:
+        for batch in small(batches):
             for i, text in enumerate(batch.column("text").to_pylist()):
                 whole = marked(text)
                 total = -(-len(whole) // size)
@@ -360,7 +361,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = _lattice(model.value)
-        for batch in batches:
+        for batch in small(batches):
             rows = batch.to_pylist()
             got = [Chunk(lattice, r["part"], r["begin"], r["end"], r["head"], r["tail"]).encode(
                 r["enter"], r["leave"]).astype(np.int32) for r in rows]
@@ -401,7 +402,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model.value)
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for ids, chunk in zip(batch.column("ids"), batch.column("chunk").to_pylist(),
                                   strict=True):

@@ -44,7 +44,7 @@ def _gear(codes: np.ndarray) -> np.ndarray:
 
 def chunks(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends, digests and word counts of a text's chunks; they cover it.
-    A stretch of a million characters without a border is cut there."""
+    A stretch of ``SLICE`` characters without a border is cut there."""
     table = textual.char_classes()
     out = []
     at, n = 0, len(text)
@@ -91,7 +91,7 @@ def _again(digests: np.ndarray) -> np.ndarray:
 
 
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in textual.small(batches):
         texts = batch.column("text").to_pylist()
         for first, last in textual.batches(texts, textual.SLICE):
             digests, inner = [], []

@@ -16,7 +16,7 @@ from typing import NamedTuple
 import numpy as np
 
 #: Characters handled at once.
-SLICE = 1 << 20
+SLICE = 1 << 18
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 
@@ -166,6 +166,14 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
+def small(batches: Iterator, rows: int = 1000) -> Iterator:
+    """Arrow batches cut into shorter ones, so that few texts are Python strings
+    at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def batches(texts: list[str | None], most: int = 4 * SLICE) -> Iterator[tuple[int, int]]:
     """Runs of successive texts with about ``most`` characters."""
     first, held = 0, 0

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..storage import settle
 from .labelled import held_out, labelled_sample
+from .textual import small
 
 #: Labelled documents the lexicon and the calibration are fitted on, about.
 SAMPLE = 20_000
@@ -120,7 +121,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         other.clear()
         return batch
 
-    for batch in batches:
+    for batch in small(batches):
         for text, label in zip(batch.column("text").to_pylist(),
                                batch.column("label").to_pylist(), strict=True):
             words = set(folded(text).split())
@@ -200,7 +201,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         automaton = _automaton(weights)
 
         def measured(batches):
-            for batch in batches:
+            for batch in small(batches):
                 got = np.array([measures(t, automaton) for t in
                                 batch.column("text").to_pylist()]).reshape(-1, 3)
                 yield pa.RecordBatch.from_arrays(
@@ -243,7 +244,7 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _scorer(shared.value)
-        for batch in batches:
+        for batch in small(batches):
             got = score(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(got),

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..storage import settle
-from .textual import mix
+from .textual import mix, small
 
 #: Ids in a sequence, and bytes of text for which a shard file is planned.
 SEQUENCE, SHARD_TEXT = 1024, 32 << 20
@@ -108,7 +108,7 @@ def _packed(shared, length: int, domain: int, shards: int, key: int):
         parts = domain // PLACES
         if part >= parts:
             raise ValueError("more tasks than the plan announced")
-        for batch in batches:
+        for batch in small(batches):
             for text in batch.column("text").to_pylist():
                 if text is not None:
                     held += [np.array(encoding.encode_ordinary(text), np.uint16), end]
@@ -144,7 +144,7 @@ def _written(folder: str):
                 stream.close()
                 store.move(name, _file(root, shard))
 
-        for batch in batches:
+        for batch in small(batches):
             ranks, sums = [], []
             for row_shard, record in zip(batch.column("shard").to_pylist(),
                                          batch.column("record").to_pylist(), strict=True):
@@ -214,7 +214,7 @@ def read_sequences(spark: SparkSession, folder: str, manifest: DataFrame, first:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = pyarrow.fs.FileSystem.from_uri(folder)
         stream, opened, at = None, None, 0
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for shard, offset in zip(batch.column("shard").to_pylist(),
                                      batch.column("byte_offset").to_pylist(), strict=True):
