@@ -2,11 +2,11 @@
 
 A window over ``partitionBy(key)`` puts a whole key into one task. Where one
 key may hold a third of all rows that task never ends, so the rows of groups
-above a limit are range-partitioned by ``ord``, and each range is a *span* that
-is processed on its own. What a span needs from the rows before it is small and
-known: how many there are, and the last ``reach`` of them. These context rows
-are copied into the span, so the ordinary window frames then give the exact
-result.
+above a limit are range-partitioned by ``ord`` and cut into *spans* of at most
+that many rows, which are processed on their own. What a span needs from the
+rows before it is small and known: how many there are, and the last ``reach``
+of them. These context rows are copied into the span, so the ordinary window
+frames then give the exact result.
 
 Where the ranges are cut only decides how evenly the work is spread. Any cut
 gives the same result.
@@ -17,23 +17,16 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyspark.sql import (Column, DataFrame, SparkSession, Window,
-                         functions as F, types as T)
-from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..storage import settle
 
 #: Rows of one group that one task may take on.
 ROWS_PER_SPAN = 1_000_000
 
-#: Bound on the spans of all large groups, about; on huge inputs spans grow
-#: instead. One short row per span is kept in the plan and broadcast.
-MAX_SPANS = 20_000
-
-#: Up to this many large groups are told apart by an IN list, which Spark
-#: moves down to the scan; more by a broadcast join.
-_IN_LIST = 100
+#: Partitions of the exchange that sorts the large groups, at most; a partition
+#: is cut into as many spans as its rows need.
+_RANGES = 10_000
 
 #: The span of a group that is not split.
 WHOLE = -1
@@ -44,8 +37,8 @@ class SpanPlan:
     """The rows to work on and, if any group is split, its spans.
 
     ``rows`` then has a column ``span``, and ``edges`` one row per span: the
-    group, ``span``, the rows of the group ``upto`` its end, and the ``first``
-    and ``last`` span of the group.
+    group, ``span``, the rows of the group ``before`` it and ``upto`` its end,
+    and the ``first`` and ``last`` span of the group.
     """
 
     group: str
@@ -60,54 +53,48 @@ def plan_spans(rows: DataFrame, group: str = "key",
                rows_per_span: int | None = None) -> SpanPlan:
     """Count the rows per group and split the large groups.
 
-    The count reads the group column only and is combined before its shuffle.
-    When no group is large, which is the usual case, nothing else happens.
-    Otherwise the rows of the large groups are written to the shared folder in
-    ranges; those of all other groups stay where they are.
+    Rows that take more than a scan to make are written to the shared folder
+    first and counted there. The count reads the group column only and is
+    combined before its shuffle. When no group is large, which is the usual
+    case, nothing else happens. Otherwise the rows of the large groups are
+    written in ranges; those of all other groups stay where they are.
     """
     limit = rows_per_span or ROWS_PER_SPAN
-    size = _sizes(rows, group).agg(F.sum("rows").alias("all"),
-                                   F.max("rows").alias("top")).first()
-    if size["top"] is None or size["top"] <= limit:
-        return SpanPlan(group, rows)
-    limit = max(limit, -(-size["all"] // MAX_SPANS))
-    if size["top"] <= limit:
-        return SpanPlan(group, rows)
-
-    if costly(rows):                 # several passes follow
+    if costly(rows):
         rows = settle(rows, "rows")
-    # Fewer than MAX_SPANS groups can be above the limit.
-    large = _sizes(rows, group).filter(F.col("rows") > limit).collect()
-    inside, outside = _told_apart(rows, group, [r[group] for r in large])
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
+    large = sizes.filter(F.col("rows") > limit)
+    found = large.agg(F.sum("rows")).first()[0]
+    if found is None:
+        return SpanPlan(group, rows)
 
-    ranges = -(-sum(r["rows"] for r in large) // limit)
+    large = settle(large.select(group), "large")
+    ranges = min(-(-found // limit), _RANGES)
+    place = F.monotonically_increasing_id()
     split = settle(
-        inside.repartitionByRange(ranges, group, "ord")
-        .withColumn("span", F.spark_partition_id()), "spans")
+        rows.join(large, group, "left_semi")
+        .repartitionByRange(ranges, group, "ord").sortWithinPartitions(group, "ord")
+        # Partitions follow each other, and so do the rows of each.
+        .withColumn("span", F.shiftright(place, 33) * (1 << 24) + F.floor(
+            place.bitwiseAND((1 << 33) - 1) / limit)), "spans")
     return SpanPlan(
         group,
-        outside.withColumn("span", F.lit(WHOLE)).unionByName(split),
+        rows.join(large, group, "left_anti").withColumn(
+            "span", F.lit(WHOLE).cast("bigint")).unionByName(split),
         edges_of(split, group))
 
 
 def edges_of(split: DataFrame, group: str) -> DataFrame:
-    """Count the rows of each span of the large groups."""
+    """Count the rows of each span of the large groups: a table of its own, as
+    small as the spans are few."""
     along = Window.partitionBy(group).orderBy("span")
     whole = Window.partitionBy(group)
-    edges = (
+    upto = F.sum("rows").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    return settle(
         split.groupBy(group, "span").agg(F.count(F.lit(1)).alias("rows"))
-        .select(group, "span",
-                F.sum("rows").over(along.rowsBetween(
-                    Window.unboundedPreceding, 0)).alias("upto"),
+        .select(group, "span", upto.alias("upto"), (upto - F.col("rows")).alias("before"),
                 F.min("span").over(whole).alias("first"),
-                F.max("span").over(whole).alias("last")))
-    found = edges.collect()           # one row per span, see MAX_SPANS
-    return _local(split.sparkSession, edges.schema,
-                  [[r[c] for r in found] for c in edges.columns])
-
-
-def _sizes(rows: DataFrame, group: str) -> DataFrame:
-    return rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
+                F.max("span").over(whole).alias("last")), "edges")
 
 
 def costly(rows: DataFrame) -> bool:
@@ -119,31 +106,10 @@ def costly(rows: DataFrame) -> bool:
                      plan) is not None
 
 
-def _told_apart(rows: DataFrame, group: str,
-                large: list) -> tuple[DataFrame, DataFrame]:
-    """Rows of the large groups, and all others."""
-    if len(large) <= _IN_LIST:
-        chosen = F.col(group).isin(large)
-        return rows.filter(chosen), rows.filter(~chosen)
-    names = F.broadcast(_local(rows.sparkSession, rows.select(group).schema,
-                               [large]))
-    return (rows.join(names, group, "left_semi"),
-            rows.join(names, group, "left_anti"))
-
-
-def _local(spark: SparkSession, schema: T.StructType,
-           columns: list[list]) -> DataFrame:
-    """A small table that is part of the plan, with its size known."""
-    arrow = to_arrow_schema(schema)
-    return spark.createDataFrame(pa.table(
-        [pa.array(c, f.type) for c, f in zip(columns, arrow)],
-        schema=arrow), schema)
-
-
 def in_first_span(rows: DataFrame, plan: SpanPlan) -> DataFrame:
     """Add ``span`` to rows that precede all others of their group."""
     first = plan.edges.filter("span = first").select(plan.group, "span")
-    return rows.join(F.broadcast(first), plan.group, "left").withColumn(
+    return rows.join(first, plan.group, "left").withColumn(
         "span", F.coalesce("span", F.lit(WHOLE)))
 
 
@@ -151,7 +117,7 @@ def in_all_spans(per_group: DataFrame, plan: SpanPlan) -> DataFrame:
     """Repeat one row per group for every span of its group, so that it joins
     to spanned rows on (group, span)."""
     spans = plan.edges.select(plan.group, "span")
-    return per_group.join(F.broadcast(spans), plan.group, "left").withColumn(
+    return per_group.join(spans, plan.group, "left").withColumn(
         "span", F.coalesce("span", F.lit(WHOLE)))
 
 
@@ -159,15 +125,20 @@ def closing(rows: DataFrame, plan: SpanPlan | None) -> DataFrame:
     """Add ``closing``: is this row in the last span of its group?"""
     if not plan:
         return rows.withColumn("closing", F.lit(True))
-    last = plan.edges.filter("span = last").select(plan.group, "last")
-    return rows.join(F.broadcast(last), plan.group, "left").withColumn(
-        "closing", F.coalesce(F.col("span") == F.col("last"), F.lit(True))
-    ).drop("last")
+    last = plan.edges.filter("span = last").select(
+        plan.group, "span", F.lit(True).alias("closing"))
+    return rows.join(last, [plan.group, "span"], "left").withColumn(
+        "closing", F.coalesce("closing", F.col("span") == WHOLE))
 
 
 def _context(rows: DataFrame, plan: SpanPlan, order: list[str], reach: int,
              carried: bool) -> DataFrame:
-    """The last ``reach`` rows before each span, with their number ``n0``."""
+    """The last ``reach`` rows before each span, with their number ``n0``.
+
+    A row whose place in its group is ``m`` belongs to the spans that have at
+    least ``m`` and less than ``m + reach`` rows before them. It meets them by
+    those numbers divided by ``reach``, so a large group is spread over tasks.
+    """
     group = plan.group
     split = rows.filter(F.col("span") != WHOLE)
 
@@ -176,26 +147,23 @@ def _context(rows: DataFrame, plan: SpanPlan, order: list[str], reach: int,
         *[F.col(c).desc() for c in order])
     tails = (split.withColumn("back", F.row_number().over(back))
              .filter(F.col("back") <= reach)
-             .join(F.broadcast(plan.edges.select(group, "span", "upto")),
-                   [group, "span"], "left"))
-    n: Column = F.col("upto") - F.col("back") + 1
+             .join(plan.edges.select(group, "span", "upto"), [group, "span"])
+             .withColumn("m", F.col("upto") - F.col("back") + 1))
+    n0 = F.col("m")
     if carried:
         seen = split.filter("n0 is not null").groupBy(group).agg(
             F.max("n0").alias("seen"))
         tails = tails.join(seen, group, "left")
-        n = F.coalesce("n0", n + F.coalesce("seen", F.lit(0)))
-    tails = tails.withColumn("n0", n)
-
-    along = Window.partitionBy(group).orderBy("n0")
-    others = [c for c in rows.columns if c not in (group, "span")]
-    return (
-        tails
-        .withColumn("before", F.collect_list(F.struct(*others)).over(
-            along.rowsBetween(-reach, -1)))
-        .withColumn("opens", F.lag("span").over(along) != F.col("span"))
-        .filter("opens")
-        .select(group, "span", F.explode("before").alias("b"))
-        .select(group, "span", *[F.col(f"b.{c}").alias(c) for c in others]))
+        n0 = F.coalesce("n0", n0 + F.coalesce("seen", F.lit(0)))
+    others = [c for c in rows.columns if c not in (group, "span", "n0")]
+    bin_of = lambda c: F.floor(F.col(c) / reach)
+    tails = tails.select(group, *others, n0.alias("n0"), "m", F.explode(F.array(
+        bin_of("m"), bin_of("m") + 1)).alias("bin"))
+    opens = plan.edges.filter("span <> first").select(
+        group, "span", "before", bin_of("before").alias("bin"))
+    return (tails.join(opens, [group, "bin"])
+            .filter((F.col("before") >= F.col("m")) & (F.col("before") < F.col("m") + reach))
+            .select(group, "span", *others, "n0"))
 
 
 def numbered(rows: DataFrame, group: str, plan: SpanPlan | None = None,

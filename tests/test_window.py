@@ -77,23 +77,32 @@ def test_any_cut_gives_the_same_result(log_of, size, slide):
         replay(rows, size, slide)
 
 
-def test_many_large_keys(log_of, monkeypatch):
-    """More large keys than an IN list takes."""
-    monkeypatch.setattr("logweave.operators.spans._IN_LIST", 2)
+def test_many_large_keys(log_of):
     rows = skewed(8)
     spans = plan_spans(log_of(rows), "key", 12)
     assert spans.edges.select("key").distinct().count() > 2
     assert collected(count_window(spans.rows, 4, 3, spans)) == replay(rows, 4, 3)
 
 
-def test_spans_grow_rather_than_their_number(log_of, monkeypatch):
-    monkeypatch.setattr("logweave.operators.spans.MAX_SPANS", 4)
+def test_few_ranges_are_cut_into_spans(log_of, monkeypatch):
+    """A span never has more rows than asked for, however few the ranges."""
+    monkeypatch.setattr("logweave.operators.spans._RANGES", 2)
     rows = skewed(8)
     spans = plan_spans(log_of(rows), "key", 10)
-    assert spans and spans.edges.count() <= 8
+    sizes = spans.rows.filter(F.col("span") != WHOLE).groupBy("key", "span").count()
+    assert sizes.count() > 8 and sizes.agg(F.max("count")).first()[0] <= 10
     assert collected(count_window(spans.rows, 3, 2, spans)) == replay(rows, 3, 2)
 
 
+def test_context_of_a_span_meets_by_place(log_of):
+    """No window runs over all last rows of a large key."""
+    spans = plan_spans(log_of(skewed(8)), "key", 10)
+    plan = count_window(spans.rows, 3, 2, spans)._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("span#" in line for line in windows)
+
+
 def test_small_keys_are_not_split(log_of):
     spans = plan_spans(log_of(skewed(1)), "key", 10_000)
     assert not spans
