@@ -359,6 +359,19 @@ def stages_text(spark, sf):
                 "doc_id", "line", "word")
 
 
+@query
+def stage_counters(spark, sf):
+    """How many records each stage of a pipeline gave out."""
+    pipe = Pipeline.of("filter", "flatmap",
+                       ("windowaggregate", {"size": 4, "slide": 2}), "map")
+    counters = {}
+    pipe.run(events(spark, sf), counters=counters).write.parquet(
+        scratch_path(spark, "counted"))
+    return spark.createDataFrame(
+        [(at, seen.get["records"]) for at, seen in counters.items()],
+        "stage int, records long")
+
+
 @query
 def stages_workers(spark, sf):
     """Configured worker counts bound the window's tasks, not its result."""

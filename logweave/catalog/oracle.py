@@ -242,6 +242,11 @@ ORACLE = {
     "window_rekeyed_large": _window(
         f"SELECT 'all' AS key, value, seq FROM ({_window(EVENTS, 3, 1)}) AS w", 4, 3),
     "stages_workers": _FOUR,
+    "stage_counters": f"""
+        SELECT 1 AS stage, count(*) AS records FROM ({_ODD_EVENTS}) AS e
+        UNION ALL SELECT s, n FROM (
+          SELECT count(*) AS n FROM ({_CHARS.format(src=_ODD_EVENTS)}) AS c) AS k,
+          (VALUES (2), (3), (4)) AS stages (s)""",
     "sink_overwritten": f"SELECT 'SINK RECORDS' AS line UNION ALL {_SINK_LINES}",
     "stage_hop": f"""
         SELECT key, value, seq, partition,

@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from ..operators.spans import SpanPlan, plan_spans
 from ..schema import require_log
 from ..sources.log import read_log, write_log
+from ..sources.sink import observe_stage
 from .stages import Stage, WindowStage, make_stage
 
 
@@ -73,21 +74,29 @@ class Pipeline:
 
     def run(self, log: DataFrame, rows_per_span: int | None = None,
             split_large_keys: bool = True,
-            use_workers: bool = False) -> DataFrame:
-        """Apply all stages as one plan.
+            use_workers: bool = False,
+            counters: dict[int, Observation] | None = None) -> DataFrame:
+        """Apply all stages.
+
+        The result is lazy, but key sizes are looked up in jobs of their own,
+        which first store what takes more than a scan to make: each stage runs
+        once, whatever the number of windows. ``split_large_keys=False`` runs
+        no job.
 
         Neighbouring stateless stages fuse, and windows on one key share a
         shuffle. Before a window, keys are checked for size unless an earlier
         check still holds or ``split_large_keys`` is off. ``use_workers`` makes
         a window stage use its configured number of partitions; by default
-        Spark sizes them at run time.
+        Spark sizes them at run time. ``counters`` is filled with an observation
+        for every stage (1-based), whose ``records`` and ``last_ord`` are there
+        when a job over the stage has ended.
         """
         log = require_log(log)
         if log.isStreaming and any(isinstance(s, WindowStage)
                                    for s in self.stages):
             raise ValueError("a stream with windows runs through run_stream")
         checked: SpanPlan | None = None
-        for stage in self.stages:
+        for at, stage in enumerate(self.stages, 1):
             if isinstance(stage, WindowStage):
                 if not split_large_keys:
                     spans = None
@@ -105,6 +114,8 @@ class Pipeline:
                 log = stage.apply(log)
                 if not stage.shrinking:
                     checked = None
+            if counters is not None:
+                log, counters[at] = observe_stage(log, f"stage {at}")
         return log
 
     def materialize(self, log: DataFrame, upto: int, path: str,
