@@ -63,7 +63,7 @@ class Lattice:
             ids = self.pieces.ids
             got = a not in ids or b not in ids or \
                 self.pieces.library.encode(a + b) == [ids[a], ids[b]]
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) > 200_000:
                 self.pairs.clear()
             self.pairs[a, b] = got
         return got
