@@ -52,17 +52,20 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _star(links: DataFrame, both: bool) -> DataFrame:
     """Link each node's neighbours to the smallest of them and itself: those
-    larger than the node (``both``), or those smaller and the node itself."""
+    larger than the node (``both``), or those smaller and the node itself.
+
+    The smallest neighbours are a table of their own, so that Spark can split
+    the join where a node has very many links."""
     if both:
         links = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))
                                              .toDF("a", "b"))
-        low = links.groupBy("a").agg(F.min("b").alias("m"))
+        low = links.groupBy("a").agg(F.min("b").alias("m")).checkpoint()
         joined = links.join(low, "a")
         out = joined.where(F.col("b") > F.col("a")).select(
             F.least("m", "a").alias("a"), "b")
     else:
         # a < b: the smaller neighbours of b, and b itself.
-        low = links.groupBy("b").agg(F.min("a").alias("m"))
+        low = links.groupBy("b").agg(F.min("a").alias("m")).checkpoint()
         out = (links.join(low, "b").where(F.col("a") != F.col("m"))
                .select(F.col("m").alias("a"), F.col("a").alias("b"))
                .union(low.select(F.col("m").alias("a"), "b")))
