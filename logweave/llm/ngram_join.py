@@ -254,10 +254,11 @@ def _candidates(classes: DataFrame, trees: int, depth: int, threshold: float):
         F.col("held") > SMALL_NODE)
     # A class of large nodes lies in one block, a share of the largest of them:
     # a group of near copies has one or a few such homes, so few blocks meet.
-    blocks = many.groupBy("key").agg(F.max(F.struct("held", "node")).alias("home")).select(
-        "key", F.xxhash64("home.node", F.pmod(
-            F.xxhash64("key"), F.ceil(F.col("home.held") / BLOCK))).alias("g"))
-    blocks = settle(blocks, "blocks")
+    homes = settle(many.groupBy("key").agg(F.max(F.struct("held", "node")).alias("home"))
+                   .select("key", "home.node"), "homes")
+    sizes = homes.groupBy("node").agg(F.count("*").alias("lives"))
+    blocks = settle(homes.join(sizes, "node").select("key", F.xxhash64("node", F.pmod(
+        F.xxhash64("key"), F.ceil(F.col("lives") / BLOCK))).alias("g")), "blocks")
     met = many.join(blocks, "key").select("node", "g").distinct()
     tiles = settle(met.select("node", F.col("g").alias("g1")).join(
         met.select("node", F.col("g").alias("g2")), "node").where("g1 <= g2")

@@ -34,7 +34,7 @@ SHORTEST, LONGEST = 3, 8
 #: Entries kept, strongest first; the weight and the z-value they need.
 ENTRIES, LEAST_WEIGHT, LEAST_Z = 5_000, 1.5, 4.0
 #: Counted features that a task holds before it passes them on.
-HELD = 300_000
+HELD = 150_000
 
 # Letters of other alphabets that look like a Latin letter.
 LOOK_ALIKES = {
@@ -262,8 +262,10 @@ def drop_toxic(docs: DataFrame, lexicon: Lexicon, text_col: str = "text",
     """The rows, with all their columns, that score below ``limit``."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
-    @F.pandas_udf("boolean")
-    def mild(texts: pd.Series) -> pd.Series:
-        return pd.Series(_scorer(shared.value)(texts.tolist()) < limit)
+    def mild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = _scorer(shared.value)
+        for batch in small(batches):
+            texts = batch.column(text_col).cast(pa.string()).to_pylist()
+            yield batch.filter(pa.array(score(texts) < limit))
 
-    return docs.where(mild(F.col(text_col).cast("string")))
+    return docs.mapInArrow(mild, docs.schema)
