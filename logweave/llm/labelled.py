@@ -18,8 +18,9 @@ def sampled(rows: DataFrame, by: str, most: int, key: Column) -> DataFrame:
     filter, so that no value's rows meet in one task."""
     spread = F.pmod(F.xxhash64(key), F.lit(1 << 40))
     counts = rows.groupBy(by).agg(F.count("*").alias("_n"))
-    # One row for each value of a label.
-    return rows.join(counts, by).where(
+    # One row for each value of a label; a model of each has more. The rows
+    # themselves stay where they are.
+    return rows.join(F.broadcast(counts), by).where(
         spread < F.least(F.lit(1.0), most / F.col("_n")) * (1 << 40)).drop("_n")
 
 
