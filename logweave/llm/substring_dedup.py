@@ -2,10 +2,11 @@
 
 A gear hash rolls over each text; a chunk ends at a word's end (or before an
 ideograph) where the hash of the last 32 characters meets a condition, so an
-insertion shifts chunk borders only near itself. A chunk's first occurrence in
-the order (document id, place) stays. Later ones are removed where successive
-repeated chunks make a run that can be the inside of a copied passage of
-``passage_words``: shorter repeats are common phrases and lines.
+insertion shifts chunk borders only near itself. Runs of successive chunks that
+another document has too are candidates only: around them, the digests of all
+runs of ``passage_words`` words are compared. Such a passage's first occurrence
+in the order (document id, place) stays, later ones are removed, so that what
+goes stood together in one earlier document, and shorter repeats stay.
 """
 
 from __future__ import annotations
@@ -24,9 +25,8 @@ from . import textual
 #: A chunk ends at one of so many word ends.
 WORDS_A_CHUNK = 4
 #: Words of a passage whose repetition is removed. Borders agree only inside of
-#: it, so a run counts with the chunk on either side and the words of the gear
-#: hash's memory; it must have LEAST words of its own.
-PASSAGE_WORDS, MEMORY_WORDS, LEAST_WORDS = 50, 8, 16
+#: it: a run of chunks is a candidate from LEAST words on.
+PASSAGE_WORDS, LEAST_WORDS = 50, 16
 _IDEOGRAPH = 0x2E80
 _U = np.uint64
 
@@ -83,29 +83,104 @@ def chunks(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))  # type: ignore
 
 
-def _again(digests: np.ndarray) -> np.ndarray:
-    """Which chunks of a text occur earlier in it."""
-    again = np.ones(len(digests), bool)
-    again[np.unique(digests, return_index=True)[1]] = False
-    return again
+def runs(digests: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each chunk that ``least`` words begin with, the digest of the shortest
+    run of chunks from it with so many words, and the chunk behind the run."""
+    held = np.concatenate(([0], np.cumsum(words)))
+    behind = np.searchsorted(held, held[:-1] + least)
+    behind = behind[behind < len(held)]
+    out = np.zeros(len(behind), _U)
+    going, k = np.arange(len(behind)), 0
+    while len(going):
+        out[going] = textual.mix(out[going] + digests[going + k] + _U(1))
+        k += 1
+        going = going[going + k < behind[going]]
+    return out, behind
+
+
+def words_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins, with the blanks behind the one before it, and its
+    hash. Chunks begin with words."""
+    table = textual.char_classes()
+    out = []
+    at, n = 0, len(text)
+    while at < n:
+        codes = textual.code_points(text[at:at + textual.SLICE])
+        blank = table[codes] & textual.SPACE != 0
+        begins = ~blank
+        begins[1:] &= blank[:-1] | (codes[1:] >= _IDEOGRAPH)
+        starts = np.flatnonzero(begins)
+        size = len(codes)
+        if at + size < n and len(starts) and starts[-1]:
+            size, starts = int(starts[-1]), starts[:-1]
+        last_word = np.maximum.accumulate(np.where(blank, 0, np.arange(len(codes))))
+        ends = np.append(starts[1:], size)[:len(starts)]
+        out.append((starts + at, textual.range_hashes(codes, starts, last_word[ends - 1] + 1)))
+        at += size
+    if not out:
+        none = np.zeros(0, np.int64)
+        return none, none.astype(_U)
+    starts, hashes = (np.concatenate(c) for c in zip(*out, strict=True))
+    starts[:1] = 0
+    return starts, hashes
+
+
+def _repeats_itself(digests: np.ndarray) -> bool:
+    return len(np.unique(digests)) < len(digests)
+
 
+def _run_rows(least: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in textual.small(batches):
+            texts = batch.column("text").to_pylist()
+            for first, last in textual.batches(texts, textual.SLICE):
+                digests, inner = [], []
+                for text in texts[first:last]:
+                    _, _, found, words = chunks(text or "")
+                    found = runs(found, words, least)[0]
+                    digests.append(found.view(np.int64))
+                    inner.append(_repeats_itself(found))
+                offsets = np.concatenate(([0], np.cumsum([len(d) for d in digests])))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").slice(first, last - first),
+                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
+                                              pa.array(np.concatenate(digests))),
+                     pa.array(inner)], ["row", "digests", "inner"])
+    return rows
 
-def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in textual.small(batches):
-        texts = batch.column("text").to_pylist()
-        for first, last in textual.batches(texts, textual.SLICE):
-            digests, inner = [], []
-            for text in texts[first:last]:
-                _, _, found, words = chunks(text or "")
-                digests.append(found.view(np.int64))
-                inner.append(bool(len(found)) and int(words[_again(found)].sum()) > 0)
-            offsets = np.concatenate(([0], np.cumsum([len(d) for d in digests])))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("place").slice(first, last - first),
-                 batch.column("row").slice(first, last - first),
-                 pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
-                                          pa.array(np.concatenate(digests))),
-                 pa.array(inner)], ["place", "row", "digests", "inner"])
+
+def near(text: str, candidates, passage_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words and digests of the passages that hold a whole candidate run,
+    or lie in one."""
+    starts, hashes = words_of(text)
+    digests = textual.windows(hashes, passage_words)
+    begin, _, found, words = chunks(text)
+    _, behind = runs(found, words, min(LEAST_WORDS, passage_words))
+    edges = np.searchsorted(starts, np.append(begin, len(text)))
+    chosen = np.asarray(candidates, np.int64)
+    a, b = edges[chosen], edges[behind[chosen]] - passage_words
+    wanted = np.zeros(len(digests) + 1, np.int64)
+    np.add.at(wanted, np.clip(np.minimum(a, b), 0, len(digests)), 1)
+    np.add.at(wanted, np.clip(np.maximum(a, b) + 1, 0, len(digests)), -1)
+    place = np.flatnonzero(np.cumsum(wanted)[:-1] > 0)
+    return place, digests[place]
+
+
+def _passage_rows(passage_words: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in textual.small(batches):
+            texts = batch.column("text").to_pylist()
+            for first, last in textual.batches(texts, textual.SLICE):
+                found = [near(text, numbers, passage_words) for text, numbers in zip(
+                    texts[first:last], batch.column("candidates").slice(
+                        first, last - first).to_pylist(), strict=True)]
+                of = pa.array(np.repeat(np.arange(first, last), [len(p) for p, _ in found]))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("place").take(of), batch.column("row").take(of),
+                     pa.array(np.concatenate([p for p, _ in found]).astype(np.int32)),
+                     pa.array(np.concatenate([d for _, d in found]).view(np.int64))],
+                    ["place", "row", "nth", "digest"])
+    return rows
 
 
 def _row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
@@ -119,39 +194,53 @@ def _row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
     return place.cast("decimal(38,0)"), row
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """``row, repeated``: for documents (see :func:`_row_key`) with chunks that
-    occur before, the numbers of those that an earlier document has. Chunks
-    that only repeat within a document aren't listed, but the document is."""
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      passage_words: int = PASSAGE_WORDS) -> DataFrame:
+    """``row, repeated``: for documents (see :func:`_row_key`) with passages that
+    occur before, the first words of those that an earlier document has.
+    Passages that only repeat within a document aren't listed, but the document
+    is."""
     place, row = _row_key(id_col, text_col)
-    cut = settle(docs.select(place.alias("place"), row.alias("row"),
-                             F.col(text_col).cast("string").alias("text")).mapInArrow(
-        _chunk_rows, "place decimal(38,0), row bigint, digests array<bigint>, "
-                     "inner boolean"), "chunks")
-    each = cut.select("place", F.explode("digests").alias("digest"))
-    firsts = settle(each.groupBy("digest").agg(
+    texts = docs.select(place.alias("place"), row.alias("row"),
+                        F.col(text_col).cast("string").alias("text"))
+    cut = settle(texts.select("row", "text").mapInArrow(
+        _run_rows(min(LEAST_WORDS, passage_words)),
+        "row bigint, digests array<bigint>, inner boolean"), "chunks")
+    # Runs of chunks that two documents have.
+    shared = settle(cut.select("row", F.explode("digests").alias("digest")).groupBy("digest").agg(
+        F.min("row").alias("one"), F.max("row").alias("other"))
+        .where("one < other").select("digest"), "shared-runs")
+    candidates = cut.select("row", F.posexplode("digests").alias("nth", "digest")).join(
+        shared, "digest").groupBy("row").agg(F.collect_set("nth").alias("candidates"))
+    passages = settle(texts.join(candidates, "row").mapInArrow(
+        _passage_rows(passage_words),
+        "place decimal(38,0), row bigint, nth int, digest bigint"), "passages")
+    firsts = settle(passages.groupBy("digest").agg(
         F.min("place").alias("first"), F.max("place").alias("last"))
-        .where("first < last").select("digest", "first"), "first-chunks")
-    later = cut.select("place", "row", F.posexplode("digests").alias("nth", "digest")).join(
-        firsts, "digest").where("place > first").select("row", "nth")
+        .where("first < last").select("digest", "first"), "first-passages")
+    later = passages.join(firsts, "digest").where("place > first").select("row", "nth")
     inner = cut.where("inner").select("row", F.lit(None).cast("int").alias("nth"))
     # A set: rows that repeat id and text are one document.
     return later.union(inner).groupBy("row").agg(F.collect_set("nth").alias("repeated"))
 
 
 def removed(text: str, repeated, passage_words: int) -> list[tuple[int, int]]:
-    """Character spans of a text's runs of repeated chunks."""
-    starts, ends, digests, words = chunks(text)
-    gone = _again(digests)
+    """Character spans of a text's passages that occur before: those listed, and
+    those that end in it before they begin again."""
+    starts, hashes = words_of(text)
+    digests = textual.windows(hashes, passage_words)
+    _, first, which = np.unique(digests, return_index=True, return_inverse=True)
+    gone = np.arange(len(digests)) - first[which] >= passage_words
     gone[np.asarray(repeated, np.int64)] = True
-    step = np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))
-    held = np.concatenate(([0], np.cumsum(words)))
-    least = min(LEAST_WORDS, passage_words)
-    return [(int(starts[a]), int(ends[b - 1])) for a, b in
-            zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1), strict=True)
-            if held[b] - held[a] >= least and MEMORY_WORDS + held[min(b + 1, len(words))]
-            - held[max(a - 1, 0)] >= passage_words]
+    covered = np.zeros(len(starts) + 1, np.int64)
+    place = np.flatnonzero(gone)
+    np.add.at(covered, place, 1)
+    np.add.at(covered, place + passage_words, -1)
+    inside = (np.cumsum(covered)[:-1] > 0).astype(np.int8)
+    step = np.diff(np.concatenate(([0], inside, [0])))
+    edges = np.append(starts, len(text))
+    return [(int(edges[a]), int(edges[b])) for a, b in
+            zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1), strict=True)]
 
 
 def _remover(passage_words: int):
@@ -184,16 +273,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their text. Rows that repeat id and text are one document and get the same
     result; an equal text of another id is a copy and loses its text. Passages
     repeated within a document are kept once. A null or empty text stays as
-    it is, and so does a text whose repeated runs are all too short.
+    it is, and so does a text whose repeated passages are all too short.
     """
     _, row = _row_key(id_col, text_col)
-    found = repeated_chunks(docs, id_col, text_col)
+    found = repeated_passages(docs, id_col, text_col, passage_words)
     taken = {c.lower() for c in docs.columns}
     mine = next(f"_{x}" for x in ("row", "document", "key_of_row") if f"_{x}" not in taken)
     names = [c for c in docs.columns if c.lower() != "removed_spans"]
     joined = docs.select(*[F.col(f"`{c}`") for c in names], row.alias(mine)).join(
         found.toDF(mine, "_repeated"), mine, "left")
-    # Texts without a repeated chunk don't go through Python.
+    # Texts without a repeated passage don't go through Python.
     some = F.col("_repeated").isNotNull()
     cut = joined.withColumn("_cut", _remover(passage_words)(
         F.when(some, F.col(text_col).cast("string")), F.col("_repeated")))

@@ -250,6 +250,21 @@ def test_shared_passage_goes(make):
     assert out[300].text == ""
 
 
+def test_phrases_of_several_documents_stay(make):
+    """Text whose parts all occur before, but never together, is not a copy."""
+    rng = np.random.default_rng(11)
+    text = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 100_000, n))
+    parts = [text(30) for _ in range(8)]
+    rows = [(i, f"{text(50)} {p} {text(50)}") for i, p in enumerate(parts)]
+    passage = text(50)
+    rows += [(100, " ".join(parts)), (101, f"{text(50)} {passage} {text(50)}"),
+             (102, f"{text(20)} {passage} {text(20)}")]
+    out = {r.doc_id: r for r in sub.substring_dedup(make(rows)).collect()}
+    for i, t in rows[:-1]:
+        assert out[i].text == t and out[i].removed_spans is None
+    assert passage not in out[102].text and len(out[102].text.split()) == 40
+
+
 def test_substring_odd_rows(make, odd):
     docs = make(odd)
     got = sub.substring_dedup(docs)
