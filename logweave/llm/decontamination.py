@@ -11,6 +11,7 @@ by an item if enough of the item's windows hit.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -65,7 +66,8 @@ def tokens(texts: list[str | None]) -> Tokens:
     """Words with their kind. A number is a word that begins with a digit (its
     decimals and thousands are further words of the same number), or a number
     word; a unit is a unit word after a number; a name begins with a capital,
-    goes on in lower case and does not begin a sentence."""
+    goes on in lower case and does not begin a sentence. Names, and number words
+    behind a number, that only a blank or hyphen parts are one token."""
     global _NUMBERS, _UNITS
     if _NUMBERS is None:
         _NUMBERS, _UNITS = _hashes(NUMBER_WORDS), _hashes(UNITS)
@@ -76,7 +78,7 @@ def tokens(texts: list[str | None]) -> Tokens:
         return Tokens(words.hashes, kind, words.hashes, words.text)
     table = textual.char_classes()
     at = textual.bounds(words.text, len(texts))
-    joined, new_sentence = np.zeros(n, bool), np.ones(n, bool)
+    joined, new_sentence, beside = np.zeros(n, bool), np.ones(n, bool), np.zeros(n, bool)
     digit, capital, second_upper = (np.zeros(n, bool) for _ in range(3))
     for i, text in enumerate(texts):
         a, b = at[i], at[i + 1]
@@ -104,6 +106,10 @@ def tokens(texts: list[str | None]) -> Tokens:
             point = (gap == 1) & np.isin(codes[np.maximum(s - 1, 0)], _POINTS)
             point[0] = point[0] and first > 0
             joined[a:b][part] = point
+            between = codes[np.maximum(s - 1, 0)]
+            beside[a:b][part] = (gap == 1) & ((table[between] & textual.SPACE != 0)
+                                              | np.isin(between, _HYPHENS))
+            beside[a] = False
     number = digit | np.isin(words.hashes, _NUMBERS)
     joined &= digit & np.concatenate(([False], digit[:-1]))
     kind[number] = NUMBER
@@ -112,6 +118,9 @@ def tokens(texts: list[str | None]) -> Tokens:
     after = np.concatenate(([False], (number & (words.text == np.roll(words.text, -1)))[:-1]))
     kind[(kind == WORD) & after & np.isin(words.hashes, _UNITS)] = UNIT
     template = np.where(kind == WORD, words.hashes, textual.mix(kind.astype(_U) + _U(1)))
+    # New York and Paris, thirty five and forty are one token each.
+    same = beside & np.concatenate(([False], kind[1:] == kind[:-1]))
+    joined |= same & ((kind == NAME) | (number & ~digit))
     # A number with its decimals is one token: its value is that of all parts.
     whole = np.flatnonzero(~joined)
     group = np.cumsum(~joined) - 1
@@ -121,6 +130,7 @@ def tokens(texts: list[str | None]) -> Tokens:
 
 
 _STOPS = np.array([ord(c) for c in ".!?\n\r:|。"], np.uint32)
+_HYPHENS = np.array([ord(c) for c in "-\u2010\u2011"], np.uint32)
 _POINTS = np.array([ord(c) for c in ".,"], np.uint32)
 
 
@@ -177,40 +187,64 @@ class Benchmark:
                         found.setdefault((d, int(item[k])), set()).add(
                             (w - int(at[d]), int(place[k]), size))
         for (d, i), places in sorted(found.items()):
-            coverage, changed = self._consistent(i, places, t.kind[at[d]:at[d + 1]],
-                                                 t.value[at[d]:at[d + 1]])
+            coverage, changed = self._consistent(i, places, t.value[at[d]:at[d + 1]])
             if coverage >= COVERAGE:
                 yield d, i, coverage, changed
 
-    def _consistent(self, i: int, places: set, kind, value) -> tuple[float, int]:
+    def _consistent(self, i: int, places: set, value) -> tuple[float, int]:
         """The largest share of the item's windows that hit with one reading of
-        its slots, near one place of the document, and the slots that differ."""
+        its slots, near one place of the document, and the slots that differ.
+
+        A copy's windows follow each other in both; a word more or less moves
+        the rest of them, by up to half the item's tokens."""
         best = (0.0, 0)
-        n = len(self.kind[i])
+        by_start = sorted((w - p, p, w, size) for w, p, size in places)
+        offsets = [start for start, *_ in by_start]
+        band = len(self.kind[i]) // 2
         # Each place of the document where a copy may begin, by the windows
         # that agree on it.
-        starts = Counter(w - p for w, p, _ in places)
-        for start, _ in starts.most_common():
-            if starts[start] < best[0] * self.total[i]:
-                break
-            near = sorted((p, w, size) for w, p, size in places if w - p == start)
-            forward: dict[int, int] = {}
-            back: dict[int, int] = {}
-            good: set[int] = set()
-            changed: set[int] = set()
-            for p, w, size in near:
-                slots = [k for k in range(size) if self.kind[i][p + k] != WORD]
-                pairs = {(int(self.value[i][p + k]), int(value[w + k])) for k in slots}
-                if all(forward.get(a, b) == b and back.get(b, a) == a for a, b in pairs) \
-                        and len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs):
-                    for a, b in pairs:
-                        forward[a], back[b] = b, a
-                    good.add(p)
-                    changed |= {p + k for k in slots if self.value[i][p + k] != value[w + k]}
-            share = len(good) / max(self.total[i], 1)
-            if share > best[0]:
-                best = (share, len(changed))
-        return best if n else (0.0, 0)
+        for start, _ in Counter(offsets).most_common():
+            near = by_start[bisect_left(offsets, start - band):bisect_right(offsets, start + band)]
+            if len({p for _, p, *_ in near}) < max(best[0], COVERAGE) * self.total[i]:
+                continue
+            for chain in ([x for x in near if x[0] == start], _chain(near)):
+                found = self._agreeing(i, chain, value)
+                if found[0] > best[0]:
+                    best = found
+        return best
+
+    def _agreeing(self, i: int, chain: list, value) -> tuple[float, int]:
+        forward: dict[int, int] = {}
+        back: dict[int, int] = {}
+        good: set[int] = set()
+        changed: set[int] = set()
+        for _, p, w, size in chain:
+            slots = [k for k in range(size) if self.kind[i][p + k] != WORD]
+            pairs = {(int(self.value[i][p + k]), int(value[w + k])) for k in slots}
+            if all(forward.get(a, b) == b and back.get(b, a) == a for a, b in pairs) \
+                    and len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs):
+                for a, b in pairs:
+                    forward[a], back[b] = b, a
+                good.add(p)
+                changed |= {p + k for k in slots if self.value[i][p + k] != value[w + k]}
+        return len(good) / max(self.total[i], 1), len(changed)
+
+
+def _chain(near: list) -> list:
+    """The most windows whose places rise in the item and in the document."""
+    ends: list[int] = []
+    last: list[int] = []
+    before: list[int] = []
+    rows = sorted(near, key=lambda x: (x[1], -x[2]))
+    for at, (_, _, w, _) in enumerate(rows):
+        k = bisect_left(ends, w)
+        before.append(last[k - 1] if k else -1)
+        ends[k:k + 1], last[k:k + 1] = [w], [at]
+    out, at = [], last[-1] if last else -1
+    while at >= 0:
+        out.append(rows[at])
+        at = before[at]
+    return out[::-1]
 
 
 def benchmark_slices(benchmark: DataFrame, id_col: str = "item_id",

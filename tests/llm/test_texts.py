@@ -112,6 +112,19 @@ def test_slots_must_agree():
     assert full == 1.0 and (not broken or broken[0] < 1.0)
 
 
+def test_longer_and_shorter_copies():
+    """One word more at any place, and slots of another number of words."""
+    table = decontamination.Benchmark([(1, ITEM)])
+    words = ITEM.split()
+    for k in range(1, len(words)):
+        got = list(table.hits([" ".join([*words[:k], "really", *words[k:]])]))
+        assert got and got[0][2] >= 0.5, k
+    item = "we saw how thirty birds flew from Paris to the old mill by the river at noon"
+    table = decontamination.Benchmark([(1, item)])
+    longer = item.replace("thirty", "twenty-five").replace("Paris", "New York")
+    assert list(table.hits([longer])) == [(0, 0, 1.0, 2)]
+
+
 def test_tokens_are_typed():
     t = decontamination.tokens(["The 3.5 kg of Paris cost twelve dollars. Then IBM left."])
     assert t.kind.tolist() == [0, 1, 3, 0, 2, 0, 1, 3, 0, 0, 0]
