@@ -47,12 +47,18 @@ euro euros cent cents mph kph kmh kw w v j kj n pa hz khz mhz ghz kb mb gb tb"""
 
 
 class Tokens(NamedTuple):
-    """Template hashes, kinds and value hashes of texts' words, and whose."""
+    """Template hashes, kinds and value hashes of texts' words, and whose; which
+    words may be names that begin a sentence."""
 
     template: np.ndarray
     kind: np.ndarray
     value: np.ndarray
     text: np.ndarray
+    initial: np.ndarray
+
+    def named(self) -> np.ndarray:
+        """Template hashes if all words that may be names are."""
+        return np.where(self.initial, textual.mix(_U([NAME + 1])), self.template)
 
 
 def _hashes(words: list[str]) -> np.ndarray:
@@ -75,7 +81,7 @@ def tokens(texts: list[str | None]) -> Tokens:
     n = len(words.hashes)
     kind = np.zeros(n, np.int8)
     if not n:
-        return Tokens(words.hashes, kind, words.hashes, words.text)
+        return Tokens(words.hashes, kind, words.hashes, words.text, kind > 0)
     table = textual.char_classes()
     at = textual.bounds(words.text, len(texts))
     joined, new_sentence, beside = np.zeros(n, bool), np.ones(n, bool), np.zeros(n, bool)
@@ -126,7 +132,8 @@ def tokens(texts: list[str | None]) -> Tokens:
     group = np.cumsum(~joined) - 1
     value = np.zeros(len(whole), _U)
     np.add.at(value, group, textual.mix(words.hashes + np.arange(n, dtype=_U) - whole[group].astype(_U)))
-    return Tokens(template[whole], kind[whole], value, words.text[whole])
+    initial = capital & ~second_upper & new_sentence & (kind == WORD)
+    return Tokens(template[whole], kind[whole], value, words.text[whole], initial[whole])
 
 
 _STOPS = np.array([ord(c) for c in ".!?\n\r:|。"], np.uint32)
@@ -134,6 +141,17 @@ _HYPHENS = np.array([ord(c) for c in "-\u2010\u2011"], np.uint32)
 _POINTS = np.array([ord(c) for c in ".,"], np.uint32)
 
 
+def _literal(literal: np.ndarray, size: int, least: int) -> np.ndarray:
+    """Windows with so many literals."""
+    count = np.concatenate(([0], np.cumsum(literal)))
+    return np.flatnonzero(count[size:] - count[:-size] >= least)
+
+
+def _known(h: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Which windows the sorted table has."""
+    return np.flatnonzero(h[np.minimum(np.searchsorted(h, windows), len(h) - 1)] == windows)
+
+
 class Benchmark:
     """Window table and tokens of a slice of the benchmark's items."""
 
@@ -143,42 +161,60 @@ class Benchmark:
         at = textual.bounds(t.text, len(items))
         self.kind = [t.kind[at[i]:at[i + 1]] for i in range(len(items))]
         self.value = [t.value[at[i]:at[i + 1]] for i in range(len(items))]
+        self.initial = [t.initial[at[i]:at[i + 1]] for i in range(len(items))]
+        named = t.named()
         #: Windows of items as long as a window, and of every shorter length.
-        self.sizes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.sizes: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         self.total = [0] * len(items)
-        rows: dict[int, list] = {}
+        rows: dict[tuple[int, bool], list] = {}
         for i in range(len(items)):
             part = t.template[at[i]:at[i + 1]]
             size = min(WINDOW, len(part))
             if not size:
                 continue
-            literal = np.concatenate(([0], np.cumsum(self.kind[i] == WORD)))
-            enough = literal[size:] - literal[:-size] >= min(LITERALS, (size + 1) // 2)
-            place = np.flatnonzero(enough)
+            least = min(LITERALS, (size + 1) // 2)
+            place = _literal(self.kind[i] == WORD, size, least)
+            verbatim = not len(place)
+            if verbatim and (size == WINDOW or (self.kind[i] == WORD).any()):
+                # Too few literals for a template: the very words count.
+                part, place = self.value[i], np.arange(len(part) - size + 1)
             self.total[i] = len(place)
             if not len(place):
                 continue
-            rows.setdefault(size, []).append((textual.windows(part, size)[place],
-                                              np.full(len(place), i), place))
-        for size, parts in rows.items():
+            rows.setdefault((size, verbatim), []).append(
+                (textual.windows(part, size)[place], np.full(len(place), i), place))
+            if not verbatim:
+                # Windows with names that begin sentences, if these are names.
+                both = named[at[i]:at[i + 1]]
+                also = _literal((self.kind[i] == WORD) & ~self.initial[i], size, least)
+                also = np.setdiff1d(also, _literal(~self.initial[i], size, size))
+                rows[size, False].append((textual.windows(both, size)[also],
+                                          np.full(len(also), i), also))
+        for key, parts in rows.items():
             h, item, place = (np.concatenate(c) for c in zip(*parts, strict=True))
             order = np.argsort(h, kind="stable")
-            self.sizes[size] = h[order], item[order], place[order]
+            self.sizes[key] = h[order], item[order], place[order]
 
     def hits(self, texts: list[str | None]) -> Iterator[tuple[int, int, float, int]]:
         """``(text, item, coverage, changed slots)`` of contaminated texts."""
         t = tokens(texts)
         at = textual.bounds(t.text, len(texts))
         found: dict[tuple[int, int], set] = {}
-        for size, (h, item, place) in self.sizes.items():
+        named = t.named()
+        for (size, verbatim), (h, item, place) in self.sizes.items():
             for first in range(0, len(t.template), textual.SLICE):
-                part = t.template[first:first + textual.SLICE + size - 1]
-                got = textual.windows(part, size)
-                left = np.searchsorted(h, got, "left")
-                near = np.flatnonzero(h[np.minimum(left, len(h) - 1)] == got)
-                right = np.searchsorted(h, got[near], "right")
-                for w, a, b in zip(near.tolist(), left[near].tolist(), right.tolist(),
-                                   strict=True):
+                part = slice(first, first + textual.SLICE + size - 1)
+                got = textual.windows((t.value if verbatim else t.template)[part], size)
+                near = _known(h, got)
+                w, lookup = near, got[near]
+                if not verbatim:
+                    other = textual.windows(named[part], size)
+                    near = _known(h, other)
+                    near = near[other[near] != got[near]]
+                    w, lookup = np.append(w, near), np.append(lookup, other[near])
+                left = np.searchsorted(h, lookup, "left")
+                right = np.searchsorted(h, lookup, "right")
+                for w, a, b in zip(w.tolist(), left.tolist(), right.tolist(), strict=True):
                     w += first
                     d = int(t.text[w])
                     if w + size > at[d + 1]:
@@ -219,7 +255,8 @@ class Benchmark:
         good: set[int] = set()
         changed: set[int] = set()
         for _, p, w, size in chain:
-            slots = [k for k in range(size) if self.kind[i][p + k] != WORD]
+            slots = [k for k in range(size) if self.kind[i][p + k] != WORD
+                     or self.initial[i][p + k] and self.value[i][p + k] != value[w + k]]
             pairs = {(int(self.value[i][p + k]), int(value[w + k])) for k in slots}
             if all(forward.get(a, b) == b and back.get(b, a) == a for a, b in pairs) \
                     and len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs):
@@ -274,7 +311,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``coverage`` is the share of the item's windows that the document has with
     consistent slots at one place, at least ``COVERAGE``; ``changed_slots`` counts numbers,
     names and units that differ. Items or documents that are null or have no
-    word give no row, nor do items of placeholders alone. An item shorter than
+    word give no row, nor do items of fewer placeholders alone than a window
+    has; an item with too few literals for a template is looked up as it
+    stands. A word that begins a sentence with a capital is tried as a name too.
+    An item shorter than
     a window is one window. Repeated documents give repeated rows; an item id with
     several texts is judged text by text. Other columns are ignored.
     """

@@ -125,6 +125,21 @@ def test_longer_and_shorter_copies():
     assert list(table.hits([longer])) == [(0, 0, 1.0, 2)]
 
 
+def test_names_that_begin_sentences():
+    item = "Tom has 3 red apples. Mary has 5 of them. Tom sells 2 apples. Mary eats 4 today."
+    table = decontamination.Benchmark([(1, item)])
+    renamed = item.replace("Tom", "Eve").replace("Mary", "Paul").replace("3", "7")
+    assert [h[:3] for h in table.hits(["Well. " + renamed])] == [(0, 0, 1.0)]
+    mixed = "Tom has 3 red apples. Tom has 5 of them. Eve sells 2 apples. Paul eats 4 today."
+    assert all(h[2] < 1.0 for h in table.hits([mixed]))
+
+
+def test_items_of_few_literals():
+    table = decontamination.Benchmark([(1, "What is 12 + 45 * 7?"), (2, "1 2 3 4 5 6 7 8 9")])
+    texts = ["So what is 12 + 45 * 7? Tell me", "What is 13 + 45 * 7?", "0 1 2 3 4 5 6 7 8 9 10"]
+    assert [h[:2] for h in table.hits(texts)] == [(0, 0), (2, 1)]
+
+
 def test_tokens_are_typed():
     t = decontamination.tokens(["The 3.5 kg of Paris cost twelve dollars. Then IBM left."])
     assert t.kind.tolist() == [0, 1, 3, 0, 2, 0, 1, 3, 0, 0, 0]
