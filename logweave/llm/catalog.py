@@ -14,7 +14,7 @@ from .language_id import language_id
 from .ngram_join import ngram_join
 from .quality import quality_scores
 from .sentencepiece_scan import decode, encode
-from .sharding import histogram_shards
+from .sharding import shard_documents
 from .substring_dedup import substring_dedup
 from .toxicity import learn_lexicon, toxicity
 from .training_order import write_training_order
@@ -35,12 +35,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
-    rows = _table(spark, sf_dir, "documents").select(
+    return shard_documents(_table(spark, sf_dir, "documents")).select(
         "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("group"))
-    return histogram_shards(rows, F.col("size"), F.col("group"), F.col("doc_id"), 8).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"))
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
+        "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

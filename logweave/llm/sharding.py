@@ -119,7 +119,8 @@ def histogram_shards(rows: DataFrame, size: Column, group: Column, row_key: Colu
         *[F.col(f"`{c}`") for c in named], F.coalesce(size.cast("long"), F.lit(0)).alias("_size"),
         _hash60(group).alias("_g"),
         _hash60(row_key).bitwiseAND(~(FAN - 1)).bitwiseOR(_hash60(
-            F.monotonically_increasing_id()).bitwiseAND(FAN - 1)).alias("_r")), "sort-keys")
+            F.monotonically_increasing_id()).bitwiseAND(FAN - 1)).alias("_r")), "sort-keys",
+        compression="zstd")
     cuts = splitters(keyed.select("_g", "_r", "_size"), shards, tolerance)
     shard = F.lit(0)
     for g, r in cuts:
@@ -129,7 +130,7 @@ def histogram_shards(rows: DataFrame, size: Column, group: Column, row_key: Colu
         "shard", "_g", "_r").sortWithinPartitions("shard", "_g", "_r")
     placed = settle(sorted_once.drop("_size", "_g", "_r").withColumn(
         "_part", F.spark_partition_id()).withColumn(
-            "_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "sorted")
+            "_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "sorted", compression="zstd")
     # One row per shard and partition: where its rows begin, in the partition
     # and in the shard. Partitions follow each other in key order.
     runs = placed.groupBy("shard", "_part").agg(

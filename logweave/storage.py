@@ -37,7 +37,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/logweave/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+def settle(df: DataFrame, label: str = "settled", **options: str) -> DataFrame:
     """Write a DataFrame once and read it back.
 
     Several passes over the result see the same rows at the price of column-
@@ -46,7 +46,7 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+    df.write.options(maxRecordsPerFile=ROWS_PER_FILE, **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

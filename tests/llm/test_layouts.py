@@ -9,7 +9,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from logweave.llm import training_order
+from logweave.llm import sharding, training_order
 from logweave.llm.catalog import PIECES, RANKS, op2_histogram_sort, op4_training_order
 from logweave.llm.sharding import shard_documents, splitters
 from logweave.storage import scratch_path
@@ -32,6 +32,20 @@ def test_op2(spark, documents):
         assert rows == list(range(len(rows)))
 
 
+def test_op2_sorts_the_documents(spark, documents, monkeypatch):
+    """Whole rows go through the operator; the digests are of its output."""
+    sorted_columns = []
+
+    def watched(rows, *args):
+        sorted_columns.append(rows.columns)
+        return histogram(rows, *args)
+
+    histogram = sharding.histogram_shards
+    monkeypatch.setattr(sharding, "histogram_shards", watched)
+    op2_histogram_sort(spark, SMALL)
+    assert sorted_columns == [documents.columns]
+
+
 def test_hot_groups_and_repeated_rows(make, odd):
     rows = [(i % 7 if i % 3 else None, "the same text") for i in range(900)]
     rows += [(10_000 + i, f"text number {i}") for i in range(1500)] + odd[:5]
