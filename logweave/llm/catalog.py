@@ -11,6 +11,7 @@ from ..storage import scratch_path
 from .decontamination import contaminated
 from .embedding_dedup import embedding_dedup
 from .language_id import language_id
+from .mixing import mix_sources
 from .ngram_join import ngram_join
 from .quality import quality_scores
 from .sentencepiece_scan import decode, encode
@@ -75,6 +76,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, learn_lexicon(docs, _table(spark, sf_dir, "labels")))
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(_table(spark, sf_dir, "documents"), budgets=(0.25, 0.5, 1.0))
+    by_budget = F.col("taken_by_budget")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies",
+                        by_budget[0].alias("taken_quarter"), by_budget[1].alias("taken_half"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py, one after the other."""
     import corpus_pipeline
@@ -86,7 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_histogram_sort, op3_language_id, op4_training_order,
         op5_template_decontamination, op6_ordinal_quality, op7_embedding_dedup,
-        op8_sentencepiece, op9_substring_dedup, op10_toxicity, pipeline)}
+        op8_sentencepiece, op9_substring_dedup, op10_toxicity, op12_mixing, pipeline)}
 
 _REACH = """
 reach AS (SELECT i AS a, i AS b FROM nodes UNION
@@ -126,5 +134,43 @@ SELECT nodes.i AS vec_id, coalesce(k, 0) AS n_links, head AS component_id,
        head = nodes.i AS kept
 FROM nodes JOIN heads ON heads.i = nodes.i LEFT JOIN counts ON counts.i = nodes.i"""
 
+_MIXING = """
+WITH docs AS (
+  SELECT doc_id, source AS s,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+  FROM documents),
+sources AS (
+  SELECT s, sum(size) AS words, CASE (row_number() OVER (ORDER BY s NULLS LAST) - 1) % 3
+           WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS w
+  FROM docs GROUP BY s),
+budgets AS (SELECT b, b * (SELECT sum(words) FROM sources)::DOUBLE AS goal
+            FROM (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (1.0::DOUBLE)) AS v(b)),
+filling AS (
+  SELECT b, goal, s, words, w, 3.0::DOUBLE * words AS cap,
+         sum(3.0::DOUBLE * words) OVER (PARTITION BY b ORDER BY words / w, s NULLS LAST
+                                        ROWS UNBOUNDED PRECEDING) - 3.0::DOUBLE * words AS below,
+         sum(w) OVER (PARTITION BY b ORDER BY words / w, s NULLS LAST
+                      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+  FROM budgets, sources),
+levels AS (SELECT b, arg_min((goal - below) / rest, below) AS level FROM filling
+           WHERE (goal - below) / rest <= cap / w GROUP BY b),
+targets AS (
+  SELECT b, s, words, least(cap, w * coalesce(level, 'inf'::DOUBLE)) AS target
+  FROM filling LEFT JOIN levels USING (b)),
+passes AS (SELECT *, CASE WHEN words > 0 THEN floor(target / words) ELSE 0 END::INT AS k
+           FROM targets),
+lines AS (SELECT doc_id, s, size, sum(size) OVER (
+            PARTITION BY s ORDER BY h ROWS UNBOUNDED PRECEDING) - size AS before FROM docs),
+chosen AS (
+  SELECT doc_id, b, size, words, target,
+         k + CASE WHEN before + size / 2.0 < target - k * words THEN 1 ELSE 0 END AS copies
+  FROM lines JOIN passes ON lines.s IS NOT DISTINCT FROM passes.s)
+SELECT doc_id, size, words::BIGINT AS source_size, target, copies * size AS taken, copies,
+       max(CASE WHEN b = 0.25 THEN copies * size END) OVER mine AS taken_quarter,
+       max(CASE WHEN b = 0.5 THEN copies * size END) OVER mine AS taken_half
+FROM chosen WINDOW mine AS (PARTITION BY doc_id) QUALIFY b = 1.0"""
+
 ORACLE: dict[str, str] = {"op1_ngram_jaccard_join": _NGRAM_JOIN,
-                          "op7_embedding_dedup": _VECTOR_LINKS}
+                          "op7_embedding_dedup": _VECTOR_LINKS,
+                          "op12_mixing": _MIXING}
