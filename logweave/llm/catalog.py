@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import scratch_path
+from .conversation_repair import damage_and_repair
 from .decontamination import contaminated
 from .embedding_dedup import embedding_dedup
 from .language_id import language_id
@@ -19,6 +20,7 @@ from .sharding import shard_documents
 from .substring_dedup import substring_dedup
 from .toxicity import learn_lexicon, toxicity
 from .training_order import write_training_order
+from .whitening import whiten, whitened_components
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = "/opt/tokenizers"
@@ -76,6 +78,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(docs, learn_lexicon(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitened_components(whiten(_table(spark, sf_dir, "embeddings")), "vec_id")
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents"), budgets=(0.25, 0.5, 1.0))
     by_budget = F.col("taken_by_budget")
@@ -83,6 +90,10 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         by_budget[0].alias("taken_quarter"), by_budget[1].alias("taken_half"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damage_and_repair(_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py, one after the other."""
     import corpus_pipeline
@@ -94,7 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_histogram_sort, op3_language_id, op4_training_order,
         op5_template_decontamination, op6_ordinal_quality, op7_embedding_dedup,
-        op8_sentencepiece, op9_substring_dedup, op10_toxicity, op12_mixing, pipeline)}
+        op8_sentencepiece, op9_substring_dedup, op10_toxicity, op11_whitening,
+        op12_mixing, op13_conversation_repair, pipeline)}
 
 _REACH = """
 reach AS (SELECT i AS a, i AS b FROM nodes UNION
