@@ -7,12 +7,11 @@ from __future__ import annotations
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import AGGREGATES
 from ..plans import Pipeline
 from ..sources import lines_prepared, read_committed, stream_lines, stream_log, \
     tokenize_lines
 from ..storage import scratch_path
-from ..streaming import CarryStore, carry_snapshot, run_stream
+from ..streaming import run_stream, state_snapshot
 from .tables import at, events, flat, share_of, table
 
 STREAMS = {}
@@ -83,10 +82,9 @@ def stream_large_keys(spark, sf):
 
 @query
 def stream_compacted(spark, sf):
-    """State compacted in every second micro-batch."""
+    """State that goes through five micro-batches."""
     out, _ = _played(spark, events(spark, sf),
-                     Pipeline.of(("windowaggregate", {"size": 5, "slide": 3})),
-                     5, compact_every=2)
+                     Pipeline.of(("windowaggregate", {"size": 5, "slide": 3})), 5)
     return flat(read_committed(spark, out), "seq")
 
 
@@ -205,8 +203,7 @@ def stream_snapshot(spark, sf):
     """Current window of every key from the state of the stream."""
     pipe = Pipeline.of(("windowaggregate", {"size": 5, "slide": 3}))
     _, checkpoint = _played(spark, events(spark, sf), pipe, 3)
-    carry = CarryStore(spark, f"{checkpoint}/carry").latest(1)
-    return carry_snapshot(carry, 5, 3, AGGREGATES["concat"]).select(
+    return state_snapshot(spark, pipe, checkpoint, 1).select(
         "key", "n", F.array_join("window", "|").alias("window"), "value")
 
 

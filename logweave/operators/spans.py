@@ -121,16 +121,6 @@ def in_all_spans(per_group: DataFrame, plan: SpanPlan) -> DataFrame:
         "span", F.coalesce("span", F.lit(WHOLE)))
 
 
-def closing(rows: DataFrame, plan: SpanPlan | None) -> DataFrame:
-    """Add ``closing``: is this row in the last span of its group?"""
-    if not plan:
-        return rows.withColumn("closing", F.lit(True))
-    last = plan.edges.filter("span = last").select(
-        plan.group, "span", F.lit(True).alias("closing"))
-    return rows.join(last, [plan.group, "span"], "left").withColumn(
-        "closing", F.coalesce("closing", F.col("span") == WHOLE))
-
-
 def _context(rows: DataFrame, plan: SpanPlan, order: list[str], reach: int,
              carried: bool) -> DataFrame:
     """The last ``reach`` rows before each span, with their number ``n0``.

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.aggregates import concat
 from ..schema import require_log
-from .spans import SpanPlan, closing, in_first_span, numbered
+from .spans import SpanPlan, in_first_span, numbered
 
 
 def check_window(size: int, slide: int) -> None:
@@ -47,17 +47,15 @@ def _back(recent: Column, steps: Column, length: Column) -> Column:
 def frames(log: DataFrame, size: int, slide: int = 1,
            spans: SpanPlan | None = None,
            carry: DataFrame | None = None,
-           trailing: bool = False,
            fn: Callable | None = None) -> DataFrame:
     """Window columns for the log and its context rows.
 
     ``spans`` comes from ``plan_spans``, whose ``rows`` are then the log.
     ``carry`` holds earlier records (key, value, ord, n) of the same keys, the
     last ``size`` of each. Adds ``n``, ``window``, ``evicted``, ``prior``,
-    ``fresh`` (false on context rows), ``span`` if keys are split, and on demand
-    ``trailing`` (among the last ``size`` records of the key). Where ``fn`` can run
-    over the frame itself, its result is ``direct``. Columns nobody reads are
-    pruned by Spark.
+    ``fresh`` (false on context rows) and ``span`` if keys are split. Where ``fn``
+    can run over the frame itself, its result is ``direct``. Columns nobody reads
+    are pruned by Spark.
     """
     check_window(size, slide)
     split = ["span"] if spans else []
@@ -68,8 +66,6 @@ def frames(log: DataFrame, size: int, slide: int = 1,
             earlier = in_first_span(earlier, spans)
         rows = rows.unionByName(earlier, allowMissingColumns=True)
     rows, spec = numbered(rows, "key", spans, reach=size)
-    if trailing:
-        rows = closing(rows, spans)
 
     n = F.col("n")
 
@@ -112,9 +108,6 @@ def frames(log: DataFrame, size: int, slide: int = 1,
     if slide == 1 and hasattr(fn, "sliding"):
         out.append(checked(fn.sliding(F.col("value")).over(
             spec.rowsBetween(-(size - 1), 0))).alias("direct"))
-    if trailing:
-        out.append((F.col("closing") & F.lead("ord", size).over(spec).isNull())
-                   .alias("trailing"))
     return rows.select("key", "value", "ord", *split, *out)
 
 

@@ -1,4 +1,9 @@
-"""The stored log: Parquet folders by partition, with offsets."""
+"""The stored log: batches of Parquet folders by partition, with offsets.
+
+A batch and the note that belongs to it (the next offsets after it, and the
+names of the appends so far) become visible by one rename. Batch writes and the
+hops of a stream share this layout and the readers.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +14,47 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.layout import assign_offset, assign_partition
 from ..operators.spans import plan_spans
 from ..schema import LOG_SCHEMA, STORED_SCHEMA
-from ..storage import has_files, matching_parents, read_text, write_text
+from ..storage import (drop_path, has_files, matching_parents, move, publish, published,
+                       read_text, write_text)
+
+_NOTE = "_log.json"
+_STORED = [f.name for f in STORED_SCHEMA]
+
+
+def log_note(spark: SparkSession, path: str, before: int | None = None) -> dict | None:
+    """What the log's last batch (or the last one before a number) notes:
+    ``batch``, ``partitions``, ``next`` (offset by partition) and ``appends``."""
+    done = [n for n in published(spark, path) if before is None or n < before]
+    if not done:
+        return None
+    return json.loads(read_text(spark, f"{path}/batch={done[-1]}/{_NOTE}"))
+
+
+def publish_batch(log: DataFrame, path: str, number: int, partitions: int,
+                  kept: dict | None = None, append_id: str | None = None,
+                  rows_per_span: int | None = None) -> bool:
+    """Store a keyed log as batch ``number``, its offsets behind those that
+    ``kept`` notes. A large partition is numbered and written by several tasks;
+    rows leave the numbering step grouped by partition, so the write needs no
+    further shuffle."""
+    spark = log.sparkSession
+
+    def write(hidden: str) -> None:
+        placed = assign_partition(
+            log.select("key", F.col("value").cast("string"), "ord"), partitions)
+        following = {int(p): n for p, n in kept["next"].items()} if kept else {}
+        start = spark.createDataFrame(list(following.items()), "partition int, next_offset long") \
+            if following else None
+        spans = plan_spans(placed, "partition", rows_per_span)
+        assign_offset(spans.rows, spans, start).write.partitionBy("partition").parquet(hidden)
+        # A row for each partition of the log.
+        for r in spans.rows.groupBy("partition").agg(F.count(F.lit(1)).alias("rows")).collect():
+            following[r["partition"]] = following.get(r["partition"], 0) + r["rows"]
+        appends = (kept["appends"] if kept else []) + ([append_id] if append_id else [])
+        write_text(spark, f"{hidden}/{_NOTE}", json.dumps(
+            {"batch": number, "partitions": partitions, "next": following, "appends": appends}))
+
+    return publish(spark, path, f"batch={number}", write)
 
 
 def write_log(log: DataFrame, path: str, partitions: int,
@@ -17,46 +62,39 @@ def write_log(log: DataFrame, path: str, partitions: int,
               append_id: str | None = None) -> None:
     """Store a keyed log, partition chosen by key, offsets dense.
 
-    A large partition is numbered and written by several tasks. The rows leave
-    the numbering step grouped by partition, so the write needs no further
-    shuffle. ``mode="append"`` continues the stored offsets; the number of
-    partitions must be the log's, as a key stays in its partition. The number
-    and the next offsets are kept beside the log, so an append doesn't read it.
-    An append that names itself with ``append_id`` counts once: repeated, it
-    writes nothing.
+    ``mode="append"`` continues the stored offsets; the number of partitions
+    must be the log's, as a key stays in its partition. The number and the next
+    offsets are kept with each batch, so an append doesn't read the log. Rows,
+    offsets and the append's name appear together or not at all: after a failure
+    at any point, an append that names itself with ``append_id`` may be repeated
+    and counts once. A log has one writer at a time.
     """
     spark = log.sparkSession
-    note = f"{path}/_log.json"
-    kept = json.loads(read_text(spark, note) or "null") if mode == "append" else None
+    if mode == "overwrite":
+        # What was there goes when the new rows are ready.
+        fresh = f"{path}/_fresh"
+        drop_path(spark, fresh)
+        publish_batch(log, fresh, 0, partitions, None, append_id, rows_per_span)
+        for n in published(spark, path):
+            drop_path(spark, f"{path}/batch={n}")
+        publish(spark, path, "batch=0", lambda hidden: move(spark, f"{fresh}/batch=0", hidden))
+        return
+    if mode != "append":
+        raise ValueError(f"mode is overwrite or append, not {mode}")
+    kept = log_note(spark, path)
     if kept:
         if kept["partitions"] != partitions:
             raise ValueError(f"the log has {kept['partitions']} partitions, not {partitions}")
         if append_id is not None and append_id in kept["appends"]:
             return
-    elif mode == "append" and has_files(spark, f"{path}/partition=*"):
+    elif has_files(spark, f"{path}/partition=*"):
         raise ValueError(f"{path} was not written by write_log")
-    placed = assign_partition(
-        log.select("key", F.col("value").cast("string"), "ord"), partitions)
-    start = None
-    if kept and kept["next"]:
-        start = spark.createDataFrame(
-            [(int(p), n) for p, n in kept["next"].items()],
-            "partition int, next_offset long")
-    spans = plan_spans(placed, "partition", rows_per_span)
-    stored = assign_offset(spans.rows, spans, start)
-    stored.write.mode(mode).partitionBy("partition").parquet(path)
-    # A row for each partition of the log.
-    following = dict(kept["next"]) if kept else {}
-    for r in spans.rows.groupBy("partition").agg(F.count(F.lit(1)).alias("rows")).collect():
-        name = str(r["partition"])
-        following[name] = following.get(name, 0) + r["rows"]
-    appends = (kept["appends"] if kept else []) + ([append_id] if append_id else [])
-    write_text(spark, note, json.dumps(
-        {"partitions": partitions, "next": following, "appends": appends}))
+    publish_batch(log, path, kept["batch"] + 1 if kept else 0, partitions, kept, append_id,
+                  rows_per_span)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORED_SCHEMA).parquet(path)
+    return spark.read.schema(STORED_SCHEMA).parquet(path).select(*_STORED)
 
 
 def read_partition(spark: SparkSession, path: str, partition: int) -> DataFrame:
@@ -69,7 +107,8 @@ def stream_log(spark: SparkSession, path: str, stored: bool = True,
     """A log as a stream. ``maxFilesPerTrigger`` and ``maxBytesPerTrigger``
     bound what one micro-batch takes in."""
     schema = STORED_SCHEMA if stored else LOG_SCHEMA
-    return spark.readStream.schema(schema).options(**options).parquet(path)
+    return spark.readStream.schema(schema).options(**options).parquet(path).select(
+        *[f.name for f in schema])
 
 
 def read_committed(spark: SparkSession, path: str) -> DataFrame:

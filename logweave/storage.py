@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,23 +63,42 @@ def matching_parents(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath().getParent().toString()) for s in found)
 
 
-def publish(df: DataFrame, folder: str, name: str) -> None:
-    """Write a table as ``folder/name`` so that readers see all of it or nothing.
+def published(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the finished batches in a folder, ascending."""
+    return sorted(int(p.rpartition("=")[2])
+                  for p in matching_parents(spark, f"{folder}/batch=*/_SUCCESS"))
 
-    It is written under a hidden name and then renamed. What is there already
-    stays: the name stands for the content, as a repeated micro-batch gives the
-    same rows, and a stream that has taken these files isn't given others.
+
+def publish(spark: SparkSession, folder: str, name: str,
+            write: Callable[[str], None]) -> bool:
+    """Make ``folder/name`` visible to readers in whole or not at all.
+
+    ``write`` gets a hidden path and puts tables and notes there; one rename then
+    shows them. What is there already stays and nothing is written: the name
+    stands for the content, as a repeated micro-batch gives the same rows, and a
+    stream that has taken these files isn't given others. Returns whether it
+    wrote. One writer at a time may publish a name.
     """
-    spark = df.sparkSession
     fs, target = _file_system(spark, f"{folder}/{name}")
-    done = spark._jvm.org.apache.hadoop.fs.Path(target, "_SUCCESS")
-    if fs.exists(done):
-        return
+    if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(target, "_SUCCESS")):
+        return False
     fs.delete(target, True)
     hidden = f"{folder}/_pending-{uuid.uuid4().hex}"
-    df.write.parquet(hidden)
+    write(hidden)
     if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(hidden), target):
         raise OSError(f"cannot rename {hidden}")
+    return True
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, jpath = _file_system(spark, source)
+    if not fs.rename(jpath, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot rename {source}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, jpath = _file_system(spark, path)
+    fs.mkdirs(jpath)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

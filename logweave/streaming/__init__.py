@@ -1,4 +1,4 @@
-from .carry import CarryStore, carry_snapshot
-from .runner import run_stream
+from .runner import Hop, StreamRun, run_stream
+from .state import state_snapshot, window_state, with_context
 
-__all__ = ["CarryStore", "carry_snapshot", "run_stream"]
+__all__ = ["Hop", "StreamRun", "run_stream", "state_snapshot", "window_state", "with_context"]

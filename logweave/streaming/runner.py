@@ -1,94 +1,224 @@
 """Running a pipeline over a stream.
 
-A micro-batch goes through the batch operators. Before a window stage the
-carried records of the batch's keys join it as context, and afterwards the new
-last records are carried on. Carry and output of batch ``b`` are written to
-places named by ``b``. A batch that is run again after a failure writes the same
-carry again and leaves output alone that it had finished: each record counts
-once, at the sink and in every stream that reads it.
+Spark keeps one keyed state in a query, so a pipeline runs as a chain of queries
+with a log between them, one query for each window. A query's stateless stages
+before its window are part of the streaming plan; from the window on, a
+micro-batch goes through the batch operators, together with the records that
+the state holds. Outputs of micro-batch ``b`` are written aside and renamed to
+``batch=<b>``. A batch that is run again after a failure leaves output alone that
+it had finished: each record counts once, at the sink and in every stream that
+reads it.
 """
 
 from __future__ import annotations
 
-from dataclasses import replace
-from typing import Callable
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.spans import costly, plan_spans
-from ..operators.window import frames
+from ..operators.spans import plan_spans
+from ..operators.window import fresh_frames
 from ..plans.pipeline import Pipeline
-from ..plans.stages import WindowStage
+from ..plans.stages import Stage, WindowStage
 from ..schema import require_log
-from ..storage import publish
-from .carry import CarryStore
+from ..sources.log import log_note, publish_batch, stream_log
+from ..storage import make_folder, publish
+from .state import state_settings, with_context
+
+
+@dataclass(frozen=True)
+class Hop:
+    """Where a stage's output is stored, as a log of so many partitions; by
+    default as many as the next stage has workers, one after the last stage."""
+
+    path: str
+    partitions: int | None = None
+
+
+@dataclass(frozen=True)
+class _Part:
+    """One query of the chain: its stages by number, and where its output goes."""
+
+    stages: tuple[tuple[int, Stage | WindowStage], ...]
+    targets: tuple[Hop | str, ...]
+    name: str
+    last: bool = False
+
+    @property
+    def window(self) -> int | None:
+        return next((i for i, (_, s) in enumerate(self.stages)
+                     if isinstance(s, WindowStage)), None)
+
+
+def _parts(pipeline: Pipeline, out: str, checkpoint: str, prepared: bool,
+           hops: dict[int, Hop]) -> list[_Part]:
+    """Cut the pipeline behind stages whose output is a hop, before a second
+    window, and before any window whose input a micro-batch must prepare."""
+    parts: list[_Part] = []
+    here: list[tuple[int, Stage | WindowStage]] = []
+    unprepared = prepared
+
+    def close(*targets: Hop | str, last: bool = False) -> None:
+        nonlocal unprepared
+        window = next((at for at, s in here if isinstance(s, WindowStage)), None)
+        name = f"stage={window}" if window else f"to={here[-1][0] if here else 0}"
+        parts.append(_Part(tuple(here), targets, name, last))
+        here.clear()
+        unprepared = False
+
+    for at, stage in enumerate(pipeline.stages, 1):
+        if isinstance(stage, WindowStage) and (
+                unprepared or any(isinstance(s, WindowStage) for _, s in here)):
+            close(f"{checkpoint}/hop={at - 1}")
+        here.append((at, stage))
+        if at in hops and at < len(pipeline.stages):
+            close(hops[at])
+    end = hops.get(len(pipeline.stages))
+    close(*([end] if end else []), out, last=True)
+    return parts
+
+
+class StreamRun:
+    """The queries of a running pipeline."""
+
+    def __init__(self, starts: list[Callable[[], StreamingQuery]], together: bool):
+        self._waiting = list(starts)
+        self.queries: list[StreamingQuery] = []
+        while self._waiting and (together or not self.queries):
+            self._next()
+
+    def _next(self) -> None:
+        self.queries.append(self._waiting.pop(0)())
+
+    def awaitTermination(self) -> None:
+        """Wait for all queries; one that takes what is there and ends is followed
+        by the next. A failure of one is raised, and stops the others."""
+        done = 0
+        try:
+            while done < len(self.queries):
+                self.queries[done].awaitTermination()
+                done += 1
+                if done == len(self.queries) and self._waiting:
+                    self._next()
+        except BaseException:
+            self.stop()
+            raise
+
+    def stop(self) -> None:
+        self._waiting.clear()
+        for query in self.queries:
+            query.stop()
+
+    @property
+    def isActive(self) -> bool:
+        return bool(self._waiting) or any(q.isActive for q in self.queries)
 
 
 def run_stream(pipeline: Pipeline, source: DataFrame, out: str,
                checkpoint: str,
                prepare: Callable[[DataFrame, int], DataFrame] | None = None,
-               hops: dict[int, str] | None = None,
+               hops: dict[int, str | Hop] | None = None,
                trigger: dict | None = None,
-               compact_every: int = 10,
                rows_per_span: int | None = None,
                after_output: Callable[[int], None] | None = None,
                use_workers: bool = False
-               ) -> StreamingQuery:
+               ) -> StreamRun:
     """Start ``pipeline`` on a streaming DataFrame.
 
     ``prepare`` turns a micro-batch and its number into a keyed log; without it
     the source must be one. Output goes to ``out/batch=<id>`` when the batch is
     finished, and is read with ``read_committed`` or by a further stream with
-    ``stream_log(stored=False)``; ``hops`` names further folders for the output
-    of single stages (1-based). ``after_output`` is called when a batch is
-    written, before Spark commits it. ``use_workers`` makes a window stage use
-    its configured number of partitions.
+    ``stream_log(stored=False)``. ``hops`` names folders for the output of single
+    stages (1-based), each a stored log with partitions and offsets that
+    ``read_log``, ``read_partition`` and ``stream_log`` read; the following stages
+    read it too. ``after_output`` is called when a batch is written to ``out``,
+    before Spark commits it. ``use_workers`` makes a window stage use its
+    configured number of partitions.
+
+    With the default trigger each query of the chain takes what is there and
+    ends, and the next follows in ``awaitTermination``; with any other they run
+    side by side.
     """
     options = trigger or {"availableNow": True}
     spark = source.sparkSession
-    store = CarryStore(spark, f"{checkpoint}/carry", compact_every)
+    stored = {}
+    for at, hop in (hops or {}).items():
+        hop = hop if isinstance(hop, Hop) else Hop(hop)
+        following = pipeline.stages[at:at + 1]
+        workers = (following[0].workers or 1) if following else 1
+        stored[at] = replace(hop, partitions=hop.partitions or workers)
+    parts = _parts(pipeline, out, checkpoint, prepare is not None, stored)
+
+    def start(part: _Part, before: _Part | None) -> StreamingQuery:
+        log, first = source, prepare
+        if before is not None:
+            hop, first = before.targets[0], None
+            path = hop.path if isinstance(hop, Hop) else hop
+            make_folder(spark, path)
+            log = stream_log(spark, path, stored=isinstance(hop, Hop))
+        return _start(part, log, first, f"{checkpoint}/{part.name}", options, rows_per_span,
+                      after_output if part.last else None, use_workers)
+
+    starts = [lambda p=p, b=b: start(p, b)
+              for p, b in zip(parts, [None, *parts[:-1]], strict=True)]
+    return StreamRun(starts, not {"availableNow", "once"} & set(options))
+
+
+def _start(part: _Part, source: DataFrame, prepare, checkpoint: str, trigger: dict,
+           rows_per_span: int | None, after_output, use_workers: bool) -> StreamingQuery:
+    stages = [s for _, s in part.stages]
+    at = part.window
+    if at is not None:
+        for stage in stages[:at]:
+            source = stage.apply(source)
+        source = with_context(require_log(source), stages[at].size)
 
     def process(batch: DataFrame, number: int) -> None:
-        log = require_log(prepare(batch, number) if prepare else batch)
-        held = []
+        if at is None:
+            log = require_log(prepare(batch, number) if prepare else batch)
+            rest, held = stages, []
+        else:
+            held = [batch.persist(StorageLevel.MEMORY_AND_DISK)]
+            log = _windows(batch, stages[at], rows_per_span, use_workers)
+            rest = stages[at + 1:]
+        for stage in rest:
+            log = stage.apply(log)
+        if len(part.targets) > 1:
+            held.append(log.persist(StorageLevel.MEMORY_AND_DISK))
+            log = held[-1]
         try:
-            for at, stage in enumerate(pipeline.stages, 1):
-                if isinstance(stage, WindowStage):
-                    if costly(log):       # read three times below
-                        log = log.persist(StorageLevel.MEMORY_AND_DISK)
-                        held.append(log)
-                    spans = plan_spans(log, "key", rows_per_span)
-                    if use_workers and stage.workers and not spans:
-                        spans = replace(spans, rows=spans.rows.repartition(
-                            stage.workers, "key"))
-                    framed = frames(
-                        spans.rows, stage.size, stage.slide, spans,
-                        store.read(at, number, log), True, stage.fn)
-                    result = "direct" if "direct" in framed.columns else "window"
-                    framed = framed.select(
-                        "key", "value", "ord", "n", result, "fresh",
-                        "trailing").persist(StorageLevel.MEMORY_AND_DISK)
-                    held.append(framed)
-                    store.write(at, number, framed.filter("trailing").select(
-                        "key", "value", "ord", "n"))
-                    log = stage.emit(framed.filter("fresh"))
-                else:
-                    log = stage.apply(log)
-                if hops and at in hops:
-                    _save(log, hops[at], number)
-            _save(log, out, number)
+            for target in part.targets:
+                _save(log, target, number, rows_per_span)
             if after_output:
                 after_output(number)
         finally:
             for kept in held:
                 kept.unpersist()
 
-    return (source.writeStream.foreachBatch(process)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**options).start())
+    with state_settings(source.sparkSession):
+        return (source.writeStream.foreachBatch(process)
+                .option("checkpointLocation", checkpoint)
+                .trigger(**trigger).start())
+
+
+def _windows(batch: DataFrame, stage: WindowStage, rows_per_span: int | None,
+             use_workers: bool) -> DataFrame:
+    """The window stage over a micro-batch and the context rows within it."""
+    spans = plan_spans(batch.filter("n is null").drop("n"), "key", rows_per_span)
+    if use_workers and stage.workers and not spans:
+        spans = replace(spans, rows=spans.rows.repartition(stage.workers, "key"))
+    return stage.emit(fresh_frames(spans.rows, stage.size, stage.slide, spans,
+                                   batch.filter("n is not null"), stage.fn))
 
 
-def _save(log: DataFrame, path: str, number: int) -> None:
-    publish(log.select("key", "value", "ord"), path, f"batch={number}")
+def _save(log: DataFrame, target: Hop | str, number: int, rows_per_span: int | None) -> None:
+    spark: SparkSession = log.sparkSession
+    if isinstance(target, Hop):
+        publish_batch(log, target.path, number, target.partitions,
+                      log_note(spark, target.path, before=number), rows_per_span=rows_per_span)
+    else:
+        rows = log.select("key", "value", "ord")
+        publish(spark, target, f"batch={number}", lambda hidden: rows.write.parquet(hidden))
