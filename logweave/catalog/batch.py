@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import AGGREGATES, java_hash
@@ -63,6 +64,25 @@ def append_log(spark, sf):
     return _stored_columns(read_log(spark, path))
 
 
+@query
+def append_retried(spark, sf):
+    """An append whose tasks fail while it is written, then is repeated twice under
+    its name."""
+    path = scratch_path(spark, "retried-log")
+    write_log(events(spark, sf), path, PARTITIONS)
+    more = orders(spark, sf)
+    failing = more.withColumn("value", F.when(
+        F.get("ord", F.lit(0)) % 2 == 1, F.raise_error(F.lit("stopped on purpose")))
+        .otherwise(F.col("value")))
+    for log in (failing, more, more):
+        try:
+            write_log(log, path, PARTITIONS, mode="append", append_id="orders")
+        except PySparkException:
+            if log is not failing:
+                raise
+    return _stored_columns(read_log(spark, path))
+
+
 @query
 def tokenize_documents(spark, sf):
     tokens = tokenize_text(table(spark, sf, "documents"), "text", "doc_id")

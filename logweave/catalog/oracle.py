@@ -142,6 +142,11 @@ FROM (SELECT *, {_partition('key')} AS partition FROM (
   SELECT 1, CAST(o_custkey AS VARCHAR), o_orderstatus, o_orderkey FROM orders
 ) AS u) AS p"""
 
+_HOP = f"""
+SELECT key, value, seq, partition,
+       row_number() OVER (PARTITION BY partition ORDER BY seq) - 1 AS "offset"
+FROM (SELECT *, {_partition('key')} AS partition FROM ({_window(EVENTS, 3, 1)}) AS w) AS p"""
+
 # The greatest of each window, null where the window is empty.
 _MAX_OF_SOME = _window(_VALUES, 3, 4, value="list_max(win)")
 
@@ -151,6 +156,7 @@ ORACLE = {
     "read_partition_events": f"SELECT * FROM ({_STORED}) AS s "
                              "WHERE partition = 3",
     "append_log": _APPENDED,
+    "append_retried": _APPENDED,
     "tokenize_documents": _tokens("documents"),
     "read_text_lines": f"SELECT value, word FROM ({_tokens('documents')}) AS t "
                        "WHERE value <> ''",
@@ -284,6 +290,23 @@ ORACLE = {
     "stream_text_window": "SELECT 'all' AS key, 'turn' || conv_id || turn AS value "
                           "FROM conversations",
     "stream_hop": _window(EVENTS, 3, 1),
+    "stream_hop_partition": f"SELECT * FROM ({_HOP}) AS h WHERE partition = 3",
+    "stream_hop_lag": f"""
+        SELECT partition, max("offset") + 1 AS end_offset,
+               (max("offset") + 1 + 3) // 4 AS next_offset,
+               max("offset") + 1 - (max("offset") + 1 + 3) // 4 AS lag
+        FROM ({_HOP}) AS h GROUP BY partition""",
+    "stream_pinned": f"SELECT * FROM ({_DEMO}) AS d WHERE {_partition('key')} = 3",
+    "stream_position_lag": f"""
+        SELECT p.partition, coalesce(end_offset, 0) AS end_offset,
+               coalesce(next_offset, 0) AS next_offset,
+               coalesce(end_offset, 0) - coalesce(next_offset, 0) AS lag
+        FROM (SELECT CAST(unnest(range(8)) AS INTEGER) AS partition) AS p
+        LEFT JOIN (SELECT partition, count(*) AS end_offset FROM ({_APPENDED}) AS a
+                   GROUP BY partition) AS e ON e.partition = p.partition
+        LEFT JOIN (SELECT partition, count(*) AS next_offset FROM ({_STORED}) AS s
+                   GROUP BY partition) AS n ON n.partition = p.partition""",
+    "stream_sink_lines": f"SELECT 'SINK RECORDS' AS line UNION ALL {_SINK_LINES}",
     "stream_snapshot": _SNAPSHOT,
     "stream_text": f"SELECT {_upper('value')} AS value, word "
                    f"FROM ({_tokens(_TURNS)}) AS t WHERE value <> ''",

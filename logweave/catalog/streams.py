@@ -8,11 +8,13 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, functions as F
 
 from ..plans import Pipeline
-from ..sources import lines_prepared, read_committed, stream_lines, stream_log, \
-    tokenize_lines
+from ..operators import committed_offsets, consumer_lag
+from ..sources import (committed_positions, lines_prepared, printed_lines, read_committed,
+                       read_log, read_partition, stream_lag, stream_lines, stream_log,
+                       stream_positions, stream_text_sink, tokenize_lines, write_log)
 from ..storage import scratch_path
-from ..streaming import run_stream, state_snapshot
-from .tables import at, events, flat, share_of, table
+from ..streaming import Hop, run_stream, state_snapshot
+from .tables import at, events, flat, orders, share_of, table
 
 STREAMS = {}
 
@@ -198,6 +200,89 @@ def stream_hop(spark, sf):
     return flat(read_committed(spark, hop), "seq")
 
 
+def _hop_log(spark, sf) -> str:
+    """The first stage's output as a log of eight partitions, written in three
+    micro-batches, of which the second fails after its output and is repeated."""
+    source, hop, out, checkpoint = (scratch_path(spark, label) for label in (
+        "hop-in", "hop-log", "hop-out", "hop-checkpoint"))
+    fail = _fail_once(1)
+    for part in _parts(events(spark, sf), 3):
+        part.write.mode("append").parquet(source)
+        for _ in range(2):
+            _run(Pipeline.of("windowaggregate", "map"),
+                 stream_log(spark, source, stored=False), out, checkpoint,
+                 hops={1: Hop(hop, 8)}, after_output=fail)
+    return hop
+
+
+@query
+def stream_hop_partition(spark, sf):
+    """One partition of a stream's hop, with its offsets."""
+    return read_partition(spark, _hop_log(spark, sf), 3).select(
+        "key", "value", at(0, "seq"), "partition", "offset")
+
+
+@query
+def stream_hop_lag(spark, sf):
+    """Lag of a reader of a stream's hop that is past each partition's first
+    quarter."""
+    log = read_log(spark, _hop_log(spark, sf))
+    ends = committed_offsets(log).withColumnRenamed("next_offset", "end")
+    read = log.join(ends, "partition").filter(F.col("offset") * 4 < F.col("end"))
+    return consumer_lag(log, committed_offsets(read))
+
+
+@query
+def stream_pinned(spark, sf):
+    """A stream over one partition of a stored log that grows, by positions."""
+    path, out, checkpoint = (scratch_path(spark, label) for label in (
+        "pinned-log", "pinned-out", "pinned-checkpoint"))
+    for i, part in enumerate(_parts(events(spark, sf), 2)):
+        write_log(part, path, 8, mode="append", append_id=f"part {i}")
+        run_stream(Pipeline.of("windowaggregate", "map"),
+                   stream_positions(spark, path, [3]).drop("partition", "offset"), out,
+                   checkpoint).awaitTermination()
+    return flat(read_committed(spark, out), "seq")
+
+
+@query
+def stream_position_lag(spark, sf):
+    """What a stream has committed, and its lag, when the log has grown by a second
+    append since."""
+    path, out, checkpoint = (scratch_path(spark, label) for label in (
+        "lag-log", "lag-out", "lag-checkpoint"))
+    write_log(events(spark, sf), path, 8)
+    run_stream(Pipeline.of("filter"), stream_positions(spark, path).drop(
+        "partition", "offset"), out, checkpoint).awaitTermination()
+    write_log(orders(spark, sf), path, 8, mode="append")
+    return stream_lag(spark, path, committed_positions(spark, f"{checkpoint}/to=1"))
+
+
+@query
+def stream_sink_lines(spark, sf):
+    """Lines printed as a log grows; the second micro-batch fails in its tasks and
+    is run again."""
+    path, sink, checkpoint = (scratch_path(spark, label) for label in (
+        "sink-log", "sink-lines", "sink-checkpoint"))
+    parts = _parts(events(spark, sf), 3)
+    ended = []
+    for i, part in enumerate(parts):
+        write_log(part, path, 8, mode="append", append_id=f"part {i}")
+        for failing in ([True, False] if i == 1 else [False]):
+            log = stream_positions(spark, path)
+            if failing:
+                log = log.withColumn("value", F.when(
+                    F.col("partition") % 2 == 1, F.raise_error(F.lit("stopped on purpose")))
+                    .otherwise(F.col("value")))
+            try:
+                stream_text_sink(log, sink, checkpoint).awaitTermination()
+            except StreamingQueryException:
+                ended.append(i)
+    if len(parts) > 1 and ended != [1]:
+        raise AssertionError(f"failed in {ended}")
+    return printed_lines(spark, sink)
+
+
 @query
 def stream_snapshot(spark, sf):
     """Current window of every key from the state of the stream."""
