@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.layout import assign_offset, assign_partition
 from ..operators.spans import plan_spans
@@ -106,9 +106,14 @@ def stream_log(spark: SparkSession, path: str, stored: bool = True,
                **options) -> DataFrame:
     """A log as a stream. ``maxFilesPerTrigger`` and ``maxBytesPerTrigger``
     bound what one micro-batch takes in."""
-    schema = STORED_SCHEMA if stored else LOG_SCHEMA
-    return spark.readStream.schema(schema).options(**options).parquet(path).select(
-        *[f.name for f in schema])
+    names = _STORED if stored else [f.name for f in LOG_SCHEMA]
+    # With the columns of the folders, in their order, as the first of these may
+    # appear when the stream already runs.
+    schema = T.StructType([STORED_SCHEMA[n] for n in names if n != "partition"]).add(
+        "batch", T.LongType())
+    if stored:
+        schema = schema.add(STORED_SCHEMA["partition"])
+    return spark.readStream.schema(schema).options(**options).parquet(path).select(*names)
 
 
 def read_committed(spark: SparkSession, path: str) -> DataFrame:

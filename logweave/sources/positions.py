@@ -8,6 +8,7 @@ files of the batches of the log that hold its offsets, a task for each file.
 
 from __future__ import annotations
 
+import ast
 import json
 from collections.abc import Iterator
 
@@ -145,7 +146,7 @@ def running_positions(query: StreamingQuery, source: int = 0) -> dict[int, int]:
     if progress is None:
         return {}
     end = progress["sources"][source]["endOffset"]
-    end = json.loads(end) if isinstance(end, str) else end
+    end = ast.literal_eval(end) if isinstance(end, str) else end   # a dict as text
     return {int(p): n for p, n in (end or {}).items()}
 
 

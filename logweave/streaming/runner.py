@@ -45,7 +45,6 @@ class _Part:
     stages: tuple[tuple[int, Stage | WindowStage], ...]
     targets: tuple[Hop | str, ...]
     name: str
-    last: bool = False
 
     @property
     def window(self) -> int | None:
@@ -61,11 +60,11 @@ def _parts(pipeline: Pipeline, out: str, checkpoint: str, prepared: bool,
     here: list[tuple[int, Stage | WindowStage]] = []
     unprepared = prepared
 
-    def close(*targets: Hop | str, last: bool = False) -> None:
+    def close(*targets: Hop | str) -> None:
         nonlocal unprepared
         window = next((at for at, s in here if isinstance(s, WindowStage)), None)
         name = f"stage={window}" if window else f"to={here[-1][0] if here else 0}"
-        parts.append(_Part(tuple(here), targets, name, last))
+        parts.append(_Part(tuple(here), targets, name))
         here.clear()
         unprepared = False
 
@@ -77,7 +76,7 @@ def _parts(pipeline: Pipeline, out: str, checkpoint: str, prepared: bool,
         if at in hops and at < len(pipeline.stages):
             close(hops[at])
     end = hops.get(len(pipeline.stages))
-    close(*([end] if end else []), out, last=True)
+    close(*([end] if end else []), out)
     return parts
 
 
@@ -112,6 +111,10 @@ class StreamRun:
         for query in self.queries:
             query.stop()
 
+    def exception(self):
+        """The failure of the first query that has one."""
+        return next((e for q in self.queries if (e := q.exception())), None)
+
     @property
     def isActive(self) -> bool:
         return bool(self._waiting) or any(q.isActive for q in self.queries)
@@ -134,8 +137,8 @@ def run_stream(pipeline: Pipeline, source: DataFrame, out: str,
     ``stream_log(stored=False)``. ``hops`` names folders for the output of single
     stages (1-based), each a stored log with partitions and offsets that
     ``read_log``, ``read_partition`` and ``stream_log`` read; the following stages
-    read it too. ``after_output`` is called when a batch is written to ``out``,
-    before Spark commits it. ``use_workers`` makes a window stage use its
+    read it too. ``after_output`` is called with a batch's number when a query has
+    written it, before Spark commits it. ``use_workers`` makes a window stage use its
     configured number of partitions.
 
     With the default trigger each query of the chain takes what is there and
@@ -160,7 +163,7 @@ def run_stream(pipeline: Pipeline, source: DataFrame, out: str,
             make_folder(spark, path)
             log = stream_log(spark, path, stored=isinstance(hop, Hop))
         return _start(part, log, first, f"{checkpoint}/{part.name}", options, rows_per_span,
-                      after_output if part.last else None, use_workers)
+                      after_output, use_workers)
 
     starts = [lambda p=p, b=b: start(p, b)
               for p, b in zip(parts, [None, *parts[:-1]], strict=True)]
@@ -207,11 +210,11 @@ def _start(part: _Part, source: DataFrame, prepare, checkpoint: str, trigger: di
 def _windows(batch: DataFrame, stage: WindowStage, rows_per_span: int | None,
              use_workers: bool) -> DataFrame:
     """The window stage over a micro-batch and the context rows within it."""
-    spans = plan_spans(batch.filter("n is null").drop("n"), "key", rows_per_span)
+    spans = plan_spans(batch.filter("n = 0").drop("n"), "key", rows_per_span)
     if use_workers and stage.workers and not spans:
         spans = replace(spans, rows=spans.rows.repartition(stage.workers, "key"))
     return stage.emit(fresh_frames(spans.rows, stage.size, stage.slide, spans,
-                                   batch.filter("n is not null"), stage.fn))
+                                   batch.filter("n > 0"), stage.fn))
 
 
 def _save(log: DataFrame, target: Hop | str, number: int, rows_per_span: int | None) -> None:

@@ -54,25 +54,28 @@ def _step(size: int):
              ) -> Iterator[pd.DataFrame]:
         n, ords, values = state.get if state.exists else (0, [], [])
         kept = [(tuple(o), v) for o, v in zip(ords, values, strict=True)]
-        if kept:
-            yield pd.DataFrame({
-                "key": key[0], "value": [v for _, v in kept], "ord": [list(o) for o, _ in kept],
-                "n": range(n - len(kept) + 1, n + 1)})
+        # The kept records lead the first of the key's frames.
+        ords, values = [list(o) for o in ords], list(values)
+        numbers = list(range(n - len(kept) + 1, n + 1))
         for some in records:
-            n += len(some)
-            latest = heapq.nlargest(size, zip(map(tuple, some["ord"]), some["value"],
-                                              strict=True), key=lambda r: r[0])
-            kept = heapq.nlargest(size, kept + latest, key=lambda r: r[0])[::-1]
-            out = some[["key", "value", "ord"]].copy()
-            out["n"] = pd.array([None] * len(some), "Int64")
-            yield out
+            more, texts = some["ord"].tolist(), some["value"].tolist()
+            n += len(more)
+            latest = heapq.nlargest(size, zip(map(tuple, more), texts, strict=True), key=_place)
+            kept = heapq.nlargest(size, kept + latest, key=_place)[::-1]
+            yield pd.DataFrame({"key": key[0], "value": values + texts, "ord": ords + more,
+                                "n": numbers + [0] * len(more)})
+            ords, values, numbers = [], [], []
         state.update((n, [[int(x) for x in o] for o, _ in kept], [v for _, v in kept]))
     return step
 
 
+def _place(record: tuple) -> tuple:
+    return record[0]
+
+
 def with_context(log: DataFrame, size: int) -> DataFrame:
     """A streaming keyed log, and for the keys of each micro-batch the last
-    ``size`` records before it, which have their number ``n``."""
+    ``size`` records before it. Those have their number ``n``, the others 0."""
     return log.select("key", "value", "ord").groupBy("key").applyInPandasWithState(
         _step(size), _WITH_CONTEXT, _STATE, "append", GroupStateTimeout.NoTimeout)
 

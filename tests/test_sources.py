@@ -211,3 +211,62 @@ def test_log_keeps_its_partitions(log_of, spark, tmp_path):
     for p in range(4):
         offsets = sorted(r["offset"] for r in rows if r["partition"] == p)
         assert offsets == list(range(len(offsets)))
+
+
+@pytest.mark.parametrize("point", ["rows", "note", "rename"])
+def test_append_that_fails_and_is_repeated(log_of, spark, tmp_path, monkeypatch, point):
+    """A failure before the rows are whole, between rows and note, and before both
+    become visible; then the same append again, twice."""
+    from logweave.sources import log as module
+    rows, path = keyed(240), str(tmp_path / "log")
+    write_log(log_of(rows[:100]), path, 4)
+    before = stored(read_log(spark, path))
+    more = log_of(rows[100:])
+
+    def stop(*_, **__):
+        raise RuntimeError("stopped on purpose")
+
+    with monkeypatch.context() as patch:
+        if point == "note":
+            patch.setattr(module, "write_text", stop)
+        elif point == "rename":
+            patch.setattr("logweave.storage._file_system", _without_rename(
+                __import__("logweave.storage").storage._file_system))
+        failing = more if point != "rows" else more.withColumn("value", F.when(
+            F.col("value") == "v200", F.raise_error(F.lit("stopped on purpose")))
+            .otherwise(F.col("value")))
+        with pytest.raises(Exception, match="stopped on purpose"):
+            write_log(failing, path, 4, mode="append", append_id="more")
+    assert stored(read_log(spark, path)) == before
+    for _ in range(2):
+        write_log(more, path, 4, mode="append", append_id="more")
+    assert stored(read_log(spark, path)) == numbered(rows, 4)
+    assert read_log(spark, path).count() == 240
+
+
+def _without_rename(real):
+    class Files:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            if name == "rename":
+                raise RuntimeError("stopped on purpose")
+            return getattr(self.fs, name)
+
+    def opened(spark, path):
+        fs, jpath = real(spark, path)
+        return Files(fs), jpath
+    return opened
+
+
+def test_log_as_a_stream(log_of, spark, tmp_path):
+    """The file stream reads a stored log's batches with their partition."""
+    from logweave.sources import stream_log
+    rows, path = keyed(100), str(tmp_path / "log")
+    write_log(log_of(rows[:60]), path, 4)
+    write_log(log_of(rows[60:]), path, 4, mode="append")
+    query = (stream_log(spark, path).writeStream.format("memory").queryName("as_stream")
+             .trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start())
+    query.awaitTermination()
+    assert stored(spark.table("as_stream")) == numbered(rows, 4)

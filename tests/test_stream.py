@@ -3,11 +3,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from logweave.functions import concat
+from logweave.operators import committed_offsets, consumer_lag
 from logweave.plans import Pipeline
-from logweave.sources import (lines_prepared, read_committed, stream_lines,
-                              stream_log, tokenize_lines)
-from logweave.streaming import CarryStore, carry_snapshot, run_stream
+from logweave.sources import (committed_positions, lines_prepared, printed_lines,
+                              read_committed, read_log, read_partition, running_positions,
+                              stream_lag, stream_lines, stream_log, stream_positions,
+                              stream_text_sink, text_sink, tokenize_lines, write_log)
+from logweave.streaming import Hop, run_stream, state_snapshot, window_state
 
 from . import golden
 from .replay import replay
@@ -68,8 +70,7 @@ def test_restart_and_failures(spark, log_of, tmp_path):
         feed.add(rows[at:at + 60])
 
     def fail(batch):
-        if batch == 1:
-            raise RuntimeError("stopped on purpose")
+        raise RuntimeError("stopped on purpose")
 
     with pytest.raises(Exception, match="stopped on purpose"):
         feed.run(after_output=fail)
@@ -79,28 +80,206 @@ def test_restart_and_failures(spark, log_of, tmp_path):
     assert feed.rows() == batch_rows(TWO.run(log_of(rows)))
 
 
-def test_split_keys_and_compaction(spark, log_of, tmp_path):
-    """Large keys inside micro-batches, state compacted on the way."""
+def test_split_keys_and_state(spark, log_of, tmp_path):
+    """Large keys inside micro-batches; the state holds the last records."""
     rows = sample(240)
     pipe = Pipeline.of(("windowaggregate", {"size": 5, "slide": 3}))
-    feed = Feed(spark, log_of, tmp_path, pipe, compact_every=2, rows_per_span=6)
+    feed = Feed(spark, log_of, tmp_path, pipe, rows_per_span=6)
     for at in range(0, 240, 48):
         feed.add(rows[at:at + 48])
     feed.run()
-    expected = sorted(
-        (list(o), k, "".join(w)) for (k, o), (w, _, _) in replay(
-            [(k, v, [o]) for k, v, o in rows], 5, 3).items())
-    assert feed.rows() == expected
-
-    store = CarryStore(spark, feed.checkpoint + "/carry", 2)
-    latest = {}
-    for (k, o), (w, _, _) in replay([(k, v, [o]) for k, v, o in rows],
-                                    5, 3).items():
-        latest[k] = w
-    got = {r["key"]: list(r["window"]) for r in carry_snapshot(
-        store.read(1, 5), 5, 3, concat).collect()}
+    windows = replay([(k, v, [o]) for k, v, o in rows], 5, 3)
+    assert feed.rows() == sorted(
+        (list(o), k, "".join(w)) for (k, o), (w, _, _) in windows.items())
+
+    latest = {k: w for (k, _), (w, _, _) in windows.items()}
+    got = {r["key"]: list(r["window"])
+           for r in state_snapshot(spark, pipe, feed.checkpoint, 1).collect()}
     assert got == latest
-    assert not (tmp_path / "checkpoint/carry/stage=1/delta=1").exists()
+    state = {r["key"]: r for r in window_state(spark, feed.checkpoint, 1).collect()}
+    counts = {k: sum(key == k for key, _, _ in rows) for k in latest}
+    assert {k: r["n"] for k, r in state.items()} == counts
+    assert all(len(r["last"]) == min(5, counts[k]) for k, r in state.items())
+    with pytest.raises(ValueError, match="no window"):
+        state_snapshot(spark, Pipeline.of("map"), feed.checkpoint, 1)
+
+
+def test_state_of_a_failed_batch_is_rolled_back(spark, log_of, tmp_path):
+    """A failure before any output: the repeated batch finds the state of the
+    batch before it."""
+    rows = sample(90)
+    pipe = Pipeline.of("windowaggregate", ("map", {"fn": lambda k, v: F.when(
+        v.contains("v40"), F.raise_error(F.lit("stopped on purpose"))).otherwise(v)}))
+    feed = Feed(spark, log_of, tmp_path, pipe)
+    feed.add(rows[:30])
+    feed.add(rows[30:60])
+    with pytest.raises(Exception, match="stopped on purpose"):
+        feed.run()
+    feed.pipeline = Pipeline.of("windowaggregate", ("map", {"fn": lambda k, v: v}))
+    feed.run()
+    feed.add(rows[60:])
+    feed.run()
+    assert feed.rows() == batch_rows(Pipeline.of("windowaggregate").run(log_of(rows)))
+
+
+def test_session_keeps_its_settings(spark, log_of, tmp_path):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    feed = Feed(spark, log_of, tmp_path, Pipeline.of("windowaggregate"))
+    feed.add(golden.INPUT[:5])
+    feed.run()
+    assert spark.conf.get(name) == before
+    assert list((tmp_path / "checkpoint/stage=1/state").glob("**/*.zip")) or list(
+        (tmp_path / "checkpoint/stage=1/state").glob("**/*.changelog"))
+
+
+def test_queries_side_by_side(spark, log_of, tmp_path):
+    """Two windows with a trigger that goes on: two queries run until stopped."""
+    import time
+    rows = sample(80)
+    feed = Feed(spark, log_of, tmp_path, TWO)
+    feed.add(rows[:40])
+    run = run_stream(TWO, stream_log(spark, feed.source, stored=False), feed.out,
+                     feed.checkpoint, trigger={"processingTime": "200 milliseconds"})
+    try:
+        assert len(run.queries) == 2 and run.isActive
+        feed.add(rows[40:])
+        expected = batch_rows(TWO.run(log_of(rows)))
+        for _ in range(300):
+            if len(feed.rows()) == len(expected):
+                break
+            time.sleep(0.2)
+    finally:
+        run.stop()
+    assert feed.rows() == expected and not run.isActive
+
+
+def test_hop_is_a_log(spark, log_of, tmp_path):
+    """Offsets go on over micro-batches, also where one fails and is repeated."""
+    hop = str(tmp_path / "hop")
+    rows = sample(150)
+    feed = Feed(spark, log_of, tmp_path, Pipeline.of("windowaggregate", "map"),
+                hops={1: Hop(hop, 4)}, rows_per_span=20)
+    for at in range(0, 150, 50):
+        feed.add(rows[at:at + 50])
+
+    def fail(batch):
+        if batch == 1:
+            raise RuntimeError("stopped on purpose")
+
+    with pytest.raises(Exception, match="stopped on purpose"):
+        feed.run(after_output=fail)
+    feed.run()
+    log = read_log(spark, hop)
+    found = log.collect()
+    assert len(found) == 150
+    for p in range(4):
+        part = sorted((r["offset"], list(r["ord"])) for r in found if r["partition"] == p)
+        assert [o for o, _ in part] == list(range(len(part)))
+        assert [o for _, o in part] == sorted(o for _, o in part)
+        assert read_partition(spark, hop, p).count() == len(part)
+    lag = consumer_lag(log, committed_offsets(log.filter("offset < 3"))).collect()
+    assert all(r["lag"] == r["end_offset"] - min(3, r["end_offset"]) for r in lag)
+    # A further stream on it, pinned to a partition.
+    out = str(tmp_path / "pinned")
+    run_stream(Pipeline.of("map"), stream_positions(spark, hop, [2]).drop(
+        "partition", "offset"), out, str(tmp_path / "c2")).awaitTermination()
+    assert sorted(list(r["ord"]) for r in read_committed(spark, out).collect()) == sorted(
+        list(r["ord"]) for r in found if r["partition"] == 2)
+
+
+def test_positions_and_lag(spark, log_of, tmp_path):
+    rows, path = sample(120), str(tmp_path / "log")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    assert stream_lag(spark, path, {}).count() == 0
+
+    def run():
+        run_stream(Pipeline.of("map"), stream_positions(spark, path).drop(
+            "partition", "offset"), out, checkpoint).awaitTermination()
+
+    def lag():
+        at = committed_positions(spark, f"{checkpoint}/to=1")
+        return {r["partition"]: (r["end_offset"], r["lag"])
+                for r in stream_lag(spark, path, at).collect()}
+
+    write_log(log_of(rows[:50]), path, 3)
+    assert sum(n for _, n in lag().values()) == 50
+    run()
+    assert sum(n for _, n in lag().values()) == 0
+    write_log(log_of(rows[50:]), path, 3, mode="append")
+    assert sum(n for _, n in lag().values()) == 70
+    run()
+    assert read_committed(spark, out).count() == 120
+    run()                             # nothing new: no row twice
+    assert read_committed(spark, out).count() == 120
+    assert sum(e for e, _ in lag().values()) == 120
+
+
+def test_positions_while_running(spark, log_of, tmp_path):
+    import time
+    path = str(tmp_path / "log")
+    write_log(log_of(sample(40)), path, 2)
+    run = run_stream(Pipeline.of("map"), stream_positions(spark, path).drop(
+        "partition", "offset"), str(tmp_path / "out"), str(tmp_path / "c"),
+        trigger={"processingTime": "100 milliseconds"})
+    try:
+        for _ in range(300):
+            at = running_positions(run.queries[0])
+            if sum(at.values()) == 40:
+                break
+            time.sleep(0.1)
+        assert {r["lag"] for r in stream_lag(spark, path, at).collect()} == {0}
+    finally:
+        run.stop()
+
+
+def test_stream_sink(spark, log_of, tmp_path):
+    """As the batch sink prints it, with a micro-batch that fails between."""
+    rows = sample(90)
+    path, sink, checkpoint = (str(tmp_path / n) for n in ("log", "sink", "c"))
+    for at in range(0, 90, 30):
+        write_log(log_of(rows[at:at + 30]), path, 2, mode="append")
+        log = stream_positions(spark, path)
+        if at == 30:
+            failing = log.withColumn("value", F.when(
+                F.col("partition") == 1, F.raise_error(F.lit("stopped on purpose")))
+                .otherwise(F.col("value")))
+            with pytest.raises(Exception, match="stopped on purpose"):
+                stream_text_sink(failing, sink, checkpoint).awaitTermination()
+            assert printed_lines(spark, sink).count() == 31
+        stream_text_sink(log, sink, checkpoint).awaitTermination()
+    batch = str(tmp_path / "batch")
+    text_sink(read_log(spark, path), batch)
+    expected = sorted(r[0] for r in spark.read.text(
+        [f"{batch}/header", f"{batch}/records"]).collect())
+    assert sorted(r[0] for r in printed_lines(spark, sink).collect()) == expected
+    # In name order a micro-batch's files follow the log.
+    for folder in sorted((tmp_path / "sink/records").glob("batch=*")):
+        lines = [line.split("\t")[:2] for file in sorted(folder.glob("part-*"))
+                 for line in file.read_text().splitlines()]
+        at = [(int(p.split()[1][:-1]), int(o.split()[1][:-1])) for p, o in lines]
+        assert at == sorted(at)
+
+
+def test_sink_commit_is_repeatable(spark, tmp_path):
+    """A commit that comes again, or after it failed half-way, adds nothing."""
+    from logweave.sources.text_stream import _Writer, _Written
+    root = tmp_path / "sink"
+    (root / "_pending").mkdir(parents=True)
+
+    def written(task, text):
+        file = root / f"_pending/{task}-{text}"
+        file.write_text(f"{text}\n")
+        return _Written(task, str(file))
+
+    writer = _Writer(str(root))
+    (root / "records/batch=0000000000").mkdir(parents=True)
+    (root / "records/batch=0000000000/part-00007").write_text("half\n")
+    writer.commit([written(0, "a"), None, written(2, "b"), _Written(3, None)], 0)
+    writer.commit([written(0, "a"), written(2, "b")], 0)
+    assert [r[0] for r in printed_lines(spark, str(root)).orderBy("line").collect()] == [
+        "SINK RECORDS", "a", "b"]
+    assert not list((root / "_pending").iterdir())
 
 
 def test_late_record_fails(spark, log_of, tmp_path):
@@ -186,12 +365,11 @@ def test_second_stream_sees_a_batch_once(spark, log_of, tmp_path):
 
 def test_snapshot_of_pairs(spark, log_of, tmp_path):
     pair = lambda k, w: (F.upper(k), F.array_join(w, ""))
-    feed = Feed(spark, log_of, tmp_path, Pipeline.of(
-        ("windowaggregate", {"size": 2, "slide": 1, "fn": pair})))
+    pipe = Pipeline.of(("windowaggregate", {"size": 2, "slide": 1, "fn": pair}))
+    feed = Feed(spark, log_of, tmp_path, pipe)
     feed.add([("a", "x", 1), ("a", "y", 2), ("a", "z", 3)])
     feed.run()
-    carry = CarryStore(spark, feed.checkpoint + "/carry").latest(1)
-    row = carry_snapshot(carry, 2, 1, pair).collect()[0]
+    row = state_snapshot(spark, pipe, feed.checkpoint, 1).collect()[0]
     assert (row["key"], row["new_key"], row["value"]) == ("a", "A", "yz")
 
 
