@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,10 +46,30 @@ def settle(df: DataFrame, label: str = "settled", **options: str) -> DataFrame:
     pruned scans, and a lost executor costs a re-read instead of a recompute.
     Like checkpoint files, the table stays until the shared folder is cleaned.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    return _settled(df, scratch_path(df.sparkSession, label), **options)
+
+
+def _settled(df: DataFrame, path: str, **options: str) -> DataFrame:
     df.write.options(maxRecordsPerFile=ROWS_PER_FILE, **options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """Gives a ``settle`` whose tables go when the block ends, but for those that
+    it is told to ``keep``: for steps whose result is itself written."""
+    made: list[str] = []
+
+    def temporary(df: DataFrame, label: str = "settled", keep: bool = False,
+                  **options: str) -> DataFrame:
+        path = scratch_path(spark, label)
+        if not keep:
+            made.append(path)
+        return _settled(df, path, **options)
+
+    yield temporary
+    for path in made:
+        drop_path(spark, path)
 
 
 def _file_system(spark: SparkSession, path: str):
