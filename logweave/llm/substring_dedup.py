@@ -1,12 +1,15 @@
 """Substring deduplication by content-defined chunking.
 
-A gear hash rolls over each text; a chunk ends at a word's end (or before an
-ideograph) where the hash of the last 32 characters meets a condition, so an
-insertion shifts chunk borders only near itself. Runs of successive chunks that
-another document has too are candidates only: around them, the digests of all
-runs of ``passage_words`` words are compared. Such a passage's first occurrence
-in the order (document id, place) stays, later ones are removed, so that what
-goes stood together in one earlier document, and shorter repeats stay.
+A gear hash rolls over the words of each text. A chunk begins where the hash of
+the four words from there is the least among those of ``passage_words -
+LEADING + 1`` successive places, so that an insertion shifts chunk borders only
+near itself, and any two copies of a passage of ``passage_words`` words have a
+border in common. A chunk goes by the digest of its leading words. Chunks whose
+digest another text has too are candidates only: the digests of the passages
+around them are compared. Such a passage's first occurrence in the order
+(document id, place) stays, later ones are removed, so that what goes stood
+together in one earlier document, and shorter repeats stay. Equal texts are
+found first, by a digest of the whole; only one of them is cut into chunks.
 """
 
 from __future__ import annotations
@@ -19,85 +22,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import settle
+from ..storage import scratch_tables
 from . import textual
+from .columns import packed, unpacked
 
-#: A chunk ends at one of so many word ends.
-WORDS_A_CHUNK = 4
-#: Words of a passage whose repetition is removed. Borders agree only inside of
-#: it: a run of chunks is a candidate from LEAST words on.
-PASSAGE_WORDS, LEAST_WORDS = 50, 16
+#: Words of a passage whose repetition is removed, and those a chunk goes by.
+PASSAGE_WORDS, LEADING = 50, 16
+#: Words under the gear hash, each shifting it by _SHIFT bits.
+_ROLLING, _SHIFT = 4, 16
 _IDEOGRAPH = 0x2E80
+#: Places that are compared at once; a place takes as many bits of the keys.
+_BLOCK_BITS = 22
 _U = np.uint64
 
 
-def _gear(codes: np.ndarray) -> np.ndarray:
-    """The gear hash after each character: h = 2h + g(c) modulo 2**32, so that
-    the last 32 characters count. Computed by doubling the window."""
-    h = textual._code_values()[codes].astype(np.uint32)
-    for width in (1, 2, 4, 8, 16):
-        longer = h.copy()
-        longer[width:] += h[:-width] << np.uint32(width)
-        h = longer
-    return h
-
-
-def chunks(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends, digests and word counts of a text's chunks; they cover it.
-    A stretch of ``SLICE`` characters without a border is cut there."""
-    table = textual.char_classes()
-    out = []
-    at, n = 0, len(text)
-    while at < n:
-        # The gear hash sees the characters before the slice.
-        base = max(0, at - 32)
-        codes = textual.code_points(text[base:base + textual.SLICE])
-        final = base + len(codes) >= n
-        blank = table[codes] & textual.SPACE != 0
-        hashes = textual.mix(_gear(codes).astype(_U))
-        # A border stands before a word that follows blanks, or an ideograph;
-        # the hash is that of the text before the blanks.
-        border = np.zeros(len(codes), bool)
-        border[1:] = ~blank[1:] & (blank[:-1] | (codes[1:] >= _IDEOGRAPH))
-        last_word = np.maximum.accumulate(np.where(blank, 0, np.arange(len(codes))))
-        place = np.flatnonzero(border)
-        cut = place[hashes[last_word[place - 1]] % _U(WORDS_A_CHUNK) == 0]
-        cut = cut[cut > at - base]
-        if final or not len(cut):
-            cut = np.append(cut, len(codes))
-        edges = np.concatenate(([at - base], cut)).astype(np.int64)
-        starts, ends = edges[:-1], edges[1:]
-        # Blanks behind a chunk don't count for its digest.
-        stripped = np.maximum(last_word[ends - 1] + 1, starts)
-        word = np.zeros(len(codes) + 1, np.int64)
-        np.cumsum(border, out=word[1:])
-        words = word[ends] - word[starts]
-        if base == at:
-            words[0] += int(not blank[0])
-        out.append((starts + base, ends + base,
-                    textual.range_hashes(codes, starts, stripped), words))
-        at = base + int(ends[-1])
-    if not out:
-        none = np.zeros(0, np.int64)
-        return none, none, none.astype(_U), none
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))  # type: ignore
-
-
-def runs(digests: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each chunk that ``least`` words begin with, the digest of the shortest
-    run of chunks from it with so many words, and the chunk behind the run."""
-    held = np.concatenate(([0], np.cumsum(words)))
-    behind = np.searchsorted(held, held[:-1] + least)
-    behind = behind[behind < len(held)]
-    out = np.zeros(len(behind), _U)
-    going, k = np.arange(len(behind)), 0
-    while len(going):
-        out[going] = textual.mix(out[going] + digests[going + k] + _U(1))
-        k += 1
-        going = going[going + k < behind[going]]
-    return out, behind
-
-
 def words_of(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Where each word begins, with the blanks behind the one before it, and its
     hash. Chunks begin with words."""
@@ -125,45 +63,100 @@ def words_of(text: str) -> tuple[np.ndarray, np.ndarray]:
     return starts, hashes
 
 
-def _repeats_itself(digests: np.ndarray) -> bool:
-    return len(np.unique(digests)) < len(digests)
+def gear(hashes: np.ndarray) -> np.ndarray:
+    """The gear hash at each word: h = (h << 16) + g(word), which four words after
+    a word has shifted it out."""
+    n = max(len(hashes) - _ROLLING + 1, 0)
+    out = np.zeros(n, _U)
+    for k in range(_ROLLING):
+        out = (out << _U(_SHIFT)) + hashes[k:k + n]
+    return textual.mix(out)
 
 
-def _run_rows(least: int):
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """The place of the least value of every ``width`` successive ones, of equal
+    ones the last."""
+    out = []
+    n = len(values) - width + 1
+    step = (1 << _BLOCK_BITS) - width
+    for at in range(0, n, step):
+        some = values[at:at + step + width - 1]
+        place = np.arange(len(some), dtype=_U)
+        low = _U((1 << _BLOCK_BITS) - 1)
+        key = (some & ~low) | (low - place)
+        spans, held = 1, key
+        while 2 * spans <= width:         # doubling: the least of 2, 4, 8 ...
+            held = np.minimum(held[:-spans], held[spans:])
+            spans *= 2
+        count = len(some) - width + 1
+        held = np.minimum(held[:count], held[width - spans:width - spans + count])
+        out.append((low - (held & low)).astype(np.int64) + at)
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def anchors(hashes: np.ndarray, passage_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each passage of a text, the border that lies in it: where its value is
+    least. And the digest of the leading words from every place."""
+    leading = min(LEADING, passage_words)
+    digests = textual.windows(hashes, leading)
+    if not len(digests):
+        return np.zeros(0, np.int64), digests
+    values = gear(hashes)[:len(digests)] if leading >= _ROLLING else textual.mix(digests)
+    return _least(values, passage_words - leading + 1), digests
+
+
+def chunks(text: str, passage_words: int = PASSAGE_WORDS
+           ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends, digests and word counts of a text's chunks; they cover it."""
+    starts, hashes = words_of(text)
+    of, digests = anchors(hashes, passage_words)
+    borders = np.unique(np.concatenate(([0], of))).astype(np.int64)
+    if not len(starts):
+        borders = borders[:0]
+    edges = np.append(starts, len(text))
+    after = np.append(borders[1:], len(starts))[:len(borders)]
+    if not len(digests):
+        digests = textual.windows(hashes, max(len(hashes), 1))
+    return edges[borders], edges[after], digests[borders], after - borders
+
+
+def _passages(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A 128-bit digest of every ``size`` successive words, as two halves."""
+    return textual.windows(hashes, size), textual.windows(
+        textual.mix(hashes ^ _U(0x5851F42D4C957F2D)), size)
+
+
+def _chunk_rows(passage_words: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in textual.small(batches):
             texts = batch.column("text").to_pylist()
             for first, last in textual.batches(texts, textual.SLICE):
-                digests, inner = [], []
+                found, inner = [], []
                 for text in texts[first:last]:
-                    _, _, found, words = chunks(text or "")
-                    found = runs(found, words, least)[0]
-                    digests.append(found.view(np.int64))
-                    inner.append(_repeats_itself(found))
-                offsets = np.concatenate(([0], np.cumsum([len(d) for d in digests])))
+                    of, digests = anchors(words_of(text or "")[1], passage_words)
+                    own = digests[np.unique(of)]
+                    different = np.unique(own)
+                    inner.append(len(different) < len(own))
+                    found.append(different.view(np.int64))
+                offsets = np.concatenate(([0], np.cumsum([len(d) for d in found])))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("row").slice(first, last - first),
                      pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)),
-                                              pa.array(np.concatenate(digests))),
+                                              pa.array(np.concatenate(found))),
                      pa.array(inner)], ["row", "digests", "inner"])
     return rows
 
 
-def near(text: str, candidates, passage_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """First words and digests of the passages that hold a whole candidate run,
-    or lie in one."""
-    starts, hashes = words_of(text)
-    digests = textual.windows(hashes, passage_words)
-    begin, _, found, words = chunks(text)
-    _, behind = runs(found, words, min(LEAST_WORDS, passage_words))
-    edges = np.searchsorted(starts, np.append(begin, len(text)))
-    chosen = np.asarray(candidates, np.int64)
-    a, b = edges[chosen], edges[behind[chosen]] - passage_words
-    wanted = np.zeros(len(digests) + 1, np.int64)
-    np.add.at(wanted, np.clip(np.minimum(a, b), 0, len(digests)), 1)
-    np.add.at(wanted, np.clip(np.maximum(a, b) + 1, 0, len(digests)), -1)
-    place = np.flatnonzero(np.cumsum(wanted)[:-1] > 0)
-    return place, digests[place]
+def near(text: str, candidates, passage_words: int
+         ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words and digests of the passages whose border begins a chunk with a
+    candidate digest."""
+    hashes = words_of(text)[1]
+    of, digests = anchors(hashes, passage_words)
+    wanted = np.asarray(candidates, np.int64).view(_U)
+    place = np.flatnonzero(np.isin(digests[of], wanted))
+    high, low = _passages(hashes, passage_words)
+    return place, high[place], low[place]
 
 
 def _passage_rows(passage_words: int):
@@ -174,82 +167,107 @@ def _passage_rows(passage_words: int):
                 found = [near(text, numbers, passage_words) for text, numbers in zip(
                     texts[first:last], batch.column("candidates").slice(
                         first, last - first).to_pylist(), strict=True)]
-                of = pa.array(np.repeat(np.arange(first, last), [len(p) for p, _ in found]))
+                of = pa.array(np.repeat(np.arange(first, last), [len(f[0]) for f in found]))
+                place, high, low = (np.concatenate([f[i] for f in found]) for i in range(3))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("place").take(of), batch.column("row").take(of),
-                     pa.array(np.concatenate([p for p, _ in found]).astype(np.int32)),
-                     pa.array(np.concatenate([d for _, d in found]).view(np.int64))],
-                    ["place", "row", "nth", "digest"])
+                    [batch.column("number").take(of), batch.column("row").take(of),
+                     pa.array(place.astype(np.int32)), pa.array(high.view(np.int64)),
+                     pa.array(low.view(np.int64))], ["number", "row", "nth", "high", "low"])
     return rows
 
 
-def _row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
-    """A document's place in the order of ids (null last; equal ids by a hash of
-    the text) as one number, and what names it: a hash of id and text."""
-    number = F.col(id_col).cast("long")
-    row = F.xxhash64(number, F.col(text_col).cast("string"))
-    place = (F.coalesce(number, F.lit((1 << 63) - 1)).cast("decimal(20,0)")
-             * F.lit(1 << 40).cast("decimal(14,0)")
-             + F.shiftrightunsigned(row, 24).cast("decimal(14,0)"))
-    return place.cast("decimal(38,0)"), row
+def _named(id_col: str, text_col: str) -> tuple[Column, Column, Column]:
+    """A document's id as a number, a 128-bit name of its id and text, and one of
+    its text alone. Documents are in the order of numbers, null last, then names."""
+    number = F.col(f"`{id_col}`").cast("long")
+    text = F.unhex(F.md5(F.col(f"`{text_col}`").cast("string").cast("binary")))
+    shown = F.coalesce(number.cast("string"), F.lit("null")).cast("binary")
+    return number, F.unhex(F.md5(F.concat(shown, F.coalesce(text, F.lit(b""))))), text
+
+
+def _order() -> Column:
+    return F.struct(F.col("number").isNull(), F.col("number"), F.col("row"))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       passage_words: int = PASSAGE_WORDS) -> DataFrame:
-    """``row, repeated``: for documents (see :func:`_row_key`) with passages that
-    occur before, the first words of those that an earlier document has.
-    Passages that only repeat within a document aren't listed, but the document
-    is."""
-    place, row = _row_key(id_col, text_col)
-    texts = docs.select(place.alias("place"), row.alias("row"),
-                        F.col(text_col).cast("string").alias("text"))
-    cut = settle(texts.select("row", "text").mapInArrow(
-        _run_rows(min(LEAST_WORDS, passage_words)),
-        "row bigint, digests array<bigint>, inner boolean"), "chunks")
-    # Runs of chunks that two documents have.
-    shared = settle(cut.select("row", F.explode("digests").alias("digest")).groupBy("digest").agg(
-        F.min("row").alias("one"), F.max("row").alias("other"))
-        .where("one < other").select("digest"), "shared-runs")
-    candidates = cut.select("row", F.posexplode("digests").alias("nth", "digest")).join(
-        shared, "digest").groupBy("row").agg(F.collect_set("nth").alias("candidates"))
-    passages = settle(texts.join(candidates, "row").mapInArrow(
-        _passage_rows(passage_words),
-        "place decimal(38,0), row bigint, nth int, digest bigint"), "passages")
-    firsts = settle(passages.groupBy("digest").agg(
-        F.min("place").alias("first"), F.max("place").alias("last"))
-        .where("first < last").select("digest", "first"), "first-passages")
-    later = passages.join(firsts, "digest").where("place > first").select("row", "nth")
-    inner = cut.where("inner").select("row", F.lit(None).cast("int").alias("nth"))
-    # A set: rows that repeat id and text are one document.
-    return later.union(inner).groupBy("row").agg(F.collect_set("nth").alias("repeated"))
-
-
-def removed(text: str, repeated, passage_words: int) -> list[tuple[int, int]]:
+    """``row, starts, ends, copy`` for documents (see :func:`_named`) with passages
+    that occur before: the first words of the first and last passage of each run of
+    those that an earlier document has; or ``copy``, where an earlier document has
+    the same text. Passages that only repeat within a document aren't listed, but
+    the document is."""
+    number, row, whole = _named(id_col, text_col)
+    texts = docs.select(number.alias("number"), row.alias("row"), whole.alias("whole"),
+                        F.col(f"`{text_col}`").cast("string").alias("text")).where(
+        "text IS NOT NULL")
+    spark = docs.sparkSession
+    with scratch_tables(spark) as settle:
+        firsts = texts.groupBy("whole").agg(F.min(_order()).alias("first"),
+                                            F.max(_order()).alias("last")).where(
+            "first < last").select("whole", F.col("first.row").alias("kept"))
+        # A large group's rows meet its first as pairs that differ from each other.
+        names = texts.select("whole", "row").distinct()
+        copies = settle(names.join(settle(firsts, "equal-texts"), "whole").where(
+            "row <> kept").select("row"), "copies")
+        cut = settle(texts.select("row", "text").mapInArrow(
+            _chunk_rows(passage_words), "row binary, digests array<bigint>, inner boolean")
+            .where("size(digests) > 0").join(copies, "row", "left_anti").dropDuplicates(["row"]),
+            "chunks")
+        # Digests of chunks that two texts have.
+        digests = cut.select("row", F.explode("digests").alias("digest"))
+        shared = settle(digests.groupBy("digest").count().where("count > 1").select("digest"),
+                        "shared-chunks")
+        candidates = settle(digests.join(shared, "digest").groupBy("row").agg(
+            F.collect_list("digest").alias("candidates")), "candidates")
+        passages = settle(texts.drop("whole").join(candidates, "row").mapInArrow(
+            _passage_rows(passage_words),
+            "number bigint, row binary, nth int, high bigint, low bigint"), "passages")
+        first = settle(passages.groupBy("high", "low").agg(
+            F.min(_order()).alias("first"), F.max(_order()).alias("last"))
+            .where("first < last").select("high", "low", "first"), "first-passages")
+        later = passages.join(first, ["high", "low"]).where(_order() > F.col("first")).select(
+            "row", "nth")
+        inner = cut.where("inner").select("row", F.lit(None).cast("int").alias("nth"))
+        # A set: rows that repeat id and text are one document.
+        listed = later.union(inner).groupBy("row").agg(
+            F.sort_array(F.collect_set("nth")).alias("nth"))
+        before = F.filter("nth", lambda x, i: (i == 0) | (F.get("nth", i - 1) < x - 1))
+        behind = F.filter("nth", lambda x, i: (i == F.size("nth") - 1)
+                          | (F.get("nth", i + 1) > x + 1))
+        out = listed.select("row", before.alias("starts"), behind.alias("ends"),
+                            F.lit(False).alias("copy"))
+        none = F.array().cast("array<int>")
+        return settle(out.union(copies.distinct().select("row", none, none, F.lit(True))),
+                      "repeated-passages", keep=True)
+
+
+def removed(text: str, starts, ends, passage_words: int, copy: bool = False
+            ) -> list[tuple[int, int]]:
     """Character spans of a text's passages that occur before: those listed, and
-    those that end in it before they begin again."""
-    starts, hashes = words_of(text)
-    digests = textual.windows(hashes, passage_words)
-    _, first, which = np.unique(digests, return_index=True, return_inverse=True)
-    gone = np.arange(len(digests)) - first[which] >= passage_words
-    gone[np.asarray(repeated, np.int64)] = True
-    covered = np.zeros(len(starts) + 1, np.int64)
-    place = np.flatnonzero(gone)
-    np.add.at(covered, place, 1)
-    np.add.at(covered, place + passage_words, -1)
+    those that end in it before they begin again. A copy has no others."""
+    begins, hashes = words_of(text)
+    if copy:
+        return [(0, len(text))] if len(hashes) >= passage_words else []
+    high, low = _passages(hashes, passage_words)
+    _, first, which = np.unique(high + textual.mix(low), return_index=True, return_inverse=True)
+    place = np.flatnonzero(np.arange(len(high)) - first[which] >= passage_words)
+    covered = np.zeros(len(begins) + 1, np.int64)
+    np.add.at(covered, np.concatenate((place, np.asarray(starts, np.int64))), 1)
+    np.add.at(covered, np.concatenate((place, np.asarray(ends, np.int64))) + passage_words, -1)
     inside = (np.cumsum(covered)[:-1] > 0).astype(np.int8)
     step = np.diff(np.concatenate(([0], inside, [0])))
-    edges = np.append(starts, len(text))
+    edges = np.append(begins, len(text))
     return [(int(edges[a]), int(edges[b])) for a, b in
             zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1), strict=True)]
 
 
 def _remover(passage_words: int):
     @F.pandas_udf("text string, spans array<struct<start: int, end: int>>")
-    def without(texts: pd.Series, repeated: pd.Series) -> pd.DataFrame:
+    def without(texts: pd.Series, starts: pd.Series, ends: pd.Series,
+                copies: pd.Series) -> pd.DataFrame:
         out = []
-        for text, numbers in zip(texts, repeated, strict=True):
-            spans = removed(text, numbers, passage_words) if text is not None and \
-                numbers is not None else []
+        for text, first, last, copy in zip(texts, starts, ends, copies, strict=True):
+            spans = [] if text is None else removed(text, first, last, passage_words, bool(copy))
             if not spans:
                 out.append((text, None))
                 continue
@@ -267,25 +285,24 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     passage_words: int = PASSAGE_WORDS) -> DataFrame:
     """All rows and columns with the text less its repeated passages, and
     ``removed_spans`` (null where nothing was removed; a column of that name is
-    replaced).
-
-    Documents are ordered by id (null last), those of equal id by a hash of
-    their text. Rows that repeat id and text are one document and get the same
-    result; an equal text of another id is a copy and loses its text. Passages
-    repeated within a document are kept once. A null or empty text stays as
-    it is, and so does a text whose repeated passages are all too short.
+    replaced; no other name clashes).
+
+    Documents are ordered by id (null last), those of equal id by a digest of
+    id and text. Rows that repeat id and text are one document and get the same
+    result; an equal text of another id is a copy and loses its text if it has
+    ``passage_words`` words. Passages repeated within a document are kept once. A
+    null or empty text stays as it is, and so does a text whose repeated passages
+    are all too short. An empty table gives no rows.
     """
-    _, row = _row_key(id_col, text_col)
+    _, row, _ = _named(id_col, text_col)
     found = repeated_passages(docs, id_col, text_col, passage_words)
-    taken = {c.lower() for c in docs.columns}
-    mine = next(f"_{x}" for x in ("row", "document", "key_of_row") if f"_{x}" not in taken)
-    names = [c for c in docs.columns if c.lower() != "removed_spans"]
-    joined = docs.select(*[F.col(f"`{c}`") for c in names], row.alias(mine)).join(
-        found.toDF(mine, "_repeated"), mine, "left")
+    joined = docs.select(packed(docs).alias("_all"), row.alias("row")).join(found, "row", "left")
     # Texts without a repeated passage don't go through Python.
-    some = F.col("_repeated").isNotNull()
-    cut = joined.withColumn("_cut", _remover(passage_words)(
-        F.when(some, F.col(text_col).cast("string")), F.col("_repeated")))
-    text = F.when(some, F.col("_cut.text")).otherwise(F.col(text_col))
-    return cut.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in names],
-                      F.col("_cut.spans").alias("removed_spans"))
+    some = F.col("copy").isNotNull()
+    original = F.col("_all").getField(text_col)
+    cut = joined.withColumn("cut", _remover(passage_words)(
+        F.when(some, original.cast("string")), "starts", "ends", "copy"))
+    text = F.when(some, F.col("cut.text")).otherwise(original)
+    names = [c for c in docs.columns if c.lower() != "removed_spans"]
+    return cut.select(*[text.alias(c) if c == text_col else unpacked("_all", [c])[0]
+                        for c in names], F.col("cut.spans").alias("removed_spans"))
