@@ -292,6 +292,19 @@ BATCH["window_max"] = _measure("max", 5, 1)
 BATCH["window_min"] = _measure("min", 4, 2)
 
 
+BATCH["window_wide_sum"] = _measure("sum", 1000, 1)
+BATCH["window_wide_sum_sliding"] = _measure("sum", 700, 240)
+BATCH["window_wide_max"] = _measure("max", 100, 30)
+
+
+@query
+def window_wide_count(spark, sf):
+    """A window that is empty now and then, over keys that are split."""
+    log = events(spark, sf, key="event_type", value="user_id")
+    out = _windowed(log, 99, 100, AGGREGATES["count"], share_of(log, 20))
+    return out.select("key", F.col("value").cast("bigint"), at(0, "seq"))
+
+
 @query
 def window_count(spark, sf):
     out = _windowed(events(spark, sf), 4, 3, AGGREGATES["count"])

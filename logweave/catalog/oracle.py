@@ -220,6 +220,14 @@ ORACLE = {
                                   value="round(list_sum(win), 4)"),
     "window_max": _window(_VALUES, 5, 1, value="round(list_max(win), 4)"),
     "window_min": _window(_VALUES, 4, 2, value="round(list_min(win), 4)"),
+    "window_wide_sum": f"""
+        SELECT key, round(sum(value) OVER (
+          PARTITION BY key ORDER BY seq
+          ROWS BETWEEN 999 PRECEDING AND CURRENT ROW), 4) AS value, seq
+        FROM ({_VALUES}) AS e""",
+    "window_wide_sum_sliding": _window(_VALUES, 700, 240, value="round(list_sum(win), 4)"),
+    "window_wide_max": _window(_VALUES, 100, 30, value="round(list_max(win), 4)"),
+    "window_wide_count": _window(BY_TYPE, 99, 100, value="len(win)"),
     "window_count": _window(EVENTS, 4, 3, value="len(win)"),
     "count_window_columns": f"""
         SELECT key, seq, n, array_to_string(win, '|') AS "window",

@@ -14,7 +14,6 @@ gives the same result.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -49,26 +48,55 @@ class SpanPlan:
         return self.edges is not None
 
 
+#: Bits of a hash digit in the histograms that find large groups.
+_DIGIT = 16
+
+
+def large_groups(rows: DataFrame, group: str, limit: int) -> DataFrame | None:
+    """``group, rows`` for groups of more than ``limit`` rows, or None.
+
+    Rows are counted by a digit of the group's hash, so a task passes on at most
+    65,536 counts, however many groups there are. A bucket holds at least the
+    rows of each of its groups: none that is large is missed. The rows of buckets
+    above the limit, usually none, are counted by a second digit, and then group
+    by group.
+    """
+    def digit(at: int):
+        return F.shiftrightunsigned(F.xxhash64(group), _DIGIT * at).bitwiseAND((1 << _DIGIT) - 1)
+
+    names: list[str] = []
+    for at in range(2):
+        rows = rows.select(group, *names, digit(at).alias(f"digit{at}"))
+        names.append(f"digit{at}")
+        full = settle(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("rows"))
+                      .filter(F.col("rows") > limit).select(*names), "full-buckets")
+        if full.isEmpty():
+            return None
+        rows = rows.join(full, names, "left_semi")
+    found = settle(rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
+                   .filter(F.col("rows") > limit), "large")
+    return None if found.isEmpty() else found
+
+
 def plan_spans(rows: DataFrame, group: str = "key",
                rows_per_span: int | None = None) -> SpanPlan:
-    """Count the rows per group and split the large groups.
+    """Look for large groups and split them.
 
     Rows that take more than a scan to make are written to the shared folder
-    first and counted there. The count reads the group column only and is
-    combined before its shuffle. When no group is large, which is the usual
-    case, nothing else happens. Otherwise the rows of the large groups are
-    written in ranges; those of all other groups stay where they are.
+    first and counted there. The count reads the group column only. When no group
+    is large, which is the usual case, nothing else happens. Otherwise the rows of
+    the large groups are written in ranges; those of all other groups stay where
+    they are.
     """
     limit = rows_per_span or ROWS_PER_SPAN
     if costly(rows):
         rows = settle(rows, "rows")
-    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
-    large = sizes.filter(F.col("rows") > limit)
-    found = large.agg(F.sum("rows")).first()[0]
-    if found is None:
+    large = large_groups(rows, group, limit)
+    if large is None:
         return SpanPlan(group, rows)
+    found = large.agg(F.sum("rows")).first()[0]
 
-    large = settle(large.select(group), "large")
+    large = large.select(group)
     ranges = min(-(-found // limit), _RANGES)
     place = F.monotonically_increasing_id()
     split = settle(
@@ -100,10 +128,20 @@ def edges_of(split: DataFrame, group: str) -> DataFrame:
 def costly(rows: DataFrame) -> bool:
     """Is there more than a scan, filters and projections to repeat? What lies
     below a cached table is not repeated."""
-    plan = rows._jdf.queryExecution().optimizedPlan().toString()
-    plan = plan.split("InMemoryRelation")[0]
-    return re.search(r"\b(Generate|Window|Aggregate|Join|\w+EvalPython)\b",
-                     plan) is not None
+    def look(node) -> bool:
+        name = node.nodeName()
+        if name == "InMemoryRelation":
+            return False
+        if name in _COSTLY or name.endswith("EvalPython") or name.startswith(_PYTHON):
+            return True
+        children = node.children()
+        return any(look(children.apply(i)) for i in range(children.size()))
+
+    return look(rows._jdf.queryExecution().optimizedPlan())
+
+
+_COSTLY = {"Generate", "Window", "Aggregate", "Join", "Sort", "RepartitionByExpression"}
+_PYTHON = ("MapIn", "FlatMap", "PythonMapIn", "AggregateInPandas", "WindowInPandas")
 
 
 def in_first_span(rows: DataFrame, plan: SpanPlan) -> DataFrame:

@@ -18,11 +18,16 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.aggregates import concat
+from ..functions.aggregates import Parts, concat
 from ..schema import require_log
 from .spans import SpanPlan, in_first_span, numbered
 
 
+#: Windows from this size on are put together from blocks, where the aggregate
+#: has parts; below it, the few values of a frame are cheaper than the blocks' sorts.
+BLOCKS_FROM = 64
+
+
 def check_window(size: int, slide: int) -> None:
     if not (isinstance(size, int) and isinstance(slide, int)):
         raise ValueError("window size and slide are integers")
@@ -105,12 +110,60 @@ def frames(log: DataFrame, size: int, slide: int = 1,
     out = [checked(n).alias("n"), checked(window).alias("window"),
            checked(evicted).alias("evicted"), checked(prior).alias("prior"),
            fresh.alias("fresh")]
-    if slide == 1 and hasattr(fn, "sliding"):
+    if hasattr(fn, "parts") and size >= BLOCKS_FROM:
+        rows, direct = _from_blocks(rows, spec, ["key", *split], size, slide, fn.parts)
+        out.append(checked(direct).alias("direct"))
+    elif slide == 1 and hasattr(fn, "sliding"):
         out.append(checked(fn.sliding(F.col("value")).over(
             spec.rowsBetween(-(size - 1), 0))).alias("direct"))
     return rows.select("key", "value", "ord", *split, *out)
 
 
+def _from_blocks(rows: DataFrame, spec, keys: list[str], size: int, slide: int,
+                 parts: Parts) -> tuple[DataFrame, Column]:
+    """The aggregate of each record's window, from running aggregates of blocks.
+
+    Windows begin at the first record or at one behind a multiple of ``slide``. In
+    blocks of ``size // slide`` slides, a window that does not begin where its last
+    record's block does begins in the block before. So it is the records from its
+    beginning to the end of that block, joined with those of its own block so far.
+    The former are known at the window's beginning, a fixed number of records
+    before the slide's first one: one of two numbers, as windows of a slide may
+    begin at two places. From there the value is carried through the slide.
+    """
+    n = F.col("n")
+    block = slide * max(size // slide, 1)
+    here = Window.partitionBy(*keys, "in_block")
+    upto = Window.unboundedPreceding
+    value = F.col("value")
+    rows = rows.withColumn("in_block", F.floor((n - 1) / block))
+    rows = rows.withColumn("so_far", parts.part(value).over(
+        here.orderBy("ord").rowsBetween(upto, 0))).withColumn(
+        "onwards", (parts.back or parts.part)(value).over(
+            here.orderBy(F.col("ord").desc()).rowsBetween(upto, 0)))
+
+    def slides_back(place: int) -> int:
+        return -((place - size - 1) // slide) - 1
+
+    opens = (n - 1) % slide == 0
+    many, few = slides_back(1), slides_back(slide)
+
+    def from_beginning(slides: int) -> Column:
+        # In a struct, as a part may be null.
+        found = F.lag(F.struct("onwards"), slides * slide).over(spec) if slides \
+            else F.struct("onwards")
+        return F.last(F.when(opens, found), ignorenulls=True).over(spec.rowsBetween(upto, 0))
+
+    begin = n - window_length(n, size, slide) + 1
+    rows = rows.withColumn("by_many", from_beginning(many)).withColumn(
+        "by_few", from_beginning(max(few, 0)))
+    first = F.when(F.floor((n - 1) / slide) - F.floor((begin - 1) / slide) == many,
+                   F.col("by_many.onwards")).otherwise(F.col("by_few.onwards"))
+    whole = F.when(begin > F.col("in_block") * block, F.col("so_far")).otherwise(
+        parts.join(first, F.col("so_far")))
+    return rows, F.when(begin > n, parts.empty()).otherwise(parts.finish(whole))
+
+
 def _none(column: str, rows: DataFrame) -> Column:
     return F.array().cast(f"array<{rows.schema[column].dataType.simpleString()}>")
 

@@ -219,3 +219,60 @@ def test_repeated_position_fails_in_snapshot_and_offsets(log_of):
         window_snapshot(log, 3, 1).collect()
     with pytest.raises(Exception, match="position used twice"):
         assign_offset(assign_partition(log, 2)).collect()
+
+
+@pytest.mark.parametrize("size,slide,rows_per_span", [
+    (1, 1, None), (3, 2, 11), (3, 4, None), (3, 4, 11), (5, 3, None), (7, 2, 11), (10, 3, None),
+    (12, 4, 11)])
+def test_windows_from_blocks(log_of, monkeypatch, size, slide, rows_per_span):
+    """Running aggregates of blocks against a replay: sums, extremes, counts, and
+    one whose order matters; whole and split keys."""
+    from logweave.functions import Parts, count, maximum, total
+    from logweave.operators import window
+    monkeypatch.setattr(window, "BLOCKS_FROM", 1)
+
+    def opening(key, values):
+        raise AssertionError("no array is needed")
+
+    opening.parts = Parts(F.first, lambda a, b: a, lambda v: F.concat(F.lit("from "), v),
+                          back=F.last)
+    rows = [(k, str(i * 37 % 101), o) for i, (k, _, o) in enumerate(skewed(size + slide, 150))]
+    log = log_of(rows)
+    spans = plan_spans(log, "key", rows_per_span)
+    if rows_per_span:
+        log = spans.rows
+    held = {(k, o): w for (k, o), (w, _, _) in replay(rows, size, slide).items()}
+    for fn, expected in ((total, lambda w: float(sum(map(int, w)))), (count, len),
+                         (maximum, lambda w: float(max(map(int, w))) if w else None),
+                         (opening, lambda w: f"from {w[0]}" if w else None)):
+        got = {(r["key"], tuple(r["ord"])): r["value"] for r in window_aggregate(
+            log, size, slide, fn, spans).collect()}
+        assert got == {at: expected(w) for at, w in held.items()}, fn
+
+
+def test_wide_windows_build_no_arrays(log_of):
+    from logweave.functions import total
+    plan = window_aggregate(log_of(skewed(1)), 1000, 7, total)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "collect_list" not in plan and plan.count("Exchange") == 1
+
+
+def test_large_groups(spark):
+    """Groups above a limit, with buckets that hold several; no row a key is
+    shuffled."""
+    from logweave.operators.spans import large_groups
+    rows = spark.range(200_000).select(F.when(F.col("id") % 10 == 0, "hot").when(
+        F.col("id") % 100 == 1, "warm").otherwise(F.col("id").cast("string")).alias("key"))
+    found = {r["key"]: r["rows"] for r in large_groups(rows, "key", 1500).collect()}
+    assert found == {"hot": 20_000, "warm": 2000}
+    assert large_groups(rows, "key", 20_000) is None
+    assert large_groups(rows.limit(0), "key", 1) is None
+
+
+def test_cost_is_seen_in_the_plan_not_in_names(spark):
+    from logweave.operators.spans import costly
+    rows = spark.range(5).select(F.col("id").alias("Join Window Aggregate"))
+    assert not costly(rows) and not costly(rows.filter("`Join Window Aggregate` > 1"))
+    assert costly(rows.distinct()) and not costly(rows.distinct().cache())
+    assert costly(rows.select(F.explode(F.array(F.lit(1)))))
+    assert costly(rows.mapInArrow(lambda batches: batches, rows.schema))
