@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,8 +18,8 @@ from ..schema import keyed_log
 from ..sources import (read_lines, read_log, read_partition, text_sink,
                        tokenize_lines, tokenize_text, write_log)
 from ..storage import scratch_path
-from .tables import (at, conversations, events, flat, orders, share_of, table,
-                     words)
+from .tables import (at, conversations, events, flat, lines_by_name, named_lines, orders,
+                     share_of, table, words)
 
 PARTITIONS = 8
 BATCH = {}
@@ -91,11 +92,13 @@ def tokenize_documents(spark, sf):
 
 @query
 def read_text_lines(spark, sf):
-    """Texts through text files: written as lines, read back, split."""
+    """Texts through text files: written as lines with their names, read back, split
+    into words, also the empty ones."""
     path = scratch_path(spark, "text")
-    table(spark, sf, "documents").select("text").write.text(path)
-    tokens = tokenize_lines(read_lines(spark, path))
-    return tokens.filter("value <> ''").select("value", at(4, "word"))
+    named_lines(table(spark, sf, "documents"), "text", "doc_id").write.text(path)
+    tokens = tokenize_lines(lines_by_name(read_lines(spark, path)), keep=["name"])
+    part = lambda i: F.split_part("name", F.lit("/"), F.lit(i)).cast("bigint")
+    return tokens.select("value", part(1).alias("doc_id"), part(2).alias("line"), at(4, "word"))
 
 
 @query
@@ -198,6 +201,47 @@ def filter_odd_hash_types(spark, sf):
                                        value="user_id")), "seq")
 
 
+@query
+def flatmap_table_events(spark, sf):
+    """A Python table function: the halves of the type, and the user under it."""
+    class Halves:
+        def eval(self, key, value):
+            if value == "error":
+                return
+            middle = len(value) // 2
+            yield key, value[:middle]
+            yield key, value[middle:]
+            yield value, key
+
+    return flat(Pipeline.of(("flatmaptable", {"fn": Halves})).run(events(spark, sf)),
+                "seq", "pos")
+
+
+@query
+def map_arrow_events(spark, sf):
+    """An Arrow function that returns a map, whose entries become records."""
+    @F.arrow_udf("map<string,string>")
+    def entries(key: pa.Array, value: pa.Array) -> pa.Array:
+        pairs = [[(k, v), (f"{k}+", v.upper())] if v != "error" else []
+                 for k, v in zip(key.to_pylist(), value.to_pylist())]
+        return pa.array(pairs, pa.map_(pa.string(), pa.string()))
+
+    return flat(Pipeline.of(("mapentries", {"fn": lambda k, v: entries(k, v)})).run(
+        events(spark, sf)), "seq", "pos")
+
+
+@query
+def window_arrow_aggregate(spark, sf):
+    """An Arrow function as the window's aggregate: its longest value, the last of
+    equal ones."""
+    @F.arrow_udf("string")
+    def longest(window: pa.Array) -> pa.Array:
+        return pa.array([max(enumerate(w), key=lambda v: (len(v[1]), v[0]))[1]
+                         for w in window.to_pylist()])
+
+    return flat(_windowed(events(spark, sf), 4, 2, lambda key, window: longest(window)), "seq")
+
+
 @query
 def java_hash_props(spark, sf):
     return events(spark, sf, key="props").select(
@@ -392,6 +436,25 @@ def stages_text(spark, sf):
                 "doc_id", "line", "word")
 
 
+@query
+def definitions_refused(spark, sf):
+    """Pipelines defined by the names of the regions: which are refused, and why."""
+    rows = []
+    for r in table(spark, sf, "region").orderBy("r_regionkey").collect():
+        key, name = r["r_regionkey"], r["r_name"].lower()
+        for length, function in ((key, "map"), (1, name), (1, None), (1, "map")):
+            given = [f"pipeline.length={length}", "processors.at.1=1"]
+            if function:
+                given.append(f"function.at.1={function}")
+            try:
+                Pipeline.from_properties("\n".join(given))
+                why = None
+            except ValueError as e:
+                why = str(e).partition(",")[0]
+            rows.append((key, length, function, why))
+    return spark.createDataFrame(rows, "region long, length long, function string, why string")
+
+
 @query
 def stage_counters(spark, sf):
     """How many records each stage of a pipeline gave out."""

@@ -131,7 +131,8 @@ SELECT key, {_upper('value')} AS value, doc_id, line, word FROM (
          f"line, word FROM ({_tokens('documents')}) AS t", 3, 1,
          "doc_id, line, word")}) AS w"""
 
-_TURNS = ("(SELECT conv_id AS doc_id, text FROM conversations) AS turns")
+_TURNS = "(SELECT conv_id || '/' || turn AS doc_id, text FROM conversations) AS turns"
+_TURN_WORDS = f"SELECT doc_id || '/' || line AS key, value, word FROM ({_tokens(_TURNS)}) AS t"
 
 _APPENDED = f"""
 SELECT key, value, seq, partition,
@@ -147,6 +148,24 @@ SELECT key, value, seq, partition,
        row_number() OVER (PARTITION BY partition ORDER BY seq) - 1 AS "offset"
 FROM (SELECT *, {_partition('key')} AS partition FROM ({_window(EVENTS, 3, 1)}) AS w) AS p"""
 
+_COUNTERS = f"""
+SELECT 1 AS stage, count(*) AS records FROM ({_ODD_EVENTS}) AS e
+UNION ALL SELECT s, n FROM (
+  SELECT count(*) AS n FROM ({_CHARS.format(src=_ODD_EVENTS)}) AS c) AS k,
+  (VALUES (2), (3), (4)) AS stages (s)"""
+
+_REFUSALS = """
+SELECT CAST(r_regionkey AS BIGINT) AS region, CAST(length AS BIGINT) AS length, fn AS "function",
+       CASE WHEN length < 1
+            THEN 'pipeline.length must be a positive integer'
+            WHEN length > 1 THEN 'missing function.at.2'
+            WHEN fn IS NULL THEN 'missing function.at.1'
+            WHEN fn <> 'map' THEN 'unknown function \'\'' || fn || '\'\'' END AS why
+FROM (SELECT r_regionkey, r_regionkey AS length, 'map' AS fn FROM region UNION ALL
+      SELECT r_regionkey, 1, lower(r_name) FROM region UNION ALL
+      SELECT r_regionkey, 1, NULL FROM region UNION ALL
+      SELECT r_regionkey, 1, 'map' FROM region) AS d""".replace("\\'", "'")
+
 # The greatest of each window, null where the window is empty.
 _MAX_OF_SOME = _window(_VALUES, 3, 4, value="list_max(win)")
 
@@ -158,8 +177,7 @@ ORACLE = {
     "append_log": _APPENDED,
     "append_retried": _APPENDED,
     "tokenize_documents": _tokens("documents"),
-    "read_text_lines": f"SELECT value, word FROM ({_tokens('documents')}) AS t "
-                       "WHERE value <> ''",
+    "read_text_lines": _tokens("documents"),
     "assign_key_events": "SELECT 'Key' || (event_id % 5) AS key, "
                          "event_type AS value, event_id AS seq FROM events",
     "assign_partition_events": f"SELECT *, {_partition('key')} AS partition "
@@ -188,6 +206,18 @@ ORACLE = {
     "filter_odd_hash_events": _ODD_EVENTS,
     "filter_odd_hash_types": f"SELECT * FROM ({BY_TYPE}) AS e "
                              f"WHERE {_odd('key')}",
+    "flatmap_table_events": f"""
+        SELECT key, substr(value, 1, len(value) // 2) AS value, seq, 0 AS pos
+        FROM ({EVENTS}) AS e WHERE value <> 'error' UNION ALL
+        SELECT key, substr(value, len(value) // 2 + 1), seq, 1
+        FROM ({EVENTS}) AS e WHERE value <> 'error' UNION ALL
+        SELECT value, key, seq, 2 FROM ({EVENTS}) AS e WHERE value <> 'error'""",
+    "map_arrow_events": f"""
+        SELECT key, value, seq, 0 AS pos FROM ({EVENTS}) AS e WHERE value <> 'error'
+        UNION ALL
+        SELECT key || '+', upper(value), seq, 1 FROM ({EVENTS}) AS e WHERE value <> 'error'""",
+    "window_arrow_aggregate": _window(EVENTS, 4, 2, value=(
+        "list_reduce(win, lambda a, b: CASE WHEN len(b) >= len(a) THEN b ELSE a END)")),
     "java_hash_props": f"SELECT props AS key, event_id AS seq, "
                        f"{_hash('props')} AS hash FROM events",
     "flatmap_chars_events": _CHARS.format(src=EVENTS),
@@ -255,12 +285,9 @@ ORACLE = {
         "lambda x: CAST(x AS DOUBLE))) AS VARCHAR), 'none') ELSE 'none' END || '/' || len(win)")),
     "window_rekeyed_large": _window(
         f"SELECT 'all' AS key, value, seq FROM ({_window(EVENTS, 3, 1)}) AS w", 4, 3),
+    "definitions_refused": _REFUSALS,
     "stages_workers": _FOUR,
-    "stage_counters": f"""
-        SELECT 1 AS stage, count(*) AS records FROM ({_ODD_EVENTS}) AS e
-        UNION ALL SELECT s, n FROM (
-          SELECT count(*) AS n FROM ({_CHARS.format(src=_ODD_EVENTS)}) AS c) AS k,
-          (VALUES (2), (3), (4)) AS stages (s)""",
+    "stage_counters": _COUNTERS,
     "sink_overwritten": f"SELECT 'SINK RECORDS' AS line UNION ALL {_SINK_LINES}",
     "stage_hop": f"""
         SELECT key, value, seq, partition,
@@ -295,8 +322,8 @@ ORACLE = {
     "stream_workers": _window(EVENTS, 5, 3),
     "stream_failure": _DEMO,
     "stream_chain": _window(_window(EVENTS, 3, 1), 3, 2),
-    "stream_text_window": "SELECT 'all' AS key, 'turn' || conv_id || turn AS value "
-                          "FROM conversations",
+    "stream_text_window": f"SELECT key, {_upper('value')} AS value, word FROM ("
+                          + _window(_TURN_WORDS, 3, 2, "word") + ") AS w",
     "stream_hop": _window(EVENTS, 3, 1),
     "stream_hop_partition": f"SELECT * FROM ({_HOP}) AS h WHERE partition = 3",
     "stream_hop_lag": f"""
@@ -316,6 +343,7 @@ ORACLE = {
                    GROUP BY partition) AS n ON n.partition = p.partition""",
     "stream_sink_lines": f"SELECT 'SINK RECORDS' AS line UNION ALL {_SINK_LINES}",
     "stream_snapshot": _SNAPSHOT,
-    "stream_text": f"SELECT {_upper('value')} AS value, word "
-                   f"FROM ({_tokens(_TURNS)}) AS t WHERE value <> ''",
+    "stream_text": f"SELECT key, {_upper('value')} AS value, word FROM ({_TURN_WORDS}) AS t",
+    "stream_counters": _COUNTERS,
+    "stream_rebuilt": _DEMO,
 }

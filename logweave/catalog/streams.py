@@ -13,8 +13,9 @@ from ..sources import (committed_positions, lines_prepared, printed_lines, read_
                        read_log, read_partition, stream_lag, stream_lines, stream_log,
                        stream_positions, stream_text_sink, tokenize_lines, write_log)
 from ..storage import scratch_path
-from ..streaming import Hop, run_stream, state_snapshot
-from .tables import at, events, flat, orders, share_of, table
+from ..streaming import Hop, StreamCounters, run_stream, state_snapshot
+from .tables import (at, events, flat, lines_by_name, named_lines, orders, share_of,
+                     table)
 
 STREAMS = {}
 
@@ -172,23 +173,28 @@ def stream_workers(spark, sf):
     return flat(read_committed(spark, out), "seq")
 
 
+def _turn_files(spark, sf, count: int) -> str:
+    """The conversations' lines as text files, each line after its name."""
+    source = scratch_path(spark, "files-in")
+    named_lines(table(spark, sf, "conversations"), "text", "conv_id", "turn").repartition(
+        count, "value").write.text(source)
+    return source
+
+
 @query
 def stream_text_window(spark, sf):
-    """A window over the words of text files, one file a micro-batch."""
-    source, out, checkpoint = (scratch_path(spark, label) for label in (
-        "files-in", "files-out", "files-checkpoint"))
+    """A window over the words of each line of text files, one file a
+    micro-batch."""
+    out, checkpoint = (scratch_path(spark, label) for label in ("files-out", "files-checkpoint"))
 
     def to_log(lines):
-        return tokenize_lines(lines).select(F.lit("all").alias("key"), "value", "ord")
+        return tokenize_lines(lines_by_name(lines), keep=["name"]).select(
+            F.col("name").alias("key"), "value", "ord")
 
-    texts = table(spark, sf, "conversations").select(F.concat_ws(
-        " ", F.lit("turn"), F.col("conv_id"), F.col("turn")).alias("value"))
-    texts.repartition(3, "value").write.text(source)
-    run_stream(Pipeline.of(("windowaggregate", {"size": 3, "slide": 3})),
-               stream_lines(spark, source, maxFilesPerTrigger=1), out, checkpoint,
-               prepare=lines_prepared(to_log)).awaitTermination()
-    # Each line has three words, so the window after the last is the line.
-    return read_committed(spark, out).where(at(5, "w") == 2).select("key", "value")
+    run_stream(Pipeline.of(("windowaggregate", {"size": 3, "slide": 2}), "map"),
+               stream_lines(spark, _turn_files(spark, sf, 3), maxFilesPerTrigger=1), out,
+               checkpoint, prepare=lines_prepared(to_log)).awaitTermination()
+    return read_committed(spark, out).select("key", "value", at(5, "word"))
 
 
 @query
@@ -294,16 +300,43 @@ def stream_snapshot(spark, sf):
 
 @query
 def stream_text(spark, sf):
-    """Text files as they arrive: lines, words, characters."""
-    source, out, checkpoint = (scratch_path(spark, label) for label in (
-        "text-in", "text-out", "text-checkpoint"))
+    """Text files as they arrive: lines and words, also the empty ones."""
+    out, checkpoint = (scratch_path(spark, label) for label in ("text-out", "text-checkpoint"))
 
     def to_log(lines):
-        return tokenize_lines(lines).select(F.lit("all").alias("key"), "value",
-                                            "ord")
-
-    table(spark, sf, "conversations").select("text").write.text(source)
-    run_stream(Pipeline.of("map"), stream_lines(spark, source), out, checkpoint,
-               prepare=lines_prepared(to_log)).awaitTermination()
-    return read_committed(spark, out).filter("value <> ''").select(
-        "value", at(5, "word"))
+        return tokenize_lines(lines_by_name(lines), keep=["name"]).select(
+            F.col("name").alias("key"), "value", "ord")
+
+    run_stream(Pipeline.of("map"), stream_lines(spark, _turn_files(spark, sf, 2)), out,
+               checkpoint, prepare=lines_prepared(to_log)).awaitTermination()
+    return read_committed(spark, out).select("key", "value", at(5, "word"))
+
+
+@query
+def stream_counters(spark, sf):
+    """Records that each stage of a stream gave out, over all micro-batches, one of
+    which fails after its output and is repeated."""
+    source, out, checkpoint = (scratch_path(spark, label) for label in (
+        "counted-in", "counted-out", "counted-checkpoint"))
+    pipe = Pipeline.of("filter", "flatmap", ("windowaggregate", {"size": 4, "slide": 2}), "map")
+    counters, fail = StreamCounters(), _fail_once(1)
+    for part in _parts(events(spark, sf), 2):
+        part.write.mode("append").parquet(source)
+        for _ in range(2):
+            _run(pipe, stream_log(spark, source, stored=False), out, checkpoint,
+                 counters=counters, after_output=fail)
+    return counters.stages(spark).groupBy("stage").agg(F.sum("records").alias("records"))
+
+
+@query
+def stream_rebuilt(spark, sf):
+    """A stream whose checkpoint is lost after two of three parts: a new one reads
+    all of the log and gives out what is missing."""
+    source, out, lost, new = (scratch_path(spark, label) for label in (
+        "rebuilt-in", "rebuilt-out", "rebuilt-lost", "rebuilt-new"))
+    pipe = Pipeline.of("windowaggregate", "map")
+    for i, part in enumerate(_parts(events(spark, sf), 4)):
+        part.write.mode("append").parquet(source)
+        run_stream(pipe, stream_log(spark, source, stored=False), out, lost if i < 2 else new,
+                   rebuild=True).awaitTermination()
+    return flat(read_committed(spark, out), "seq")

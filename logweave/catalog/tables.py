@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators import assign_key
 from ..operators.spans import ROWS_PER_SPAN
 from ..schema import keyed_log
+from ..functions import text_lines
 from ..sources import tokenize_text
 
 
@@ -48,3 +49,20 @@ def at(position: int, name: str) -> Column:
 def flat(log: DataFrame, *names: str) -> DataFrame:
     """Key, value and the parts of the position as plain columns."""
     return log.select("key", "value", *[at(i, n) for i, n in enumerate(names)])
+
+
+def named_lines(df: DataFrame, text: str, *ids: str) -> DataFrame:
+    """``value``: every line of the texts, after its name (the ids and the line's
+    number in the text) and a tab."""
+    lines = df.filter(F.col(text).isNotNull()).select(
+        *ids, F.posexplode(text_lines(F.col(text))).alias("at", "line"))
+    return lines.select(F.concat(F.concat_ws("/", *[F.col(i).cast("string") for i in ids],
+                                             F.col("at").cast("string")),
+                                 F.lit("\t"), F.col("line")).alias("value"))
+
+
+def lines_by_name(lines: DataFrame) -> DataFrame:
+    """Split the ``line`` that was read into its name and the line itself."""
+    at_tab = F.instr("line", "\t")
+    return lines.withColumn("name", F.substring_index("line", "\t", 1)).withColumn(
+        "line", F.substring(F.col("line"), at_tab + 1, F.length("line")))

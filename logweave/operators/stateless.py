@@ -100,5 +100,25 @@ def flatmap_entries(log: DataFrame, fn: Callable) -> DataFrame:
                     _extended("at", "pos")))
 
 
+def flatmap_table(log: DataFrame, handler: type) -> DataFrame:
+    """One record to the rows of a Python table function, by a lateral join.
+
+    ``handler`` is a class whose ``eval(self, key, value)`` yields (key, value)
+    pairs, in order; it may have ``terminate`` as well. A record for which nothing
+    is yielded goes.
+    """
+    class Numbered:
+        def __init__(self):
+            self.inner = handler()
+
+        def eval(self, key: str, value: str):
+            for at, (k, v) in enumerate(self.inner.eval(key, value) or ()):
+                yield k, v, at
+
+    table = F.udtf(Numbered, returnType="new_key string, new_value string, pos int")
+    return log.lateralJoin(table(F.col(_KEY).outer(), F.col(_VALUE).outer())).select(
+        F.col("new_key").alias(_KEY), F.col("new_value").alias(_VALUE), _extended("pos"))
+
+
 def flatmap_chars(log: DataFrame) -> DataFrame:
     return flatmap_records(log, lambda key, value: characters(value))

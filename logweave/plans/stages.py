@@ -98,6 +98,10 @@ def _flatmap_entries(fn: Callable, workers: int | None = None) -> Stage:
                  lambda log: stateless.flatmap_entries(log, fn), False, workers)
 
 
+def _flatmap_table(fn: type, workers: int | None = None) -> Stage:
+    return Stage("flatmaptable", lambda log: stateless.flatmap_table(log, fn), False, workers)
+
+
 def _window(fn: Callable | None = None, size: int = 3, slide: int = 1,
             workers: int | None = None) -> WindowStage:
     return WindowStage("windowaggregate", size, slide, fn or concat, workers)
@@ -113,6 +117,7 @@ FUNCTIONS: dict[str, Callable] = {
     "rekey": _rekey,
     "mapentries": _map_entries,
     "flatmapentries": _flatmap_entries,
+    "flatmaptable": _flatmap_table,
 }
 
 

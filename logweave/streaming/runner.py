@@ -16,7 +16,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.spans import plan_spans
@@ -24,8 +24,9 @@ from ..operators.window import fresh_frames
 from ..plans.pipeline import Pipeline
 from ..plans.stages import Stage, WindowStage
 from ..schema import require_log
-from ..sources.log import log_note, publish_batch, stream_log
-from ..storage import make_folder, publish
+from ..sources.log import log_note, publish_batch, read_committed, stream_log
+from ..storage import make_folder, publish, published, read_text, write_text
+from .counters import StreamCounters, counted
 from .state import state_settings, with_context
 
 
@@ -83,14 +84,20 @@ def _parts(pipeline: Pipeline, out: str, checkpoint: str, prepared: bool,
 class StreamRun:
     """The queries of a running pipeline."""
 
-    def __init__(self, starts: list[Callable[[], StreamingQuery]], together: bool):
+    def __init__(self, spark: SparkSession, starts: list[Callable[[], StreamingQuery]],
+                 together: bool, counters: StreamCounters | None = None):
+        self._spark, self._counters = spark, counters
         self._waiting = list(starts)
         self.queries: list[StreamingQuery] = []
+        if counters:
+            spark.streams.addListener(counters)
         while self._waiting and (together or not self.queries):
             self._next()
 
     def _next(self) -> None:
         self.queries.append(self._waiting.pop(0)())
+        if self._counters:
+            self._counters.watch(self.queries[-1])
 
     def awaitTermination(self) -> None:
         """Wait for all queries; one that takes what is there and ends is followed
@@ -105,11 +112,19 @@ class StreamRun:
         except BaseException:
             self.stop()
             raise
+        self._uncount()
 
     def stop(self) -> None:
         self._waiting.clear()
         for query in self.queries:
             query.stop()
+        self._uncount()
+
+    def _uncount(self) -> None:
+        if self._counters:
+            self._counters.settled()
+            self._spark.streams.removeListener(self._counters)
+            self._counters = None
 
     def exception(self):
         """The failure of the first query that has one."""
@@ -127,7 +142,9 @@ def run_stream(pipeline: Pipeline, source: DataFrame, out: str,
                trigger: dict | None = None,
                rows_per_span: int | None = None,
                after_output: Callable[[int], None] | None = None,
-               use_workers: bool = False
+               use_workers: bool = False,
+               counters: StreamCounters | None = None,
+               rebuild: bool = False
                ) -> StreamRun:
     """Start ``pipeline`` on a streaming DataFrame.
 
@@ -139,7 +156,11 @@ def run_stream(pipeline: Pipeline, source: DataFrame, out: str,
     ``read_log``, ``read_partition`` and ``stream_log`` read; the following stages
     read it too. ``after_output`` is called with a batch's number when a query has
     written it, before Spark commits it. ``use_workers`` makes a window stage use its
-    configured number of partitions.
+    configured number of partitions. ``counters`` collects what each stage gives out.
+
+    ``rebuild`` is for a stream that lost its checkpoint: on a new one it takes the
+    source from the beginning, which brings the windows' state back, and gives out
+    only records that are not in the output yet.
 
     With the default trigger each query of the chain takes what is there and
     ends, and the next follows in ``awaitTermination``; with any other they run
@@ -163,50 +184,80 @@ def run_stream(pipeline: Pipeline, source: DataFrame, out: str,
             make_folder(spark, path)
             log = stream_log(spark, path, stored=isinstance(hop, Hop))
         return _start(part, log, first, f"{checkpoint}/{part.name}", options, rows_per_span,
-                      after_output, use_workers)
+                      after_output, use_workers, counters, rebuild)
 
     starts = [lambda p=p, b=b: start(p, b)
               for p, b in zip(parts, [None, *parts[:-1]], strict=True)]
-    return StreamRun(starts, not {"availableNow", "once"} & set(options))
+    return StreamRun(spark, starts, not {"availableNow", "once"} & set(options), counters)
 
 
 def _start(part: _Part, source: DataFrame, prepare, checkpoint: str, trigger: dict,
-           rows_per_span: int | None, after_output, use_workers: bool) -> StreamingQuery:
-    stages = [s for _, s in part.stages]
+           rows_per_span: int | None, after_output, use_workers: bool,
+           counters: StreamCounters | None, rebuild: bool) -> StreamingQuery:
+    spark = source.sparkSession
     at = part.window
     if at is not None:
-        for stage in stages[:at]:
+        for nth, stage in part.stages[:at]:
             source = stage.apply(source)
-        source = with_context(require_log(source), stages[at].size)
+            if counters:
+                source = counted(source, nth)
+        source = with_context(require_log(source), part.stages[at][1].size)
+    first = _first_batch(spark, checkpoint, part, rebuild)
 
     def process(batch: DataFrame, number: int) -> None:
         if at is None:
             log = require_log(prepare(batch, number) if prepare else batch)
-            rest, held = stages, []
+            rest, held = part.stages, []
         else:
             held = [batch.persist(StorageLevel.MEMORY_AND_DISK)]
-            log = _windows(batch, stages[at], rows_per_span, use_workers)
-            rest = stages[at + 1:]
-        for stage in rest:
-            log = stage.apply(log)
+            log, rest = batch, part.stages[at:]
+        seen: dict[int, Observation] = {}
+        for nth, stage in rest:
+            log = _windows(log, stage, rows_per_span, use_workers) \
+                if isinstance(stage, WindowStage) else stage.apply(log)
+            if counters:
+                seen[nth] = Observation(f"stage {nth}")
+                log = counted(log, nth, seen[nth])
         if len(part.targets) > 1:
             held.append(log.persist(StorageLevel.MEMORY_AND_DISK))
             log = held[-1]
         try:
-            for target in part.targets:
-                _save(log, target, number, rows_per_span)
+            new = [_save(log, target, first + number, first, rows_per_span)
+                   for target in part.targets]
+            if not any(new) and (seen or at is not None):
+                # An earlier attempt has written it all; its state and its counts
+                # are made again.
+                log.write.format("noop").mode("overwrite").save()
+            for nth, observed in seen.items():
+                counters.record(nth, number, observed.get["records"])
             if after_output:
                 after_output(number)
         finally:
             for kept in held:
                 kept.unpersist()
 
-    with state_settings(source.sparkSession):
+    with state_settings(spark):
         return (source.writeStream.foreachBatch(process)
                 .option("checkpointLocation", checkpoint)
                 .trigger(**trigger).start())
 
 
+def _first_batch(spark: SparkSession, checkpoint: str, part: _Part, rebuild: bool) -> int:
+    """The number under which a query's first micro-batch is published: 0, or with
+    a new checkpoint beside old output, the next one. It stays with the checkpoint."""
+    note = f"{checkpoint}-first.txt"
+    kept = read_text(spark, note)
+    if kept is not None:
+        return int(kept)
+    first = 0
+    if rebuild:
+        for target in part.targets:
+            done = published(spark, target.path if isinstance(target, Hop) else target)
+            first = max(first, done[-1] + 1 if done else 0)
+        write_text(spark, note, str(first))
+    return first
+
+
 def _windows(batch: DataFrame, stage: WindowStage, rows_per_span: int | None,
              use_workers: bool) -> DataFrame:
     """The window stage over a micro-batch and the context rows within it."""
@@ -217,11 +268,16 @@ def _windows(batch: DataFrame, stage: WindowStage, rows_per_span: int | None,
                                    batch.filter("n > 0"), stage.fn))
 
 
-def _save(log: DataFrame, target: Hop | str, number: int, rows_per_span: int | None) -> None:
+def _save(log: DataFrame, target: Hop | str, number: int, first: int,
+          rows_per_span: int | None) -> bool:
+    """Publish a micro-batch's output, without what batches before ``first`` have."""
     spark: SparkSession = log.sparkSession
+    path = target.path if isinstance(target, Hop) else target
+    rows = log.select("key", "value", "ord")
+    if first:
+        earlier = read_committed(spark, path).filter(f"batch < {first}").select("key", "ord")
+        rows = rows.join(earlier, ["key", "ord"], "left_anti").select("key", "value", "ord")
     if isinstance(target, Hop):
-        publish_batch(log, target.path, number, target.partitions,
-                      log_note(spark, target.path, before=number), rows_per_span=rows_per_span)
-    else:
-        rows = log.select("key", "value", "ord")
-        publish(spark, target, f"batch={number}", lambda hidden: rows.write.parquet(hidden))
+        return publish_batch(rows, path, number, target.partitions,
+                             log_note(spark, path, before=number), rows_per_span=rows_per_span)
+    return publish(spark, path, f"batch={number}", lambda hidden: rows.write.parquet(hidden))
