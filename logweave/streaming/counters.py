@@ -35,7 +35,7 @@ class StreamCounters(StreamingQueryListener):
 
     def _event(self, run_id) -> threading.Event:
         with self._lock:
-            return self._ours.setdefault(str(query.runId), threading.Event())
+            return self._ours.setdefault(str(run_id), threading.Event())
 
     def record(self, stage: int, batch: int, records: int) -> None:
         with self._lock:
