@@ -212,13 +212,15 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1),
         (F.col("_h") < b["_h_cut"]) | ((F.col("_h") == b["_h_cut"])
                                        & (F.col("_r") < b["_r_cut"])), 1).otherwise(0))
     added = ["size", "source_size", "target", "copies", "taken", "taken_by_budget"]
-    return rows.join(plan, on).withColumn("_copies", copies).select(
-        *unpacked("_row", docs.columns, added), F.col("_size").alias("size"),
-        F.col("_words").alias("source_size"),
-        F.element_at("_plan", -1)["_target"].alias("target"),
-        F.element_at("_copies", -1).alias("copies"),
-        (F.element_at("_copies", -1) * F.col("_size")).alias("taken"),
-        F.transform("_copies", lambda c: c * F.col("_size")).alias("taken_by_budget"))
+    results = [
+        F.col("_size"), F.col("_words"), F.element_at("_plan", -1)["_target"],
+        F.element_at("_copies", -1), F.element_at("_copies", -1) * F.col("_size"),
+        F.transform("_copies", lambda c: c * F.col("_size"))]
+    # In a struct first: beside a user's column of the same name, a lambda would
+    # take that one.
+    placed = rows.join(plan, on).withColumn("_copies", copies).select("_row", F.struct(
+        *[c.alias(n) for c, n in zip(results, added, strict=True)]).alias("_added"))
+    return placed.select(*unpacked("_row", docs.columns, added), *unpacked("_added", added))
 
 
 def repeated(mixed: DataFrame) -> DataFrame:

@@ -120,8 +120,9 @@ def _scatter_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_pydict({
             "length": pa.array([d] * d, pa.int32()), "entry": pa.array(range(d), pa.int32()),
             "rows": pa.array([found.rows] * d, pa.int64()),
-            "sum": pa.array([str(s) for s in found.sums]),
-            "products": pa.array([[str(p) for p in found.products(i)] for i in range(d)])})
+            "sum": pa.array([str(s) for s in found.sums], pa.string()),
+            "products": pa.array([[str(p) for p in found.products(i)] for i in range(d)],
+                                 pa.list_(pa.string()))})
 
 
 _SCATTER = "length int, entry int, rows bigint, sum string, products array<string>"
