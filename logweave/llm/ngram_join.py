@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..storage import settle
 from . import textual
+from .columns import free_name
 from .components import components
 
 #: Values in a tree's label.
@@ -368,11 +369,14 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id",
                          text_col: str = "text", **options) -> DataFrame:
-    """The rows of one document of each group, with all their columns. Rows that
-    repeat both id and text leave as one."""
+    """The rows of one document of each group, with all their columns, whatever
+    these are called. Rows that repeat both id and text leave as one. Documents
+    without a word (null and empty texts) are groups of their own and stay; an empty
+    table gives no rows."""
+    tag = free_name(docs.columns, "kept")
     kept = ngram_join(docs, id_col, text_col, **options).where("kept").select(
-        F.xxhash64("doc_id", "th").alias("_kept")).distinct()
-    tagged = docs.withColumn("_kept", F.xxhash64(
+        F.xxhash64("doc_id", "th").alias(tag)).distinct()
+    tagged = docs.withColumn(tag, F.xxhash64(
         F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))))
-    chosen = tagged.join(kept, "_kept", "left_semi")
-    return chosen.dropDuplicates(["_kept"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    chosen = tagged.join(kept, tag, "left_semi")
+    return chosen.dropDuplicates([tag]).select(*[F.col(f"`{c}`") for c in docs.columns])

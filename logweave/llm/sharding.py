@@ -6,7 +6,9 @@ candidate boundaries are counted exactly: every pass cuts each interval that
 still holds a splitter into ``FAN`` probes and sums the bytes between them, until
 each splitter lies within the tolerance or its interval is one key. The keys'
 digits are walked from the group hash into the row hash, so a group that holds
-a third of the data is cut as well. DataFrame operations only.
+a third of the data is cut as well. Shards are cut into parts for the exchange in
+the same passes, to a looser tolerance, and the one exchange sends each row to the
+part that the splitters give it. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import settle
+from .columns import packed, unpacked
 
 #: Bits of a digit; a pass has 2**DIGIT probes for each splitter.
 DIGIT = 12
@@ -41,9 +44,12 @@ def _prefix(digits: tuple[int, ...]) -> tuple[int, int]:
     return words[0], words[1]
 
 
-def splitters(keyed: DataFrame, parts: int, tolerance: float) -> list[tuple[int, int]]:
+def splitters(keyed: DataFrame, parts: int, tolerance: float, within: int = 1,
+              loose: float = 0.25) -> list[tuple[int, int]]:
     """``parts - 1`` keys; the bytes below the i-th differ from i shares of the
-    total by at most ``tolerance`` shares, or by less than one key's rows.
+    total by at most ``tolerance`` shares, or by less than one key's rows. Where
+    each ``within`` parts make a shard, that holds for the shards' borders and
+    shares; those between may differ by ``loose`` of a part's share.
 
     ``keyed`` has ``_g, _r, _size``. Each pass brings ``FAN`` sums a splitter
     to the driver, whatever the number of rows.
@@ -83,7 +89,7 @@ def splitters(keyed: DataFrame, parts: int, tolerance: float) -> list[tuple[int,
                 if below + here >= goal or d == FAN - 1:
                     break
                 below += here
-            slack = tolerance * total / parts
+            slack = total / parts * (tolerance * within if i % within == 0 else loose)
             if (prefixes.index(digits), d) in single:
                 # One row is not divided: the splitter is on its nearer side.
                 slack = max(slack, min(goal - below, below + here - goal))
@@ -110,43 +116,45 @@ def histogram_shards(rows: DataFrame, size: Column, group: Column, row_key: Colu
     splitter had to cut it. ``slot`` counts the rows of a shard from 0 without
     gaps, in key order. Rows that agree in both keys are told apart by their
     place in the input. An empty table gives no rows. Input columns named
-    ``shard`` or ``slot`` are replaced.
+    ``shard`` or ``slot`` are replaced; no other name clashes.
     """
-    named = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
     # The last digit tells repeated rows apart by their place in the input. The
     # table is written once, so that every pass sees the same keys.
     keyed = settle(rows.select(
-        *[F.col(f"`{c}`") for c in named], F.coalesce(size.cast("long"), F.lit(0)).alias("_size"),
+        packed(rows).alias("_row"), F.coalesce(size.cast("long"), F.lit(0)).alias("_size"),
         _hash60(group).alias("_g"),
         _hash60(row_key).bitwiseAND(~(FAN - 1)).bitwiseOR(_hash60(
             F.monotonically_increasing_id()).bitwiseAND(FAN - 1)).alias("_r")), "sort-keys",
         compression="zstd")
-    cuts = splitters(keyed.select("_g", "_r", "_size"), shards, tolerance)
-    shard = F.lit(0)
-    for g, r in cuts:
-        shard = shard + ((F.col("_g") > g) | ((F.col("_g") == g) & (F.col("_r") >= r))).cast("int")
-    sorted_once = keyed.withColumn("shard", shard).repartitionByRange(
-        int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        "shard", "_g", "_r").sortWithinPartitions("shard", "_g", "_r")
-    placed = settle(sorted_once.drop("_size", "_g", "_r").withColumn(
-        "_part", F.spark_partition_id()).withColumn(
-            "_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "sorted", compression="zstd")
-    # One row per shard and partition: where its rows begin, in the partition
-    # and in the shard. Partitions follow each other in key order.
-    runs = placed.groupBy("shard", "_part").agg(
-        F.count("*").alias("_n"), F.min("_at").alias("_first"))
-    before = runs.select("shard", "_part", "_first", (F.sum("_n").over(
-        Window.partitionBy("shard").orderBy("_part")) - F.col("_n")).alias("_before"))
-    # At most a row for each partition and shard.
-    return placed.join(F.broadcast(before), ["shard", "_part"]).select(
-        *[F.col(f"`{c}`") for c in named], "shard",
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    within = max(-(-partitions // shards), 1)
+    cuts = splitters(keyed.select("_g", "_r", "_size"), shards * within, tolerance, within)
+    # How many splitters a key has reached; they ascend.
+    part = F.size(F.filter(F.array(*[F.struct(F.lit(g).alias("g"), F.lit(r).alias("r"))
+                                     for g, r in cuts]),
+                           lambda c: (F.col("_g") > c["g"]) | ((F.col("_g") == c["g"])
+                                                               & (F.col("_r") >= c["r"]))))
+    part = part if cuts else F.lit(0)
+    sent = keyed.withColumn("_part", part).repartitionById(
+        shards * within, "_part").sortWithinPartitions("_part", "_g", "_r")
+    placed = settle(sent.select("_row", "_part", F.monotonically_increasing_id().bitwiseAND(
+        (1 << 33) - 1).alias("_at")), "sorted", compression="zstd")
+    # One row a part: where its rows begin, in the partition and in the shard.
+    runs = placed.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    shard = F.floor(F.col("_part") / within).cast("int")
+    before = runs.select("_part", "_first", shard.alias("_shard"), (F.sum("_n").over(
+        Window.partitionBy(shard).orderBy("_part")) - F.col("_n")).alias("_before"))
+    return placed.join(F.broadcast(before), "_part").select(
+        *unpacked("_row", rows.columns, ("shard", "slot")), F.col("_shard").alias("shard"),
         (F.col("_at") - F.col("_first") + F.col("_before")).cast("long").alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id",
                     text_col: str = "text", tolerance: float = 0.001) -> DataFrame:
-    """Shard documents by the UTF-8 bytes of their text plus one (null: one)."""
-    text = F.col(text_col)
+    """Shard documents by the UTF-8 bytes of their text plus one (null: one); see
+    :func:`histogram_shards`. Equal texts are neighbours, told apart by their ids;
+    a very long text is one row and goes to one shard; null texts are a group."""
+    text = F.col(f"`{text_col}`")
     return histogram_shards(
         docs, F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1,
-        text.cast("string"), F.col(id_col), shards, tolerance)
+        text.cast("string"), F.col(f"`{id_col}`"), shards, tolerance)

@@ -4,7 +4,19 @@ SMALL = "/root/testdata/sf0.001"
 
 SCHEMA = ("doc_id long, text string, lang string, source string, score double, shard int, "
           "slot long, key string, kept string, node int, removed_spans string, row int, "
-          "class string, held_out string, label int")
+          "class string, held_out string, label int, _size string, _g string, _r string, "
+          "_k string, _part string, _at string, _kept string, _repeated string, _cut string, "
+          "_row string, _all string, copy string, starts string")
+
+
+#: Values that an operator must give back as they are.
+MINE = {n: f"mine {n}" for n in ("_size", "_g", "_r", "_k", "_part", "_at", "_kept", "_repeated",
+                                 "_cut", "_row", "_all", "copy", "starts")}
+
+
+def unharmed(rows) -> bool:
+    """Have all rows their clashing columns still?"""
+    return all(r[n] == value for r in rows for n, value in MINE.items())
 
 
 @pytest.fixture(scope="session")
@@ -19,7 +31,7 @@ def make(spark):
     def of(rows):
         rows = [(*r, None)[:3] for r in rows]
         return spark.createDataFrame(
-            [(i, t, g, None, 0.5, 7, 9, "k", "x", 1, "s", 2, "c", "h", 3)
+            [(i, t, g, None, 0.5, 7, 9, "k", "x", 1, "s", 2, "c", "h", 3, *MINE.values())
              for i, t, g in rows], SCHEMA)
     return of
 

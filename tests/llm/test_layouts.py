@@ -14,7 +14,7 @@ from logweave.llm.catalog import PIECES, RANKS, op2_histogram_sort, op4_training
 from logweave.llm.sharding import shard_documents, splitters
 from logweave.storage import scratch_path
 
-from .conftest import SMALL
+from .conftest import SMALL, unharmed
 
 
 def test_op2(spark, documents):
@@ -70,7 +70,7 @@ def test_groups_stay_together(make):
 def test_few_rows_and_odd_rows(make, odd):
     for rows in ([], [(1, "a")], odd):
         got = shard_documents(make(rows)).collect()
-        assert len(got) == len(rows)
+        assert len(got) == len(rows) and unharmed(got)
         for s in range(8):
             slots = sorted(r.slot for r in got if r.shard == s)
             assert slots == list(range(len(slots)))
@@ -90,6 +90,24 @@ def test_splitters_count_exactly(spark):
         assert abs(below - total * i / 5) <= max(0.001 * total / 5, 900)
 
 
+def test_parts_of_shards_follow_the_splitters(spark, make, monkeypatch):
+    """Within a shard the exchange's parts are of like size, and no rows are sampled:
+    the plan has the given partitions, not ranges."""
+    rows = [(i, f"text {i} " * (1 + i % 40)) for i in range(3000)]
+    plans = []
+    settle = sharding.settle
+    monkeypatch.setattr(sharding, "settle", lambda df, *a, **k: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or settle(df, *a, **k))
+    shard_documents(make(rows), shards=2).count()
+    assert "rangepartitioning" not in plans[1] and "Exchange" in plans[1]
+    keys = spark.createDataFrame([(i * (1 << 48), i, 1) for i in range(4000)],
+                                 "_g long, _r long, _size long")
+    cuts = splitters(keys, 16, 0.001, within=8)
+    edges = [0, *[sum(i * (1 << 48) < g for i in range(4000)) for g, _ in cuts], 4000]
+    sizes = np.diff(edges)
+    assert abs(edges[8] - 2000) <= 2 and sizes.min() > 125 and sizes.max() < 375
+
+
 @pytest.mark.parametrize("domain", [1, 2, 3, 10, 64, 1000, 4097])
 def test_permutation(domain):
     got = training_order.permuted(np.arange(domain), domain, 5)
@@ -150,6 +168,22 @@ def test_op4(spark):
     assert got.agg(F.max("slot")).first()[0] == got.count() - 1
 
 
+def test_pipeline_odd_rows(spark, make, odd):
+    """Every stage but the last keeps clashing columns and clean odd rows; an empty
+    table goes through."""
+    docs = make(odd).drop("removed_spans")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        path = scratch_path(spark, f"odd-{name}")
+        stage(spark, docs, SMALL).write.parquet(path)
+        after = spark.read.parquet(path)
+        rows = after.collect()
+        assert after.columns == docs.columns and unharmed(rows) and rows, name
+        assert {r.doc_id for r in rows} >= {1, 3, 4, 5, 6, 9, 10}
+        docs = after
+        assert stage(spark, docs.limit(0), SMALL).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() >= len(rows)
+
+
 def test_pipeline(spark, documents):
     """Every stage on its own input, and the columns it returns."""
     docs, folder = documents, SMALL

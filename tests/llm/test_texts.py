@@ -16,11 +16,12 @@ from logweave.llm.catalog import (
     op5_template_decontamination,
     op6_ordinal_quality,
     op8_sentencepiece,
+    op9_substring_dedup,
     op10_toxicity,
 )
 from logweave.llm.pieces import pieces_of, read_model
 
-from .conftest import SMALL
+from .conftest import SMALL, unharmed
 
 
 @pytest.fixture(scope="module")
@@ -298,12 +299,56 @@ def test_substring_odd_rows(make, odd):
     got = sub.substring_dedup(docs)
     assert got.columns == [c for c in docs.columns if c != "removed_spans"] + ["removed_spans"]
     rows = got.collect()
-    assert len(rows) == len(odd)
+    assert len(rows) == len(odd) and unharmed(rows)
     text = {r.doc_id: r.text for r in rows if r.doc_id is not None}
     assert text[1] == odd[0][1] and text[3] is None and text[4] == "" and text[7] == "x"
     assert sub.substring_dedup(make([])).count() == 0
 
 
+def brute_substrings(rows, size=50):
+    """What is left of each text, as words: passages seen in an earlier document go,
+    and those that ended in the same document before they begin again."""
+    seen, out = set(), {}
+    word = re.compile("[\u2e80-\U0010ffff]|[^\\s\u2e80-\U0010ffff]+")
+    for i, text in sorted(rows):
+        words = word.findall(text or "")
+        passages = [tuple(words[k:k + size]) for k in range(len(words) - size + 1)]
+        own, gone = {}, set()
+        for k, p in enumerate(passages):
+            if p in seen or k - own.setdefault(p, k) >= size:
+                gone.update(range(k, k + size))
+        seen.update(passages)
+        out[i] = [w for k, w in enumerate(words) if k not in gone]
+    return out
+
+
+def test_op9_against_brute_force(spark, documents):
+    """The query, on all words of all documents."""
+    word = re.compile("[\u2e80-\U0010ffff]|[^\\s\u2e80-\U0010ffff]+")
+    got = {r.doc_id: word.findall(r.text or "") for r in op9_substring_dedup(
+        spark, SMALL).collect()}
+    assert got == brute_substrings([(r.doc_id, r.text) for r in documents.collect()])
+
+
+def test_every_planted_passage_is_found(make):
+    """Passages of just 50 words, also of one, two or three words again and again,
+    at any place between other words."""
+    rng = np.random.default_rng(2)
+    word = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 50_000, n))
+    phrases = [word(50) for _ in range(40)] + ["De, " * 50, "ho ho hum " * 16 + "ho ho",
+                                               "ab cd " * 25, "x y z w v " * 10]
+    rows = []
+    for i, phrase in enumerate(phrases):
+        for k in range(3):
+            rows.append((10 * i + k, f"{word(int(rng.integers(1, 60)))} {phrase} "
+                                     f"{word(int(rng.integers(1, 60)))}"))
+    got = {r.doc_id: r.text.split() for r in sub.substring_dedup(make(rows)).collect()}
+    assert got == brute_substrings(rows)
+    given = dict(rows)
+    assert all(len(got[10 * i + k]) <= len(given[10 * i + k].split()) - 50
+               for i in range(len(phrases)) for k in (1, 2))
+
+
 def test_chunks_cover_and_resist_shifts(monkeypatch):
     rng = np.random.default_rng(7)
     text = " ".join(rng.choice(["sea", "wind", "rock", "gull", "foam", "tide"], 4000))
