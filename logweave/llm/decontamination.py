@@ -6,7 +6,9 @@ looked up in the benchmark's window table (a hash join whose build side is the
 benchmark, a bounded slice of its items at a time); a hit counts if its slots
 are consistent: one value of the item always stands for one value of the
 document, and different values for different ones. A document is contaminated
-by an item if enough of the item's windows hit.
+by an item if enough of the item's windows hit. Beside the templates, the very
+words are looked up without regard to case: in capitals or lower case, names can't
+be told from other words.
 """
 
 from __future__ import annotations
@@ -68,8 +70,9 @@ def _hashes(words: list[str]) -> np.ndarray:
 _NUMBERS, _UNITS = None, None
 
 
-def tokens(texts: list[str | None]) -> Tokens:
-    """Words with their kind. A number is a word that begins with a digit (its
+def tokens(texts: list[str | None]) -> tuple[Tokens, Tokens]:
+    """Words with their kind, and the words as they are, in lower case and without
+    kinds. A number is a word that begins with a digit (its
     decimals and thousands are further words of the same number), or a number
     word; a unit is a unit word after a number; a name begins with a capital,
     goes on in lower case and does not begin a sentence. Names, and number words
@@ -80,8 +83,9 @@ def tokens(texts: list[str | None]) -> Tokens:
     words = textual.words_of(texts)
     n = len(words.hashes)
     kind = np.zeros(n, np.int8)
+    plain = _plain(texts, words)
     if not n:
-        return Tokens(words.hashes, kind, words.hashes, words.text, kind > 0)
+        return plain, plain
     table = textual.char_classes()
     at = textual.bounds(words.text, len(texts))
     joined, new_sentence, beside = np.zeros(n, bool), np.ones(n, bool), np.zeros(n, bool)
@@ -133,7 +137,25 @@ def tokens(texts: list[str | None]) -> Tokens:
     value = np.zeros(len(whole), _U)
     np.add.at(value, group, textual.mix(words.hashes + np.arange(n, dtype=_U) - whole[group].astype(_U)))
     initial = capital & ~second_upper & new_sentence & (kind == WORD)
-    return Tokens(template[whole], kind[whole], value, words.text[whole], initial[whole])
+    return Tokens(template[whole], kind[whole], value, words.text[whole], initial[whole]), plain
+
+
+def _plain(texts: list[str | None], words: textual.Words) -> Tokens:
+    """The words in folded case. Only in texts that folding makes longer (as that of
+    a sharp s) they are other words than those in lower case."""
+    folded = [text.casefold() if text else "" for text in texts]
+    longer = np.array([i for i, text in enumerate(folded) if len(text) != len(texts[i] or "")],
+                      np.int64)
+    hashes, text = words.hashes, words.text
+    if len(longer):
+        kept = ~np.isin(text, longer)
+        again = textual.words_of([folded[i] for i in longer])
+        hashes = np.concatenate((hashes[kept], again.hashes))
+        text = np.concatenate((text[kept], longer[again.text]))
+        order = np.argsort(text, kind="stable")
+        hashes, text = hashes[order], text[order]
+    none = np.zeros(len(hashes), np.int8)
+    return Tokens(hashes, none, hashes, text, none > 0)
 
 
 _STOPS = np.array([ord(c) for c in ".!?\n\r:|。"], np.uint32)
@@ -153,12 +175,32 @@ def _known(h: np.ndarray, windows: np.ndarray) -> np.ndarray:
 
 
 class Benchmark:
-    """Window table and tokens of a slice of the benchmark's items."""
+    """A slice of the benchmark's items, by templates and by their very words."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
-        t = tokens([text for _, text in items])
-        at = textual.bounds(t.text, len(items))
+        typed, plain = tokens([text for _, text in items])
+        # Shorter items are looked up as they stand by the templates' table.
+        self.tables = (_Table(len(items), typed, 1), _Table(len(items), plain, WINDOW))
+
+    def hits(self, texts: list[str | None]) -> Iterator[tuple[int, int, float, int]]:
+        """``(text, item, coverage, changed slots)`` of contaminated texts."""
+        best: dict[tuple[int, int], tuple[float, int]] = {}
+        for table, t in zip(self.tables, tokens(texts), strict=True):
+            for d, i, coverage, changed in table.hits(t, len(texts)):
+                # Of equal shares, the reading that changes less.
+                now = (coverage, -changed)
+                best[d, i] = max(best.get((d, i), now), now)
+        for (d, i), (coverage, changed) in sorted(best.items()):
+            yield d, i, coverage, -changed
+
+
+class _Table:
+    """Window table and tokens of items of at least ``shortest`` tokens."""
+
+    def __init__(self, many: int, t: Tokens, shortest: int):
+        items = range(many)
+        at = textual.bounds(t.text, many)
         self.kind = [t.kind[at[i]:at[i + 1]] for i in range(len(items))]
         self.value = [t.value[at[i]:at[i + 1]] for i in range(len(items))]
         self.initial = [t.initial[at[i]:at[i + 1]] for i in range(len(items))]
@@ -170,7 +212,7 @@ class Benchmark:
         for i in range(len(items)):
             part = t.template[at[i]:at[i + 1]]
             size = min(WINDOW, len(part))
-            if not size:
+            if len(part) < shortest:
                 continue
             least = min(LITERALS, (size + 1) // 2)
             place = _literal(self.kind[i] == WORD, size, least)
@@ -195,10 +237,8 @@ class Benchmark:
             order = np.argsort(h, kind="stable")
             self.sizes[key] = h[order], item[order], place[order]
 
-    def hits(self, texts: list[str | None]) -> Iterator[tuple[int, int, float, int]]:
-        """``(text, item, coverage, changed slots)`` of contaminated texts."""
-        t = tokens(texts)
-        at = textual.bounds(t.text, len(texts))
+    def hits(self, t: Tokens, many: int) -> Iterator[tuple[int, int, float, int]]:
+        at = textual.bounds(t.text, many)
         found: dict[tuple[int, int], set] = {}
         named = t.named()
         for (size, verbatim), (h, item, place) in self.sizes.items():
@@ -313,9 +353,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     names and units that differ. Items or documents that are null or have no
     word give no row, nor do items of fewer placeholders alone than a window
     has; an item with too few literals for a template is looked up as it
-    stands. A word that begins a sentence with a capital is tried as a name too.
-    An item shorter than
-    a window is one window. Repeated documents give repeated rows; an item id with
+    stands. A word that begins a sentence with a capital is tried as a name too. A
+    copy in another case is found by its words. An item shorter than a window is one
+    window. A very long text is read whole, in slices; an empty table, of documents or
+    of items, gives no rows. Repeated documents give repeated rows; an item id with
     several texts is judged text by text. Other columns are ignored.
     """
     out = None
@@ -364,7 +405,8 @@ def _clean(shared):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, that no item contaminates."""
+    """The rows, with all their columns, that no item contaminates; null and empty
+    texts stay, and an empty table gives no rows. See :func:`contaminated`."""
     for part in benchmark_slices(benchmark, item_col, item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(
             sorted((r["item"], r["text"]) for r in part.collect()))

@@ -91,17 +91,27 @@ def test_reparameterised(spark, make):
     docs = make(rows)
     got = decontamination.contaminated(docs, bench).collect()
     assert Counter((r.doc_id, r.item_id) for r in got) == Counter(
-        [(1, 1), (2, 1), (6, 5), (None, 1)])
+        [(1, 1), (2, 1), (6, 5), (8, 1), (None, 1)])
     by = {r.doc_id: r for r in got}
     assert by[1].changed_slots == 0 and by[2].changed_slots == 4 and by[1].coverage > 0.9
     kept = decontamination.decontaminate(docs, bench)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 7, 8, 9]
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 7, 9]
     for empty in (decontamination.contaminated(docs, bench.limit(0)),
                   decontamination.contaminated(make([]), bench)):
         assert empty.count() == 0
 
 
+@pytest.mark.parametrize("case", [str, str.upper, str.lower, str.title])
+def test_copies_in_any_case(spark, case):
+    """Every item of the benchmark, behind a sentence."""
+    items = [(r.item_id, r.text) for r in spark.read.parquet(
+        "/root/testdata/sf0.1/benchmark.parquet").collect() if r.text]
+    table = decontamination.Benchmark(items)
+    for k, (_, text) in enumerate(items):
+        assert k in {i for _, i, *_ in table.hits([case(f"it was told before. {text}")])}, text
+
+
 def test_slots_must_agree():
     item = "Ann gave 5 plums to Bob and then Ann gave 7 plums more to Bob at the old mill"
     table = decontamination.Benchmark([(1, "Then " + item)])
@@ -142,7 +152,9 @@ def test_items_of_few_literals():
 
 
 def test_tokens_are_typed():
-    t = decontamination.tokens(["The 3.5 kg of Paris cost twelve dollars. Then IBM left."])
+    t, plain = decontamination.tokens(
+        ["The 3.5 kg of Paris cost twelve dollars. Then IBM left."])
+    assert not plain.kind.any() and len(plain.kind) == 12
     assert t.kind.tolist() == [0, 1, 3, 0, 2, 0, 1, 3, 0, 0, 0]
 
 
