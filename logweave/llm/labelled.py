@@ -13,17 +13,6 @@ def held_out(id_col: str = "doc_id") -> Column:
                              F.lit(5)) == 0, F.lit(False))
 
 
-def sampled(rows: DataFrame, by: str, most: int, key: Column) -> DataFrame:
-    """About ``most`` rows for each value of ``by``, by a hash of the key: a
-    filter, so that no value's rows meet in one task."""
-    spread = F.pmod(F.xxhash64(key), F.lit(1 << 40))
-    counts = rows.groupBy(by).agg(F.count("*").alias("_n"))
-    # One row for each value of a label; a model of each has more. The rows
-    # themselves stay where they are.
-    return rows.join(F.broadcast(counts), by).where(
-        spread < F.least(F.lit(1.0), most / F.col("_n")) * (1 << 40)).drop("_n")
-
-
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
                     label_col: str, most: int) -> DataFrame:
     """``doc_id, text, label`` of about ``most`` labelled documents, chosen by a

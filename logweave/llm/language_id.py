@@ -3,8 +3,9 @@
 Each language has the suffix automaton of a bounded amount of labelled text.
 A text is parsed greedily into the longest phrases that occur in a language's
 text; the language that needs the fewest phrases, weighed by what naming one
-costs there (log of the training length), wins. The automata are dense tables,
-and all segments of a batch of texts take a step at a time.
+costs there (log of the training length), wins. Symbols are the halves of UTF-8
+bytes: no letter of any script is left out, and the automata are small dense
+tables. All segments of a batch of texts take a step at a time.
 """
 
 from __future__ import annotations
@@ -18,17 +19,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textual
-from .labelled import held_out, sampled
+from .labelled import held_out
 
 #: Training characters of a language, and of all languages together.
 TRAINING, TRAINING_ALL = 40_000, 1_600_000
-#: Rows a language's training text is taken from, and characters of each.
-ROWS = 200
-#: Characters that have a symbol of their own; other letters share one.
-SYMBOLS = 125
-#: A text is parsed in segments of this many characters, so that segments can
-#: be parsed side by side; every character of the text is in one.
-SEGMENT = 256
+#: Characters that a row gives to its language's training text, from any place.
+WINDOW = 400
+#: Symbols: half a byte each.
+_WIDTH = 16
+#: A text is parsed in segments of so many symbols, so that segments can be parsed
+#: side by side; every symbol of the text is in one. A segment's parse begins WARM
+#: symbols before it, where it has nearly always met the parse of the whole text;
+#: phrases are counted where they begin.
+SEGMENT, WARM = 512, 128
 UNDETERMINED = "und"
 
 
@@ -74,22 +77,22 @@ def suffix_automaton(symbols: np.ndarray) -> list[dict[int, int]]:
     return nexts
 
 
+def symbols(text: str) -> np.ndarray:
+    """High and low halves of a text's UTF-8 bytes."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    out = np.empty(2 * len(raw), np.uint8)
+    out[::2], out[1::2] = raw >> 4, raw & 15
+    return out
+
+
 class Parser:
     """Phrase counts of texts against every language's training text."""
 
     def __init__(self, training: dict[str, str]):
         self.languages = sorted(training)
-        everything = textual.code_points("".join(training.values()))
-        codes, counts = np.unique(everything, return_counts=True)
-        chosen = codes[np.argsort(-counts, kind="stable")[:SYMBOLS]]
-        # 0: not in any training text; 1: a rare letter that is.
-        self.symbol = np.zeros(len(textual.char_classes()), np.uint8)
-        self.symbol[codes] = 1
-        self.symbol[chosen] = np.arange(2, len(chosen) + 2)
-        self.width = len(chosen) + 2
         self.tables, self.weight = [], []
         for name in self.languages:
-            text = self.symbol[textual.code_points(training[name])]
+            text = symbols(training[name])
             self.tables.append(self._dense(suffix_automaton(text)))
             self.weight.append(math.log2(len(text) + 2))
 
@@ -97,7 +100,7 @@ class Parser:
         """Next state doubled, plus 1 where a phrase begins with the symbol: in
         the root, and where no phrase goes on with it. A symbol that the text
         lacks is a phrase by itself."""
-        root = np.ones(self.width, np.int32)
+        root = np.ones(_WIDTH, np.int32)
         for c, to in nexts[0].items():
             root[c] = to << 1 | 1
         out = np.tile(root, (len(nexts), 1))
@@ -107,27 +110,29 @@ class Parser:
         return out.reshape(-1)
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Phrases of each folded text by language, and its characters."""
-        sizes = np.array([len(t) for t in texts], np.int64)
-        stream = self.symbol[textual.code_points("".join(texts))]
+        """Phrases of each folded text by language, and its symbols."""
+        each = [symbols(t) for t in texts]
+        sizes = np.array([len(e) for e in each], np.int64)
+        stream = np.concatenate(each)
         pieces = -(-sizes // SEGMENT)
         owner = np.repeat(np.arange(len(texts)), pieces)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        begin = np.repeat(np.cumsum(sizes) - sizes, pieces) + nth * SEGMENT
-        length = np.minimum(SEGMENT, sizes[owner] - nth * SEGMENT)
+        early = np.minimum(WARM, nth * SEGMENT)
+        begin = np.repeat(np.cumsum(sizes) - sizes, pieces) + nth * SEGMENT - early
+        length = np.minimum(SEGMENT, sizes[owner] - nth * SEGMENT) + early
         order = np.argsort(-length, kind="stable")
-        owner, begin, length = owner[order], begin[order], length[order]
-        active = np.searchsorted(-length, -np.arange(SEGMENT), "left")
+        owner, begin, length, early = (x[order] for x in (owner, begin, length, early))
+        active = np.searchsorted(-length, -np.arange(SEGMENT + WARM), "left")
         counts = np.zeros((len(texts), len(self.tables)))
         for k, table in enumerate(self.tables):
             state = np.zeros(len(owner), np.int32)
             begun = np.zeros(len(owner), np.int32)
-            for step in range(SEGMENT):
+            for step in range(SEGMENT + WARM):
                 n = active[step]
                 if not n:
                     break
-                to = table[state[:n] * self.width + stream[begin[:n] + step]]
-                begun[:n] += to & 1
+                to = table[state[:n] * _WIDTH + stream[begin[:n] + step]]
+                begun[:n] += (to & 1) if step >= WARM else (to & 1) * (early[:n] <= step)
                 state[:n] = to >> 1
             counts[:, k] = np.bincount(owner, begun, len(texts))
         return counts, sizes
@@ -156,20 +161,27 @@ class Parser:
 def training_text(docs: DataFrame, text_col: str, lang_col: str,
                   id_col: str) -> dict[str, str]:
     """The bounded training text of every language, of documents that are not
-    held out and whose text and language are not null."""
+    held out and whose text and language are not null. Rows are chosen by a hash of
+    their id, as many as hold twice the bound; each gives its text, or a window of
+    it from a place that the hash decides."""
     known = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull()
                        & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"),
+        F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col).alias("h"),
         F.col(text_col).cast("string").alias("text"))
-    names = known.select("lang").distinct().count()
+    held = known.groupBy("lang").agg(F.sum(F.least(F.length("text"), F.lit(WINDOW))).alias("n"))
+    names = held.count()
     most = min(TRAINING, TRAINING_ALL // max(names, 1))
-    rows = sampled(known, "lang", ROWS, F.col("id")).select(
-        "lang", F.xxhash64("id").alias("h"), F.substring("text", 1, 2 * most // ROWS).alias("text"))
+    # A row for each language; a model of each is broadcast as well.
+    spread = F.pmod("h", F.lit(1 << 40))
+    start = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1) + 1
+    rows = known.join(F.broadcast(held), "lang").where(
+        spread < F.least(F.lit(1.0), 2.0 * most / F.col("n")) * (1 << 40)).select(
+        "lang", "h", F.substring("text", start, F.lit(WINDOW)).alias("text"))
     out: dict[str, str] = {}
     for r in sorted(rows.collect(), key=lambda r: (r["lang"], r["h"], r["text"])):
-        held = out.get(r["lang"], "")
-        if len(held) < most:
-            out[r["lang"]] = (held + folded(r["text"]) + " ")[:most]
+        text = out.get(r["lang"], "")
+        if len(text) < most:
+            out[r["lang"]] = (text + folded(r["text"]) + " ")[:most]
     return {k: v for k, v in out.items() if v.strip()}
 
 
@@ -183,7 +195,7 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     The whole text decides; a null text and one without a letter is ``und``
     with score 0, and so is every text if no labelled text can be learned from.
     Ties go to the language first in order. Repeated rows are predicted alike;
-    other columns are ignored.
+    other columns are ignored; an empty table gives no rows.
     """
     training = training_text(docs, text_col, lang_col, id_col)
     shared = docs.sparkSession.sparkContext.broadcast(training)

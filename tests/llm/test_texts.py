@@ -41,20 +41,59 @@ def test_op3(spark, documents):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def greedy_phrases(training, text):
+    training, text = (bytes(language_id.symbols(t)) for t in (training, text))
+    n = at = 0
+    while at < len(text):
+        k = 1
+        while at + k <= len(text) and text[at:at + k] in training:
+            k += 1
+        at += max(1, k - 1)
+        n += 1
+    return n
+
+
 def test_phrases_are_longest_matches():
-    training = "abracadabra barbara"
+    training = "abracadabra barbara 山水"
     parser = language_id.Parser({"x": training})
     rng = np.random.default_rng(0)
     for _ in range(30):
-        text = "".join(rng.choice(list("abcdr z"), rng.integers(1, 60)))
-        n = at = 0
-        while at < len(text):
-            k = 1
-            while at + k <= len(text) and text[at:at + k] in training:
-                k += 1
-            at += max(1, k - 1)
-            n += 1
-        assert parser.phrases([text])[0][0, 0] == n
+        text = "".join(rng.choice(list("abcdr z山川"), rng.integers(1, 60)))
+        assert parser.phrases([text])[0][0, 0] == greedy_phrases(training, text)
+
+
+def test_segments_meet_the_whole_parse():
+    """A text of many segments: hardly a phrase more or less than in one piece."""
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(300)]
+    training, text = (" ".join(rng.choice(words, n)) for n in (3000, 2500))
+    found = language_id.Parser({"x": training}).phrases([text])[0][0, 0]
+    whole = greedy_phrases(training, text)
+    assert len(language_id.symbols(text)) > 40 * language_id.SEGMENT
+    assert abs(found - whole) <= 0.005 * whole
+
+
+def test_languages_of_many_letters(spark):
+    """Four made-up languages that share one alphabet of hundreds of letters or have
+    their own; no letter is left out."""
+    rng = np.random.default_rng(6)
+    alphabets = {"h1": 0x4E00, "h2": 0x4E00, "k": 0xAC00, "l": 0x0400}
+    words = {g: ["".join(chr(base + int(c)) for c in rng.integers(0, 200, rng.integers(1, 4)))
+                 for _ in range(400)] for g, base in alphabets.items()}
+    rows = [(i, " ".join(rng.choice(words[g], 60)), g)
+            for i, g in enumerate(list(alphabets) * 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [(r.lang_pred, rows[r.doc_id][2]) for r in language_id.language_id(docs).collect()
+           if r.held_out]
+    assert len(got) > 40 and sum(a == b for a, b in got) >= 0.98 * len(got)
+
+
+def test_training_text_is_no_prefix(spark):
+    """Long texts give windows from anywhere."""
+    rows = [(i, "a" * 5000 + " " + "b" * 5000, "x") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    text = language_id.training_text(docs, "text", "lang", "doc_id")["x"]
+    assert 0.2 < text.count("b") / len(text) < 0.8
 
 
 def test_language_odd_rows(make, odd):
