@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import settle
@@ -160,6 +160,20 @@ def _class_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(dims, pa.int32())], ["id", "label", "unit", "dim"])
 
 
+_SIGN = -(1 << 63)
+
+
+def _ordered(id_col: str) -> Column:
+    """An id as text that sorts like it, null last."""
+    return F.coalesce(F.lpad(F.hex(F.col(id_col).bitwiseXOR(F.lit(_SIGN))), 16, "0"),
+                      F.lit("G" * 16))
+
+
+def _id_of(node: Column) -> Column:
+    return F.when(~node.startswith("G"), F.conv(F.substring(node, 1, 16), 16, -10).cast(
+        "long").bitwiseXOR(F.lit(_SIGN)))
+
+
 def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id",
                     vector_col: str = "embedding", label_col: str = "label",
                     threshold: float = 0.93,
@@ -187,9 +201,11 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id",
     classes = settle(rows.where("class is not null").groupBy("class").agg(
         F.first("label").alias("label"), F.first("dim").alias("dim"),
         F.first("unit").alias("unit"), F.count("*").alias("size"),
-        F.min("id").alias("id")), "vector-classes")
+        F.min("id").alias("id")).withColumn("node", F.concat(_ordered("id"), "class")),
+        "vector-classes")
     centres = _fit(classes, cells)
-    visits = settle(classes.select("label", "dim", "class", "size", "unit").mapInArrow(
+    visits = settle(classes.select("label", "dim", F.col("node").alias("class"), "size",
+                                   "unit").mapInArrow(
         _visits(centres, threshold), "label string, dim int, class string, size bigint, "
         "unit binary, cell int, home boolean"), "cells")
     at = ["label", "dim", "cell"]
@@ -205,14 +221,14 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id",
         "unit", "home")
     found = settle(tiles.groupBy(*at, "b1", "b2").applyInPandas(
         _compare(threshold), "a string, b string, w bigint"), "vector-links")
-    gained = found.groupBy(F.col("a").alias("class")).agg(F.sum("w").alias("w"))
+    gained = found.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("w"))
     groups = components(found.where("b is not null").select("a", "b"))
-    table = (classes.select("class", "size", "id").join(gained, "class", "left")
-             .join(groups.withColumnRenamed("node", "class"), "class", "left")
-             .withColumn("component", F.coalesce("component", "class")))
-    heads = table.groupBy("component").agg(F.min("id").alias("head"))
-    table = table.join(heads, "component").select(
-        "class", "head", (F.col("size") - 1 + F.coalesce("w", F.lit(0))).alias("n"))
+    # A component goes by its smallest node, and that begins with its smallest id:
+    # no class has to meet the others of its component.
+    table = (classes.select("class", "node", "size").join(gained, "node", "left")
+             .join(groups, "node", "left").select(
+        "class", _id_of(F.coalesce("component", "node")).alias("head"),
+        (F.col("size") - 1 + F.coalesce("w", F.lit(0))).alias("n")))
     return rows.select("id", "class", "label").join(table, "class", "left").select(
         F.col("id").alias("vec_id"), F.coalesce("n", F.lit(0)).alias("n_links"),
         F.coalesce("head", "id").alias("component_id"),
