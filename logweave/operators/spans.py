@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..storage import settle
 
@@ -52,8 +52,10 @@ class SpanPlan:
 _DIGIT = 16
 
 
-def large_groups(rows: DataFrame, group: str, limit: int) -> DataFrame | None:
-    """``group, rows`` for groups of more than ``limit`` rows, or None.
+def large_groups(rows: DataFrame, group: str, limit: int,
+                 weight: Column | None = None) -> DataFrame | None:
+    """``group, rows`` for groups of more than ``limit`` rows, or None; with a
+    ``weight``, whole numbers from 1 on, its sum stands for the number of rows.
 
     Rows are counted by a digit of the group's hash, so a task passes on at most
     65,536 counts, however many groups there are. A bucket holds at least the
@@ -64,24 +66,30 @@ def large_groups(rows: DataFrame, group: str, limit: int) -> DataFrame | None:
     def digit(at: int):
         return F.shiftrightunsigned(F.xxhash64(group), _DIGIT * at).bitwiseAND((1 << _DIGIT) - 1)
 
+    heavy = F.count(F.lit(1)) if weight is None else F.sum("weight")
+    rows = rows.select(group, (F.lit(1) if weight is None else weight).alias("weight"))
     names: list[str] = []
     for at in range(2):
-        rows = rows.select(group, *names, digit(at).alias(f"digit{at}"))
+        rows = rows.withColumn(f"digit{at}", digit(at))
         names.append(f"digit{at}")
-        full = settle(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("rows"))
+        full = settle(rows.groupBy(*names).agg(heavy.alias("rows"))
                       .filter(F.col("rows") > limit).select(*names), "full-buckets")
         if full.isEmpty():
             return None
         rows = rows.join(full, names, "left_semi")
-    found = settle(rows.groupBy(group).agg(F.count(F.lit(1)).alias("rows"))
+    found = settle(rows.groupBy(group).agg(heavy.alias("rows"))
                    .filter(F.col("rows") > limit), "large")
     return None if found.isEmpty() else found
 
 
-def plan_spans(rows: DataFrame, group: str = "key",
-               rows_per_span: int | None = None) -> SpanPlan:
+def plan_spans(rows: DataFrame, group: str = "key", rows_per_span: int | None = None,
+               bytes_per_span: int | None = None) -> SpanPlan:
     """Look for large groups and split them.
 
+    With ``bytes_per_span``, which has the values' sizes read, groups of more value
+    bytes are large too, and spans are cut by the running sum of the sizes: none
+    has more rows or bytes than its limits, unless a single value has.
+
     Rows that take more than a scan to make are written to the shared folder
     first and counted there. The count reads the group column only. When no group
     is large, which is the usual case, nothing else happens. Otherwise the rows of
@@ -91,20 +99,28 @@ def plan_spans(rows: DataFrame, group: str = "key",
     limit = rows_per_span or ROWS_PER_SPAN
     if costly(rows):
         rows = settle(rows, "rows")
-    large = large_groups(rows, group, limit)
+    weight = None
+    if bytes_per_span:                # in rows: what of a span's bytes a value takes
+        size = F.coalesce(F.octet_length(F.col("value").cast("string")), F.lit(0))
+        weight = F.ceil((size + 1) * F.lit(limit / bytes_per_span)).cast("bigint")
+        weight = F.greatest(weight, F.lit(1))
+    large = large_groups(rows, group, limit, weight)
     if large is None:
         return SpanPlan(group, rows)
     found = large.agg(F.sum("rows")).first()[0]
 
     large = large.select(group)
     ranges = min(-(-found // limit), _RANGES)
-    place = F.monotonically_increasing_id()
-    split = settle(
-        rows.join(large, group, "left_semi")
-        .repartitionByRange(ranges, group, "ord").sortWithinPartitions(group, "ord")
-        # Partitions follow each other, and so do the rows of each.
-        .withColumn("span", F.shiftright(place, 33) * (1 << 24) + F.floor(
-            place.bitwiseAND((1 << 33) - 1) / limit)), "spans")
+    split = (rows.join(large, group, "left_semi")
+             .repartitionByRange(ranges, group, "ord").sortWithinPartitions(group, "ord")
+             .withColumn("place", F.monotonically_increasing_id()))
+    # Partitions follow each other, and so do the rows of each.
+    part = F.shiftright("place", 33) * (1 << 24)
+    if weight is None:
+        split = settle(split.withColumn("span", part + F.floor(
+            F.col("place").bitwiseAND((1 << 33) - 1) / limit)).drop("place"), "spans")
+    else:
+        split = _cut_by_weight(settle(split.withColumn("weight", weight), "weighed"), part, limit)
     return SpanPlan(
         group,
         rows.join(large, group, "left_anti").withColumn(
@@ -112,6 +128,22 @@ def plan_spans(rows: DataFrame, group: str = "key",
         edges_of(split, group))
 
 
+def _cut_by_weight(rows: DataFrame, part: Column, limit: int) -> DataFrame:
+    """Add ``span`` to sorted rows by the weight of those before them. Weights are
+    summed by blocks of neighbours, small enough that a span, cut where half the limit
+    is full, does not exceed it."""
+    heaviest = rows.agg(F.max("weight")).first()[0]
+    bits = max((limit // 2 // heaviest).bit_length() - 1, 0)
+    block = F.shiftright("place", min(bits, 10))
+    sums = rows.groupBy(block.alias("block"), part.alias("part")).agg(
+        F.sum("weight").alias("here"))
+    before = F.sum("here").over(Window.partitionBy("part").orderBy("block")) - F.col("here")
+    spans = settle(sums.select("block", (F.col("part") + F.floor(
+        before / max(limit // 2, 1))).alias("span")), "blocks")
+    return settle(rows.withColumn("block", block).join(spans, "block").drop(
+        "block", "place", "weight"), "spans")
+
+
 def edges_of(split: DataFrame, group: str) -> DataFrame:
     """Count the rows of each span of the large groups: a table of its own, as
     small as the spans are few."""

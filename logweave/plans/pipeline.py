@@ -75,7 +75,8 @@ class Pipeline:
     def run(self, log: DataFrame, rows_per_span: int | None = None,
             split_large_keys: bool = True,
             use_workers: bool = False,
-            counters: dict[int, Observation] | None = None) -> DataFrame:
+            counters: dict[int, Observation] | None = None,
+            bytes_per_span: int | None = None) -> DataFrame:
         """Apply all stages.
 
         The result is lazy, but key sizes are looked up in jobs of their own,
@@ -85,7 +86,8 @@ class Pipeline:
 
         Neighbouring stateless stages fuse, and windows on one key share a
         shuffle. Before a window, keys are checked for size unless an earlier
-        check still holds or ``split_large_keys`` is off. ``use_workers`` makes
+        check still holds or ``split_large_keys`` is off; ``bytes_per_span`` has their
+        values' sizes count as well. ``use_workers`` makes
         a window stage use its configured number of partitions; by default
         Spark sizes them at run time. ``counters`` is filled with an observation
         for every stage (1-based), whose ``records`` and ``last_ord`` are there
@@ -103,7 +105,8 @@ class Pipeline:
                 elif checked is not None and not checked:
                     spans = checked
                 else:
-                    spans = checked = plan_spans(log, "key", rows_per_span)
+                    spans = checked = plan_spans(
+                        log, "key", rows_per_span, bytes_per_span)
                     log = spans.rows
                 if use_workers and stage.workers and not spans:
                     log = log.repartition(stage.workers, "key")

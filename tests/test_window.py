@@ -276,3 +276,24 @@ def test_cost_is_seen_in_the_plan_not_in_names(spark):
     assert costly(rows.distinct()) and not costly(rows.distinct().cache())
     assert costly(rows.select(F.explode(F.array(F.lit(1)))))
     assert costly(rows.mapInArrow(lambda batches: batches, rows.schema))
+
+
+def test_spans_by_bytes(log_of):
+    """A few rows of 20 kB beside many short ones: no span is above the limit, and
+    the windows are the same."""
+    from logweave.functions import count
+    rows = [("hot", "x" * 20_000 if i % 3 == 0 else f"v{i}", [i]) for i in range(600)]
+    rows += [("cold", "y", [i]) for i in range(100)]
+    log, limit = log_of(rows), 400_000
+    plan = plan_spans(log, "key", 100_000, limit)
+    assert plan and not plan_spans(log, "key", 100_000)
+    split = plan.rows.filter(F.col("span") != WHOLE)
+    sizes = split.groupBy("span").agg(F.sum(F.octet_length("value")).alias("bytes")).collect()
+    assert len(sizes) >= 10 and max(r["bytes"] for r in sizes) <= limit
+    assert split.select("key").distinct().collect()[0]["key"] == "hot"
+    expected = {(k, o): len(w) for (k, o), (w, _, _) in replay(rows, 5, 3).items()}
+    assert {(r["key"], tuple(r["ord"])): r["value"] for r in window_aggregate(
+        plan.rows, 5, 3, count, plan).collect()} == expected
+    piped = Pipeline.of(("windowaggregate", {"size": 5, "slide": 3, "fn": count})).run(
+        log, bytes_per_span=limit)
+    assert {(r["key"], tuple(r["ord"])): int(r["value"]) for r in piped.collect()} == expected
