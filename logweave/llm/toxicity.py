@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
@@ -55,13 +56,31 @@ _NO_LETTER = re.compile(r"(?<!\S)[0-9@$]+(?!\S)")
 _BREAK_TABLE = str.maketrans(_BREAKS)
 
 
+#: A sign within a word that stands for a letter, or parts its letters.
+_INNER_SIGN = re.compile(r"(?<=[^\W\d_])!(?=[^\W\d_])")
+#: Four or more single letters with a blank or a sign between them.
+_SPACED = re.compile(r"(?<!\S)(?:[^\W\d_] ){3,}[^\W\d_](?!\S)")
+#: Letters drawn out, and accents.
+_DRAWN_OUT = re.compile(r"([^\W\d_])\1{2,}")
+_ACCENTS = re.compile("[\u0300-\u036f]")
+
+
 def folded(text: str) -> str:
-    """Lower case without disguises; words are set apart by one blank, and a
-    blank stands at both ends."""
-    low = text.lower().translate(_BREAK_TABLE)
+    """Lower case without disguises: look-alikes, accents and styled letters are
+    plain letters, digits and signs in words the letters they stand for, letters
+    drawn out or set apart are joined. Words are set apart by one blank, and a blank
+    stands at both ends."""
+    low = text.lower()
+    if not low.isascii():
+        low = _ACCENTS.sub("", unicodedata.normalize("NFKD", low)).lower()
+    if "!" in low:
+        low = _INNER_SIGN.sub("i", low)
+    low = low.translate(_BREAK_TABLE)
     if any(d in low for d in "0134578@$"):
         low = _NO_LETTER.sub(" ", low)
-    return f" {' '.join(low.translate(_FOLD).split())} "
+    low = ' '.join(low.translate(_FOLD).split())
+    low = _SPACED.sub(lambda m: m[0].replace(" ", ""), low)
+    return f" {_DRAWN_OUT.sub(lambda m: m[1], low)} "
 
 
 class Lexicon(NamedTuple):

@@ -225,6 +225,18 @@ def test_benchmark_in_slices(spark, documents):
 # --- quality and toxicity
 
 
+def test_quality_of_held_out_documents(spark):
+    """Documents that the model was not fitted on, against the commonest grade."""
+    folder = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(
+        f"{folder}/labels.parquet").collect() if r.quality is not None}
+    held = [(labels[r.doc_id], r.predicted) for r in op6_ordinal_quality(spark, folder).collect()
+            if r.held_out and r.doc_id in labels]
+    share = Counter(g for g, _ in held).most_common(1)[0][1] / len(held)
+    assert len(held) > 500 and share < 0.9
+    assert np.mean([g == p for g, p in held]) > max(0.97, share)
+
+
 def test_op6(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
     got = op6_ordinal_quality(spark, SMALL).collect()
@@ -285,6 +297,88 @@ def test_disguises(spark, make, odd):
     assert toxicity.toxicity(make([]), given).count() == 0
 
 
+@pytest.mark.parametrize("word", [
+    "villain", "VILLAIN", "v1ll4in", "v!llain", "víllain", "v i l l a i n", "v-i-l-l-a-i-n",
+    "viiiillain", "ｖｉｌｌａｉｎ", "𝓿𝓲𝓵𝓵𝓪𝓲𝓷", "villаin", "vil\u00adlain"])
+def test_folding(word):
+    assert toxicity.folded(f"you {word}!") == " you villain "
+
+
+def test_folding_leaves_words_alone():
+    assert toxicity.folded("I am a b c! 2 of 34, naïve Straße coffee") == \
+        " i am a b c of naive straße coffee "
+
+
+def test_measures_against_a_naive_scan():
+    """Longest entry at each place, from left to right, none over another."""
+    weights = {" vil": 2.0, " villain ": 3.0, " villain king ": 0.0, " bad ": 1.5, " ba": 0.5}
+    automaton = toxicity._automaton(weights)
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        text = " ".join(rng.choice(["villain", "king", "bad", "bat", "vile", "fine", "ok"], 12))
+        plain, at, total, most = toxicity.folded(text), 0, 0.0, 0.0
+        while at < len(plain):
+            here = [e for e in weights if plain.startswith(e, at)]
+            if here:
+                entry = max(here, key=len)
+                total, most = total + weights[entry], max(most, weights[entry])
+                # The blank behind an entry may begin the next.
+                at += len(entry) - entry.endswith(" ")
+            else:
+                at += 1
+        words = len(text.split())
+        assert np.allclose(toxicity.measures(text, automaton), (
+            np.log1p(total), total / np.sqrt(words + 25), most))
+
+
+def test_toxic_documents_are_found(spark):
+    """Held-out rows of a larger table: both kinds."""
+    folder = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    held = [(labels[r.doc_id], r.predicted) for r in op10_toxicity(spark, folder).collect()
+            if r.held_out and labels.get(r.doc_id) is not None]
+    toxic, clean = ([p for label, p in held if label == k] for k in (1, 0))
+    assert len(toxic) > 50 and np.mean(toxic) > 0.85 and np.mean(clean) < 0.01
+
+
+def test_ordinal_fit_is_the_least_loss():
+    """Shares and scores against a count by hand, the fit's gradient against finite
+    differences of the likelihood."""
+    rng = np.random.default_rng(1)
+    texts = [" ".join(rng.choice(["good", "plain", "bad"], 30, p=[(0.1, 0.4, 0.7)[g], 0.2,
+                                                                  (0.7, 0.4, 0.1)[g]]))
+             for g in [0, 1, 2] * 60]
+    grade = np.array([0, 1, 2] * 60)
+    row, bucket, value = quality.features(texts)
+    counts = Counter((int(r), int(b)) for rs, bs in quality.occurrences(texts)
+                     for r, b in zip(rs, bs, strict=True))
+    totals = Counter()
+    for (r, _), n in counts.items():
+        totals[r] += n
+    assert {(int(r), int(b)): v for r, b, v in zip(row, bucket, value, strict=True)} == {
+        (r, b): pytest.approx(quality.SCALE * n / totals[r]) for (r, b), n in counts.items()}
+    w, theta = quality.fit_ordinal(row, bucket, value, grade, 3)
+    assert np.allclose(quality.linear_scores(texts, w), np.bincount(
+        row, w[bucket] * value, len(texts)))
+    low = (grade[:, None] <= np.arange(2)).astype(float)
+
+    def loss(w, theta):
+        z = theta[None, :] - np.bincount(row, w[bucket] * value, len(texts))[:, None]
+        return (np.logaddexp(0, z) - low * z).sum(axis=1).mean() + quality.RIDGE * (w @ w) / 2
+
+    start = loss(np.zeros_like(w), np.zeros(2))
+    assert theta[0] < theta[1] and loss(w, theta) < 0.5 * start
+    used = np.unique(bucket)
+    for direction in rng.standard_normal((20, len(used))):
+        move = np.zeros_like(w)
+        move[used] = direction / np.linalg.norm(direction)
+        slope = (loss(w + 1e-4 * move, theta) - loss(w - 1e-4 * move, theta)) / 2e-4
+        assert abs(slope) < 0.02
+    for k in range(2):
+        move = np.eye(2)[k] * 1e-4
+        assert abs(loss(w, theta + move) - loss(w, theta - move)) / 2e-4 < 0.02
+
+
 def test_learned_lexicon(spark, make):
     rng = np.random.default_rng(5)
     rows, labels = [], []
