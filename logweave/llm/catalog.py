@@ -183,6 +183,87 @@ SELECT doc_id, size, words::BIGINT AS source_size, target, copies * size AS take
        max(CASE WHEN b = 0.5 THEN copies * size END) OVER mine AS taken_half
 FROM chosen WINDOW mine AS (PARTITION BY doc_id) QUALIFY b = 1.0"""
 
+_REPAIR = r"""
+WITH RECURSIVE hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+           lambda ch: ord(ch)::BIGINT)),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+             lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT)
+                               ELSE x // 2 END)), 4294967295::BIGINT) % 20 AS hit
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+         CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                  ELSE text END AS text,
+         unnest(range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                               md5(len(role) || ':' || role || ':' || text)) AS n,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS final
+  FROM damaged),
+lines AS (
+  SELECT *, substr(role, 1, 1) AS i,
+         CASE WHEN final = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1
+              THEN 'duplicate'
+              WHEN final NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'sound' END AS fault
+  FROM placed),
+-- Inserts before a row: the state they lead to, and what they write.
+inserts(s, j, to_s, cost, a, o) AS (VALUES
+  (0, 0, 0, 0, '', ''), (1, 0, 1, 0, '', ''), (2, 0, 2, 0, '', ''), (3, 0, 3, 0, '', ''),
+  (0, 1, 2, 5, 'I', chr(10) || 'user:'), (1, 1, 2, 5, 'I', chr(10) || 'user:'),
+  (2, 1, 3, 5, 'I', chr(10) || 'assistant:'), (3, 1, 2, 5, 'I', chr(10) || 'user:'),
+  (0, 2, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (1, 2, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (2, 2, 2, 10, 'II', chr(10) || 'assistant:' || chr(10) || 'user:'),
+  (3, 2, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+-- Edits of a row: K needs the initial.
+edits(s, a, i, to_s, cost, role) AS (VALUES
+  (0, 'D', '', 0, 2, ''), (1, 'D', '', 1, 2, ''), (2, 'D', '', 2, 2, ''), (3, 'D', '', 3, 2, ''),
+  (0, 'R', '', 2, 1, 'user'), (1, 'R', '', 2, 1, 'user'), (2, 'R', '', 3, 1, 'assistant'),
+  (3, 'R', '', 2, 1, 'user'), (0, 'K', 's', 1, 0, ''), (0, 'K', 'u', 2, 0, ''),
+  (1, 'K', 'u', 2, 0, ''), (3, 'K', 'u', 2, 0, ''), (2, 'K', 'a', 3, 0, '')),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS n, 0 AS s, {'c': 0::BIGINT, 'a': '', 'o': ''} AS best
+  FROM (SELECT DISTINCT conv_id FROM lines) AS ids
+  UNION ALL
+  SELECT w.conv_id, w.n + 1, e.to_s, min({
+    'c': w.best.c + p.cost + e.cost + CASE WHEN e.a <> 'D' AND l.fault = 'truncated'
+                                           THEN 5 ELSE 0 END,
+    'a': w.best.a || p.a || e.a,
+    'o': w.best.o || p.o || CASE e.a WHEN 'D' THEN ''
+      WHEN 'K' THEN chr(10) || l.role || ':' || l.text
+      ELSE chr(10) || e.role || ':' || l.text END})
+  FROM ways AS w JOIN lines AS l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.n = w.n + 1
+  JOIN inserts AS p ON p.s = w.s JOIN edits AS e ON e.s = p.to_s
+  WHERE (e.a <> 'K' OR e.i = l.i) AND (e.a = 'D' OR l.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY w.conv_id, w.n, e.to_s),
+ends AS (
+  SELECT w.conv_id, min({'c': w.best.c + p.cost, 'a': w.best.a || p.a, 'o': w.best.o || p.o})
+           AS best
+  FROM ways AS w JOIN inserts AS p ON p.s = w.s AND p.to_s IN (0, 3)
+  WHERE w.n = (SELECT count(*) FROM lines AS l WHERE l.conv_id IS NOT DISTINCT FROM w.conv_id)
+  GROUP BY w.conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(i) OVER (PARTITION BY conv_id ORDER BY n) || i AS pair FROM lines) AS l
+  GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(e.best.c, 0) AS cost,
+       coalesce(e.best.a, '') AS audit, sha256(substr(coalesce(e.best.o, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+LEFT JOIN counts AS k ON k.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends AS e ON e.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 ORACLE: dict[str, str] = {"op1_ngram_jaccard_join": _NGRAM_JOIN,
                           "op7_embedding_dedup": _VECTOR_LINKS,
-                          "op12_mixing": _MIXING}
+                          "op12_mixing": _MIXING,
+                          "op13_conversation_repair": _REPAIR}
