@@ -37,12 +37,14 @@ class SpanPlan:
 
     ``rows`` then has a column ``span``, and ``edges`` one row per span: the
     group, ``span``, the rows of the group ``before`` it and ``upto`` its end,
-    and the ``first`` and ``last`` span of the group.
+    and the ``first`` and ``last`` span of the group. ``workers`` bounds the tasks
+    that work on the spans.
     """
 
     group: str
     rows: DataFrame
     edges: DataFrame | None = None
+    workers: int | None = None
 
     def __bool__(self) -> bool:
         return self.edges is not None
@@ -242,6 +244,8 @@ def numbered(rows: DataFrame, group: str, plan: SpanPlan | None = None,
         rows = rows.withColumn("n0", F.lit(None).cast("bigint"))
     if plan:
         rows = rows.unionByName(_context(rows, plan, order, reach, carried))
+        if plan.workers:
+            rows = rows.repartition(plan.workers, group, "span")
         spec = Window.partitionBy(group, "span").orderBy(*order)
     else:
         spec = Window.partitionBy(group).orderBy(*order)

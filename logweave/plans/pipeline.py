@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, replace
 from typing import Iterable
 
 from pyspark.sql import DataFrame, Observation
@@ -27,16 +28,36 @@ def _positive(name: str, text: str | None) -> int:
 
 
 def parse_properties(text: str) -> dict[str, str]:
-    """``name=value`` lines; ``#`` and ``!`` start a comment line."""
-    found = {}
+    """Names and values of a properties file: parted by ``=``, ``:`` or blanks; ``#``
+    and ``!`` start a comment line, a backslash at its end continues a line, and
+    elsewhere stands before a letter that is meant as it is, or n, t, r, f, uXXXX."""
+    lines, open_line = [], ""
     for line in text.splitlines():
-        line = line.strip()
-        if line and line[0] not in "#!":
-            name, _, value = line.partition("=")
-            found[name.strip()] = value.strip()
+        line = open_line + line.lstrip(" \t\f")
+        if not open_line and line[:1] in ("#", "!"):
+            continue
+        ending = len(line) - len(line.rstrip("\\"))
+        open_line = line[:-1] if ending % 2 else ""
+        if not ending % 2:
+            lines.append(line)
+    lines.append(open_line)
+    found = {}
+    for line in lines:
+        parted = _PROPERTY.match(line)
+        if parted and parted[0]:
+            found[_unescaped(parted[1])] = _unescaped(line[parted.end():].rstrip(" \t\f"))
     return found
 
 
+_PROPERTY = re.compile(r"((?:\\.|[^\\=: \t\f])*)[ \t\f]*[=:]?[ \t\f]*")
+_ESCAPE = re.compile(r"\\(?:u([0-9a-fA-F]{4})|(.))")
+
+
+def _unescaped(text: str) -> str:
+    special = {"n": "\n", "t": "\t", "r": "\r", "f": "\f"}
+    return _ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else special.get(m[2], m[2]), text)
+
+
 @dataclass(frozen=True)
 class Pipeline:
     stages: tuple[Stage | WindowStage, ...]
@@ -88,8 +109,9 @@ class Pipeline:
         shuffle. Before a window, keys are checked for size unless an earlier
         check still holds or ``split_large_keys`` is off; ``bytes_per_span`` has their
         values' sizes count as well. ``use_workers`` makes
-        a window stage use its configured number of partitions; by default
-        Spark sizes them at run time. ``counters`` is filled with an observation
+        a window stage use its configured number of partitions, also for split keys,
+        and a stateless one no more than that; by default Spark sizes them at run
+        time. ``counters`` is filled with an observation
         for every stage (1-based), whose ``records`` and ``last_ord`` are there
         when a job over the stage has ended.
         """
@@ -108,12 +130,18 @@ class Pipeline:
                     spans = checked = plan_spans(
                         log, "key", rows_per_span, bytes_per_span)
                     log = spans.rows
-                if use_workers and stage.workers and not spans:
-                    log = log.repartition(stage.workers, "key")
-                log = stage.apply(log, spans)
+                used = spans
+                if use_workers and stage.workers:
+                    if spans:
+                        used = replace(spans, workers=stage.workers)
+                    else:
+                        log = log.repartition(stage.workers, "key")
+                log = stage.apply(log, used)
                 if stage.rekeys:
                     checked = None
             else:
+                if use_workers and stage.workers:
+                    log = log.coalesce(stage.workers)
                 log = stage.apply(log)
                 if not stage.shrinking:
                     checked = None

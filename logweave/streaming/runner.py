@@ -262,8 +262,9 @@ def _windows(batch: DataFrame, stage: WindowStage, rows_per_span: int | None,
              use_workers: bool) -> DataFrame:
     """The window stage over a micro-batch and the context rows within it."""
     spans = plan_spans(batch.filter("n = 0").drop("n"), "key", rows_per_span)
-    if use_workers and stage.workers and not spans:
-        spans = replace(spans, rows=spans.rows.repartition(stage.workers, "key"))
+    if use_workers and stage.workers:
+        spans = replace(spans, workers=stage.workers) if spans else replace(
+            spans, rows=spans.rows.repartition(stage.workers, "key"))
     return stage.emit(fresh_frames(spans.rows, stage.size, stage.slide, spans,
                                    batch.filter("n > 0"), stage.fn))
 

@@ -147,3 +147,37 @@ def test_sliding_sum_builds_no_array(log_of):
     from logweave.operators import window_aggregate
     assert "collect_list" not in plan_of(window_aggregate(
         log_of(golden.INPUT), 3, 1, total))
+
+
+def test_workers_of_split_keys_and_stateless_stages(log_of):
+    """Configured counts bound the tasks, whether keys are split or not."""
+    rows = [("hot" if i % 3 else f"k{i % 7}", f"v{i}", i) for i in range(120)]
+    pipe = Pipeline.of(("windowaggregate", {"size": 4, "slide": 3, "workers": 3}),
+                       ("map", {"workers": 2}))
+    plain = Pipeline.of(("windowaggregate", {"size": 4, "slide": 3}), "map")
+    expected = sorted(map(tuple, plain.run(log_of(rows)).select(
+        "key", "value", F.get("ord", F.lit(0))).collect()))
+    for limit in (None, 20):
+        out = pipe.run(log_of(rows), rows_per_span=limit, use_workers=True)
+        assert "Coalesce 2" in out._jdf.queryExecution().executedPlan().toString()
+        assert ", 3), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, out.select("key", "value", F.get("ord", F.lit(0)))
+                          .collect())) == expected
+
+
+def test_properties_syntax():
+    from logweave.plans.pipeline import parse_properties
+    text = """
+        # a comment
+      ! another
+    pipeline.length = 2
+    function.at.1:filter
+    function.at.2 window\\
+        aggregate
+    path=a\\=b\\ c\\u0041\\\\
+    a\\:b : c=d
+    empty
+    """
+    assert parse_properties(text) == {
+        "pipeline.length": "2", "function.at.1": "filter", "function.at.2": "windowaggregate",
+        "path": "a=b cA\\", "a:b": "c=d", "empty": ""}
