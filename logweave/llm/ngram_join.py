@@ -5,10 +5,11 @@ class has a signature of ``trees`` labels, each of up to ``DEEPEST`` MinHash
 values. A tree is the trie of its labels: classes that share the first ``depth``
 values of a label lie under one node. Links are looked for below the nodes of
 all trees and verified on the exact sets. The search begins at the deepest
-prefix that reaches the target recall for links at the very threshold; after
+prefix that reaches the target recall for links at the very threshold. After
 verification the recall is estimated from the links found (each counts as the
-inverse of its chance to be found) and the prefix is shortened until the
-estimate reaches the target too.
+inverse of its chance to be found), and the prefix is shortened if the estimate
+falls short of the target. As links above the threshold have better chances, it
+never did: in effect the depth is fixed by threshold, trees and target.
 
 Nodes with few classes give pairs. Classes below larger nodes are dealt into
 blocks of about ``BLOCK``; two blocks that meet below any node make a tile,

@@ -133,7 +133,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     lowest of equal ones). A null or empty text has no features and gets the
     thresholds' base rates. Documents graded more than once with different
     grades, or held out, are not learned from. With fewer than two grades all
-    scores are null. Repeated rows are scored alike; other columns are ignored.
+    scores are null. Repeated rows are scored alike; other columns are ignored; an
+    empty table gives no rows.
     """
     sample = labelled_sample(docs, labels, id_col, text_col, grade_col, SAMPLE)
     # A row for each grade.

@@ -257,7 +257,8 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id",
     """``doc_id, held_out, score, predicted`` for every row, by its whole text.
 
     A null or empty text, or one without a match, has the score of no match.
-    Repeated rows are scored alike; other columns are ignored.
+    Repeated rows are scored alike; other columns are ignored; an empty table gives
+    no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
@@ -278,7 +279,8 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id",
 
 def drop_toxic(docs: DataFrame, lexicon: Lexicon, text_col: str = "text",
                limit: float = 0.5) -> DataFrame:
-    """The rows, with all their columns, that score below ``limit``."""
+    """The rows, with all their columns, that score below ``limit``: see
+    :func:`toxicity`. Null and empty texts stay, and an empty table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def mild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

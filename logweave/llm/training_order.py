@@ -66,15 +66,16 @@ def read_ranks(path: str) -> dict[bytes, int]:
                                                          line.strip())}
 
 
-_ENCODINGS: dict[int, tiktoken.Encoding] = {}
+_HELD: list = []
 
 
 def _encoding(ranks: dict[bytes, int]) -> tiktoken.Encoding:
-    if id(ranks) not in _ENCODINGS:
-        _ENCODINGS.clear()
-        _ENCODINGS[id(ranks)] = tiktoken.Encoding(
-            "vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _ENCODINGS[id(ranks)]
+    """The vocabulary's encoder. It is kept with the very ranks it was made from: as
+    long as they are held, no other vocabulary can be taken for them."""
+    if not _HELD or _HELD[0] is not ranks:
+        _HELD[:] = [ranks, tiktoken.Encoding(
+            "vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})]
+    return _HELD[1]
 
 
 def _packed(shared, length: int, domain: int, shards: int, key: int):
