@@ -1,5 +1,9 @@
 """A training corpus from raw documents: STAGES are applied in turn, each to
-all that the one before it kept, written as Parquet between them."""
+all that the one before it kept, written as Parquet between them.
+
+Documents have ``doc_id`` and ``text``; further columns, whatever they are called,
+go along unchanged up to the last stage. Null and empty texts and null ids pass
+through every stage; an empty table gives an empty one."""
 
 from __future__ import annotations
 
@@ -19,27 +23,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the learned lexicon rejects go."""
+    """Documents that the learned lexicon rejects go. A null or empty text is not
+    rejected; repeated rows fare alike."""
     return drop_toxic(docs, learn_lexicon(docs, _table(spark, sf_dir, "labels")))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays, that of the smallest id; rows
+    that repeat id and text leave as one. Texts without a word are no copies."""
     return keep_representatives(docs)
 
 
 def substring_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose passages that an earlier document has."""
+    """Texts lose passages that an earlier document has, and may be empty then; rows
+    that repeat id and text lose the same. A column ``removed_spans`` is dropped."""
     return substring_dedup(docs).drop("removed_spans")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with an item of the benchmark go."""
+    """Documents with an item of the benchmark go; null and empty texts have none."""
     return decontaminate(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every text, and the text that they decode to."""
+    """Piece ids of every text, and the text that they decode to, in chunks; of a
+    null text, null."""
     return decode(encode(docs, PIECES), PIECES)
 
 
