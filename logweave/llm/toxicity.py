@@ -136,17 +136,27 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _calibrated(rows: np.ndarray, label: np.ndarray) -> tuple[float, ...]:
-    """Logistic regression by Newton steps with a small ridge."""
+    """Logistic regression by Newton steps with a small ridge. A step that doesn't
+    lessen the loss is halved: where the labels are all but separable, whole steps
+    overshoot and may end with the weights' signs turned."""
     x = np.hstack((np.ones((len(rows), 1)), rows))
     w = np.zeros(x.shape[1])
     ridge = np.diag([1e-6] + [0.05] * rows.shape[1])
-    for _ in range(50):
+
+    def loss(w):
+        z = x @ w
+        return (np.logaddexp(0, z) - label * z).sum() + w @ ridge @ w / 2
+
+    here = loss(w)
+    for _ in range(200):
         p = 0.5 * (1 + np.tanh(x @ w / 2))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge,
                                x.T @ (p - label) + ridge @ w)
-        w = w - np.clip(step, -4, 4)
-        if np.abs(step).max() < 1e-8:
+        while (there := loss(w - step)) > here and np.abs(step).max() >= 1e-8:
+            step = step / 2
+        if there > here or np.abs(step).max() < 1e-8:
             break
+        w, here = w - step, there
     return tuple(float(v) for v in w)
 
 

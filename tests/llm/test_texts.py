@@ -340,6 +340,25 @@ def test_toxic_documents_are_found(spark):
     assert len(toxic) > 50 and np.mean(toxic) > 0.85 and np.mean(clean) < 0.01
 
 
+@pytest.mark.parametrize("seed, n", [(0, 4000), (3, 1000), (5, 1000), (7, 16000)])
+def test_calibration_of_nearly_separable_labels(seed, n):
+    """The largest weight sets toxic documents apart but for a gap: whole Newton steps
+    overshoot there. The fit has no slope left, and ranks label 1 above label 0."""
+    rng = np.random.default_rng(seed)
+    toxic = np.arange(n) % 10 == 0
+    hits = np.where(toxic, rng.geometric(0.3, n), (rng.random(n) < 0.3) * rng.geometric(0.5, n))
+    weight = np.where(toxic, rng.uniform(5.7, 8.8, n), rng.uniform(1.5, 5.2, n))
+    words = np.where(rng.random(n) < 0.05, rng.integers(1, 10, n), rng.integers(50, 300, n))
+    total = np.where(toxic & (rng.random(n) < 0.05), hits * 20, hits) * weight
+    rows = np.column_stack((np.log1p(total), total / np.sqrt(words + 25.0),
+                            np.where(hits > 0, weight, 0.0)))
+    bias, *w = toxicity._calibrated(rows, toxic.astype(float))
+    z = bias + rows @ np.array(w)
+    assert z[toxic].min() > z[~toxic].max()
+    slope = np.column_stack((np.ones(n), rows)).T @ (1 / (1 + np.exp(-z)) - toxic)
+    assert np.abs(slope + np.array([1e-6, .05, .05, .05]) * [bias, *w]).max() < 1e-3
+
+
 def test_ordinal_fit_is_the_least_loss():
     """Shares and scores against a count by hand, the fit's gradient against finite
     differences of the likelihood."""
