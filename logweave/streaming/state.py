@@ -1,15 +1,18 @@
 """What a window keeps between micro-batches, in Spark's own keyed state.
 
-A key's state is its number of records and the last ``size`` of them. Spark
-versions it with the micro-batches, writes only the keys that a micro-batch
-touched, and rolls it back with a batch that failed. The stateful step hands
-each micro-batch's records on as they come, in bounded memory, and puts the kept
-records before them; windows are computed from both by the batch operators.
+A key's state is its number of records and the last ``size`` of them; keys are
+kept together in buckets by their hash, as a call of the stateful step costs some
+milliseconds however few records it is for. Spark versions the state with the
+micro-batches, writes only the buckets that a micro-batch touched, and rolls it
+back with a batch that failed. The stateful step hands each micro-batch's records
+on as they come and puts the kept records before them; it holds the kept records
+of a bucket. Windows are computed from both by the batch operators.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -21,7 +24,11 @@ from ..operators.window import snapshot_of, unique_positions, window_length
 from ..plans.pipeline import Pipeline
 from ..plans.stages import WindowStage
 
-_STATE = "n bigint, ords array<array<bigint>>, values array<string>"
+#: Buckets of keys. A checkpoint keeps the number that it began with.
+BUCKETS = 4096
+
+_STATE = ("keys array<string>, counts array<bigint>, ords array<array<array<bigint>>>, "
+          "values array<array<string>>")
 _WITH_CONTEXT = "key string, value string, ord array<bigint>, n bigint"
 
 #: State in RocksDB, whose commits write what changed.
@@ -50,22 +57,32 @@ def state_settings(spark: SparkSession):
 
 
 def _step(size: int):
-    def step(key: tuple, records: Iterator[pd.DataFrame], state: GroupState
+    def step(bucket: tuple, records: Iterator[pd.DataFrame], state: GroupState
              ) -> Iterator[pd.DataFrame]:
-        n, ords, values = state.get if state.exists else (0, [], [])
-        kept = [(tuple(o), v) for o, v in zip(ords, values, strict=True)]
-        # The kept records lead the first of the key's frames.
-        ords, values = [list(o) for o in ords], list(values)
-        numbers = list(range(n - len(kept) + 1, n + 1))
+        kept: dict[str, tuple[int, list]] = {}
+        if state.exists:
+            for key, n, ords, values in zip(*state.get, strict=True):
+                kept[key] = n, list(zip(map(tuple, ords), values, strict=True))
+        met: set[str] = set()
         for some in records:
-            more, texts = some["ord"].tolist(), some["value"].tolist()
-            n += len(more)
-            latest = heapq.nlargest(size, zip(map(tuple, more), texts, strict=True), key=_place)
-            kept = heapq.nlargest(size, kept + latest, key=_place)[::-1]
-            yield pd.DataFrame({"key": key[0], "value": values + texts, "ord": ords + more,
-                                "n": numbers + [0] * len(more)})
-            ords, values, numbers = [], [], []
-        state.update((n, [[int(x) for x in o] for o, _ in kept], [v for _, v in kept]))
+            keys, ords, values = (some[c].tolist() for c in ("key", "ord", "value"))
+            here = defaultdict(list)
+            for key, ord_, value in zip(keys, ords, values, strict=True):
+                here[key].append((tuple(ord_), value))
+            numbers = [0] * len(keys)
+            for key, new in here.items():
+                n, last = kept.get(key, (0, []))
+                if key not in met:        # its kept records lead, with their numbers
+                    met.add(key)
+                    keys += [key] * len(last)
+                    ords += [list(o) for o, _ in last]
+                    values += [v for _, v in last]
+                    numbers += range(n - len(last) + 1, n + 1)
+                kept[key] = n + len(new), heapq.nlargest(size, last + new, key=_place)[::-1]
+            yield pd.DataFrame({"key": keys, "value": values, "ord": ords, "n": numbers})
+        state.update((list(kept), [n for n, _ in kept.values()],
+                      [[[int(x) for x in o] for o, _ in last] for _, last in kept.values()],
+                      [[v for _, v in last] for _, last in kept.values()]))
     return step
 
 
@@ -76,7 +93,8 @@ def _place(record: tuple) -> tuple:
 def with_context(log: DataFrame, size: int) -> DataFrame:
     """A streaming keyed log, and for the keys of each micro-batch the last
     ``size`` records before it. Those have their number ``n``, the others 0."""
-    return log.select("key", "value", "ord").groupBy("key").applyInPandasWithState(
+    bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).alias("bucket")
+    return log.select("key", "value", "ord", bucket).groupBy("bucket").applyInPandasWithState(
         _step(size), _WITH_CONTEXT, _STATE, "append", GroupStateTimeout.NoTimeout)
 
 
@@ -85,9 +103,11 @@ def window_state(spark: SparkSession, checkpoint: str, stage: int) -> DataFrame:
     last finished micro-batch, by Spark's state reader."""
     found = spark.read.format("statestore").load(f"{checkpoint}/stage={stage}")
     kept = F.col("value.groupState")
-    return found.select(
-        F.col("key.key").alias("key"), kept["n"].alias("n"),
-        F.arrays_zip(kept["ords"].alias("ord"), kept["values"].alias("value")).alias("last"))
+    keys = found.select(F.explode(F.arrays_zip(
+        kept["keys"].alias("key"), kept["counts"].alias("n"), kept["ords"].alias("ords"),
+        kept["values"].alias("values"))).alias("kept")).select("kept.*")
+    return keys.select("key", "n", F.arrays_zip(
+        F.col("ords").alias("ord"), F.col("values").alias("value")).alias("last"))
 
 
 def state_snapshot(spark: SparkSession, pipeline: Pipeline, checkpoint: str,

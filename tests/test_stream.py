@@ -104,6 +104,27 @@ def test_split_keys_and_state(spark, log_of, tmp_path):
         state_snapshot(spark, Pipeline.of("map"), feed.checkpoint, 1)
 
 
+def test_keys_share_a_bucket_of_state(spark, log_of, tmp_path, monkeypatch):
+    """Many keys take few calls of the stateful step; some keys come in every
+    micro-batch, some in one."""
+    monkeypatch.setattr("logweave.streaming.state.BUCKETS", 4)
+    rows = [(f"k{i % 40 if i % 3 else i}", f"v{i}", i) for i in range(300)]
+    pipe = Pipeline.of(("windowaggregate", {"size": 4, "slide": 3}))
+    feed = Feed(spark, log_of, tmp_path, pipe)
+    for at in range(0, 300, 100):
+        feed.add(rows[at:at + 100])
+    feed.run()
+    assert feed.rows() == batch_rows(pipe.run(log_of(rows)))
+    kept = {r["key"]: (r["n"], [(list(x["ord"]), x["value"]) for x in r["last"]])
+            for r in window_state(spark, feed.checkpoint, 1).collect()}
+    for key in {k for k, _, _ in rows}:
+        own = [([o], v) for k, v, o in rows if k == key]
+        assert kept.pop(key) == (len(own), own[-4:])
+    assert not kept
+    stored = spark.read.format("statestore").load(f"{feed.checkpoint}/stage=1").count()
+    assert stored == 4
+
+
 def test_state_of_a_failed_batch_is_rolled_back(spark, log_of, tmp_path):
     """A failure before any output: the repeated batch finds the state of the
     batch before it."""
