@@ -6,12 +6,13 @@ import re
 from dataclasses import dataclass, replace
 from typing import Iterable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..operators.spans import SpanPlan, plan_spans
 from ..schema import require_log
 from ..sources.log import read_log, write_log
 from ..sources.sink import observe_stage
+from ..storage import scratch_path
 from .stages import Stage, WindowStage, make_stage
 
 
@@ -58,6 +59,31 @@ def _unescaped(text: str) -> str:
     return _ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else special.get(m[2], m[2]), text)
 
 
+#: Rows that a task of a window with configured workers sorts at a time, about.
+ROWS_PER_WORKER = 4_000_000
+
+
+def _by_workers(log: DataFrame, stage: WindowStage, spans: SpanPlan | None,
+                rows_per_worker: int) -> DataFrame:
+    """The window stage in as many tasks as it has workers, which take a share of the
+    keys at a time: however many rows there are, a task sorts a bounded number. No
+    stage since the check of the keys has added rows."""
+    rounds = 1 if spans is None else -(-spans.rows.count() // (stage.workers * rows_per_worker))
+    if rounds <= 1:
+        return stage.apply(log.repartition(stage.workers, "key"), spans)
+    path = scratch_path(log.sparkSession, "rounds")
+    # Not the hash that deals the keys to the workers, so that these have equal shares.
+    at = F.pmod(F.xxhash64(F.lit("round"), "key"), F.lit(rounds)).cast("int")
+    log.withColumn("round", at).write.partitionBy("round").parquet(f"{path}/in")
+    shares = log.sparkSession.read.schema(log.select(
+        "*", F.lit(0).alias("round")).schema).parquet(f"{path}/in")
+    for k in range(rounds):
+        share = shares.filter(F.col("round") == k).drop("round")
+        stage.apply(share.repartition(stage.workers, "key"), spans).write.parquet(
+            f"{path}/out/round={k}")
+    return log.sparkSession.read.parquet(f"{path}/out").drop("round")
+
+
 @dataclass(frozen=True)
 class Pipeline:
     stages: tuple[Stage | WindowStage, ...]
@@ -97,7 +123,8 @@ class Pipeline:
             split_large_keys: bool = True,
             use_workers: bool = False,
             counters: dict[int, Observation] | None = None,
-            bytes_per_span: int | None = None) -> DataFrame:
+            bytes_per_span: int | None = None,
+            rows_per_worker: int = ROWS_PER_WORKER) -> DataFrame:
         """Apply all stages.
 
         The result is lazy, but key sizes are looked up in jobs of their own,
@@ -111,7 +138,9 @@ class Pipeline:
         values' sizes count as well. ``use_workers`` makes
         a window stage use its configured number of partitions, also for split keys,
         and a stateless one no more than that; by default Spark sizes them at run
-        time. ``counters`` is filled with an observation
+        time. Where these would have more than about ``rows_per_worker`` rows each, the
+        keys are taken in rounds, one after the other, whose results are stored;
+        with ``split_large_keys=False``, as no job runs, all keys are taken at once. ``counters`` is filled with an observation
         for every stage (1-based), whose ``records`` and ``last_ord`` are there
         when a job over the stage has ended.
         """
@@ -130,13 +159,12 @@ class Pipeline:
                     spans = checked = plan_spans(
                         log, "key", rows_per_span, bytes_per_span)
                     log = spans.rows
-                used = spans
-                if use_workers and stage.workers:
-                    if spans:
-                        used = replace(spans, workers=stage.workers)
-                    else:
-                        log = log.repartition(stage.workers, "key")
-                log = stage.apply(log, used)
+                if not (use_workers and stage.workers):
+                    log = stage.apply(log, spans)
+                elif spans:
+                    log = stage.apply(log, replace(spans, workers=stage.workers))
+                else:
+                    log = _by_workers(log, stage, spans, rows_per_worker)
                 if stage.rekeys:
                     checked = None
             else:

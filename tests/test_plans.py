@@ -165,6 +165,23 @@ def test_workers_of_split_keys_and_stateless_stages(log_of):
                           .collect())) == expected
 
 
+def test_workers_take_a_bounded_number_of_rows(log_of):
+    """More rows than the workers sort at a time: keys in rounds, each in as many tasks
+    as there are workers, with the rows and types of one round."""
+    rows = [(f"k{i % 37}", f"v{i}", i) for i in range(500)]
+    pipe = Pipeline.of(("windowaggregate", {"size": 4, "slide": 3, "workers": 2}), "map")
+    once = pipe.run(log_of(rows), use_workers=True)
+    many = pipe.run(log_of(rows), use_workers=True, rows_per_worker=50)
+    assert "REPARTITION_BY_NUM" in once._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
+    shown = lambda df: sorted(map(tuple, df.select(
+        "key", "value", F.get("ord", F.lit(0))).collect()))
+    assert shown(many) == shown(once) and many.dtypes == once.dtypes
+    assert pipe.run(log_of(rows[:0]), use_workers=True, rows_per_worker=50).count() == 0
+    rounds = {p.rpartition("/round=")[2].split("/")[0] for p in many.inputFiles()}
+    assert rounds == {"0", "1", "2", "3", "4"}
+
+
 def test_properties_syntax():
     from logweave.plans.pipeline import parse_properties
     text = """
