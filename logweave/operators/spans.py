@@ -27,6 +27,9 @@ ROWS_PER_SPAN = 1_000_000
 #: is cut into as many spans as its rows need.
 _RANGES = 10_000
 
+#: Bins of positions that the rows of one span would fill if they were evenly spread.
+_BINS = 64
+
 #: The span of a group that is not split.
 WHOLE = -1
 
@@ -94,9 +97,10 @@ def plan_spans(rows: DataFrame, group: str = "key", rows_per_span: int | None =
 
     Rows that take more than a scan to make are written to the shared folder
     first and counted there. The count reads the group column only. When no group
-    is large, which is the usual case, nothing else happens. Otherwise the rows of
-    the large groups are written in ranges; those of all other groups stay where
-    they are.
+    is large, which is the usual case, nothing else happens. Otherwise the large
+    groups are cut by the first number of the position, and all rows stay where they
+    are. Where that number does not part them, or bytes count, the rows of the large
+    groups are written in ranges.
     """
     limit = rows_per_span or ROWS_PER_SPAN
     if costly(rows):
@@ -112,8 +116,13 @@ def plan_spans(rows: DataFrame, group: str = "key", rows_per_span: int | None =
     found = large.agg(F.sum("rows")).first()[0]
 
     large = large.select(group)
+    of_large = rows.join(large, group, "left_semi")
+    if weight is None:
+        split = _cut_by_position(of_large, group, limit)
+        if split is not None:
+            return _planned(rows, group, large, split)
     ranges = min(-(-found // limit), _RANGES)
-    split = (rows.join(large, group, "left_semi")
+    split = (of_large
              .repartitionByRange(ranges, group, "ord").sortWithinPartitions(group, "ord")
              .withColumn("place", F.monotonically_increasing_id()))
     # Partitions follow each other, and so do the rows of each.
@@ -123,6 +132,10 @@ def plan_spans(rows: DataFrame, group: str = "key", rows_per_span: int | None =
             F.col("place").bitwiseAND((1 << 33) - 1) / limit)).drop("place"), "spans")
     else:
         split = _cut_by_weight(settle(split.withColumn("weight", weight), "weighed"), part, limit)
+    return _planned(rows, group, large, split)
+
+
+def _planned(rows: DataFrame, group: str, large: DataFrame, split: DataFrame) -> SpanPlan:
     return SpanPlan(
         group,
         rows.join(large, group, "left_anti").withColumn(
@@ -130,6 +143,31 @@ def plan_spans(rows: DataFrame, group: str = "key", rows_per_span: int | None =
         edges_of(split, group))
 
 
+def _cut_by_position(rows: DataFrame, group: str, limit: int) -> DataFrame | None:
+    """Add ``span`` to the rows of large groups where they are, without an exchange.
+
+    The first number of the position is cut into bins of one width, and the rows of
+    each are counted: neighbouring bins make up spans of at most ``limit`` rows. None
+    if a bin has more than half of that, as where first numbers repeat or crowd.
+    """
+    first = F.get("ord", F.lit(0))
+    ends = settle(rows.groupBy(group).agg(
+        F.min(first).alias("low"), F.max(first).alias("high"),
+        (F.ceil(F.count(F.lit(1)) / limit) * _BINS).alias("bins")), "ends")
+    if not ends.filter("low is null").isEmpty():
+        return None
+    width = F.col("high").cast("double") - F.col("low") + 1
+    along = (F.coalesce(first, "low").cast("double") - F.col("low")) / width * F.col("bins")
+    rows = rows.join(ends, group).withColumn("bin", F.floor(along)).drop("low", "high", "bins")
+    counts = settle(rows.groupBy(group, "bin").agg(F.count(F.lit(1)).alias("rows")), "bins")
+    half = max(limit // 2, 1)
+    if not counts.filter(F.col("rows") > half).isEmpty():
+        return None
+    before = F.sum("rows").over(Window.partitionBy(group).orderBy("bin")) - F.col("rows")
+    spans = settle(counts.select(group, "bin", F.floor(before / half).alias("span")), "cuts")
+    return rows.join(spans, [group, "bin"]).drop("bin")
+
+
 def _cut_by_weight(rows: DataFrame, part: Column, limit: int) -> DataFrame:
     """Add ``span`` to sorted rows by the weight of those before them. Weights are
     summed by blocks of neighbours, small enough that a span, cut where half the limit

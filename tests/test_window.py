@@ -84,6 +84,16 @@ def test_many_large_keys(log_of):
     assert collected(count_window(spans.rows, 4, 3, spans)) == replay(rows, 4, 3)
 
 
+def test_large_keys_are_cut_where_they_are(log_of):
+    """Positions that the first number parts: no large key's rows are written again."""
+    rows = [("hot" if i % 4 else f"k{i % 8}", f"v{i}", [i * i]) for i in range(160)]
+    spans = plan_spans(log_of(rows), "key", 24)
+    sizes = spans.rows.filter(F.col("span") != WHOLE).groupBy("key", "span").count().collect()
+    assert len(sizes) >= 5 and max(r["count"] for r in sizes) <= 24
+    assert not any("/spans-" in name for name in spans.rows.inputFiles())
+    assert collected(count_window(spans.rows, 4, 3, spans)) == replay(rows, 4, 3)
+
+
 def test_few_ranges_are_cut_into_spans(log_of, monkeypatch):
     """A span never has more rows than asked for, however few the ranges."""
     monkeypatch.setattr("logweave.operators.spans._RANGES", 2)
