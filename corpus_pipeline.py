@@ -15,7 +15,7 @@ from logweave.llm.ngram_join import keep_representatives
 from logweave.llm.sentencepiece_scan import decode, encode
 from logweave.llm.substring_dedup import substring_dedup
 from logweave.llm.toxicity import drop_toxic, learn_lexicon
-from logweave.storage import scratch_path
+from logweave.storage import scratch_path, settle
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,8 +47,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and the text that they decode to, in chunks; of a
-    null text, null."""
-    return decode(encode(docs, PIECES), PIECES)
+    null text, null. The ids are written in between: a task that did both would hold
+    two Python workers, and an executor keeps all that it ever had at once."""
+    return decode(settle(encode(docs, PIECES), "pieces"), PIECES)
 
 
 STAGES = [

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import scratch_path
+from ..storage import scratch_path, settle
 from .conversation_repair import damage_and_repair
 from .decontamination import contaminated
 from .embedding_dedup import embedding_dedup
@@ -66,7 +66,8 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode(encode(_table(spark, sf_dir, "documents"), PIECES), PIECES)
+    # Written in between, as in the pipeline: one Python worker a task.
+    return decode(settle(encode(_table(spark, sf_dir, "documents"), PIECES), "pieces"), PIECES)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -195,8 +195,9 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             # documents are exceptions.
             begins = rated.where(F.col("entry").endswith(" ") & (F.col("weight") < 0.5)
                                  & (F.col("other") >= 3))
-            starts = docs.sparkSession.createDataFrame(
-                [(w,) for w in weights if not w.endswith(" ")] or [("",)], "start string")
+            # From Arrow: a list would go through Python workers of its own.
+            starts = docs.sparkSession.createDataFrame(pa.table({"start": pa.array(
+                [w for w in weights if not w.endswith(" ")] or [""], pa.string())}))
             spared = None
             for k in range(SHORTEST, LONGEST + 1):
                 part = begins.withColumn("start", F.substring("entry", 1, k + 1)).join(

@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from logweave.llm import sharding, training_order
-from logweave.llm.catalog import PIECES, RANKS, op2_histogram_sort, op4_training_order
+from logweave.llm.catalog import (
+    PIECES,
+    RANKS,
+    op2_histogram_sort,
+    op4_training_order,
+    op8_sentencepiece,
+)
 from logweave.llm.sharding import shard_documents, splitters
+from logweave.llm.toxicity import learn_lexicon
 from logweave.storage import scratch_path
 
 from .conftest import SMALL, unharmed
@@ -201,3 +208,25 @@ def test_pipeline(spark, documents):
     key = lambda r: (r.doc_id, r.chunk)
     assert sorted(again, key=key) == sorted(last, key=key)
     assert PIECES
+
+
+@pytest.mark.parametrize("name", ["pipeline", "op8"])
+def test_one_python_worker_a_task(spark, documents, name):
+    """The last stage doesn't encode and decode in one task."""
+    got = corpus_pipeline.STAGES[-1][1](spark, documents, SMALL) if name == "pipeline" \
+        else op8_sentencepiece(spark, SMALL)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_lexicon_without_python_rows(spark, documents, monkeypatch):
+    """Beginnings of words become a table without Python workers of their own."""
+    plans, create = [], type(spark).createDataFrame
+
+    def noted(self, *args, **kwargs):
+        df = create(self, *args, **kwargs)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+    monkeypatch.setattr(type(spark), "createDataFrame", noted)
+    lexicon = learn_lexicon(documents, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    assert lexicon.weights and plans
+    assert not [p for p in plans if "ExistingRDD" in p]
