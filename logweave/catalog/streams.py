@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..plans import Pipeline
 from ..operators import committed_offsets, consumer_lag
-from ..sources import (committed_positions, lines_prepared, printed_lines, read_committed,
-                       read_log, read_partition, stream_lag, stream_lines, stream_log,
-                       stream_positions, stream_text_sink, tokenize_lines, write_log)
+from ..sources import (append_in_order, committed_positions, lines_prepared, printed_lines,
+                       read_committed, read_log, read_partition, stream_lag, stream_lines,
+                       stream_log, stream_positions, stream_text_sink, tokenize_lines,
+                       write_log)
 from ..storage import scratch_path
 from ..streaming import Hop, StreamCounters, run_stream, state_snapshot
 from .tables import (at, events, flat, lines_by_name, named_lines, orders, share_of,
@@ -104,7 +105,7 @@ def stream_bounded_trigger(spark, sf):
     source, out, checkpoint = (scratch_path(spark, label) for label in (
         "bounded-in", "bounded-out", "bounded-checkpoint"))
     for part in _parts(events(spark, sf), 3):
-        part.write.mode("append").parquet(source)
+        append_in_order(part, source)
     run_stream(Pipeline.of(("windowaggregate", {"size": 5, "slide": 3})),
                stream_log(spark, source, stored=False, maxFilesPerTrigger=1), out,
                checkpoint).awaitTermination()

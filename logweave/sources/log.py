@@ -12,10 +12,10 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.layout import assign_offset, assign_partition
-from ..operators.spans import plan_spans
+from ..operators.spans import ROWS_PER_SPAN, plan_spans
 from ..schema import LOG_SCHEMA, STORED_SCHEMA
 from ..storage import (drop_path, has_files, matching_parents, move, publish, published,
-                       read_text, write_text)
+                       read_text, scratch_path, write_text)
 
 _NOTE = "_log.json"
 _STORED = [f.name for f in STORED_SCHEMA]
@@ -105,7 +105,8 @@ def read_partition(spark: SparkSession, path: str, partition: int) -> DataFrame:
 def stream_log(spark: SparkSession, path: str, stored: bool = True,
                **options) -> DataFrame:
     """A log as a stream. ``maxFilesPerTrigger`` and ``maxBytesPerTrigger``
-    bound what one micro-batch takes in."""
+    bound what one micro-batch takes in, the oldest files first: where windows follow,
+    files must then be in order, as ``append_in_order`` writes them."""
     names = _STORED if stored else [f.name for f in LOG_SCHEMA]
     # With the columns of the folders, in their order, as the first of these may
     # appear when the stream already runs.
@@ -116,6 +117,33 @@ def stream_log(spark: SparkSession, path: str, stored: bool = True,
     return spark.readStream.schema(schema).options(**options).parquet(path).select(*names)
 
 
+def append_in_order(log: DataFrame, path: str, rows_per_file: int = ROWS_PER_SPAN) -> None:
+    """Add a keyed log to a folder as files of about ``rows_per_file`` rows, for a
+    stream that takes a few files at a time.
+
+    Such a stream takes the oldest files first, and a window wants each key's records
+    in order. Files that tasks write side by side end in any order, and hold
+    positions among each other's where the log isn't sorted. These follow each other
+    by position, and by age, as each is written when the one before it is there. What
+    the folder holds already should precede the log. The log is counted, then moved
+    once; a record of one key and position stays beside its like.
+    """
+    spark = log.sparkSession
+    files = -(-log.count() // rows_per_file)
+    if files <= 1:
+        log.repartition(1).write.mode("append").parquet(path)
+        return
+    cut = scratch_path(spark, "in-order")
+    placed = log.repartitionByRange(files, "ord", "key").withColumn(
+        "file", F.spark_partition_id())
+    placed.write.partitionBy("file").parquet(cut)
+    shares = spark.read.schema(placed.schema).parquet(cut)
+    for k in range(files):
+        shares.filter(F.col("file") == k).drop("file").coalesce(1).write.mode("append").parquet(
+            path)
+    drop_path(spark, cut)
+
+
 def read_committed(spark: SparkSession, path: str) -> DataFrame:
     """The finished batches a stream has written below ``path``."""
     done = matching_parents(spark, f"{path}/batch=*/_SUCCESS")

@@ -4,11 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from logweave.operators import committed_offsets, consumer_lag
+from logweave.catalog import QUERIES
 from logweave.plans import Pipeline
-from logweave.sources import (committed_positions, lines_prepared, printed_lines,
-                              read_committed, read_log, read_partition, running_positions,
-                              stream_lag, stream_lines, stream_log, stream_positions,
-                              stream_text_sink, text_sink, tokenize_lines, write_log)
+from logweave.sources import (append_in_order, committed_positions, lines_prepared,
+                              printed_lines, read_committed, read_log, read_partition,
+                              running_positions, stream_lag, stream_lines, stream_log,
+                              stream_positions, stream_text_sink, text_sink, tokenize_lines,
+                              write_log)
 from logweave.streaming import Hop, run_stream, state_snapshot, window_state
 
 from . import golden
@@ -456,6 +458,39 @@ def test_batch_that_a_filter_empties(spark, log_of, tmp_path):
     assert [v for _, _, v in feed.rows()] == ["A", "AB", "ABC"]
 
 
+def test_files_in_order(spark, log_of, tmp_path):
+    """Rows in any order, in many tasks, and keys that share their positions: each file
+    holds what follows the file before it, and a stream can take one at a time."""
+    rows = [(f"k{i % 5}", f"v{i}", i // 5) for i in range(400)]
+    pipe = Pipeline.of(("windowaggregate", {"size": 4, "slide": 3}))
+    feed = Feed(spark, log_of, tmp_path, pipe)
+    for part in (rows[:300], rows[300:]):
+        mixed = random.Random(2).sample(part, len(part))
+        append_in_order(log_of(mixed).repartition(7), feed.source, rows_per_file=100)
+    append_in_order(log_of([("k1", "last", 80)]), feed.source)
+    files = sorted((tmp_path / "in").glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    held = [[(list(r["ord"]), r["key"]) for r in spark.read.parquet(str(f)).collect()]
+            for f in files]
+    assert len(files) == 3 + 1 + 1 and max(map(len, held)) < 200
+    assert sum(map(sorted, held), []) == sorted(
+        [([o], k) for k, _, o in rows] + [([80], "k1")])
+    feed.run()
+    assert feed.rows() == batch_rows(pipe.run(log_of(rows + [("k1", "last", 80)])))
+    assert len(list((tmp_path / "out").glob("batch=*"))) == len(files)
+
+
+def test_bounded_trigger_over_a_table_of_many_files(spark, log_of, tmp_path):
+    """Rows of each key in every file of the table, in no order."""
+    rows = random.Random(3).sample(range(240), 240)
+    table = spark.createDataFrame([(i, i % 7, f"e{i}") for i in rows],
+                                  "event_id long, user_id long, event_type string")
+    table.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    out = QUERIES["stream_bounded_trigger"](spark, str(tmp_path))
+    windows = replay([(str(i % 7), f"e{i}", [i]) for i in range(240)], 5, 3)
+    assert sorted((r["seq"], r["key"], r["value"]) for r in out.collect()) == sorted(
+        (o[0], k, "".join(w)) for (k, o), (w, _, _) in windows.items())
+
+
 def test_files_of_one_age(spark, tmp_path):
     """Text files with equal times, one for each micro-batch."""
     import os
